@@ -10,12 +10,24 @@ from pyspark.sql import functions as F
 from locusflow.llm.common import documents
 
 
+def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.language_id import language_id
+
+    return language_id(documents(spark, sf_dir))
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusflow.llm.compression_quality import compression_bands
 
     return compression_bands(documents(spark, sf_dir))
 
 
+def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.toxicity import toxicity
+
+    return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
