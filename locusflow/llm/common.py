@@ -15,6 +15,7 @@ import uuid
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -64,7 +65,7 @@ def text_slices(
     """(rows, texts) in slices of at most ``max_chars`` UTF-8 bytes, or of one document."""
     for batch in batches:
         at = batch.schema.get_field_index(column)
-        sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column(at)), 0).to_pylist()
+        sizes = pc.fill_null(pc.binary_length(batch.column(at)), 0).to_pylist()
         start = total = 0
         for i, size in enumerate(sizes):
             if total and total + size > max_chars:
