@@ -6,9 +6,8 @@ of adjacent parts; the encoder scans for the smallest rank, deletes the boundary
 between the two parts and refreshes the ranks of the neighbours, until no
 adjacent pair has a rank. Pieces are short, so the scans beat a heap.
 
-Single spaces between other characters always start a piece, so texts are cut
-there first and each distinct unit is encoded once per worker (the memo is
-bounded and is emptied when full).
+Each distinct piece is encoded once per worker while the memo holds it; the memo
+is bounded and is emptied when full.
 
 Defined cases: null text counts as empty and has no ids; special tokens inside
 a text become their own ids, as the tokenizer's file says; long pieces are
@@ -20,10 +19,11 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Callable, Iterator
+import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
-import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -33,11 +33,15 @@ from locusflow.llm.common import text_slices, texts_of
 #: The splitting pattern of byte-level BPE vocabularies of this family (fixed value).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = 1 << 30
-MEMO_UNITS = 400_000
-#: A single space is a safe cut only between characters that no tokenizer takes for white space.
-_BLANK = r"\s\x00-\x20\x7f-\xa0 ᠎ -‏ -  -⁯　﻿"
-_UNSAFE = regex.compile(rf" [{_BLANK}]|[{_BLANK}] |^ | $")
-_CUT = regex.compile(rf"(?<=[^{_BLANK}])(?= [^{_BLANK}])")
+NO_PAIR = (NO_RANK, 0)
+#: Bounds of the memo of a worker.
+MEMO_PIECES = 600_000
+MEMO_CHARS = 40
+#: Letters of the fast pattern: texts of ASCII and these need no Unicode tables.
+_LATIN = "A-Za-zÀ-ÖØ-öø-ÿ"
+_OTHER = re.compile(r"[^\t-\r -~À-ÖØ-öø-ÿ]")
+_FAST = re.compile(rf" ?[{_LATIN}]+| ?[0-9]+|'(?:[stmd]|re|ve|ll)| ?[^\t-\r 0-9{_LATIN}]+|[\t-\r ]+(?![^\t-\r ])|[\t-\r ]+")
+_FULL = regex.compile(PATTERN)
 
 
 def byte_letters() -> dict[str, int]:
@@ -57,13 +61,12 @@ class Bpe:
         letters = byte_letters()
         self.ids: dict[bytes, int] = {bytes(letters[c] for c in token): i for token, i in data["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
-        self.ranks: dict[bytes, int] = {}
-        pairs: dict[tuple[bytes, bytes], int] = {}
+        #: (id, id) of adjacent parts, packed into one integer, to (rank, id of both together)
+        self.pairs: dict[int, tuple[int, int]] = {}
         for rank, merge in enumerate(data["model"]["merges"]):
-            left, right = merge if isinstance(merge, list) else merge.split(" ")
-            pairs[bytes(letters[c] for c in left), bytes(letters[c] for c in right)] = rank
-        self.pairs = pairs
-        self.pieces = regex.compile(PATTERN)
+            left, right = (bytes(letters[c] for c in x) for x in (merge if isinstance(merge, list) else merge.split(" ")))
+            self.pairs[self.ids[left] << 20 | self.ids[right]] = (rank, self.ids[left + right])
+        self.single = [self.ids[bytes([b])] for b in range(256)]
         self.marked = regex.compile("(" + "|".join(regex.escape(s) for s in sorted(self.special, key=len, reverse=True)) + ")") if self.special else None
         size = max([*self.ids.values(), *self.special.values()], default=-1) + 1
         self.tokens: list[bytes] = [b""] * size
@@ -75,76 +78,52 @@ class Bpe:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Merge the parts of one piece, the smallest rank first, the leftmost of equal ones."""
-        whole = self.ids.get(piece)
-        if len(piece) == 1:
-            return [whole]
         pairs = self.pairs
-        bounds = list(range(len(piece) + 1))
-        ranks = [pairs.get((piece[i : i + 1], piece[i + 1 : i + 2]), NO_RANK) for i in range(len(piece) - 1)]
+        parts = [self.single[b] for b in piece]  # the ids between the boundaries that are left
+        ranks = [pairs.get(a << 20 | b, NO_PAIR)[0] for a, b in zip(parts, parts[1:], strict=False)]
         while ranks:
             low = min(ranks)
             if low == NO_RANK:
                 break
             at = ranks.index(low)
-            del bounds[at + 1], ranks[at]
+            merged = pairs[parts[at] << 20 | parts[at + 1]][1]
+            parts[at] = merged
+            del parts[at + 1], ranks[at]
             if at:
-                ranks[at - 1] = pairs.get((piece[bounds[at - 1] : bounds[at]], piece[bounds[at] : bounds[at + 1]]), NO_RANK)
+                ranks[at - 1] = pairs.get(parts[at - 1] << 20 | merged, NO_PAIR)[0]
             if at < len(ranks):
-                ranks[at] = pairs.get((piece[bounds[at] : bounds[at + 1]], piece[bounds[at + 1] : bounds[at + 2]]), NO_RANK)
-        return [self.ids[piece[a:b]] for a, b in zip(bounds, bounds[1:], strict=False)]
-
-    def encode_plain(self, text: str) -> list[int]:
-        return [i for piece in self.pieces.findall(text) for i in self.encode_piece(piece.encode())]
-
-    def encode_unit(self, unit: str) -> list[int]:
-        """Ids of a text that needs no cutting, special tokens taken out first."""
-        if self.marked is None or not any(s in unit for s in self.special):
-            return self.encode_plain(unit)
-        ids: list[int] = []
-        for part in self.marked.split(unit):
-            if part in self.special:
-                ids.append(self.special[part])
-            elif part:
-                ids.extend(self.encode_plain(part))
-        return ids
+                ranks[at] = pairs.get(merged << 20 | parts[at + 1], NO_PAIR)[0]
+        return parts
 
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
-        return packed_units(text, self.memo, lambda unit: np.array(self.encode_unit(unit), "<u4").tobytes())
+        memo = self.memo
+        pieces = pieces_of(text, self.marked)
+        try:
+            return b"".join([memo[p] for p in pieces])
+        except KeyError:
+            return b"".join([memo[p] if p in memo else self.remember(p) for p in pieces])
+
+    def remember(self, piece: str) -> bytes:
+        ids = [self.special[piece]] if piece in self.special else self.encode_piece(piece.encode())
+        own = array("I", ids).tobytes()
+        if len(self.memo) >= MEMO_PIECES:
+            self.memo.clear()
+        if len(piece) <= MEMO_CHARS:
+            self.memo[piece] = own
+        return own
 
     def decode(self, ids: bytes) -> str:
         """Text of packed ids, special tokens included; bytes that are no UTF-8 become U+FFFD."""
         tokens = self.tokens
-        return b"".join([tokens[i] for i in np.frombuffer(ids, "<u4").tolist()]).decode("utf-8", "replace")
-
-
-def units_of(text: str) -> list[str]:
-    """Cut a text before single spaces that certainly start a piece."""
-    if _UNSAFE.search(text) is None:
-        first, *rest = text.split(" ")
-        return [first, *[" " + x for x in rest]]
-    return _CUT.split(text)
-
-
-def packed_units(text: str, memo: dict[str, bytes], encode: Callable[[str], bytes]) -> bytes:
-    """The encodings of a text's units, joined; each distinct unit is encoded once while the memo holds it."""
-    if not text:
-        return b""
-    units = units_of(text)
-    try:
-        return b"".join([memo[u] for u in units])
-    except KeyError:
-        out = []
-        for u in units:
-            own = memo.get(u)
-            if own is None:
-                own = encode(u)
-                if len(memo) >= MEMO_UNITS:
-                    memo.clear()
-                if len(u) <= 64:
-                    memo[u] = own
-            out.append(own)
-        return b"".join(out)
+        return b"".join([tokens[i] for i in array("I", ids)]).decode("utf-8", "replace")
+
+
+def pieces_of(text: str, marked: regex.Pattern | None = None) -> list[str]:
+    """The pieces of a text by the pattern, in order, special tokens apart."""
+    if marked is not None and marked.search(text):
+        return [p for part in marked.split(text) if part for p in ([part] if marked.fullmatch(part) else pieces_of(part))]
+    return (_FAST if _OTHER.search(text) is None else _FULL).findall(text)
 
 
 @lru_cache(maxsize=2)

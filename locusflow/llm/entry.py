@@ -16,6 +16,14 @@ def op1_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(documents(spark, sf_dir))
 
 
+def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from locusflow.llm.huffman_ids import round_trip
+
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusflow.llm.compression_quality import compression_bands
 
@@ -28,6 +36,20 @@ def op6_toxicity_lexicon(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
+def op7_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.simhash_bk import near_duplicates
+
+    return near_duplicates(documents(spark, sf_dir))
+
+
+def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from locusflow.llm.bpe import round_trip
+
+    return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
