@@ -24,6 +24,12 @@ def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.spotsigs import edit_report
+
+    return edit_report(documents(spark, sf_dir))
+
+
 def op5_compression_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusflow.llm.compression_quality import compression_bands
 
