@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from locusflow.llm.common import documents
 
@@ -24,6 +23,12 @@ def op2_huffman_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
 
 
+def op3_variable_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.packing import pack
+
+    return pack(documents(spark, sf_dir))
+
+
 def op4_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
     from locusflow.llm.spotsigs import edit_report
 
@@ -48,6 +53,12 @@ def op7_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(documents(spark, sf_dir))
 
 
+def op8_license_dice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.licenses import scan
+
+    return scan(documents(spark, sf_dir))
+
+
 def op9_rank_array_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -67,4 +78,6 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    from locusflow.llm.licenses import scan_sql
+
+    return {"op8_license_dice": scan_sql()}
