@@ -41,6 +41,9 @@ BATCH_ROWS = 40_000
 #: Pairs of (search, tree node) that are looked at in one step at most, roughly.
 FRONTIER = 2_000_000
 SEED = 42
+NULL_ID = -(1 << 63)
+#: Rows of (id, text hash) that are broadcast at most.
+BROADCAST_ROWS = 1_000_000
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 
 
@@ -229,16 +232,44 @@ def fingerprint_links(distinct: DataFrame, radius: int) -> DataFrame:
 
 
 def components(prints: DataFrame, radius: int) -> DataFrame:
-    """doc_id, fp and component_id (the smallest id reachable) of every row of ``prints(doc_id, fp)``."""
+    """Every row of ``prints(doc_id, fp, ...)`` with its component_id, the smallest id reachable."""
     first = saved(prints.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "fingerprints")
     found = connected_components(fingerprint_links(first.select("fp"), radius))
     member = first.join(found.withColumnRenamed("node", "fp"), "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     least = member.groupBy("root").agg(F.min("first_id").alias("component_id"))
     named = member.join(least, "root").select("fp", "component_id")
-    return prints.join(named, "fp").select("doc_id", "fp", "component_id")
+    return prints.join(named, "fp")
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataFrame:
     """doc_id, fingerprint (16 lowercase hex digits) and component_id of every row."""
     found = components(saved(fingerprints(docs, shingle), "prints"), radius)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
+def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 7, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row of ``docs`` for each component, the one with the smallest id, with all columns.
+
+    At 64 bits a radius of 7 stands for a similarity of the word shingles of
+    about 0.85 and more. Of rows with one id and one text one stays.
+    """
+    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
+    text_key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, texts in text_slices(batches):
+            fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array(fps)], names=["doc_id", "tk", "fp"])
+
+    rows = docs.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), text_key.alias("tk"))
+    found = saved(components(saved(rows.mapInArrow(run, "doc_id long, tk long, fp long"), "prints"), radius), "components")
+    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
+    again = found.filter("doc_id = component_id").groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1")
+    # ids and text hashes only; shuffled beyond the counted bound
+    gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
+    kept = docs.withColumns({"_id": key, "_tk": text_key}).join(gone, ["_id", "_tk"], "left_anti")
+    if not again.isEmpty():
+        # an id that is there several times: one row of each text, then of the texts of one component one
+        first = found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("tk").alias("_tk")).withColumnRenamed("component_id", "_id")
+        kept = kept.join(first, ["_id", "_tk"], "left_semi").dropDuplicates(["_id"])
+    return kept.select(*docs.columns)

@@ -469,7 +469,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     plan = removal_plan(docs, length, id_col, text_col)
     key: list[Column] = [F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_tk")]
     plan = plan.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), F.col("starts").alias("_starts"), F.col("stops").alias("_stops"))
-    at = docs.columns.index(text_col)
+    names = docs.columns
+    at = names.index(text_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -477,7 +478,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             texts = [t if t is None or not a else text_without(t, a, b) for t, a, b in zip(batch.column(at).to_pylist(), starts, stops, strict=True)]
             columns = list(batch.columns[:-2])
             columns[at] = pa.array(texts, pa.string())
-            yield pa.RecordBatch.from_arrays(columns, names=docs.columns)
+            yield pa.RecordBatch.from_arrays(columns, names=names)
 
     joined = docs.select("*", *key).join(plan, ["_id", "_tk"], "left").select(*docs.columns, "_starts", "_stops")
     return joined.mapInArrow(run, docs.schema)
