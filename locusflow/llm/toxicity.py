@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import crc_bucket, text_slices, texts_of
+from locusflow.llm.common import crc_bucket, saved, text_slices, texts_of
 
 #: Letters of other scripts that look like Latin ones.
 LOOK_ALIKES = {
@@ -53,6 +53,7 @@ STEMS = (4, 5, 6, 7)
 #: Least lower bound (two standard errors) of a pattern's log-odds.
 MIN_LOG_ODDS = 1.5
 MAX_WEIGHT = 6.0
+BROADCAST_ROWS = 1_000_000
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_hits long, weight double"
 
 _MIXED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![^\W_])[013457@$]+(?=[^\W\d_]{2})")
@@ -266,13 +267,14 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
         .groupBy("doc_id")
         .agg(F.max("toxic").alias("toxic"))
     )
+    marks = saved(marks, "toxicity-marks")
+    # only ids and flags are broadcast, and only below a counted bound
+    marks = F.broadcast(marks) if marks.count() <= BROADCAST_ROWS else marks
     return texts_of(docs).filter(crc_bucket(F.col("doc_id"), folds) != held_out).join(marks, "doc_id")
 
 
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn from the labelled rows outside the held-out fold and score every row of ``docs``."""
-    from locusflow.llm.common import saved
-
     model = learn(saved(labelled_rows(docs, labels), "toxicity-labelled"))
     held = crc_bucket(F.col("doc_id"), 5) == 0
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted", "n_hits", "weight")
