@@ -56,19 +56,32 @@ MAX_WEIGHT = 6.0
 BROADCAST_ROWS = 1_000_000
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int, n_hits long, weight double"
 
-_MIXED = re.compile(r"(?<=[^\W\d_])[0134578@$!]+(?=[^\W\d_])|(?<![^\W_])[013457@$]+(?=[^\W\d_]{2})")
+_SIGNS = re.compile(r"[0134578@$!]+(?=[^\W\d_])")
 _WORD = re.compile(r"[^\W_]+")
 _LOOK = str.maketrans(LOOK_ALIKES)
+_LOOKS = re.compile("[" + "".join(LOOK_ALIKES) + "]")
 _SUBS = str.maketrans(SUBSTITUTES)
+_ASCII_WORDS = str.maketrans({chr(c): " " for c in range(128) if not chr(c).isalnum()})
+
+
+def _letters(match: re.Match) -> str:
+    """Signs that stand for letters: after a letter, or at a word's start before two letters."""
+    signs, text, at = match[0], match.string, match.start()
+    if at and text[at - 1].isalpha():
+        return signs.translate(_SUBS)
+    opens = (not at or not text[at - 1].isalnum()) and "!" not in signs and "8" not in signs
+    return signs.translate(_SUBS) if opens and text[match.end() : match.end() + 2].isalpha() and match.end() + 2 <= len(text) else signs
 
 
 def fold(text: str) -> str:
     """Lower case, look-alikes and digit substitutions undone, words joined by single spaces."""
     text = text.lower()
-    if not text.isascii():
-        text = unicodedata.normalize("NFKC", text).translate(_LOOK)
-    text = _MIXED.sub(lambda m: m[0].translate(_SUBS), text)
-    return " " + " ".join(_WORD.findall(text)) + " "
+    if text.isascii():
+        return " " + " ".join(_SIGNS.sub(_letters, text).translate(_ASCII_WORDS).split()) + " "
+    text = unicodedata.normalize("NFKC", text)
+    if _LOOKS.search(text):
+        text = text.translate(_LOOK)
+    return " " + " ".join(_WORD.findall(_SIGNS.sub(_letters, text))) + " "
 
 
 def patterns_of(word: str) -> list[str]:
