@@ -125,7 +125,7 @@ def unit_matches(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "d
     source = texts_of(docs, id_col, text_col).select("doc_id", F.xxhash64(text).alias("tk"), text.alias("text"))
     # a paragraph is a unit of its own only where blank lines part the text; the whole text is one where it has several lines
     lines = F.split("text", "\n")
-    paragraphs = F.when(F.col("text").rlike(r"\n[ \t]*\n"), F.split("text", r"\n[ \t]*(?:\n[ \t]*)+")).otherwise(F.array().cast("array<string>"))
+    paragraphs = F.when(F.col("text").rlike(r"\n[ \t]*\n"), F.split("text", r"\n[ \t]*(?:\n[ \t]*)++")).otherwise(F.array().cast("array<string>"))
     whole = F.when(F.size(lines) > 1, F.array("text")).otherwise(F.array().cast("array<string>"))
     # generators keep words and bigrams from being made again for each use
     parts = F.array_distinct(F.concat(lines, paragraphs, whole))
