@@ -21,6 +21,7 @@ columns are ignored.
 from __future__ import annotations
 
 import os
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -31,69 +32,55 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusflow.llm.bpe import MEMO_CHARS, MEMO_PIECES, pieces_of
-from locusflow.llm.common import saved, scratch, text_slices, texts_of
+from locusflow.llm.bpe import MEMO_CHARS, byte_letters, pieces_of
+from locusflow.llm.common import scratch, text_slices, texts_of
 
 MAX_BITS = 18
 BLOCK_IDS = 1 << 17
 EVERY = 256
+#: Bound of a worker's memo of pieces.
+MEMO_PIECES = 1_000_000
 BLOCKS = "part int, block int, start long, n_tokens long, doc_ids binary, doc_tokens binary, checkpoints binary, payload binary"
 
 
 # ---- tokenizer -------------------------------------------------------------
 
 
-class PieceEncoder:
-    """The library's tokenizer with a memo of pieces: each distinct piece is encoded once while the memo holds it."""
+class PieceEncoder(dict):
+    """Packed ids of each piece, by the library's model; a piece is encoded when it is first looked up.
+
+    The library's pattern cuts a text into pieces and its model encodes each
+    piece alone, so a text's ids are those of its pieces. The table is emptied
+    when it is full.
+    """
 
     def __init__(self, path: str):
+        super().__init__()
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.no_truncation()
-        self.tokenizer.no_padding()
-        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
-        self.sizes = np.zeros(max(vocabulary.values(), default=0) + 1, np.int64)
-        for token, i in vocabulary.items():
-            self.sizes[i] = len(token)
-        special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marked = regex.compile("(" + "|".join(map(regex.escape, sorted(special, key=len, reverse=True))) + ")") if special else None
-        self.memo: dict[str, bytes] = {}
-
-    def learn(self, pieces: set[str]) -> None:
-        """Encode pieces with the library. Those that open with a space go as one text, cut again by their bytes."""
-        spaced = [p for p in pieces if len(p) > 1 and p[0] == " " and not p[1].isspace() and ord(p[1]) > 32]
-        found: dict[str, np.ndarray] = {}
-        for k in range(0, len(spaced), 500):
-            own = spaced[k : k + 500]
-            ids = np.array(self.tokenizer.encode_batch_fast(["".join(own)], add_special_tokens=False)[0].ids, np.int64)
-            ends = np.cumsum(self.sizes[ids])
-            cuts = np.cumsum([len(p.encode()) for p in own])
-            at = np.searchsorted(ends, cuts)
-            if len(ends) and at[-1] < len(ends) and (ends[at] == cuts).all():
-                found.update(zip(own, np.split(ids, at[:-1] + 1), strict=True))
-        rest = [p for p in pieces if p not in found]
-        for p, e in zip(rest, self.tokenizer.encode_batch_fast(rest, add_special_tokens=False), strict=True):
-            found[p] = np.array(e.ids, np.int64)
-        if len(self.memo) + len(found) > MEMO_PIECES:
-            self.memo.clear()
-        self.memo.update((p, ids.astype("<u4").tobytes()) for p, ids in found.items())
-
-    def __call__(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [pieces_of(t, self.marked) if t else [] for t in texts]
-        missing = {p for own in pieces for p in own} - self.memo.keys()
-        if missing:
-            if len(self.memo) + len(missing) > MEMO_PIECES:
-                self.memo.clear()
-                missing = {p for own in pieces for p in own}
-            self.learn(missing)
-        memo = self.memo
-        out = [b"".join([memo[p] for p in own]) for own in pieces]
-        for p in missing:
-            if len(p) > MEMO_CHARS:
-                memo.pop(p, None)
-        return out
+        tokenizer = Tokenizer.from_file(path)
+        self.model = tokenizer.model
+        self.size = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
+        self.type = "H" if self.size <= 1 << 16 else "I"
+        self.special = {t.content: i for i, t in tokenizer.get_added_tokens_decoder().items()}
+        self.marked = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")") if self.special else None
+        self.letters = str.maketrans({b: letter for letter, b in byte_letters().items()})
+
+    def __missing__(self, piece: str) -> bytes:
+        if piece in self.special:
+            ids = [self.special[piece]]
+        else:
+            ids = [t.id for t in self.model.tokenize(piece.encode().decode("latin-1").translate(self.letters))]
+        own = array(self.type, ids).tobytes()
+        if len(self) >= MEMO_PIECES:
+            self.clear()
+        if len(piece) <= MEMO_CHARS:
+            self[piece] = own
+        return own
+
+    def packed(self, text: str | None) -> bytes:
+        return b"".join([self[p] for p in pieces_of(text, self.marked)]) if text else b""
 
 
 @lru_cache(maxsize=2)
@@ -103,18 +90,33 @@ def piece_encoder(path: str) -> PieceEncoder:
 
 
 def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
-    """doc_id and ``ids`` (packed little-endian; 16 bits where all ids fit) of every row, the end id last."""
+    """Rows of kind 0: doc_id and ``ids`` (packed, ``width`` bytes each, the end id last) of every row of ``docs``.
+
+    Rows of kind 1, one for each task: how often the task saw each id, as packed
+    64-bit integers.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
-        kind = "<u2" if max(len(encoder.sizes), end_id + 1) <= 1 << 16 else "<u4"
+        if end_id >= encoder.size:
+            raise ValueError(f"the end id {end_id} is not in the vocabulary")
+        size = encoder.size
+        kind = np.dtype("<u2" if encoder.type == "H" else "<u4")
         last = np.array([end_id], kind).tobytes()
+        counts = np.zeros(size, np.int64)
+
+        def rows_of(number: int, ids: pa.Array, packed: list[bytes]) -> pa.RecordBatch:
+            flags = pa.array([number] * len(packed), pa.int32())
+            width = pa.array([kind.itemsize] * len(packed), pa.int32())
+            return pa.RecordBatch.from_arrays([flags, ids, width, pa.array(packed, pa.binary())], names=["kind", "doc_id", "width", "ids"])
+
         for rows, texts in text_slices(batches):
-            ids = [np.frombuffer(x, "<u4").astype(kind).tobytes() + last for x in encoder(texts)]
-            width = pa.array([np.dtype(kind).itemsize] * len(ids), pa.int32())
-            yield pa.RecordBatch.from_arrays([rows.column(0), width, pa.array(ids, pa.binary())], names=["doc_id", "width", "ids"])
+            ids = [encoder.packed(t) + last for t in texts]
+            counts += np.bincount(np.frombuffer(b"".join(ids), kind), minlength=size)
+            yield rows_of(0, rows.column(0), ids)
+        yield rows_of(1, pa.nulls(1, pa.int64()), [counts.astype("<i8").tobytes()])
 
-    return texts_of(docs).mapInArrow(run, "doc_id long, width int, ids binary")
+    return texts_of(docs).mapInArrow(run, "kind int, doc_id long, width int, ids binary")
 
 
 # ---- code ------------------------------------------------------------------
@@ -214,11 +216,12 @@ def _ids(value: bytes, width: int) -> np.ndarray:
     return np.frombuffer(value, f"<u{width}")
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _add_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The counts of a partition's tasks together, as one row for each id."""
     total = np.zeros(0, np.int64)
     for batch in batches:
-        for width, value in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
-            own = np.bincount(_ids(value, width), minlength=len(total))
+        for value in batch.column(0).to_pylist():
+            own = np.frombuffer(value, "<i8").copy()
             own[: len(total)] += total
             total = own
     at = np.flatnonzero(total)
@@ -228,8 +231,11 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> None:
     """Encode every text and write the two tables. The driver gets one count for each id of the vocabulary."""
     spark = docs.sparkSession
-    ids = saved(token_ids(docs, tokenizer, end_id), "token-ids")
-    rows = ids.mapInArrow(_count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
+    path = scratch(spark, "token-ids")
+    token_ids(docs, tokenizer, end_id).write.partitionBy("kind").parquet(path)
+    both = spark.read.schema("doc_id long, width int, ids binary, kind int").parquet(path)
+    ids = both.filter("kind = 0").drop("kind")
+    rows = both.filter("kind = 1").select("ids").mapInArrow(_add_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
     counts = np.zeros(int(rows["id"].max()) + 1 if len(rows) else 1, np.int64)
     counts[rows["id"].to_numpy(np.int64)] = rows["n"].to_numpy()
     lengths = code_lengths(counts)
