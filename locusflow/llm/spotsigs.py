@@ -38,8 +38,9 @@ THRESHOLD = 0.8
 
 
 def anchor_pattern(anchors: dict[str, str] = ANCHORS) -> str:
+    """A stretch of anchors; possessive, because a greedy group recurses for each repetition and long stretches overflow the stack."""
     words = sorted({w for own in anchors.values() for w in own.split()})
-    return f"(?:(?:^| )(?:{'|'.join(words)})(?= |$))+ ?"
+    return f"(?:(?:^| )(?:{'|'.join(words)})(?= |$))++ ?"
 
 
 def normalised(text: Column) -> Column:
