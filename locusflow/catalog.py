@@ -64,9 +64,9 @@ def f2_hit_filter_keep_unknown(spark, d):
     return H.filter_hits(A.hits(spark, d), known, keep_unknown=True).select(*HIT_COLUMNS, F.col("length").isNull().alias("unknown"))
 
 
-@query(sql("hits query_table", f"SELECT {HIT_LIST}, round(coalesce(bitscore / self_score, 1.0), 6) AS bsr FROM c", c=COVERED))
+@query(sql("hits query_table", f"SELECT {HIT_LIST}, coalesce(bitscore / self_score, 1.0) AS bsr FROM c", c=COVERED))
 def f3_score_ratio(spark, d):
-    return H.score_ratio(H.with_coverage(A.hits(spark, d), A.query_table(spark, d))).select(*HIT_COLUMNS, r6("bsr").alias("bsr"))
+    return H.score_ratio(H.with_coverage(A.hits(spark, d), A.query_table(spark, d))).select(*HIT_COLUMNS, "bsr")
 
 
 @query(sql("hits", "SELECT regexp_replace(query_id, '___[0-9]+$', '') AS domain, count(*) AS n FROM hits GROUP BY 1"))
@@ -136,13 +136,13 @@ def a5_comment_tokens(spark, d):
 @query(
     sql(
         "genes",
-        "SELECT p.protein_id, g.contig, g.start_pos FROM (SELECT genome_id, protein_id FROM genes) p LEFT JOIN (SELECT * FROM genes WHERE protein_id % 3 <> 0) g ON p.genome_id = g.genome_id AND p.protein_id = g.protein_id",
+        "SELECT p.protein_id, coalesce(g.contig, -1) AS contig, coalesce(g.start_pos, -1) AS start_pos FROM (SELECT genome_id, protein_id FROM genes) p LEFT JOIN (SELECT * FROM genes WHERE protein_id % 3 <> 0) g ON p.genome_id = g.genome_id AND p.protein_id = g.protein_id",
     )
 )
 def a6_attach_features(spark, d):
     genes = A.genes(spark, d)
     known = genes.filter(F.col("domain") != "").filter(F.col("protein_id") % 3 != 0)
-    return H.attach_features(genes.select("genome_id", "protein_id"), known).select("protein_id", "contig", "start_pos")
+    return H.attach_features(genes.select("genome_id", "protein_id"), known).select("protein_id", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("contig", "start_pos")))
 
 
 @query(sql("hits", "SELECT query_id, max(bitscore) AS self_score FROM hits GROUP BY 1"))
