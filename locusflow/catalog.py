@@ -1195,7 +1195,7 @@ def j6_genomes_and_domains(spark, d):
 @query(
     sql(
         "seq_clusters refs",
-        "SELECT family, x, count(*) AS n FROM metrics, (SELECT round(0.01 + 0.01 * i, 2) AS x FROM range(10) t(i)) WHERE n_ref::DOUBLE / all_ref >= x - 1e-12 GROUP BY ALL",
+        "SELECT family, x, count(*) AS n FROM metrics, (SELECT round(0.01::DOUBLE + 0.01::DOUBLE * i, 2) AS x FROM range(10) t(i)) WHERE n_ref::DOUBLE / all_ref >= x - 1e-12 GROUP BY ALL",
         **METRICS,
     )
 )
