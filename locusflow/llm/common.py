@@ -21,7 +21,8 @@ from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 2 << 20
+BATCH_BYTES = "8388608b"
 
 
 def scratch(spark: SparkSession, name: str) -> str:
@@ -49,9 +50,22 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def small_batches(df: DataFrame) -> DataFrame:
+    """``df``, whose session from now on hands texts to Python in batches of at most 8 MB.
+
+    Executors hold a batch several times over (in the JVM's buffers, in Python
+    and as numpy arrays), so its size bounds what a task needs besides the heap.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    conf = df.sparkSession.conf
+    if conf.get(key, None) != BATCH_BYTES:
+        conf.set(key, BATCH_BYTES)
+    return df
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator needs, under fixed names."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
 
 
 def crc_bucket(col, buckets: int):

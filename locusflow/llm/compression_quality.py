@@ -20,7 +20,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame
 
-from locusflow.llm.common import text_slices, texts_of
+from locusflow.llm.common import small_batches, text_slices, texts_of
 
 #: (bytes from, lowest and highest ratio of the whole text): prose of the length lies well inside.
 WHOLE_BANDS = (
@@ -144,4 +144,4 @@ def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
             kept = [k for part in _judge(iter([whole.rename_columns(["doc_id", "text"])])) for k in part.column("kept").to_pylist()]
             yield batch.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(judge, docs.schema)
+    return small_batches(docs).mapInArrow(judge, docs.schema)

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import crc_bucket, text_slices, texts_of
+from locusflow.llm.common import crc_bucket, small_batches, text_slices, texts_of
 
 BUCKET_BITS = 18
 SMOOTHING = 0.02
@@ -228,4 +228,4 @@ def keep_identified(docs: DataFrame, min_share: float = 0.4) -> DataFrame:
             kept = [lang != UNKNOWN and share >= min_share for lang, share, _ in infer(shared.value, texts)]
             yield rows.filter(pa.array(kept, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return small_batches(docs).mapInArrow(run, docs.schema)

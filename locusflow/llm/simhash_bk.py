@@ -32,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import saved, text_slices, texts_of
+from locusflow.llm.common import saved, small_batches, text_slices, texts_of
 from locusflow.llm.components import connected_components
 
 SHARD = 4096
@@ -261,7 +261,7 @@ def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 7, id_col: str =
             fps = np.array([fingerprint(t, shingle) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array(fps)], names=["doc_id", "tk", "fp"])
 
-    rows = docs.select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), text_key.alias("tk"))
+    rows = small_batches(docs).select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), text_key.alias("tk"))
     found = saved(components(saved(rows.mapInArrow(run, "doc_id long, tk long, fp long"), "prints"), radius), "components")
     gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
     again = found.filter("doc_id = component_id").groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1")

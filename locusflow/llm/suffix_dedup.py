@@ -40,7 +40,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import saved
+from locusflow.llm.common import saved, small_batches
 
 LENGTH = 200
 GRAM = 48
@@ -362,7 +362,7 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 def _sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, tk, data): id without null, hash of the text, UTF-8 bytes."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("tk"), text.cast("binary").alias("data"))
+    return small_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("tk"), text.cast("binary").alias("data"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
