@@ -33,6 +33,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -292,15 +293,21 @@ def _shards(length: int):
         who, start, stop = to_spans(number, offset, length)
         out = [(rows[k][3], rows[k][4], rows[k][5] + a, rows[k][5] + b, None) for k, a, b in zip(who.tolist(), start.tolist(), stop.tolist(), strict=True) if rows[k][6] == 1]
         yield table(out)
-        for r in rows:
-            if r[7] > 1:
-                hashes = window_hashes(r[2], length).view(np.int64)
-                n = len(hashes)
-                single = r[6] == 1
-                # windows of a segment that occurs elsewhere as a whole are partners only: their start is null
-                starts = pa.array(np.arange(r[5], r[5] + n)) if single else pa.nulls(n, pa.int64())
-                ends = pa.array(np.arange(r[5], r[5] + n) + length) if single else pa.nulls(n, pa.int64())
-                yield pa.RecordBatch.from_arrays([pa.array([r[3]] * n, pa.int64()), pa.array([r[4]] * n, pa.int64()), starts, ends, pa.array(hashes)], names=names)
+        for _, own in groupby((r for r in rows if r[7] > 1), key=lambda r: r[:2]):
+            yield spread_windows(list(own))
+
+    def spread_windows(rows: list[tuple]) -> pa.RecordBatch:
+        """Each different window of a shard once. Those without a start are partners only: windows of segments that occur
+        elsewhere as a whole, or more than once in the shard."""
+        hashes = [window_hashes(r[2], length).view(np.int64) for r in rows]
+        sizes = list(map(len, hashes))
+        starts = np.concatenate([np.arange(r[5], r[5] + n) if r[6] == 1 else np.full(n, -1) for r, n in zip(rows, sizes, strict=True)])
+        owner = np.repeat(np.arange(len(rows)), sizes)
+        value, at, count = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
+        start = np.where(count == 1, starts[at], -1)
+        ids, keys = (np.array([r[i] for r in rows], np.int64)[owner[at]] for i in (3, 4))
+        none = start < 0
+        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys), pa.array(start, mask=none), pa.array(start + length, mask=none), pa.array(value)], names=names)
 
     names = [c.split()[0] for c in FOUND.split(", ")]
 
