@@ -29,10 +29,11 @@ def connected_components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFr
     state = _state(now)
     while state[0]:
         both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+        # written, so that the join deals both sides out anew and Spark can split a node with very many edges
+        least = saved(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "least")
         large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         large = saved(large, "large-star")
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        least = saved(large.groupBy("u").agg(F.min("v").alias("m")), "least")
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
         new = saved(small.distinct(), "small-star")
         new_state = _state(new)
