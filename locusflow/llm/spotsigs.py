@@ -20,6 +20,8 @@ table gives no rows; other columns are ignored.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -71,9 +73,11 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
 
 
-def with_next(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
+def with_next(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Each row with the next one in descending (doc_id, text) order, in columns ``next_*``; the last one meets the first.
 
+    ``derive`` adds columns to the dealt rows, so that each row's are made once.
+
     Rows are dealt into ranges of ids; each range also gets a copy of the first
     row of the range after it, so that neighbours meet inside a range. Only the
     bounds of the ranges are broadcast: their number is limited below.
@@ -100,6 +104,8 @@ def with_next(rows: DataFrame, bucket_rows: int = BUCKET_ROWS) -> DataFrame:
     names = rows.columns
     copies = first.select(*names, F.col("to").alias("g"), F.lit(True).alias("copy"))
     whole = dealt.select(*names, "g", F.lit(False).alias("copy")).unionByName(copies)
+    whole = whole if derive is None else derive(whole)
+    names = [c for c in whole.columns if c not in ("g", "copy")]
     window = Window.partitionBy("g").orderBy(F.col("copy"), *order)
     ahead = [F.lead(n).over(window).alias(f"next_{n}") for n in names]
     return whole.select(*names, "copy", *ahead).filter("not copy").drop("copy")
@@ -132,8 +138,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def edit_report(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     """Fingerprint of every text and of its edited text, and the likeness to that and to the next document."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    signed = rows.withColumn("signs", signatures(F.col("text"), chain))
-    pairs = with_next(signed)
+    pairs = with_next(rows, derive=lambda dealt: dealt.withColumn("signs", signatures(F.col("text"), chain)))
     pairs = pairs.withColumn("edited", edited(F.col("text"), F.col("next_text")))
     out = pairs.select(
         "doc_id",
