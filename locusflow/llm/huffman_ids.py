@@ -232,7 +232,7 @@ def write_ids(docs: DataFrame, tokenizer: str, end_id: int, folder: str) -> None
     """Encode every text and write the two tables. The driver gets one count for each id of the vocabulary."""
     spark = docs.sparkSession
     path = scratch(spark, "token-ids")
-    token_ids(docs, tokenizer, end_id).write.partitionBy("kind").parquet(path)
+    token_ids(docs, tokenizer, end_id).write.option("compression", "zstd").partitionBy("kind").parquet(path)
     both = spark.read.schema("doc_id long, width int, ids binary, kind int").parquet(path)
     ids = both.filter("kind = 0").drop("kind")
     rows = both.filter("kind = 1").select("ids").mapInArrow(_add_counts, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).toPandas()
