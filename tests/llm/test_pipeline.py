@@ -34,3 +34,39 @@ def test_copies_and_junk_go(spark, tmp_path):
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id for r in corpus_pipeline.run(spark, str(tmp_path)).collect()}
     assert not got & {100, 101, 102, None} and 0 in got
+
+
+@pytest.mark.parametrize("common", [8, 1])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, common):
+    """One document stays for each component of the pairs with five-word-shingle Jaccard of 0.8 or more, and no other goes."""
+    import random
+
+    from locusflow.llm import simhash_bk
+
+    # with 1 and no sampling every shingle counts as common, which must change the order of search only
+    monkeypatch.setattr(simhash_bk, "COMMON", common)
+    monkeypatch.setattr(simhash_bk, "SAMPLE", 16 if common > 1 else 1)
+    rng = random.Random(7)
+    words = [f"w{i}" for i in range(3000)]
+    texts = ["", "a b", "a b", "a b c"]
+    for n in (12, 30, 60, 120):
+        for _ in range(6):
+            base = [rng.choice(words) for _ in range(n)]
+            texts.append(" ".join(base))
+            for share in (0.8, 0.82, 0.85, 0.9, 0.75):
+                keep = round(n * share)
+                texts.append(" ".join(base[:keep] if share < 0.9 else base[: n - 1] + ["new"]))
+                texts.append(" ".join(base[n - keep :] + [rng.choice(words) for _ in range(round(n * (0.9 - share) / 2))]))
+    rows = [(i, t) for i, t in enumerate(texts)]
+    sets = []
+    for t in texts:
+        w = t.split()
+        sets.append({tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set())
+    label = list(range(len(texts)))
+    for i in range(len(texts)):
+        for j in range(i):
+            if sets[i] == sets[j] or 5 * len(sets[i] & sets[j]) >= 4 * len(sets[i] | sets[j]) > 0:
+                a, b = label[i], label[j]
+                label = [min(a, b) if x in (a, b) else x for x in label]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r.doc_id for r in simhash_bk.keep_first(docs).collect()) == sorted(set(label))
