@@ -10,13 +10,15 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
+from functools import lru_cache
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but ASCII white space.
@@ -25,16 +27,23 @@ SLICE_CHARS = 2 << 20
 BATCH_BYTES = "8388608b"
 
 
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-")
+
+
 def scratch(spark: SparkSession, name: str) -> str:
-    """A new path below the shared folder that the session names.
+    """A new path below the shared folder that the session names in ``spark.checkpoint.dir``.
 
-    Where the session names none (or only Spark's own default, which is a local
-    folder), a temporary folder is made; that is meant for local mode only.
+    Where it names none (or only Spark's own default), one temporary folder of
+    the process is taken in local mode; elsewhere that is an error, because
+    executors don't see the driver's folders.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root or (root == "/tmp/checkpoints" and spark.sparkContext.master.startswith("local")):
-        root = tempfile.mkdtemp(prefix="spark-")
-        spark.conf.set("spark.checkpoint.dir", root) if spark.conf.isModifiable("spark.checkpoint.dir") else None
+    if not root or root == "/tmp/checkpoints":
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -51,21 +60,37 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, whose session from now on hands texts to Python in batches of at most 8 MB.
+    """``df``, whose session hands texts to Python in batches of at most 8 MB, unless it names a size of its own.
 
     Executors hold a batch several times over (in the JVM's buffers, in Python
     and as numpy arrays), so its size bounds what a task needs besides the heap.
     """
-    key = "spark.sql.execution.arrow.maxBytesPerBatch"
-    conf = df.sparkSession.conf
-    if conf.get(key, None) != BATCH_BYTES:
+    key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
+    if conf.get(key, None) in (None, "64MB", "67108864b", "67108864"):
         conf.set(key, BATCH_BYTES)
     return df
 
 
+def column(name: str) -> Column:
+    """The column of this very name, whatever characters it has."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def free_names(df: DataFrame, *wanted: str) -> list[str]:
+    """``wanted``, with underscores after each until ``df`` has no column of that name in upper or lower case."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in wanted:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def texts_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the two columns an operator needs, under fixed names."""
-    return small_batches(docs).select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return small_batches(docs).select(column(id_col).cast("long").alias("doc_id"), column(text_col).cast("string").alias("text"))
 
 
 def crc_bucket(col, buckets: int):
