@@ -17,9 +17,17 @@ else, in any document, is found. The steps:
    suffix h further on, h doubling) and longest common prefixes by Kasai's
    property, both in numpy. Suffixes next to each other with ``length`` common
    bytes are repeated windows.
-4. An anchor with very many different segments is spread over shards; each hands
-   on its sorted windows, as hashes, to a merge that looks up every shard's
-   windows in those of the others by binary search.
+4. An anchor with more different segments than a shard takes is refined first.
+   A window with its anchor ``a`` bytes from its start holds the ``a`` bytes left
+   of the anchor and the ``length - gram - a`` right of it. The windows of a
+   segment are dealt into ranges of ``a``. All windows of a range hold its core
+   (the bytes that are common to them), so a range whose core no other segment
+   has is done; a range that another segment has as a whole is settled by its
+   count, like a whole segment. Only the ranges at the edge of a repeated
+   passage are left, one or two for each segment and edge. Those with few
+   partners go to the shards of step 3, others are refined once more; what
+   has many partners even then, in ranges of four windows, hands on its windows'
+   hashes, and a merge looks up the sorted windows of all shards by binary search.
 
 Nothing is collected on the driver; a side is broadcast only if its counted rows
 are below a bound, and is shuffled otherwise.
@@ -33,25 +41,31 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
-from itertools import groupby
+from functools import reduce
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import saved, small_batches
+from locusflow.llm.common import column, free_names, saved, small_batches
 
 LENGTH = 200
 GRAM = 48
-PIECE = 1 << 20
-SHARD_BYTES = 1 << 20
-#: Different segments of one anchor in one shard.
-SHARD_SEGMENTS = 2048
+#: Bytes that are worked on at once; each needs up to a hundred in numpy.
+PIECE = 1 << 18
+SHARD_BYTES = 1 << 18
+#: Different segments of one anchor that one shard takes; it bounds the rows of a key that one task gets.
+SHARD_SEGMENTS = 256
+#: Windows of a range in each round of refinement.
+RANGES = (20, 4)
 #: Rows of a side that is broadcast at most; each is under 100 bytes.
 BROADCAST_ROWS = 1_000_000
 NULL_ID = -(1 << 63)
+#: Rows that the merge holds at once.
+MERGE_ROWS = 200_000
 
 _P1, _P2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
 _S29, _S32 = np.uint64(29), np.uint64(32)
@@ -281,85 +295,135 @@ def to_spans(number: np.ndarray, offset: np.ndarray, length: int) -> tuple[np.nd
 
 # ---- the job -------------------------------------------------------------------
 
-FOUND = "doc_id long, tk long, start long, stop long, window long"
+FOUND = "doc_id long, tk long, start long, stop long"
+WINDOWS = "doc_id long, tk long, start long, window long"
+PARTS = "core long, whole long, bytes binary, at int, low int, high int, doc_id long, tk long, start long, n long"
+
+
+def _names(schema: str) -> list[str]:
+    return [c.split()[0] for c in schema.split(", ")]
+
+
+def _rows(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple]:
+    for batch in batches:
+        yield from zip(*(c.to_pylist() for c in batch.columns), strict=True)
+
+
+def _batches(rows: Iterator[tuple], schema: str, size: int = 4096) -> Iterator[pa.RecordBatch]:
+    names = _names(schema)
+    types = [{"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}[c.split()[1]] for c in schema.split(", ")]
+    while part := list(islice(rows, size)):
+        yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in part], kind) for i, kind in enumerate(types)], names=names)
+
+
+def anchor_place(segment: bytes, gram: int = GRAM) -> int:
+    """Where the anchor of a segment starts: its first gram with the smallest hash."""
+    order = stretch_hashes(np.frombuffer(segment, np.uint8), {gram})[gram] * _P2
+    return int((order & np.uint64(0xFFFFFFFFFF000000)).argmin())
+
+
+def ranges_of(data: bytes, at: int, low: int, high: int, width: int, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, int, bytes, bytes, int]]:
+    """(first, last, core, whole, place of the anchor in the whole) of each range of ``width`` windows from ``low`` to ``high``.
+
+    A window is named by the bytes it has before the anchor, which starts at ``at``. Segments that share a window of a
+    range share its core; the whole is what this segment has of the range.
+    """
+    reach = length - gram
+    least, most = reach - (len(data) - at - gram), at
+    for first in range(low, high + 1, width):
+        last = min(first + width - 1, high)
+        a, b = max(first, least), min(last, most)
+        if a <= b:
+            yield first, last, data[at - first : at + length - last], data[at - b : at + length - a], b
+
+
+def _ranges(width: int, length: int, gram: int):
+    """Rows of PARTS of segments or, in a later round, of ranges."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def parts() -> Iterator[tuple]:
+            for data, at, low, high, doc_id, tk, start, n in _rows(batches):
+                at = anchor_place(data, gram) if at is None else at
+                for first, last, core, whole, place in ranges_of(data, at, low, high, width, length, gram):
+                    keys = (xxhash.xxh64_intdigest(core, first), xxhash.xxh64_intdigest(whole, place))
+                    yield (*(k - (1 << 64) if k >> 63 else k for k in keys), whole, place, first, last, doc_id, tk, start + at - place, n)
+
+        yield from _batches(parts(), PARTS)
+
+    return run
 
 
 def _shards(length: int):
-    """Repeated windows of sorted segments, as spans; for spread anchors all windows' hashes too (``window`` not null)."""
+    """Repeated windows, as spans, of segments that come sorted by their group's key."""
 
     def found(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
-        segments = [r[2] for r in rows]
-        number, offset = repeated_windows(segments, length)
+        number, offset = repeated_windows([r[1] for r in rows], length)
         who, start, stop = to_spans(number, offset, length)
-        out = [(rows[k][3], rows[k][4], rows[k][5] + a, rows[k][5] + b, None) for k, a, b in zip(who.tolist(), start.tolist(), stop.tolist(), strict=True) if rows[k][6] == 1]
-        yield table(out)
-        for _, own in groupby((r for r in rows if r[7] > 1), key=lambda r: r[:2]):
-            yield spread_windows(list(own))
-
-    def spread_windows(rows: list[tuple]) -> pa.RecordBatch:
-        """Each different window of a shard once. Those without a start are partners only: windows of segments that occur
-        elsewhere as a whole, or more than once in the shard."""
-        hashes = [window_hashes(r[2], length).view(np.int64) for r in rows]
-        sizes = list(map(len, hashes))
-        starts = np.concatenate([np.arange(r[5], r[5] + n) if r[6] == 1 else np.full(n, -1) for r, n in zip(rows, sizes, strict=True)])
-        owner = np.repeat(np.arange(len(rows)), sizes)
-        value, at, count = np.unique(np.concatenate(hashes), return_index=True, return_counts=True)
-        start = np.where(count == 1, starts[at], -1)
-        ids, keys = (np.array([r[i] for r in rows], np.int64)[owner[at]] for i in (3, 4))
-        none = start < 0
-        return pa.RecordBatch.from_arrays([pa.array(ids), pa.array(keys), pa.array(start, mask=none), pa.array(start + length, mask=none), pa.array(value)], names=names)
-
-    names = [c.split()[0] for c in FOUND.split(", ")]
-
-    def table(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], pa.int64()) for i in range(5)], names=names)
+        out = ((*rows[k][2:4], rows[k][4] + a, rows[k][4] + b) for k, a, b in zip(who.tolist(), start.tolist(), stop.tolist(), strict=True) if rows[k][5] == 1)
+        yield from _batches(out, FOUND)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         size = 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if held and size >= SHARD_BYTES and row[:2] != held[-1][:2]:
-                    yield from found(held)
-                    held, size = [], 0
-                held.append(row)
-                size += len(row[2])
+        for row in _rows(batches):
+            if held and size >= SHARD_BYTES and row[0] != held[-1][0]:
+                yield from found(held)
+                held, size = [], 0
+            held.append(row)
+            size += len(row[1])
         if held:
             yield from found(held)
 
     return run
 
 
-def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _windows(length: int):
+    """The windows' hashes of ranges; without a start where they are partners only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def windows() -> Iterator[tuple]:
+            for data, doc_id, tk, start, n in _rows(batches):
+                for k, value in enumerate(window_hashes(data, length).view(np.int64).tolist()):
+                    yield doc_id, tk, start + k if n == 1 else None, value
+
+        yield from _batches(windows(), WINDOWS)
+
+    return run
+
+
+def _merge(length: int):
     """Windows found in two shards: each sorted stretch is searched for its neighbours' hashes."""
-    held: list[np.ndarray] = []
 
     def found(rows: np.ndarray, more: np.ndarray | None) -> pa.RecordBatch:
-        hashes = rows[:, 4]
+        hashes = rows[:, 3]
         count = np.searchsorted(hashes, hashes, side="right") - np.searchsorted(hashes, hashes)
         if more is not None:
             count = count + (hashes == more)
         out = rows[(count > 1) & (rows[:, 2] >= 0)]
-        return pa.RecordBatch.from_arrays([pa.array(out[:, i]) for i in range(4)] + [pa.nulls(len(out), pa.int64())], names=[c.split()[0] for c in FOUND.split(", ")])
+        return pa.RecordBatch.from_arrays([pa.array(out[:, 0]), pa.array(out[:, 1]), pa.array(out[:, 2]), pa.array(out[:, 2] + length)], names=_names(FOUND))
 
-    last = None
-    for batch in batches:
-        rows = np.stack([batch.column(i).fill_null(-1 if i in (2, 3) else NULL_ID).to_numpy() for i in range(5)], 1)
-        if not len(rows):
-            continue
-        held.append(rows)
-        if sum(map(len, held)) >= 200_000:
-            whole = np.concatenate(held)
-            # rows of the last hash wait for what follows; one row stands for those that are done
-            cut = int(np.searchsorted(whole[:, 4], whole[-1, 4]))
-            if cut:
-                yield found(whole[:cut], last)
-                held, last = [whole[cut:]], None
-            else:
-                yield found(whole, last if last is not None else whole[0, 4])
-                held, last = [], whole[0, 4]
-    if held:
-        yield found(np.concatenate(held), last)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
+        last = None
+        for batch in batches:
+            rows = np.stack([batch.column(i).fill_null(-1).to_numpy() for i in range(4)], 1)
+            if not len(rows):
+                continue
+            held.append(rows)
+            if sum(map(len, held)) >= MERGE_ROWS:
+                whole = np.concatenate(held)
+                # rows of the last hash wait for what follows; one row stands for those that are done
+                cut = int(np.searchsorted(whole[:, 3], whole[-1, 3]))
+                if cut:
+                    yield found(whole[:cut], last)
+                    held, last = [whole[cut:]], None
+                else:
+                    yield found(whole, last if last is not None else whole[0, 3])
+                    held, last = [], whole[0, 3]
+        if held:
+            yield found(np.concatenate(held), last)
+
+    return run
 
 
 def _bounded(df: DataFrame, rows: int) -> DataFrame:
@@ -368,8 +432,40 @@ def _bounded(df: DataFrame, rows: int) -> DataFrame:
 
 def _sources(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(doc_id, tk, data): id without null, hash of the text, UTF-8 bytes."""
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return small_batches(docs).select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("tk"), text.cast("binary").alias("data"))
+    text = F.coalesce(column(text_col).cast("string"), F.lit(""))
+    return small_batches(docs).select(F.coalesce(column(id_col).cast("long"), F.lit(NULL_ID)).alias("doc_id"), F.xxhash64(text).alias("tk"), text.cast("binary").alias("data"))
+
+
+GROUP = ("key", "bytes", "doc_id", "tk", "start", "n")
+
+
+def refined(large: DataFrame, length: int, gram: int = GRAM) -> tuple[DataFrame | None, DataFrame | None]:
+    """(ranges for the shards, repeated spans found on the way) of segments of anchors that are too large for a shard.
+
+    ``n`` over 1 marks rows that are partners only, because their own bytes are settled. Every count is taken before
+    the shuffle in part, and every join has one row for a key on one side, written before, so that Spark can split the
+    other: no key is gathered in one task.
+    """
+    if large.isEmpty():
+        return None, None
+    groups, spans = [], []
+    open_rows = large.select("bytes", F.lit(None).cast("int").alias("at"), F.lit(0).alias("low"), F.lit(length - gram).alias("high"), "doc_id", "tk", "start", "n")
+    for width in RANGES:
+        parts = saved(open_rows.mapInArrow(_ranges(width, length, gram), PARTS), "ranges")
+        several = saved(parts.groupBy("core").agg(F.count("*").alias("rows")).filter("rows > 1").select("core"), "cores")
+        alive = saved(parts.join(several, "core"), "shared-cores")
+        one = F.max_by(F.struct("bytes", "at", "low", "high", "doc_id", "tk", "start", "n"), "doc_id").alias("one")
+        counted = saved(alive.groupBy("core", "whole").agg(F.count("*").alias("same"), one), "counted")
+        twice = alive.filter("n = 1").join(counted.filter("same > 1").select("core", "whole"), ["core", "whole"])
+        spans.append(twice.select("doc_id", "tk", "start", (F.col("start") + F.octet_length("bytes")).alias("stop")))
+        kinds = saved(counted.groupBy("core").agg(F.count("*").alias("kinds")).filter("kinds > 1"), "kinds")
+        left = counted.join(kinds, "core").withColumn("n", F.when(F.col("same") > 1, 2).otherwise(F.col("one.n")).cast("long"))
+        left = saved(left.select(F.col("core").alias("key"), "kinds", *(f"one.{c}" for c in ("bytes", "at", "low", "high", "doc_id", "tk", "start")), "n"), "left")
+        groups.append(left.filter(F.col("kinds") <= SHARD_SEGMENTS).select(*GROUP))
+        open_rows = left.filter(F.col("kinds") > SHARD_SEGMENTS).select("bytes", "at", "low", "high", "doc_id", "tk", "start", "n")
+    windows = open_rows.select("bytes", "doc_id", "tk", "start", "n").mapInArrow(_windows(length), WINDOWS)
+    spans.append(windows.repartition("window").sortWithinPartitions("window").mapInArrow(_merge(length), FOUND))
+    return reduce(DataFrame.unionByName, groups), reduce(DataFrame.unionByName, spans)
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -385,21 +481,21 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
     whole = runs.join(twice, ["anchor", "segment"]).select("doc_id", "tk", F.col("start").cast("long"), (F.col("start") + F.col("windows") + (length - 1)).cast("long").alias("stop"))
     several = counted.groupBy("anchor").agg(F.count("*").alias("kinds")).filter("kinds > 1")
     edges = saved(counted.join(several, "anchor"), "edges")
-    spread = F.ceil(F.col("kinds") / SHARD_SEGMENTS).cast("int")
     fetched = source.join(_bounded(edges, edges.count()), ["doc_id", "tk"]).select(
-        "anchor",
-        F.pmod(F.xxhash64("segment"), spread).cast("int").alias("shard"),
+        F.col("anchor").alias("key"),
         F.substring("data", F.col("start") + 1, F.col("windows") + (length - 1)).alias("bytes"),
         "doc_id",
         "tk",
         F.col("start").cast("long").alias("start"),
         "n",
-        spread.alias("shards"),
+        "kinds",
     )
-    found = saved(fetched.repartition("anchor", "shard").sortWithinPartitions("anchor", "shard").mapInArrow(_shards(length), FOUND), "found")
-    single = found.filter("window is null").select("doc_id", "tk", "start", "stop")
-    across = found.filter("window is not null").repartition("window").sortWithinPartitions("window").mapInArrow(_merge, FOUND)
-    spans = whole.unionByName(single).unionByName(across.select("doc_id", "tk", "start", "stop"))
+    fetched = saved(fetched, "stretches")
+    groups, more = refined(fetched.filter(F.col("kinds") > SHARD_SEGMENTS), length)
+    groups = fetched.filter(F.col("kinds") <= SHARD_SEGMENTS).select(*GROUP).unionByName(groups) if groups is not None else fetched.select(*GROUP)
+    found = groups.repartition("key").sortWithinPartitions("key").mapInArrow(_shards(length), FOUND)
+    spans = whole.unionByName(found)
+    spans = spans.unionByName(more) if more is not None else spans
     return spans.groupBy("doc_id", "tk").agg(F.collect_list(F.struct("start", "stop")).alias("spans"))
 
 
@@ -472,10 +568,17 @@ def text_without(text: str, starts: list[int], stops: list[int]) -> str:
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` with the repeated bytes taken out of the text (whole characters only); all rows and columns stay."""
+    """``docs`` with the repeated bytes taken out of the text (whole characters only); all rows and columns stay.
+
+    Null and empty texts and texts under ``length`` bytes stay as they are; rows
+    that repeat a text lose all of it from ``length`` bytes on; texts of any
+    length are judged whole; a null id is an id like others; an empty table
+    stays empty; names of other columns don't matter.
+    """
     plan = removal_plan(docs, length, id_col, text_col)
-    key: list[Column] = [F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("_tk")]
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk"), F.col("starts").alias("_starts"), F.col("stops").alias("_stops"))
+    i, k, a, b = free_names(docs, "id", "key", "starts", "stops")
+    keys = {i: F.coalesce(column(id_col).cast("long"), F.lit(NULL_ID)), k: F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit("")))}
+    plan = plan.select(F.col("doc_id").alias(i), F.col("tk").alias(k), F.col("starts").alias(a), F.col("stops").alias(b))
     names = docs.columns
     at = names.index(text_col)
 
@@ -487,5 +590,5 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id"
             columns[at] = pa.array(texts, pa.string())
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    joined = docs.select("*", *key).join(plan, ["_id", "_tk"], "left").select(*docs.columns, "_starts", "_stops")
+    joined = docs.withColumns(keys).join(plan, [i, k], "left").select(*map(column, names), a, b)
     return joined.mapInArrow(run, docs.schema)
