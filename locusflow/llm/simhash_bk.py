@@ -30,15 +30,16 @@ tests compare with all pairs.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import saved, small_batches, text_slices, texts_of
+from locusflow.llm.common import column, free_names, saved, small_batches, text_slices, texts_of
 from locusflow.llm.components import connected_components
 
 SHARD = 4096
@@ -56,6 +57,8 @@ SIMILARITY = 0.8
 SAMPLE = 16
 COMMON = 8
 COMMON_ROWS = 200_000
+#: Rounds of step 2 of ``similar_classes``.
+STARS = 2
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 
 
@@ -270,14 +273,38 @@ def near_duplicates(docs: DataFrame, shingle: int = 4, radius: int = 4) -> DataF
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-def common_shingles(sets: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """(shingles, counts) of the most common shingles in the rows of one of ``SAMPLE`` classes of ``sets(sk, set)``.
+# ---- one document of each group ----------------------------------------------
+
+
+def shingle_sets(texts: list[str | None], shingle: int) -> list[np.ndarray]:
+    """The different shingle hashes of each text, as ascending signed integers."""
+    return [np.unique(shingle_hashes(t, shingle).view(np.int64)) for t in texts]
+
+
+def lists_of(parts: list[np.ndarray]) -> pa.ListArray:
+    ends = np.cumsum([0, *map(len, parts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64)))
+
+
+def sets_of(rows: DataFrame, shingle: int) -> DataFrame:
+    """(sk, set) of ``rows(sk, text)``."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, texts in text_slices(batches):
+            yield pa.RecordBatch.from_arrays([part.column(0), lists_of(shingle_sets(texts, shingle))], names=["sk", "set"])
+
+    return rows.select("sk", "text").mapInArrow(run, "sk long, set array<long>")
+
+
+def common_shingles(source: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
+    """(shingles, counts) of the most common shingles among one of ``SAMPLE`` different texts of ``source(tk, text)``.
 
     They only order the shingles of a set; that they are counted in a sample and
     bounded in number changes no result.
     """
-    own = sets.filter(F.pmod(F.xxhash64("sk"), F.lit(SAMPLE)) == 0).select(F.explode("set").alias("token"))
-    rows = own.groupBy("token").agg(F.count("*").alias("n")).filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(COMMON_ROWS).collect()
+    own = source.filter(F.pmod("tk", F.lit(SAMPLE)) == 0).select(F.col("tk").alias("sk"), "text").dropDuplicates(["sk"])
+    counted = sets_of(own, shingle).select(F.explode("set").alias("token")).groupBy("token").agg(F.count("*").alias("n"))
+    rows = counted.filter(F.col("n") >= COMMON).orderBy(F.desc("n"), "token").limit(COMMON_ROWS).collect()
     token, n = np.array([r["token"] for r in rows], np.int64), np.array([r["n"] for r in rows], np.int64)
     order = np.argsort(token)
     return token[order], n[order]
@@ -288,109 +315,155 @@ def head_size(n: np.ndarray, similarity: float) -> np.ndarray:
     return n - np.ceil(n * similarity - 1e-9).astype(np.int64) + 1
 
 
-def heads(sets: DataFrame, similarity: float) -> DataFrame:
-    """(sk, token): the first shingles of every set, common ones last."""
-    tokens, counts = common_shingles(sets)
+def heads(sets: list[np.ndarray], similarity: float, tokens: np.ndarray, counts: np.ndarray) -> list[np.ndarray]:
+    """The first shingles of every ascending set, common ones last; equal counts by value."""
+    n = np.array([len(x) for x in sets], np.int64)
+    sizes = np.where(n > 0, head_size(n, similarity), 0)
+    if not len(tokens) or not n.sum():
+        return [x[:k] for x, k in zip(sets, sizes, strict=True)]
+    values = np.concatenate(sets)
+    at = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
+    often = np.where(tokens[at] == values, counts[at], 0)
+    ends = np.cumsum(n)
+    out = []
+    for x, k, end in zip(sets, sizes, ends, strict=True):
+        own = often[end - len(x) : end]
+        out.append(x[np.argsort(own, kind="stable")[:k]] if own.any() else x[:k])
+    return out
+
+
+PRINTS = "doc_id long, tk long, fp long, sk long, n long, head array<long>"
+
+
+def sketches(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """PRINTS of ``source(doc_id, tk, text)``: fingerprint, hash and size of the shingle set, and its head, of every row."""
+    common = source.sparkSession.sparkContext.broadcast(common_shingles(source, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            lists = batch.column(1)
-            values = lists.flatten().to_numpy()
-            n = np.asarray(lists.value_lengths().to_numpy(zero_copy_only=False), np.int64)
-            row = np.repeat(np.arange(len(n)), n)
-            often = np.zeros(len(values), np.int64)
-            if len(tokens) and len(values):
-                at = np.minimum(np.searchsorted(tokens, values), len(tokens) - 1)
-                often = np.where(tokens[at] == values, counts[at], 0)
-            order = np.lexsort((values, often, row))
-            place = np.arange(len(values)) - np.repeat(np.cumsum(n) - n, n)
-            first = place < head_size(n, similarity)[row]
-            yield pa.RecordBatch.from_arrays([pa.array(batch.column(0).to_numpy()[row[first]]), pa.array(values[order][first])], names=["sk", "token"])
-
-    return sets.filter(F.size("set") > 0).select("sk", "set").mapInArrow(run, "sk long, token long")
-
-
-def verified(pairs: DataFrame, reps: DataFrame, prints: DataFrame, similarity: float) -> DataFrame:
-    """The pairs (a, b) of classes whose whole shingle sets have at least ``similarity`` (Jaccard)."""
-    nodes = pairs.select(F.col("a").alias("sk")).unionByName(pairs.select(F.col("b").alias("sk"))).distinct()
-    rows = saved(nodes.join(reps.select("sk", "doc_id", "tk"), "sk"), "nodes")
-    # keys only; shuffled, with the sets, beyond the counted bound
-    rows = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
-    sets = saved(prints.select("doc_id", "tk", "sk", "set").join(rows, ["doc_id", "tk", "sk"]).dropDuplicates(["sk"]).select("sk", "set"), "sets")
-    both = pairs.join(sets.select(F.col("sk").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("sk").alias("b"), F.col("set").alias("sb")), "b")
-    common = F.size(F.array_intersect("sa", "sb"))
-    return both.filter(common >= (F.size("sa") + F.size("sb") - common) * similarity - 1e-9).select("a", "b")
-
-
-def similar_classes(reps: DataFrame, prints: DataFrame, radius: int, similarity: float) -> DataFrame:
-    """(node, root): components of the classes ``reps(sk, doc_id, tk, fp, n)`` whose sets have at least ``similarity``.
-
-    Fingerprints within the radius give candidates first. What they miss is found
-    by the heads of the sets: similar sets share a shingle of both heads, so all
-    pairs that share one are candidates, unless they are in one component
-    already. Every candidate is verified by the whole sets.
+        for rows, texts in text_slices(batches):
+            hashes = [shingle_hashes(t, shingle) for t in texts]
+            fps = np.array([bits_of(h) for h in hashes], np.uint64).view(np.int64)
+            sets = [np.unique(h.view(np.int64)) for h in hashes]
+            sk = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
+            n = pa.array([len(x) for x in sets], pa.int64())
+            first = lists_of(heads(sets, similarity, *common.value))
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(fps), pa.array(sk), n, first], names=["doc_id", "tk", "fp", "sk", "n", "head"])
+
+    return source.select("doc_id", "tk", "text").mapInArrow(run, PRINTS)
+
+
+@dataclass(frozen=True)
+class Classes:
+    """Texts by their shingle sets: ``table(sk, doc_id, tk, fp, n, head)`` has one row for each different set."""
+
+    table: DataFrame
+    #: (doc_id, tk, text) of all rows
+    source: DataFrame
+    shingle: int
+    similarity: float
+
+    def wanted(self, common):
+        """Whether so many common shingles are enough for sets of ``na`` and ``nb``."""
+        return common >= (F.col("na") + F.col("nb") - common) * self.similarity - 1e-9
+
+    def verified(self, pairs: DataFrame) -> DataFrame:
+        """The pairs (a, b) whose whole shingle sets have at least the similarity (Jaccard)."""
+        sized = pairs.distinct()
+        for side in "ab":
+            sized = sized.join(self.table.select(F.col("sk").alias(side), F.col("n").alias("n" + side), F.col("head").alias("h" + side)), side)
+        # beyond the shingles that the heads share, at most the rest of the set whose head ends first is common
+        rest = F.greatest(F.ceil(F.col("na") * self.similarity - 1e-9), F.ceil(F.col("nb") * self.similarity - 1e-9)) - 1
+        likely = sized.filter((F.col("na") > 0) & (F.col("nb") > 0) & self.wanted(F.least(F.col("na"), F.col("nb")))).filter(self.wanted(F.size(F.array_intersect("ha", "hb")) + rest))
+        likely = saved(likely.select("a", "b", "na", "nb"), "likely")
+        nodes = likely.select(F.col("a").alias("sk")).unionByName(likely.select(F.col("b").alias("sk"))).distinct()
+        rows = saved(nodes.join(self.table.select("sk", "doc_id", "tk"), "sk"), "nodes")
+        # keys only; shuffled, with the texts, beyond the counted bound
+        rows = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
+        sets = saved(sets_of(self.source.join(rows, ["doc_id", "tk"]).dropDuplicates(["sk"]), self.shingle), "sets")
+        both = likely.join(sets.select(F.col("sk").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("sk").alias("b"), F.col("set").alias("sb")), "b")
+        return both.filter(self.wanted(F.size(F.array_intersect("sa", "sb")))).select("a", "b")
+
+    def useful(self) -> Column:
+        """Whether a shared shingle at ``pa`` and ``pb`` in the heads can be the first that two similar sets share."""
+        left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+        return self.wanted(left)
+
+
+def rooted(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+    """``rows(token, sk, n, pos)`` of shingles that lie in several components, with each class's ``root``."""
+    named = saved(rows.join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")), name)
+    parted = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token")
+    return saved(named.join(saved(parted, name), "token"), name)
+
+
+def similar_classes(classes: Classes, radius: int) -> DataFrame:
+    """(node, root): components of the classes whose shingle sets are similar enough.
+
+    1. Fingerprints within the radius, by BK-trees, are the first candidates.
+    2. Similar sets share a shingle of their heads. For each shingle, every
+       component's first class is held against that of the first component.
+    3. What is still apart is compared with every class that it shares a
+       shingle of the heads with, as far as their sizes and places allow it.
+
+    Every candidate is verified by the whole sets. Steps 1 and 2 link nearly all
+    there is to link with one candidate a row, so that large groups of near
+    copies never meet pair by pair in step 3; step 3 makes the result exact.
     """
-    first = saved(reps.groupBy("fp").agg(F.min("sk").alias("first_sk")), "fingerprints")
+    table = classes.table
+    first = saved(table.groupBy("fp").agg(F.min("sk").alias("first_sk")), "fingerprints")
     linked = fingerprint_links(first.select("fp"), radius)
     ends = linked.join(first.select(F.col("fp").alias("a"), F.col("first_sk").alias("sa")), "a").join(first.select(F.col("fp").alias("b"), F.col("first_sk").alias("sb")), "b")
-    same = reps.join(first, "fp").filter("sk <> first_sk").select(F.col("first_sk").alias("a"), F.col("sk").alias("b"))
-    found = connected_components(verified(saved(ends.select(F.col("sa").alias("a"), F.col("sb").alias("b")).unionByName(same), "near"), reps, prints, similarity))
+    same = table.select("sk", "fp").join(first, "fp").filter("sk <> first_sk").select(F.col("first_sk").alias("a"), F.col("sk").alias("b"))
+    near = saved(ends.select(F.col("sa").alias("a"), F.col("sb").alias("b")).unionByName(same), "near")
+    found = saved(connected_components(classes.verified(near)), "found")
     # dealt out once, for the counts and for the join
-    head = heads(prints.select("sk", "set"), similarity).repartition("token")
+    head = table.select("sk", F.explode("head").alias("token")).repartition("token")
     several = head.groupBy("token").agg(F.min("sk").alias("low"), F.max("sk").alias("high")).filter("low <> high").select("token")
-    shared = head.join(several, "token").distinct()
-    named = reps.select("sk", "n").join(found.withColumnRenamed("node", "sk"), "sk", "left").select("sk", "n", F.coalesce("root", "sk").alias("root"))
-    shared = saved(shared.join(named, "sk"), "shared")
-    parted = shared.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token")
-    own = saved(shared.join(parted, "token"), "parted")
-    left, right = (own.select("token", *(F.col(c).alias(c + side) for c in ("sk", "n", "root"))) for side in "ab")
-    small, large = F.least("na", "nb"), F.greatest("na", "nb")
-    met = left.join(right, "token").filter((F.col("ska") < F.col("skb")) & (F.col("roota") != F.col("rootb")) & (small >= large * similarity - 1e-9))
-    counted = met.groupBy("ska", "skb", "na", "nb").agg(F.count("*").alias("common"))
-    # beyond the shared shingles of the heads, at most the rest of the set whose head ends first is common
-    rest = F.greatest(F.ceil(F.col("na") * similarity - 1e-9), F.ceil(F.col("nb") * similarity - 1e-9)) - 1
-    likely = counted.filter(F.col("common") + rest >= (F.col("na") + F.col("nb")) * similarity / (1 + similarity) - 1e-9)
-    pairs = saved(likely.select(F.col("ska").alias("a"), F.col("skb").alias("b")), "likely")
-    more = verified(pairs, reps, prints, similarity)
+    shared = head.join(several, "token").join(table.select("sk", "n", "head"), "sk")
+    rows = rooted(shared.select("token", "sk", "n", (F.array_position("head", F.col("token")) - 1).alias("pos")), found, "heads")
+    for _ in range(STARS):
+        centre = saved(rows.groupBy("token").agg(F.min(F.struct("root", "sk", "n", "pos")).alias("c")), "centres")
+        own = rows.groupBy("token", "root").agg(F.min(F.struct("sk", "n", "pos")).alias("o"))
+        met = own.join(centre, "token").filter(F.col("root") != F.col("c.root"))
+        met = met.select(F.col("c.sk").alias("a"), F.col("o.sk").alias("b"), F.col("c.n").alias("na"), F.col("o.n").alias("nb"), F.col("c.pos").alias("pa"), F.col("o.pos").alias("pb"))
+        more = classes.verified(met.filter(classes.useful()).select("a", "b"))
+        found = saved(connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "found")
+        rows = rooted(rows.select("token", "sk", "n", "pos"), found, "heads")
+    left, right = (rows.select("token", *(F.col(c).alias(x + side) for c, x in (("sk", ""), ("n", "n"), ("pos", "p"), ("root", "r"))) ) for side in "ab")
+    met = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & classes.useful())
+    more = classes.verified(met.select("a", "b"))
     return connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
 
 
-def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 7, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
+def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """One row of ``docs`` for each component, the one with the smallest id, with all columns.
 
     Texts are linked if the Jaccard similarity of their word shingles is at least
     ``similarity``; the radius bounds only the first search for candidates. Of
-    rows with one id and one text one stays.
+    rows with one id and one text one stays. Null and empty texts and texts of
+    white space are one class, whose first row stays; shorter texts than a
+    shingle are one shingle; a null id sorts first; texts of any length count
+    whole; an empty table stays empty; names of other columns don't matter.
     """
-    key = F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID))
-    text_key = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, texts in text_slices(batches):
-            hashes = [shingle_hashes(t, shingle) for t in texts]
-            fps = np.array([bits_of(h) for h in hashes], np.uint64).view(np.int64)
-            sets = [np.unique(h.view(np.int64)) for h in hashes]
-            sk = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
-            ends = np.concatenate([[0], np.cumsum([len(x) for x in sets])]).astype(np.int32)
-            whole = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(sets)))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(2), pa.array(fps), pa.array(sk), whole], names=["doc_id", "tk", "fp", "sk", "set"])
-
-    rows = small_batches(docs).select(key.alias("doc_id"), F.col(text_col).cast("string").alias("text"), text_key.alias("tk"))
-    prints = saved(rows.mapInArrow(run, "doc_id long, tk long, fp long, sk long, set array<long>"), "prints")
+    i, k = free_names(docs, "id", "key")
+    keys = {i: F.coalesce(column(id_col).cast("long"), F.lit(NULL_ID)), k: F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit("")))}
+    source = small_batches(docs).select(keys[i].alias("doc_id"), keys[k].alias("tk"), column(text_col).cast("string").alias("text"))
+    prints = saved(sketches(source, shingle, similarity), "prints")
     # classes of equal sets, each with its first row
-    least = F.min(F.struct("doc_id", "tk", "fp", F.size("set").alias("n"))).alias("m")
-    reps = saved(prints.groupBy("sk").agg(least).select("sk", "m.*"), "classes")
-    linked = similar_classes(reps, prints, radius, similarity)
-    member = reps.select("sk", "doc_id").join(linked.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk"))
-    named = member.join(member.groupBy("root").agg(F.min("doc_id").alias("component_id")), "root").select("sk", "component_id")
-    found = saved(prints.select("doc_id", "tk", "sk").join(named, "sk").select("doc_id", "tk", "component_id"), "components")
-    gone = found.filter("doc_id <> component_id").select(F.col("doc_id").alias("_id"), F.col("tk").alias("_tk")).distinct()
-    again = found.filter("doc_id = component_id").groupBy("component_id").agg(F.count("*").alias("n")).filter("n > 1")
+    least = F.min(F.struct("doc_id", "tk", "fp", "n", "head")).alias("m")
+    classes = Classes(saved(prints.groupBy("sk").agg(least).select("sk", "m.*"), "classes"), source, shingle, similarity)
+    linked = similar_classes(classes, radius)
+    member = saved(classes.table.select("sk", "doc_id", "tk").join(linked.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")), "members")
+    # the row that stays: the smallest id of the component, of the texts with this id the first
+    least = saved(member.groupBy("root").agg(F.min(F.struct("doc_id", "tk")).alias("m")).select("root", F.col("m.doc_id").alias("first_id"), F.col("m.tk").alias("first_tk")), "firsts")
+    named = saved(member.join(least, "root").select("sk", "first_id", "first_tk"), "named")
+    own = prints.select("doc_id", "tk", "sk").join(named, "sk")
+    gone = own.filter((F.col("doc_id") != F.col("first_id")) | (F.col("tk") != F.col("first_tk"))).select(F.col("doc_id").alias(i), F.col("tk").alias(k)).distinct()
+    gone = saved(gone, "gone")
     # ids and text hashes only; shuffled beyond the counted bound
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
-    kept = docs.withColumns({"_id": key, "_tk": text_key}).join(gone, ["_id", "_tk"], "left_anti")
+    kept = docs.withColumns(keys).join(gone, [i, k], "left_anti")
+    again = prints.groupBy("doc_id", "tk").agg(F.count("*").alias("n")).filter("n > 1")
     if not again.isEmpty():
-        # an id that is there several times: one row of each text, then of the texts of one component one
-        first = found.filter("doc_id = component_id").groupBy("component_id").agg(F.min("tk").alias("_tk")).withColumnRenamed("component_id", "_id")
-        kept = kept.join(first, ["_id", "_tk"], "left_semi").dropDuplicates(["_id"])
-    return kept.select(*docs.columns)
+        kept = kept.dropDuplicates([i, k])
+    return kept.select(*map(column, docs.columns))
