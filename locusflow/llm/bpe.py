@@ -1,18 +1,21 @@
 """Byte-level byte-pair encoding and decoding.
 
 A text falls into pieces by the tokenizer's pattern, and each piece is encoded
-alone. For a piece, two flat arrays hold the part boundaries and the merge ranks
-of adjacent parts; the encoder scans for the smallest rank, deletes the boundary
-between the two parts and refreshes the ranks of the neighbours, until no
-adjacent pair has a rank. Pieces are short, so the scans beat a heap.
+alone. For a piece, two flat arrays hold the parts between the boundaries and the
+merge ranks of adjacent parts; the encoder scans for the smallest rank, deletes
+the boundary between the two parts and refreshes the ranks of the neighbours,
+until no adjacent pair has a rank. Words are short, so the scans beat a heap.
+Scans of a piece of n bytes cost n squared, so pieces above ``LONG_PIECE`` bytes
+(runs without a blank) keep the boundaries as links and take the smallest rank
+from a heap: the same merges in the same order.
 
 Each distinct piece is encoded once per worker while the memo holds it; the memo
 is bounded and is emptied when full.
 
 Defined cases: null text counts as empty and has no ids; special tokens inside
-a text become their own ids, as the tokenizer's file says; long pieces are
-encoded like short ones; repeated rows give repeated results; other columns are
-ignored.
+a text become their own ids, as the tokenizer's file says; texts and pieces may
+have any length; an empty table gives no rows; repeated rows give repeated
+results; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from heapq import heapify, heappop, heappush
 
 import pyarrow as pa
 import regex
@@ -34,6 +38,8 @@ from locusflow.llm.common import text_slices, texts_of
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 NO_RANK = 1 << 30
 NO_PAIR = (NO_RANK, 0)
+#: Bytes of a piece above which ranks are kept in a heap.
+LONG_PIECE = 256
 #: Bounds of the memo of a worker.
 MEMO_PIECES = 600_000
 MEMO_CHARS = 40
@@ -52,12 +58,24 @@ def byte_letters() -> dict[str, int]:
     return letters | {chr(256 + n): b for n, b in enumerate(moved)}
 
 
+def check_file(path: str) -> dict:
+    """The tokenizer file at ``path``; an error if it is no byte-level BPE with the pattern above and plain special tokens."""
+    with open(path, encoding="utf-8") as file:
+        data = json.load(file)
+    model, before = data["model"], data.get("pre_tokenizer") or {}
+    plain = all(not model.get(k) for k in ("dropout", "unk_token", "continuing_subword_prefix", "end_of_word_suffix", "fuse_unk", "byte_fallback", "ignore_merges"))
+    cut = before.get("type") == "ByteLevel" and before.get("use_regex", True) and not before.get("add_prefix_space")
+    marked = all(not t.get(k) for t in data["added_tokens"] for k in ("single_word", "lstrip", "rstrip", "normalized"))
+    if model.get("type", "BPE") != "BPE" or data.get("normalizer") or not (plain and cut and marked):
+        raise ValueError(f"{path} is no plain byte-level BPE vocabulary")
+    return data
+
+
 class Bpe:
     """A byte-level BPE vocabulary read from a tokenizer file."""
 
     def __init__(self, path: str):
-        with open(path, encoding="utf-8") as file:
-            data = json.load(file)
+        data = check_file(path)
         letters = byte_letters()
         self.ids: dict[bytes, int] = {bytes(letters[c] for c in token): i for token, i in data["model"]["vocab"].items()}
         self.special = {t["content"]: t["id"] for t in data["added_tokens"]}
@@ -78,6 +96,8 @@ class Bpe:
 
     def encode_piece(self, piece: bytes) -> list[int]:
         """Merge the parts of one piece, the smallest rank first, the leftmost of equal ones."""
+        if len(piece) > LONG_PIECE:
+            return self.encode_long_piece(piece)
         pairs = self.pairs
         parts = [self.single[b] for b in piece]  # the ids between the boundaries that are left
         ranks = [pairs.get(a << 20 | b, NO_PAIR)[0] for a, b in zip(parts, parts[1:], strict=False)]
@@ -95,6 +115,28 @@ class Bpe:
                 ranks[at] = pairs.get(merged << 20 | parts[at + 1], NO_PAIR)[0]
         return parts
 
+    def encode_long_piece(self, piece: bytes) -> list[int]:
+        """As ``encode_piece``, with the ranks in a heap; a boundary's entries are void once its parts have changed."""
+        pairs, n = self.pairs, len(piece)
+        parts = [self.single[b] for b in piece]
+        after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+        heap = [(pairs[key][0], k, key) for k in range(n - 1) if (key := parts[k] << 20 | parts[k + 1]) in pairs]
+        heapify(heap)
+        while heap:
+            _, at, key = heappop(heap)
+            right = after[at]
+            if parts[at] < 0 or right >= n or parts[at] << 20 | parts[right] != key:
+                continue
+            parts[at], parts[right] = pairs[key][1], -1
+            follow = after[at] = after[right]
+            if follow < n:
+                before[follow] = at
+                if (key := parts[at] << 20 | parts[follow]) in pairs:
+                    heappush(heap, (pairs[key][0], at, key))
+            if (lead := before[at]) >= 0 and (key := parts[lead] << 20 | parts[at]) in pairs:
+                heappush(heap, (pairs[key][0], lead, key))
+        return [p for p in parts if p >= 0]
+
     def packed(self, text: str) -> bytes:
         """Ids as little-endian unsigned 32-bit integers."""
         memo = self.memo
