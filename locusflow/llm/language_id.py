@@ -9,19 +9,21 @@ dropped while the penalised likelihood (Bayesian information criterion) gains;
 the predicted language is the largest of what is left.
 
 Defined cases: null text, or text without a letter, gets ``und`` and score 0,
-as does every text when there is nothing to learn from; equal proportions go to
-the language that sorts first; repeated rows give repeated results; an empty
+as does every text when there is nothing to learn from (a letter is a character
+of Unicode's categories L: numerals of any kind are none); texts of any length
+are read whole; equal proportions go to the language that sorts first; a null id
+is in no fold's held-out part; repeated rows give repeated results; an empty
 table gives no rows; other columns are ignored.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +33,13 @@ BUCKET_BITS = 18
 SMOOTHING = 0.02
 #: A word may favour one language over another by this factor at most (natural log).
 MAX_WORD_ODDS = 14.0
-ROUNDS = 6
-#: Steps after a language was dropped; they start from the proportions at hand.
-MORE_ROUNDS = 3
+#: Steps end for a document once no proportion moves by more than this, or after so many.
+TOLERANCE = 1e-3
+ROUNDS = 200
 #: Weight of the penalty for each language beyond the first.
 PENALTY = 2.0
 UNKNOWN = "und"
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 #: ASCII letters to lower case, other ASCII to a space; bytes from 128 stay.
 _FOLD = np.array([b if b >= 128 or 97 <= b < 123 else b + 32 if 65 <= b < 91 else 32 for b in range(256)], np.uint8)
 
@@ -95,18 +97,38 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array([lang] * len(at), pa.string()), pa.array(at, pa.int32()), pa.array(counts[at], pa.int64())], names=["lang", "bucket", "n"])
 
 
+def _pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One row for each language: its counts as packed 64-bit integers. Rows come sorted by language."""
+    lang, counts = None, np.zeros(1 << BUCKET_BITS, "<i8")
+
+    def packed() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([lang], pa.string()), pa.array([counts.tobytes()], pa.binary())], names=["lang", "counts"])
+
+    for batch in batches:
+        names, bucket, n = batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_numpy()
+        cuts = [0, *(k for k in range(1, len(names)) if names[k] != names[k - 1]), len(names)]
+        for a, b in zip(cuts, cuts[1:], strict=False):
+            if a < b and names[a] != lang:
+                if lang is not None:
+                    yield packed()
+                lang = names[a]
+                counts[:] = 0
+            counts[bucket[a:b]] += n[a:b]
+    if lang is not None:
+        yield packed()
+
+
 def learn(labelled: DataFrame) -> LanguageModel:
     """Count n-grams by language over all rows of ``labelled(doc_id, text, lang)``.
 
-    The driver gets one row for each language and bucket: their number is
-    bounded by the buckets, not by the rows.
+    The driver gets one packed row of 2 MB for each language, whatever the number of rows.
     """
-    rows = labelled.select("doc_id", "text", "lang").mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toPandas()
-    languages = tuple(sorted(rows["lang"].unique()))
+    counted = labelled.select("doc_id", "text", "lang").mapInArrow(_count, "lang string, bucket int, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    rows = {r["lang"]: r["counts"] for r in counted.repartition("lang").sortWithinPartitions("lang").mapInArrow(_pack, "lang string, counts binary").toLocalIterator()}
+    languages = tuple(sorted(rows))
     counts = np.zeros((1 << BUCKET_BITS, len(languages)))
     for k, lang in enumerate(languages):
-        own = rows[rows["lang"] == lang]
-        counts[own["bucket"].to_numpy(), k] = own["n"].to_numpy()
+        counts[:, k] = np.frombuffer(rows[lang], "<i8")
     used = max(1, int((counts.sum(1) > 0).sum()))
     table = np.log((counts + SMOOTHING) / (counts.sum(0) + SMOOTHING * used)) if languages else counts
     return LanguageModel(languages, table.astype(np.float32))
@@ -130,22 +152,35 @@ def word_likelihoods(model: LanguageModel, texts: list[str | None]) -> tuple[np.
     return np.exp(np.maximum(logs, -MAX_WORD_ODDS)), words
 
 
-def mixture(p: np.ndarray, words: np.ndarray, share: np.ndarray, rounds: int) -> tuple[np.ndarray, np.ndarray]:
+def _joint(p: np.ndarray, words: np.ndarray, share: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
+    """(likelihood of each word with each language, in all)."""
+    joint = [own * np.repeat(column, words) for own, column in zip(p, share.astype(np.float32).T, strict=True)]
+    total = joint[0].copy()
+    for x in joint[1:]:
+        total += x
+    return joint, total
+
+
+def mixture(p: np.ndarray, words: np.ndarray, share: np.ndarray, rounds: int = ROUNDS, tolerance: float = TOLERANCE) -> tuple[np.ndarray, np.ndarray]:
     """Expectation-maximisation of all documents at once, from ``share``: (proportions, log-likelihood).
 
-    ``p`` has a row for each language and a column for each word of all documents.
+    ``p`` has a row for each language and a column for each word of all
+    documents. A document that has converged takes no further steps.
     """
-    starts = np.cumsum(words) - words
-    for step in range(rounds + 1):
-        joint = [own * np.repeat(column, words) for own, column in zip(p, share.astype(np.float32).T, strict=True)]
-        total = joint[0].copy()
-        for x in joint[1:]:
-            total += x
-        if step == rounds:
+    share = share.copy()
+    at, part, n = np.arange(len(words)), p, words
+    for _ in range(rounds):
+        joint, total = _joint(part, n, share[at])
+        scale, starts = 1 / total, np.cumsum(n) - n
+        new = np.stack([np.add.reduceat(x * scale, starts) for x in joint], 1) / n[:, None]
+        moving = np.abs(new - share[at]).max(1) > tolerance
+        share[at] = new
+        if not moving.any():
             break
-        scale = 1 / total
-        share = np.stack([np.add.reduceat(x * scale, starts) for x in joint], 1) / words[:, None]
-    return share, np.add.reduceat(np.log(total, dtype=np.float64), starts)
+        if not moving.all():
+            part, at, n = part[:, np.repeat(moving, n)], at[moving], n[moving]
+    _, total = _joint(p, words, share)
+    return share, np.add.reduceat(np.log(total, dtype=np.float64), np.cumsum(words) - words)
 
 
 def infer(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, float, list[tuple[str, float]]]]:
@@ -162,7 +197,7 @@ def infer(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, floa
     keep = np.isin(owner, docs)
     p, n = (p if keep.all() else p[:, keep]), words[docs]
     active = np.ones((len(docs), len(model.languages)))
-    share, fit = mixture(p, n, active / active.sum(1, keepdims=True), ROUNDS)
+    share, fit = mixture(p, n, active / active.sum(1, keepdims=True))
     open_docs = np.arange(len(docs))
     while len(open_docs):
         open_docs = open_docs[active[open_docs].sum(1) > 1]
@@ -175,7 +210,7 @@ def infer(model: LanguageModel, texts: list[str | None]) -> list[tuple[str, floa
         chosen[open_docs] = True
         part = p if chosen.all() else p[:, np.repeat(chosen, n)]
         begin = share[open_docs] * trial + 1e-3 * trial
-        new_share, new_fit = mixture(part, n[open_docs], begin / begin.sum(1, keepdims=True), MORE_ROUNDS)
+        new_share, new_fit = mixture(part, n[open_docs], begin / begin.sum(1, keepdims=True))
         better = new_fit + PENALTY * 0.5 * np.log(n[open_docs] + 1.0) >= fit[open_docs]
         done = open_docs[better]
         active[done], share[done], fit[done] = trial[better], new_share[better], new_fit[better]
@@ -220,7 +255,12 @@ def language_id(docs: DataFrame) -> DataFrame:
 
 
 def keep_identified(docs: DataFrame, min_share: float = 0.4) -> DataFrame:
-    """The rows of ``docs`` whose main language is known and has at least ``min_share`` of the words."""
+    """The rows of ``docs`` whose main language is known and has at least ``min_share`` of the words.
+
+    Null and empty texts and texts without a letter go, as does every row where
+    no row has a language to learn from; a null id, repeated rows and other
+    columns stay as they are; an empty table stays empty.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(learn(training_rows(docs)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
