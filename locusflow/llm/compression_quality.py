@@ -2,13 +2,16 @@
 
 Every text is compressed with zstandard as a whole and in fixed chunks. Text
 that compresses far better than prose repeats itself, text that barely
-compresses is noise; both limits depend on the length, because short texts
-compress worse. Two word rules come before the bands: too few words, and too
-many words inside 5-word windows that occur twice or more.
+compresses is noise; all limits depend on the length that was compressed,
+because short texts compress worse. The last chunk is the text's last
+``CHUNK_BYTES``, so every byte lies in a chunk; a shorter text is one chunk. Two
+word rules come before the bands: too few words, and too many words inside
+5-word windows that occur twice or more.
 
 Defined cases: null text counts as empty; an empty text has no words and fails
-the base rule; rows are judged one by one, so repeated rows give repeated
-results and an empty table gives no rows; other columns are ignored.
+the base rule; texts of any length are read whole; rows are judged one by one,
+so null ids and repeated rows give results of their own and an empty table gives
+no rows; other columns are ignored.
 """
 
 from __future__ import annotations
@@ -33,8 +36,9 @@ WHOLE_BANDS = (
     (20_000, 0.18, 0.70),
 )
 CHUNK_BYTES = 2_048
-CHUNK_BAND = (0.28, 0.74)
-#: Largest share of full chunks outside their band.
+#: A chunk is judged by the limits of a whole text of its length, wider by this on either side.
+CHUNK_SLACK = 0.02
+#: Largest share of chunks outside their band.
 MAX_BAD_CHUNKS = 0.25
 LEVEL = 3
 MIN_WORDS = 10
@@ -92,17 +96,20 @@ def band_of(size: int) -> tuple[float, float]:
 
 
 def compression_verdict(data: bytes, packer: zstandard.ZstdCompressor) -> tuple[float, int, int, bool]:
-    """(ratio of the whole text, full chunks, chunks out of band, whether the text passes)."""
+    """(ratio of the whole text, chunks, chunks out of band, whether the text passes)."""
     if not data:
         return 0.0, 0, 0, False
-    ratio = len(packer.compress(data)) / len(data)
-    low, high = band_of(len(data))
-    chunks = len(data) // CHUNK_BYTES
-    bad = 0
-    for k in range(chunks):
-        part = len(packer.compress(data[k * CHUNK_BYTES : (k + 1) * CHUNK_BYTES])) / CHUNK_BYTES
-        bad += not CHUNK_BAND[0] <= part <= CHUNK_BAND[1]
-    return ratio, chunks, bad, low <= ratio <= high and bad <= MAX_BAD_CHUNKS * max(chunks, 1)
+    size = len(data)
+    ratio = len(packer.compress(data)) / size
+    low, high = band_of(size)
+    fits = low <= ratio <= high
+    if size <= CHUNK_BYTES:
+        return ratio, 1, int(not fits), fits
+    low, high = band_of(CHUNK_BYTES)
+    starts = [*range(0, size - CHUNK_BYTES, CHUNK_BYTES), size - CHUNK_BYTES]
+    parts = [len(packer.compress(data[a : a + CHUNK_BYTES])) / CHUNK_BYTES for a in starts]
+    bad = sum(not low - CHUNK_SLACK <= x <= high + CHUNK_SLACK for x in parts)
+    return ratio, len(parts), bad, fits and bad <= MAX_BAD_CHUNKS * len(parts)
 
 
 def _judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -137,7 +144,12 @@ def compression_bands(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that pass, with their own columns; repeated ids keep each passing row."""
+    """The rows of ``docs`` that pass, with their own columns, whatever their names.
+
+    Null and empty texts go; a null id or repeated ids don't matter, each row is
+    judged by its own whole text; an empty table stays empty.
+    """
+
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             whole = batch.select([id_col, text_col])
