@@ -10,13 +10,18 @@ logistic curve.
 
 The lexicon is learned from labelled rows: stems and words by their document
 frequency among toxic and other rows, kept where the lower bound of their
-log-odds is high. Counting runs on Spark over all labelled rows; the driver
-receives at most the patterns in a stated share of the toxic rows.
+log-odds is high. Counting and the test run on Spark over all labelled rows; the
+driver receives only the patterns that pass.
+
+Exception phrases are learned as well: pairs of neighbouring words, one of them
+hit, that clean rows hold at least as often as toxic ones.
 
 Defined cases: null and empty texts have no hits and get the score of no hits;
-ids without a label are scored but not learned from; contradicting labels of
+texts of any length are read whole; ids without a label, and null ids, are
+scored but not learned from (a null id is not held out); contradicting labels of
 one id count as toxic; with no toxic row to learn from every score is 0.
-Repeated rows give repeated results; other columns are ignored.
+Repeated rows give repeated results; an empty table gives no rows; other columns
+are ignored.
 """
 
 from __future__ import annotations
@@ -31,7 +36,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusflow.llm.common import crc_bucket, saved, text_slices, texts_of
@@ -44,10 +49,9 @@ LOOK_ALIKES = {
 }
 #: Digits and signs that stand for letters inside a word.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-#: Phrases in which a lexicon word is harmless.
+#: Phrases in which a lexicon word is harmless, besides those that are learned.
 EXCEPTIONS = ("trash can", "trash bin", "clown fish", "idiot proof", "sore loser", "pond scum")
-#: A pattern must be in this share of the toxic rows, and in this many.
-MIN_SHARE = 0.002
+#: A pattern must be in so many toxic rows; an exception phrase in so many clean ones.
 MIN_ROWS = 4
 STEMS = (4, 5, 6, 7)
 #: Least lower bound (two standard errors) of a pattern's log-odds.
@@ -128,7 +132,32 @@ class Matcher:
                 spared.append((start, end))
             elif weight > best.get(start, 0.0):
                 best[start] = weight
-        return [w for s, w in best.items() if not any(a <= s < b for a, b in spared)]
+        if not spared:
+            return list(best.values())
+        # both in order of the text, so that each span is met once
+        kept, reach, k = [], -1, 0
+        spared.sort()
+        for start in sorted(best):
+            while k < len(spared) and spared[k][0] <= start:
+                reach = max(reach, spared[k][1])
+                k += 1
+            if start >= reach:
+                kept.append(best[start])
+        return kept
+
+    def hit_pairs(self, folded: str) -> set[str]:
+        """The pairs of neighbouring words of which one is hit."""
+        pairs = set()
+        for end, (size, weight) in self.automaton.iter(folded) if len(self.automaton) else ():
+            if weight is not None:
+                start = end - size + 1
+                after = folded.find(" ", start + 1)
+                before = folded.rfind(" ", 0, start)
+                if before >= 0:
+                    pairs.add(folded[before : after + 1])
+                if (last := folded.find(" ", after + 1)) >= 0:
+                    pairs.add(folded[start : last + 1])
+        return pairs
 
 
 def features(hits: list[float], folded: str) -> tuple[float, float]:
@@ -137,12 +166,15 @@ def features(hits: list[float], folded: str) -> tuple[float, float]:
     return math.log1p(total), total / math.sqrt(max(1, folded.count(" ") - 1))
 
 
-def _count(candidates: set[str] | None):
-    """Document frequencies by label of the patterns in a partition; all patterns, or the candidates."""
+COUNTS = "pattern string, toxic int, n long"
+
+
+def _counted(found_in):
+    """Rows by label of what ``found_in(folded text)`` gives, as partial counts of each partition."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[str, int]] = Counter()
-        known: dict[str, list[str]] = {}
+        find = found_in()
 
         def flush() -> pa.RecordBatch:
             keys = list(counts)
@@ -155,15 +187,7 @@ def _count(candidates: set[str] | None):
 
         for rows, texts in text_slices(batches):
             for text, toxic in zip(texts, rows.column(2).to_pylist(), strict=True):
-                found: set[str] = set()
-                for word in set(fold(text or "").split()):
-                    if (own := known.get(word)) is None:
-                        own = patterns_of(word)
-                        known[word] = own = own if candidates is None else [p for p in own if p in candidates]
-                    found.update(own)
-                counts.update((p, toxic) for p in found)
-                if len(known) > 300_000:
-                    known.clear()
+                counts.update((p, toxic) for p in find(fold(text or "")))
                 if len(counts) > 200_000:
                     yield flush()
         yield flush()
@@ -171,6 +195,22 @@ def _count(candidates: set[str] | None):
     return run
 
 
+def _all_patterns():
+    known: dict[str, list[str]] = {}
+
+    def find(folded: str) -> set[str]:
+        found: set[str] = set()
+        for word in set(folded.split()):
+            if (own := known.get(word)) is None:
+                known[word] = own = patterns_of(word)
+            found.update(own)
+        if len(known) > 300_000:
+            known.clear()
+        return found
+
+    return find
+
+
 def _figures(model: ToxicityModel):
     """Rows of each partition by label and by their two features on a grid."""
 
@@ -181,7 +221,7 @@ def _figures(model: ToxicityModel):
             for text, toxic in zip(texts, rows.column(2).to_pylist(), strict=True):
                 folded = fold(text or "")
                 a, b = features(matcher.hits(folded), folded)
-                counts[min(99, round(a * 10)), min(99, round(b * 10)), toxic] += 1
+                counts[round(a * 10), round(b * 10), toxic] += 1
         keys = list(counts)
         yield pa.RecordBatch.from_arrays(
             [*(pa.array([k[i] for k in keys], pa.int32()) for i in range(3)), pa.array([counts[k] for k in keys], pa.int64())], names=["a", "b", "toxic", "n"]
@@ -191,51 +231,63 @@ def _figures(model: ToxicityModel):
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, n: np.ndarray, ridge: float = 0.1) -> np.ndarray:
-    """Weighted logistic regression by Newton steps, slopes not below 0."""
-    w = np.zeros(x.shape[1])
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
-        grad = x.T @ (n * (p - y)) + ridge * w
-        hess = (x.T * (n * p * (1 - p) + 1e-9)) @ x + ridge * np.eye(x.shape[1])
-        step = np.linalg.solve(hess, grad)
-        w = w - np.clip(step, -3, 3)
-        if np.abs(step).max() < 1e-6:
-            break
-    return w
+    """Weighted logistic regression by Newton steps; columns after the first whose slope would fall below 0 are left out."""
+    used = list(range(x.shape[1]))
+    while True:
+        own, w = x[:, used], np.zeros(len(used))
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(own @ w, -30, 30)))
+            grad = own.T @ (n * (p - y)) + ridge * w
+            hess = (own.T * (n * p * (1 - p) + 1e-9)) @ own + ridge * np.eye(len(used))
+            step = np.linalg.solve(hess, grad)
+            w = w - np.clip(step, -3, 3)
+            if np.abs(step).max() < 1e-6:
+                break
+        below = [k for k, slope in zip(used[1:], w[1:], strict=True) if slope < 0]
+        if not below:
+            out = np.zeros(x.shape[1])
+            out[used] = w
+            return out
+        used = [k for k in used if k not in below]
+
+
+def log_odds(n: Column, m: Column, toxic_rows: int, other_rows: int) -> tuple[Column, Column]:
+    """(log-odds of a pattern in n toxic and m other rows, its standard error)."""
+    odds = F.log((n + 0.5) / (toxic_rows - n + 0.5)) - F.log((m + 0.5) / (other_rows - m + 0.5))
+    return odds, F.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
+
+
+def by_label(labelled: DataFrame, found_in) -> DataFrame:
+    """(pattern, n, m): the toxic and the other rows that hold it."""
+    counted = labelled.mapInArrow(_counted(found_in), COUNTS)
+    return counted.groupBy("pattern").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("m"))
 
 
 def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
     """Learn from ``labelled(doc_id, text, toxic)``, all of its rows.
 
-    A pattern comes to the driver only if it is in ``MIN_SHARE`` of the toxic
-    rows, so their number is at most the patterns of a row over ``MIN_SHARE``.
+    Patterns and exception phrases are counted and judged on Spark; only those
+    that tell come to the driver, so their number follows the lexicon and not
+    the rows.
     """
     labelled = labelled.select("doc_id", "text", "toxic")
     rows = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic_rows, other_rows = rows.get(1, 0), rows.get(0, 0)
     if not toxic_rows:
         return ToxicityModel({}, exceptions, 0.0, 0.0, 0.0)
-    least = max(min(MIN_ROWS, toxic_rows), math.ceil(MIN_SHARE * toxic_rows))
-    schema = "pattern string, toxic int, n long"
-    found = (
-        labelled.filter("toxic = 1").mapInArrow(_count(None), schema).groupBy("pattern").agg(F.sum("n").alias("n")).filter(F.col("n") >= least)
-    )
-    toxic = {r["pattern"]: r["n"] for r in found.collect()}
-    candidates = set(toxic)
-    others = labelled.filter("toxic = 0").mapInArrow(_count(candidates), schema).groupBy("pattern").agg(F.sum("n").alias("n"))
-    clean = {r["pattern"]: r["n"] for r in others.collect()}
-    weights: dict[str, float] = {}
-    for pattern, n in toxic.items():
-        m = clean.get(pattern, 0)
-        odds = math.log((n + 0.5) / (toxic_rows - n + 0.5)) - math.log((m + 0.5) / (other_rows - m + 0.5))
-        error = math.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
-        if odds - 2 * min(error, 0.5 * odds) >= MIN_LOG_ODDS or (m == 0 and odds - error >= MIN_LOG_ODDS):
-            weights[pattern] = min(MAX_WEIGHT, odds)
+    n, m = F.col("n"), F.col("m")
+    odds, error = log_odds(n, m, toxic_rows, other_rows)
+    telling = (odds - F.least(2 * error, odds) >= MIN_LOG_ODDS) | ((m == 0) & (odds - error >= MIN_LOG_ODDS))
+    found = by_label(labelled, _all_patterns).filter((n >= min(MIN_ROWS, toxic_rows)) & telling)
+    weights = {r["pattern"]: min(MAX_WEIGHT, r["odds"]) for r in found.select("pattern", odds.alias("odds")).collect()}
     # a longer pattern adds nothing where a stem of it is as telling
     for pattern in sorted(weights, key=len, reverse=True):
-        stems = [pattern[: n + 1] for n in STEMS if n + 1 < len(pattern)]
+        stems = [pattern[: k + 1] for k in STEMS if k + 1 < len(pattern)]
         if any(weights.get(s, -1) >= weights[pattern] - 0.5 for s in stems):
             del weights[pattern]
+    hits = ToxicityModel(weights, (), 0.0, 0.0, 0.0)
+    harmless = by_label(labelled, lambda: Matcher(hits).hit_pairs).filter((m >= MIN_ROWS) & (odds + error <= 0))
+    exceptions = (*exceptions, *sorted(r["pattern"].strip() for r in harmless.select("pattern").collect()))
     model = ToxicityModel(weights, exceptions, 0.0, 0.0, 0.0)
     grid = labelled.mapInArrow(_figures(model), "a int, b int, toxic int, n long").groupBy("a", "b", "toxic").agg(F.sum("n").alias("n")).toPandas()
     x = np.stack([np.ones(len(grid)), grid["a"].to_numpy() / 10, grid["b"].to_numpy() / 10], 1)
@@ -289,5 +341,5 @@ def labelled_rows(docs: DataFrame, labels: DataFrame, folds: int = 5, held_out:
 def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Learn from the labelled rows outside the held-out fold and score every row of ``docs``."""
     model = learn(saved(labelled_rows(docs, labels), "toxicity-labelled"))
-    held = crc_bucket(F.col("doc_id"), 5) == 0
+    held = F.coalesce(crc_bucket(F.col("doc_id"), 5) == 0, F.lit(False))
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted", "n_hits", "weight")
