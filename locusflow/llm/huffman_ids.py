@@ -32,9 +32,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from locusflow.llm.bpe import MEMO_CHARS, byte_letters, pieces_of
+from locusflow.llm.bpe import MEMO_CHARS, byte_letters, check_file, pieces_of
 from locusflow.llm.common import scratch, text_slices, texts_of
 
+#: Longest code, unless there are more ids than fit.
 MAX_BITS = 18
 BLOCK_IDS = 1 << 17
 EVERY = 256
@@ -59,6 +60,7 @@ class PieceEncoder(dict):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
+        check_file(path)
         tokenizer = Tokenizer.from_file(path)
         self.model = tokenizer.model
         self.size = max(tokenizer.get_vocab(with_added_tokens=True).values(), default=0) + 1
@@ -122,13 +124,14 @@ def token_ids(docs: DataFrame, path: str, end_id: int) -> DataFrame:
 # ---- code ------------------------------------------------------------------
 
 
-def code_lengths(counts: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
-    """Optimal code lengths of at most ``limit`` bits, by package-merge."""
+def code_lengths(counts: np.ndarray, limit: int | None = None) -> np.ndarray:
+    """Optimal code lengths of at most ``limit`` bits, by package-merge; by default ``MAX_BITS``, or what so many ids need and one more."""
     lengths = np.zeros(len(counts), np.int64)
     used = np.flatnonzero(counts)
     if len(used) < 2:
         lengths[used] = 1
         return lengths
+    limit = limit or max(MAX_BITS, (len(used) - 1).bit_length() + 1)
     if len(used) > 1 << limit:
         raise ValueError(f"{len(used)} ids don't fit into codes of {limit} bits")
     order = used[np.argsort(counts[used], kind="stable")]
@@ -162,8 +165,9 @@ def canonical_codes(lengths: np.ndarray) -> np.ndarray:
     return codes
 
 
-def decoding_table(lengths: np.ndarray, limit: int = MAX_BITS) -> np.ndarray:
-    """For every ``limit`` bits: the id whose code they open with, times 32, plus the length of that code."""
+def decoding_table(lengths: np.ndarray) -> np.ndarray:
+    """For every string of so many bits as the longest code has, ``MAX_BITS`` at least: the id whose code they open with, times 32, plus the length of that code."""
+    limit = max(MAX_BITS, int(lengths.max(initial=0)))
     table = np.full(1 << limit, 1, np.int64)
     codes = canonical_codes(lengths)
     used = np.flatnonzero(lengths)
@@ -191,8 +195,9 @@ def pack(ids: np.ndarray, codes: np.ndarray, lengths: np.ndarray) -> tuple[bytes
     return out.astype(">u4").tobytes(), starts[::EVERY].astype("<u4").tobytes()
 
 
-def unpack(payloads: list[bytes], checkpoints: list[bytes], n_tokens: list[int], table: np.ndarray, limit: int = MAX_BITS) -> list[np.ndarray]:
+def unpack(payloads: list[bytes], checkpoints: list[bytes], n_tokens: list[int], table: np.ndarray) -> list[np.ndarray]:
     """Ids of several blocks; all stretches between checkpoints advance together."""
+    limit = len(table).bit_length() - 1
     words = np.frombuffer(b"".join(payloads) + bytes(EVERY * limit // 8 + 64), ">u4").astype(np.uint64)
     pairs = words[:-1] << np.uint64(32) | words[1:]
     bases = np.cumsum([0, *(len(p) * 8 for p in payloads)])
