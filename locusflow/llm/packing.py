@@ -6,7 +6,8 @@ piece first, each into the open bin that it fills best. Where no bin has room, a
 bin opens of the length with the least cost, counting the room that the pieces
 to come can use at the best rate. At the end each bin shrinks to the smallest
 permitted length that holds its contents. The whole is done once for each choice
-of the longest length to open, and the cheapest result of the group stays.
+of the shortest and the longest length to open, and the cheapest result of the
+group stays.
 
 A bin of length c costs c (1 + c / attention) + overhead.
 
@@ -19,6 +20,7 @@ gives no rows; other columns are ignored.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from itertools import combinations_with_replacement
 
 import numpy as np
 import pandas as pd
@@ -51,10 +53,10 @@ class Costs:
         return min(c for c in self.capacities if c >= tokens)
 
 
-def pack_sizes(sizes: list[int], costs: Costs, largest: int) -> tuple[list[int], list[int], float]:
+def pack_sizes(sizes: list[int], costs: Costs, largest: int, smallest: int = 0) -> tuple[list[int], list[int], float]:
     """Best-fit decreasing of descending ``sizes``: (bin of each piece, tokens of each bin, cost after downsizing).
 
-    ``largest`` bounds the lengths that are opened, except for pieces that need more.
+    ``smallest`` and ``largest`` bound the lengths that are opened, except for pieces that need more.
     """
     by_room: dict[int, list[int]] = {}
     rooms = 0  # bit r is set if a bin has room r
@@ -72,7 +74,7 @@ def pack_sizes(sizes: list[int], costs: Costs, largest: int) -> tuple[list[int],
             if not stack:
                 rooms ^= 1 << room
         else:
-            options = [c for c in costs.capacities if c >= size and (c <= largest or c == costs.fitting(size))]
+            options = [c for c in costs.capacities if c >= size and smallest <= c <= largest] or [costs.fitting(size)]
             room = min(options, key=lambda c: (costs.of(c) - rate * min(c - size, left), c))
             at = len(used)
             used.append(0)
@@ -86,8 +88,9 @@ def pack_sizes(sizes: list[int], costs: Costs, largest: int) -> tuple[list[int],
 
 
 def best_packing(sizes: list[int], costs: Costs) -> tuple[list[int], list[int], float]:
-    """The cheapest packing over the choices of the longest length to open."""
-    return min((pack_sizes(sizes, costs, c) for c in costs.capacities), key=lambda x: x[2])
+    """The cheapest packing over the choices of the shortest and the longest length to open."""
+    ranges = combinations_with_replacement(sorted(costs.capacities), 2)
+    return min((pack_sizes(sizes, costs, b, a) for a, b in ranges), key=lambda x: x[2])
 
 
 def pieces(docs: DataFrame, largest: int, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
