@@ -1,20 +1,28 @@
 """SpotSigs fingerprints, with DataFrame functions only.
 
-Anchors are very common words. A signature is the chain of content words that
-follows a stretch of anchors (or the start of the text), at most ``chain`` of
-them, up to the next anchor; words are runs of letters and digits in lower case. A document is the set of its
-signatures (hashed). Two documents are compared by the Jaccard similarity of
-their sets; sets whose lengths differ by more than the threshold allows are
-never compared, because the similarity is at most the ratio of the lengths.
-
-The fingerprint is the sorted set of 32-bit signature hashes in hexadecimal, so
-equal texts have equal fingerprints and the likeness of two fingerprints is the
-Jaccard similarity of their sets.
+Anchors are very common words. Every occurrence of an anchor gives a signature:
+the anchor and the chain of the next ``chain`` content words, over anchors in
+between (they are looked for in the ``REACH`` words that follow, so a chain is
+shorter where there are fewer). Where no anchor is among the ``chain`` words
+before a content word, that word starts a chain of its own, so that texts poor
+in anchors, or in other languages, are covered as well. Words are runs of
+letters and digits in lower case. A document is the set of its signatures
+(64-bit hashes).
+
+Documents are compared by the Jaccard similarity of their sets. The similarity
+is at most the ratio of the sets' lengths, so sets are partitioned by length:
+those outside each other's bounds are never compared, and a comparison ends at
+that bound where it is below the similarity asked for.
+
+The fingerprint is the sorted set in hexadecimal, so equal texts have equal
+fingerprints and the likeness of two fingerprints is the Jaccard similarity of
+their sets.
 
 Defined cases: a null text counts as empty; a text without words has an
 empty fingerprint, and two empty fingerprints have likeness 1 (equal), an empty
-and a filled one 0; repeated rows are rows like others, in the order of their
-texts where ids are equal; with one row its next document is itself; an empty
+and a filled one 0; texts of any length are read whole; repeated rows are rows
+like others, in the order of their texts where ids are equal; a null id comes
+last in descending order; with one row its next document is itself; an empty
 table gives no rows; other columns are ignored.
 """
 
@@ -35,42 +43,65 @@ ANCHORS = {
     "es": "el la los las de y que en un una por con no se su para es al lo como del más o pero",
 }
 CHAIN = 3
+#: Words after an anchor among which its chain lies.
+REACH = 12
 BUCKET_ROWS = 4000
 THRESHOLD = 0.8
 
 
-def anchor_pattern(anchors: dict[str, str] = ANCHORS) -> str:
-    """A stretch of anchors; possessive, because a greedy group recurses for each repetition and long stretches overflow the stack."""
-    words = sorted({w for own in anchors.values() for w in own.split()})
-    return f"(?:(?:^| )(?:{'|'.join(words)})(?= |$))++ ?"
+def anchor_words(anchors: dict[str, str] = ANCHORS) -> list[str]:
+    return sorted({w for own in anchors.values() for w in own.split()})
+
+
+def words_of(text: Column) -> Column:
+    """Lower-case words; one empty word where there is none."""
+    return F.split(F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " ")), " ")
+
+
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value made once, however often it is used."""
+    return F.get(F.transform(F.array(value), use), 0)
 
 
-def normalised(text: Column) -> Column:
-    """Lower-case words with single spaces between them."""
-    return F.trim(F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}]+", " "))
+def signatures(text: Column, chain: int = CHAIN, anchors: dict[str, str] = ANCHORS) -> Column:
+    """The sorted set of signature hashes (64 bits)."""
+    known = anchor_words(anchors)
 
+    def of(words: Column, anchored: Column) -> Column:
+        flag = lambda i: F.coalesce(F.get(anchored, i), F.lit(False))
 
-def signatures(text: Column, chain: int = CHAIN) -> Column:
-    """The sorted set of signature hashes (32 bits, as long)."""
-    stretches = F.split(normalised(text), anchor_pattern())
-    hashed = F.transform(stretches, lambda s: F.shiftrightunsigned(F.xxhash64(F.substring_index(s, " ", chain)), 32))
-    return F.array_sort(F.array_distinct(F.filter(hashed, lambda h: h != _empty_hash())))
+        def starts(i: Column) -> Column:
+            quiet = ~flag(i - 1)
+            for back in range(2, chain + 1):
+                quiet = quiet & ~flag(i - back)
+            return F.get(anchored, i) | quiet
 
+        def signature(i: Column) -> Column:
+            # an anchor's chain begins after it, another word's with it
+            first = F.when(F.get(anchored, i), i + 2).otherwise(i + 1)
+            follow = F.slice(F.filter(F.slice(words, first, REACH), lambda w: ~w.isin(known)), 1, chain)
+            return F.xxhash64(F.when(F.get(anchored, i), F.get(words, i)).otherwise(F.lit("")), follow)
 
-def _empty_hash() -> Column:
-    """The hash of an empty chain."""
-    return F.shiftrightunsigned(F.xxhash64(F.lit("")), 32)
+        return F.array_sort(F.array_distinct(F.transform(F.filter(F.sequence(F.lit(0), F.size(words) - 1), starts), signature)))
+
+    found = _let(words_of(text), lambda words: _let(F.transform(words, lambda w: w.isin(known)), lambda anchored: of(words, anchored)))
+    return F.when(F.coalesce(text, F.lit("")).rlike(r"[\p{L}\p{N}]"), found).otherwise(F.array().cast("array<bigint>"))
 
 
 def fingerprint_of(signs: Column) -> Column:
-    return F.array_join(F.transform(signs, lambda h: F.lower(F.lpad(F.hex(h), 8, "0"))), "")
+    return F.array_join(F.transform(signs, lambda h: F.lower(F.lpad(F.hex(h), 16, "0"))), "")
+
+
+def length_bound(na: Column, nb: Column) -> Column:
+    """The most that the similarity of sets of these lengths can be; two empty sets are equal."""
+    return F.when(F.greatest(na, nb) == 0, F.lit(1.0)).otherwise(F.least(na, nb) / F.greatest(na, nb))
 
 
-def likeness(a: Column, b: Column) -> Column:
-    """Jaccard similarity of two signature sets."""
+def likeness(a: Column, b: Column, least: float = 0.0) -> Column:
+    """Jaccard similarity of two signature sets; 0 without a comparison where their lengths keep it below ``least``, or at 0."""
+    bound = length_bound(F.size(a), F.size(b))
     common = F.size(F.array_intersect(a, b))
-    union = F.size(a) + F.size(b) - common
-    return F.when(union == 0, F.lit(1.0)).otherwise(common / union)
+    return F.when((bound < least) | (bound == 0), F.lit(0.0)).when(F.size(a) == 0, F.lit(1.0)).otherwise(common / (F.size(a) + F.size(b) - common))
 
 
 def with_next(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, derive: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
@@ -80,12 +111,14 @@ def with_next(rows: DataFrame, bucket_rows: int = BUCKET_ROWS, derive: Callable[
 
     Rows are dealt into ranges of ids; each range also gets a copy of the first
     row of the range after it, so that neighbours meet inside a range. Only the
-    bounds of the ranges are broadcast: their number is limited below.
+    bounds of the ranges are broadcast. There are as many ranges as their rows
+    ask for, up to some for each shuffle partition that the session is set to,
+    which a user raises with the input.
     """
     spark = rows.sparkSession
     ids = saved(rows.select("doc_id"), "ids")
     total = ids.count()
-    ranges = int(min(1024, max(1, total // bucket_rows)))
+    ranges = int(min(max(1024, 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))), max(1, total // bucket_rows)))
     cuts = ids.approxQuantile("doc_id", [k / ranges for k in range(1, ranges)], min(0.01, 0.2 / ranges)) if ranges > 1 and total else []
     cuts = sorted({int(c) for c in cuts})
     key = F.lit(0)
@@ -159,6 +192,13 @@ def edit_report(docs: DataFrame, chain: int = CHAIN) -> DataFrame:
     )
 
 
+def similar_documents(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN) -> DataFrame:
+    """doc_id, class_id and n_links (similar classes) of every row of ``docs``."""
+    membership, pairs = similar_pairs(docs, threshold, id_col, text_col, chain)
+    links = pairs.select(F.explode(F.array("a", "b")).alias("class_id")).groupBy("class_id").agg(F.count("*").alias("n_links"))
+    return membership.join(links, "class_id", "left").select("doc_id", "class_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
 def similar_pairs(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text", chain: int = CHAIN) -> tuple[DataFrame, DataFrame]:
     """(membership, pairs): near-duplicate documents.
 
