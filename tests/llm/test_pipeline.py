@@ -1,6 +1,7 @@
 """The pipeline's stages on odd rows and on the smallest table."""
 
 import pytest
+from pyspark.sql import functions as F
 
 corpus_pipeline = pytest.importorskip("corpus_pipeline")
 
@@ -36,8 +37,26 @@ def test_copies_and_junk_go(spark, tmp_path):
     assert not got & {100, 101, 102, None} and 0 in got
 
 
-@pytest.mark.parametrize("common", [8, 1])
-def test_near_duplicates_equal_all_pairs(spark, monkeypatch, common):
+CLASHES = "doc_id long, text string, _id string, _tk string, id string, ID_ string, key string, starts string, _starts string, _stops string, n long, g int, copy boolean, sk string, fp string, a string"
+
+
+def test_clashing_names_stay_untouched(spark):
+    """Every stage returns the caller's columns as they were, whatever they are called."""
+    prose = [f"the river number {i} runs past the old mill and house {i * 7} into lake {i * 13} where birds of kind {i * 29} sing loudly about {i * 31}" for i in range(12)]
+    shared = "and this long passage about the harbour in winter, where ships wait for the ice to break while crews mend nets and tell each other stories of the northern seas, is the same in every text that holds it at all"
+    rows = [(i, t + (" " + shared if i % 3 == 0 else "")) for i, t in enumerate(prose)] + [(50, prose[0] + " " + shared), (None, None), (51, "")]
+    docs = spark.createDataFrame([(i, t, "I", "T", "i", "J", "k", "s", "S", "P", 5, 6, True, "K", "f", "A") for i, t in rows], CLASHES)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs.withColumn("lang", F.lit("en")), FOLDER).drop("lang")
+        assert out.schema == docs.schema
+        kept = out.collect()
+        assert kept and all(tuple(r)[2:] == ("I", "T", "i", "J", "k", "s", "S", "P", 5, 6, True, "K", "f", "A") for r in kept)
+    packed = corpus_pipeline.STAGES[-1][1](spark, docs, FOLDER)
+    assert packed.select("doc_id").distinct().count() == len(rows)
+
+
+@pytest.mark.parametrize(("common", "broadcast", "stars"), [(8, 1_000_000, 2), (1, 0, 0)])
+def test_near_duplicates_equal_all_pairs(spark, monkeypatch, common, broadcast, stars):
     """One document stays for each component of the pairs with five-word-shingle Jaccard of 0.8 or more, and no other goes."""
     import random
 
@@ -45,6 +64,8 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, common):
 
     # with 1 and no sampling every shingle counts as common, which must change the order of search only
     monkeypatch.setattr(simhash_bk, "COMMON", common)
+    monkeypatch.setattr(simhash_bk, "BROADCAST_ROWS", broadcast)
+    monkeypatch.setattr(simhash_bk, "STARS", stars)
     monkeypatch.setattr(simhash_bk, "SAMPLE", 16 if common > 1 else 1)
     rng = random.Random(7)
     words = [f"w{i}" for i in range(3000)]
