@@ -30,10 +30,11 @@ def _items(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def hits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    start = F.col("l_partkey") % 300 + 1
+    """Hits of brands in orders: an order is a protein, its items are hits that overlap more often than not."""
+    start = F.col("l_partkey") % 100 + 1
     return _items(spark, sf_dir).select(
-        F.col("l_suppkey").alias("genome_id"),
-        F.concat_ws("_", "l_orderkey", "l_linenumber").alias("hit_id"),
+        (F.col("l_orderkey") % 100).alias("genome_id"),
+        F.col("l_orderkey").cast("string").alias("hit_id"),
         F.concat_ws("___", "p_brand", "p_size").alias("query_id"),
         (F.col("l_discount") * 1e-4).alias("evalue"),
         (F.col("l_extendedprice") / 500).alias("bitscore"),
@@ -62,6 +63,18 @@ def members(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def carriers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same proteins with orders as genomes, so that a genome has some of the domains only."""
+    return members(spark, sf_dir).withColumn("genome_id", F.col("cluster_id"))
+
+
+def best_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The proteins with the best score of each genome and domain."""
+    own = members(spark, sf_dir)
+    best = own.groupBy("genome_id", "domain").agg(F.max("score").alias("score"))
+    return own.join(best, ["genome_id", "domain", "score"], "left_semi")
+
+
 def keywords(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("cluster_id"), F.concat(F.lit("csb-"), "o_orderpriority").alias("keyword"))
 
@@ -106,9 +119,11 @@ def taxonomy(spark: SparkSession, sf_dir: str) -> DataFrame:
 #: The same tables in SQL.
 CTE = {
     "genes": "SELECT user_id % 20 AS genome_id, user_id AS contig, event_id AS protein_id, CAST(floor(epoch(ts)) AS BIGINT) AS start_pos, CAST(floor(epoch(ts)) AS BIGINT) + 60 AS end_pos, event_type AS domain, value AS score FROM events",
-    "hits": "SELECT l_suppkey AS genome_id, l_orderkey || '_' || l_linenumber AS hit_id, p_brand || '___' || p_size AS query_id, l_discount * 1e-4::DOUBLE AS evalue, l_extendedprice / 500 AS bitscore, l_quantity * 2 AS pident, l_partkey % 300 + 1 AS sstart, l_partkey % 300 + 1 + CAST(l_quantity AS BIGINT) AS send FROM lineitem JOIN part ON l_partkey = p_partkey",
+    "hits": "SELECT l_orderkey % 100 AS genome_id, l_orderkey::VARCHAR AS hit_id, p_brand || '___' || p_size AS query_id, l_discount * 1e-4::DOUBLE AS evalue, l_extendedprice / 500 AS bitscore, l_quantity * 2 AS pident, l_partkey % 100 + 1 AS sstart, l_partkey % 100 + 1 + CAST(l_quantity AS BIGINT) AS send FROM lineitem JOIN part ON l_partkey = p_partkey",
     "query_table": "SELECT p_brand || '___' || p_size AS query_id, 50 + p_size AS length, max(p_retailprice) / 10 AS self_score FROM part GROUP BY p_brand, p_size",
     "members": "SELECT l_orderkey AS cluster_id, l_suppkey AS genome_id, l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS protein_id, p_brand AS domain, l_extendedprice AS score, CAST(l_quantity * 2 AS INTEGER) AS identity, l_linenumber AS start_pos FROM lineitem JOIN part ON l_partkey = p_partkey",
+    "carriers": "SELECT l_orderkey AS cluster_id, l_orderkey AS genome_id, l_orderkey || '_' || l_linenumber || '_' || l_partkey || '_' || l_suppkey AS protein_id, p_brand AS domain, l_extendedprice AS score, CAST(l_quantity * 2 AS INTEGER) AS identity, l_linenumber AS start_pos FROM lineitem JOIN part ON l_partkey = p_partkey",
+    "best_members": "SELECT * FROM members QUALIFY score = max(score) OVER (PARTITION BY genome_id, domain)",
     "keywords": "SELECT o_orderkey AS cluster_id, 'csb-' || o_orderpriority AS keyword FROM orders",
     "refset": "SELECT c_mktsegment AS domain, o_orderkey AS protein_id FROM orders JOIN customer ON o_custkey = c_custkey",
     "gene_lists": "SELECT l_orderkey AS cluster_id, list(p_brand ORDER BY l_linenumber, l_partkey, l_suppkey) AS types FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY l_orderkey",
@@ -119,7 +134,11 @@ CTE = {
 }
 
 
+#: Tables that SQL builds step by step.
+NOT_STORED = ("fold", "grown")
+
+
 def sql(names: str, body: str, **more: str) -> str:
     """SQL with the named domain tables, then further common table expressions, then the body."""
-    parts = [f"{n} AS ({CTE[n]})" for n in names.split()] + [f"{n} AS ({q})" for n, q in more.items()]
+    parts = [f"{n} AS MATERIALIZED ({CTE[n]})" for n in names.split()] + [f"{n} AS {'' if n in NOT_STORED else 'MATERIALIZED '}({q})" for n, q in more.items()]
     return f"WITH {', '.join(parts)} {body}" if parts else body

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from locusflow import adapters as A
 from locusflow import functions as fn
-from locusflow import sources
+from locusflow import sources, streaming
 from locusflow.adapters import sql
 from locusflow.operators import hits as H
 from locusflow.operators import islands as I
@@ -22,6 +22,7 @@ from locusflow.operators import selection as S
 from locusflow.operators import sets as U
 from locusflow.operators import similarity as K
 from locusflow.operators import validation as V
+from locusflow.operators.ranges import numbered
 from locusflow.sources import sinks
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -84,17 +85,35 @@ def _resolved(spark, d, **options):
     return H.resolve_overlaps(hits, ["genome_id", "hit_id"], ["evalue", "bitscore", "sstart", "send", "query_id", "pident"], **options)
 
 
-@query()
+#: The overlap fold, hit by hit: a hit goes if a kept one it overlaps is as good, else it takes the place of all it overlaps.
+def _fold(order: str) -> dict[str, str]:
+    return dict(
+        scored=COVERED,
+        listed=f"SELECT genome_id, hit_id, list(struct_pack(s := sstart, e := send, domain := regexp_replace(query_id, '___[0-9]+$', ''), score := bitscore) ORDER BY {order}) AS hits FROM scored GROUP BY ALL",
+        fold="SELECT genome_id, hit_id, hits, 1 AS i, hits[:0] AS kept FROM listed UNION ALL SELECT genome_id, hit_id, hits, i + 1, CASE WHEN len(list_filter(kept, lambda k: k.s <= hits[i].e AND hits[i].s <= k.e AND k.score >= hits[i].score)) > 0 THEN kept ELSE list_append(list_filter(kept, lambda k: NOT (k.s <= hits[i].e AND hits[i].s <= k.e)), hits[i]) END FROM fold WHERE i <= len(hits)",
+        resolved="SELECT genome_id, hit_id, list_sort(kept) AS kept FROM fold WHERE i > len(hits)",
+    )
+
+
+ARRIVAL, BEST_FIRST = "evalue, bitscore, sstart, send, query_id, pident", "bitscore DESC, sstart, regexp_replace(query_id, '___[0-9]+$', ''), send"
+ARCHITECTURE = "array_to_string(list_transform(kept, lambda k: k.domain), '-') AS architecture, array_to_string(list_transform(kept, lambda k: k.s || ':' || k.e), '-') AS coordinates, len(kept) AS dom_count"
+
+
+def recursive(text: str) -> str:
+    return text.replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+@query(recursive(sql("hits query_table", "SELECT genome_id, hit_id, len(kept) AS n FROM resolved WHERE len(kept) <= 1", **_fold(ARRIVAL))))
 def f6_single_domain(spark, d):
     return H.single_domain(_resolved(spark, d)).select("genome_id", "hit_id", F.size("domains").alias("n"))
 
 
-@query()
+@query(recursive(sql("hits query_table", f"SELECT genome_id, hit_id, {ARCHITECTURE}, array_to_string(list_transform(kept, lambda k: trunc(k.score)::BIGINT), '-') AS scores FROM resolved", **_fold(ARRIVAL))))
 def a2_resolve_overlaps(spark, d):
     return H.architecture(_resolved(spark, d)).select("genome_id", "hit_id", "architecture", "coordinates", "scores", "dom_count")
 
 
-@query()
+@query(recursive(sql("hits query_table", f"SELECT genome_id, hit_id, {ARCHITECTURE} FROM resolved", **_fold(BEST_FIRST))))
 def a3_resolve_best_first(spark, d):
     return H.architecture(_resolved(spark, d, best_first=True)).select("genome_id", "hit_id", "architecture", "coordinates", "dom_count")
 
@@ -235,10 +254,8 @@ def f7_cluster_filter(spark, d):
 
 @query(sql("gene_lists", "SELECT row_number() OVER (ORDER BY len(types), cluster_id) AS n, cluster_id FROM filtered", filtered=FILTERED))
 def m1_sorted_clusters(spark, d):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy(F.lit(0)).orderBy(F.size("types"), "cluster_id")
-    return _lists(spark, d).select(F.row_number().over(order).cast("long").alias("n"), "cluster_id")
+    lists = _lists(spark, d).select(F.size("types").alias("length"), "cluster_id")
+    return numbered(lists, [F.col("length").asc(), F.col("cluster_id").asc()]).select(F.col("rank").alias("n"), "cluster_id")
 
 
 @query(sql("gene_lists", "SELECT array_to_string(types, ',') AS types, cluster_id, weight, array_to_string(replicates, ',') AS replicates FROM derep", filtered=FILTERED, derep=DEREP))
@@ -290,7 +307,20 @@ def m7_sublists(spark, d):
     return found.groupBy(F.size("pattern").cast("long").alias("length")).agg(F.count("*").alias("n"))
 
 
-@query()
+#: Instances of candidate patterns with at most two insertions, gene by gene: each next gene at its first later place.
+GAPPED = dict(
+    filtered=FILTERED,
+    derep=DEREP,
+    spots="SELECT cluster_id, i - 1 AS pos, types[i] AS gene FROM (SELECT cluster_id, types, unnest(range(1, len(types) + 1)) AS i FROM derep)",
+    sublists="SELECT DISTINCT types[s:s + m - 1] AS pattern FROM (SELECT types, s, unnest(range(2, len(types) - s + 2)) AS m FROM (SELECT types, unnest(range(1, len(types) + 1)) AS s FROM derep)) WHERE m >= 2",
+    steps="SELECT x.cluster_id, x.pos, y.gene AS b, min(y.pos) AS next FROM spots x JOIN spots y ON x.cluster_id = y.cluster_id AND y.pos > x.pos GROUP BY ALL",
+    grown="SELECT [gene] AS pattern, cluster_id, pos AS s, pos AS e FROM spots UNION ALL SELECT w.pattern, g.cluster_id, g.s, n.next FROM grown g JOIN steps n ON n.cluster_id = g.cluster_id AND n.pos = g.e AND n.next - g.s - len(g.pattern) <= 2 JOIN sublists w ON w.pattern = list_append(g.pattern, n.b)",
+    found="SELECT DISTINCT pattern, cluster_id FROM grown WHERE len(pattern) > 1",
+    support="SELECT pattern, cluster_id FROM found WHERE pattern IN (SELECT pattern FROM found JOIN derep USING (cluster_id) GROUP BY pattern HAVING sum(weight) >= 3)",
+)
+
+
+@query(recursive(sql("gene_lists", "SELECT array_to_string(pattern, ',') AS pattern, count(*) AS n FROM support GROUP BY 1", **GAPPED)))
 def m8_gapped_support(spark, d):
     lists = _lists(spark, d)
     support = M.gapped_support(lists, M.dereplicate(lists), k=2, q=3)
@@ -340,23 +370,31 @@ def m11_jaccard(spark, d):
     return lists.join(other, "cluster_id").select("cluster_id", "other", r6(fn.jaccard("types", "theirs")).alias("similarity"))
 
 
-PATTERNS = "SELECT CAST(s_nationkey AS VARCHAR) AS keyword, list(DISTINCT p_brand ORDER BY p_brand) AS pattern FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey WHERE l_discount = 0.07 AND l_tax = 0.03 AND l_quantity > 40 GROUP BY 1"
+TOP = 40
+TRIPLES = "SELECT pattern, sum(weight) AS w FROM (SELECT DISTINCT types[i:i + 2] AS pattern, types, weight FROM (SELECT types, weight, unnest(range(1, len(types) - 1)) AS i FROM derep)) GROUP BY pattern ORDER BY w DESC, pattern LIMIT 40"
+PATTERN_TABLES = dict(
+    gene_lists=A.CTE["gene_lists"],
+    filtered=FILTERED,
+    derep=DEREP,
+    triples=TRIPLES,
+    patterns="SELECT array_to_string(pattern, '-') AS keyword, list_sort(list_distinct(pattern)) AS pattern FROM triples",
+)
 
 
 def _patterns(spark, d):
-    """Patterns of brands by the suppliers' nations."""
-    part = A.table(spark, d, "part").select("p_partkey", "p_brand")
-    nation = A.table(spark, d, "supplier").select("s_suppkey", "s_nationkey")
-    items = A.table(spark, d, "lineitem").filter((F.col("l_discount") == 0.07) & (F.col("l_tax") == 0.03) & (F.col("l_quantity") > 40))
-    joined = items.join(part, F.col("l_partkey") == F.col("p_partkey")).join(nation, F.col("l_suppkey") == F.col("s_suppkey"))
-    return joined.groupBy(F.col("s_nationkey").cast("string").alias("keyword")).agg(F.array_sort(F.collect_set("p_brand")).alias("pattern"))
+    """The report of the 40 neighbourhoods of three genes with the most lists, over all lists."""
+    derep = M.dereplicate(_lists(spark, d)).select("types", "weight")
+    at = F.sequence(F.lit(1), F.size("types") - 2)
+    triples = derep.filter(F.size("types") > 2).select("weight", F.explode(F.array_distinct(F.transform(at, lambda i: F.slice("types", i, 3)))).alias("pattern"))
+    top = triples.groupBy("pattern").agg(F.sum("weight").alias("w")).orderBy(F.desc("w"), "pattern").limit(TOP)
+    return top.select(F.array_join("pattern", "-").alias("keyword"), F.array_sort(F.array_distinct("pattern")).alias("pattern"))
 
 
 @query(
     sql(
         "",
         "SELECT a.keyword AS a, b.keyword AS b, round(len(list_intersect(a.pattern, b.pattern))::DOUBLE / len(list_distinct(list_concat(a.pattern, b.pattern))), 6) AS similarity FROM patterns a JOIN patterns b ON a.keyword < b.keyword WHERE len(list_intersect(a.pattern, b.pattern)) > 0",
-        patterns=PATTERNS,
+        **PATTERN_TABLES,
     )
 )
 def m12_similar_patterns(spark, d):
@@ -403,7 +441,7 @@ def f8_pattern_length(spark, d):
 # ---- naming ----------------------------------------------------------------------------
 
 NAMED = dict(
-    patterns=PATTERNS,
+    PATTERN_TABLES,
     have="SELECT cluster_id, list_distinct(types) AS types FROM gene_lists",
     pairs="SELECT cluster_id, keyword, types, pattern, len(list_intersect(types, pattern)) AS common FROM have, patterns WHERE len(list_intersect(types, pattern)) > 0",
 )
@@ -411,7 +449,7 @@ NAMED = dict(
 
 @query(
     sql(
-        "gene_lists",
+        "",
         "SELECT cluster_id, keyword, round(common::DOUBLE / len(pattern), 6) AS completeness, array_to_string(list_sort(list_filter(pattern, lambda x: NOT list_contains(types, x))), ',') AS missing, array_to_string(list_sort(list_filter(types, lambda x: NOT list_contains(pattern, x))), ',') AS additional FROM pairs WHERE common::DOUBLE / len(pattern) >= 0.5",
         **NAMED,
     )
@@ -421,16 +459,16 @@ def n1_name_islands(spark, d):
     return found.select("cluster_id", "keyword", r6("completeness").alias("completeness"), _text("missing").alias("missing"), _text("additional").alias("additional"))
 
 
-@query(sql("gene_lists", "SELECT cluster_id, keyword FROM pairs WHERE common = len(pattern) AND len(types) > 1", **NAMED))
+@query(sql("", "SELECT cluster_id, keyword FROM pairs WHERE common = len(pattern) AND len(types) > 1", **NAMED))
 def n2_name_islands_exact(spark, d):
     return N.name_islands(A.gene_lists(spark, d), _patterns(spark, d), min_types=2, exact=True).select("cluster_id", "keyword")
 
 
 @query(
     sql(
-        "gene_lists",
+        "",
         "SELECT DISTINCT h.cluster_id, r.keyword FROM have h, (SELECT keyword, arg_min(item, (n, item)) AS item FROM (SELECT keyword, item, count(*) OVER (PARTITION BY item) AS n FROM items) GROUP BY keyword) r WHERE list_contains(h.types, r.item)",
-        patterns=PATTERNS,
+        **PATTERN_TABLES,
         have=NAMED["have"],
         items="SELECT keyword, unnest(pattern) AS item FROM patterns",
     )
@@ -439,7 +477,7 @@ def n3_rarest_item_candidates(spark, d):
     return N.rarest_item_candidates(A.gene_lists(spark, d), _patterns(spark, d))
 
 
-@query(sql("", "SELECT item, count(*) AS n FROM (SELECT keyword, unnest(pattern) AS item FROM patterns) GROUP BY item", patterns=PATTERNS))
+@query(sql("", "SELECT item, count(*) AS n FROM (SELECT keyword, unnest(pattern) AS item FROM patterns) GROUP BY item", **PATTERN_TABLES))
 def g11_item_frequency(spark, d):
     return N.item_frequency(_patterns(spark, d))
 
@@ -479,13 +517,13 @@ def g6_composition_sets(spark, d):
 @query(
     sql(
         "genes",
-        "SELECT domain, protein_id FROM (SELECT domain, protein_id, list_distinct(neighbourhood) AS s FROM hoods JOIN genes USING (protein_id) WHERE score < 20) c WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT domain, list_sort(list_distinct(neighbourhood)) AS r FROM hoods JOIN genes USING (protein_id) WHERE score >= 95) k WHERE k.domain = c.domain AND list_has_all(k.r, c.s))",
+        "SELECT domain, protein_id FROM (SELECT domain, protein_id, list_distinct(neighbourhood) AS s FROM hoods JOIN genes USING (protein_id) WHERE score < 50) c WHERE EXISTS (SELECT 1 FROM (SELECT DISTINCT domain, list_sort(list_distinct(neighbourhood)) AS r FROM hoods JOIN genes USING (protein_id) WHERE score >= 50) k WHERE k.domain = c.domain AND list_has_all(k.r, c.s))",
         **HOODS,
     )
 )
 def p11_subset_neighbourhoods(spark, d):
     rows = _hoods(spark, d).join(A.genes(spark, d).select("protein_id", "domain", "score"), "protein_id")
-    return J.subset_neighbourhoods(rows.filter("score < 20"), rows.filter("score >= 95")).select("domain", "protein_id")
+    return J.subset_neighbourhoods(rows.filter("score < 50"), rows.filter("score >= 50")).select("domain", "protein_id")
 
 
 # ---- selection -------------------------------------------------------------------------------
@@ -513,9 +551,12 @@ def g3_query_scores(spark, d):
     return _query_scores(spark, d)
 
 
-@query(sql("members keywords", "SELECT DISTINCT keyword FROM keywords WHERE keyword NOT IN (SELECT keyword FROM stats WHERE domain = 'Brand#2' AND n > 300 AND starts_with(keyword, 'csb-'))", **STATS))
+@query(sql("members keywords", "SELECT DISTINCT keyword FROM keywords WHERE keyword NOT IN (SELECT keyword FROM stats WHERE domain = 'Brand#2' AND max_score >= (SELECT median(max_score) FROM stats WHERE domain = 'Brand#2') AND starts_with(keyword, 'csb-'))", **STATS))
 def f9_exclude_types(spark, d):
-    return S.exclude_types(A.keywords(spark, d), _stats(spark, d).filter("n > 300"), ["Brand#2"]).select("keyword").distinct()
+    stats = _stats(spark, d)
+    middle = stats.filter("domain = 'Brand#2'").agg(F.median("max_score").alias("middle"))
+    strong = stats.join(F.broadcast(middle), F.col("max_score") >= F.col("middle")).drop("middle")
+    return S.exclude_types(A.keywords(spark, d), strong, ["Brand#2"]).select("keyword").distinct()
 
 
 @query(
@@ -551,10 +592,11 @@ def _segments(spark, d):
     return A.refset(spark, d), prices
 
 
-@query(sql("refset", "SELECT domain, coalesce(min(o_totalprice), 100.0) AS lower, coalesce(max(o_totalprice), 2000.0) AS upper FROM refset LEFT JOIN (SELECT * FROM orders WHERE o_totalprice > 200000) ON o_orderkey = protein_id GROUP BY 1"))
+@query(sql("refset", "SELECT domain, coalesce(min(o_totalprice), 100.0) AS lower, coalesce(max(o_totalprice), 2000.0) AS upper FROM refset LEFT JOIN (SELECT * FROM orders WHERE o_orderstatus = 'F') ON o_orderkey = protein_id GROUP BY 1"))
 def g5_refset_limits(spark, d):
     refs, prices = _segments(spark, d)
-    return S.refset_limits(refs, prices.filter("score > 200000"))
+    closed = A.table(spark, d, "orders").filter("o_orderstatus = 'F'").select(F.col("o_orderkey").alias("protein_id"))
+    return S.refset_limits(refs, prices.join(closed, "protein_id", "left_semi"))
 
 
 @query(
@@ -594,22 +636,22 @@ def j2_keyword_scores(spark, d):
     return found.groupBy("domain").agg(F.count("*").alias("n"), F.max("score").alias("top"))
 
 
-@query(sql("members keywords", "SELECT DISTINCT protein_id, keyword FROM keywords JOIN members USING (cluster_id) WHERE score > 90000"))
+@query(sql("members best_members keywords", "SELECT DISTINCT protein_id, keyword FROM keywords JOIN members USING (cluster_id) WHERE protein_id IN (SELECT protein_id FROM best_members)"))
 def j3_keywords_of_proteins(spark, d):
     members = A.members(spark, d)
-    return S.keywords_of(members.filter("score > 90000"), members, A.keywords(spark, d))
+    return S.keywords_of(A.best_members(spark, d), members, A.keywords(spark, d))
 
 
 @query(
     sql(
-        "members keywords",
-        "SELECT domain, count(*) AS n FROM (SELECT domain, protein_id FROM members WHERE score > 90000 UNION SELECT domain, protein_id FROM members JOIN keywords USING (cluster_id) WHERE keyword = 'csb-1-URGENT' AND domain < 'Brand#2') GROUP BY 1",
+        "members best_members keywords",
+        "SELECT domain, count(*) AS n FROM (SELECT domain, protein_id FROM best_members UNION SELECT domain, protein_id FROM members JOIN keywords USING (cluster_id) WHERE keyword = 'csb-1-URGENT' AND domain < 'Brand#2') GROUP BY 1",
     )
 )
 def j4_extend_by_keywords(spark, d):
     members = A.members(spark, d)
     wanted = members.select("domain").distinct().filter("domain < 'Brand#2'").withColumn("keyword", F.lit("csb-1-URGENT"))
-    return S.extend_by_keywords(members.filter("score > 90000"), wanted, A.keywords(spark, d), members).groupBy("domain").agg(F.count("*").alias("n"))
+    return S.extend_by_keywords(A.best_members(spark, d), wanted, A.keywords(spark, d), members).groupBy("domain").agg(F.count("*").alias("n"))
 
 
 FREE = "SELECT DISTINCT domain, protein_id, genome_id FROM placed WHERE cluster_id IS NULL AND score >= 70"
@@ -631,12 +673,12 @@ def f11_domain_lists(spark, d):
     return S.exclude_domains(S.include_domains(A.refset(spark, d), ["BUILDING", "MACHINERY"]), ["MACHINERY"]).distinct()
 
 
-SMALL_SETS = "SELECT DISTINCT domain || '_' || identity AS domain, protein_id FROM members WHERE score > 80000"
+SMALL_SETS = "SELECT DISTINCT domain || '_' || identity || '_' || start_pos AS domain, protein_id FROM members"
 
 
 def _small_sets(spark, d):
     members = A.members(spark, d)
-    return members.filter("score > 80000").select(F.concat_ws("_", "domain", "identity").alias("domain"), "protein_id").distinct(), members
+    return members.select(F.concat_ws("_", "domain", "identity", "start_pos").alias("domain"), "protein_id").distinct(), members
 
 
 @query(sql("members", "SELECT domain, protein_id FROM s WHERE domain IN (SELECT s.domain FROM s JOIN members m ON m.protein_id = s.protein_id WHERE m.genome_id <> 7)", s=SMALL_SETS))
@@ -645,22 +687,24 @@ def f12_drop_query_only(spark, d):
     return S.drop_query_only(refs, members, 7)
 
 
-@query(sql("members", "SELECT DISTINCT domain, protein_id FROM members WHERE score > 90000 AND domain IN (SELECT domain FROM members WHERE genome_id = 7)"))
+@query(sql("members", "SELECT DISTINCT domain, protein_id FROM s WHERE domain IN (SELECT s.domain FROM s JOIN members m USING (protein_id) WHERE m.genome_id = 7)", s=SMALL_SETS))
 def f13_query_owned(spark, d):
-    members = A.members(spark, d)
-    return S.query_owned(members.filter("score > 90000").select("domain", "protein_id").distinct(), members, 7)
+    refs, members = _small_sets(spark, d)
+    return S.query_owned(refs, members.select("protein_id", "genome_id").join(refs, "protein_id"), 7)
 
 
 # ---- sets --------------------------------------------------------------------------------------
 
-A_SET = "SELECT domain, protein_id FROM refset WHERE protein_id % 3 <> 0"
-B_SET = "SELECT domain, protein_id FROM refset WHERE protein_id % 2 = 0 AND domain <> 'BUILDING'"
+A_SET = "SELECT r.* FROM refset r JOIN orders ON o_orderkey = protein_id WHERE o_orderstatus <> 'F'"
+B_SET = "SELECT r.* FROM refset r JOIN orders ON o_orderkey = protein_id WHERE o_orderpriority < '4' AND domain <> 'BUILDING'"
 
 
 def _two_sets(spark, d):
-    """Two overlapping parts of a reference set: the feature is their set algebra."""
-    refs = A.refset(spark, d)
-    return refs.filter("protein_id % 3 <> 0"), refs.filter("protein_id % 2 = 0 and domain <> 'BUILDING'")
+    """Two reference sets: proteins of open orders, and of urgent orders without one segment."""
+    orders = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("protein_id"), "o_orderstatus", "o_orderpriority")
+    refs = A.refset(spark, d).join(orders, "protein_id")
+    of = lambda rule: refs.filter(rule).select("domain", "protein_id")
+    return of("o_orderstatus <> 'F'"), of("o_orderpriority < '4' and domain <> 'BUILDING'")
 
 
 @query(sql("refset", "SELECT * FROM a UNION SELECT * FROM b", a=A_SET, b=B_SET))
@@ -709,78 +753,81 @@ def g14_added_counts(spark, d):
 # ---- presence ---------------------------------------------------------------------------------------
 
 PAM = dict(
-    refs_of="SELECT DISTINCT domain, protein_id FROM members WHERE score > 60000",
-    pam="SELECT m.genome_id, r.domain, list(DISTINCT r.protein_id ORDER BY r.protein_id) AS proteins FROM refs_of r JOIN members m ON m.protein_id = r.protein_id GROUP BY ALL",
+    refs_of="SELECT DISTINCT domain, protein_id FROM carriers",
+    pam="SELECT m.genome_id, r.domain, list(DISTINCT r.protein_id ORDER BY r.protein_id) AS proteins FROM refs_of r JOIN carriers m ON m.protein_id = r.protein_id GROUP BY ALL",
     carried="SELECT DISTINCT genome_id, domain FROM pam",
 )
 
 
 def _refs(spark, d):
-    members = A.members(spark, d)
-    return members.filter("score > 60000").select("domain", "protein_id").distinct(), members
+    members = A.carriers(spark, d)
+    return members.select("domain", "protein_id").distinct(), members
 
 
 def _pam(spark, d):
     return P.presence(*_refs(spark, d))
 
 
-@query(sql("members", "SELECT genome_id, domain, array_to_string(proteins, ',') AS proteins FROM pam", **PAM))
+@query(sql("carriers", "SELECT genome_id, domain, array_to_string(proteins, ',') AS proteins FROM pam", **PAM))
 def p1_presence(spark, d):
     return _pam(spark, d).select("genome_id", "domain", _text("proteins").alias("proteins"))
 
 
-@query(sql("members", "SELECT genome_id, max((domain = 'Brand#1')::INTEGER) AS \"Brand#1\", max((domain = 'Brand#2')::INTEGER) AS \"Brand#2\" FROM pam GROUP BY 1", **PAM))
+@query(sql("carriers", "SELECT genome_id, max((domain = 'Brand#1')::INTEGER) AS \"Brand#1\", max((domain = 'Brand#2')::INTEGER) AS \"Brand#2\" FROM pam GROUP BY 1", **PAM))
 def p1_presence_wide(spark, d):
     return P.presence_wide(_pam(spark, d), ["Brand#1", "Brand#2"])
 
 
-SEEDS = "SELECT DISTINCT domain AS seed, genome_id FROM members WHERE score > 98000"
+SEEDS = "SELECT DISTINCT domain AS seed, genome_id FROM carriers QUALIFY score = max(score) OVER (PARTITION BY domain)"
 
 
 def _seeds(spark, d):
-    return A.members(spark, d).filter("score > 98000").select(F.col("domain").alias("seed"), "genome_id").distinct()
+    """The genomes with the best hit of each domain."""
+    members = A.carriers(spark, d)
+    best = members.groupBy("domain").agg(F.max("score").alias("score"))
+    return members.join(best, ["domain", "score"], "left_semi").select(F.col("domain").alias("seed"), "genome_id").distinct()
 
 
 IN_ALL = dict(
     seeds=SEEDS,
-    own="SELECT DISTINCT genome_id, domain FROM members WHERE identity >= 70",
+    own="SELECT DISTINCT genome_id, domain FROM carriers WHERE identity >= 70",
     in_all="SELECT seed, domain FROM (SELECT s.seed, o.domain, count(*) AS found FROM seeds s JOIN own o USING (genome_id) GROUP BY ALL) JOIN (SELECT seed, count(*) AS needed FROM seeds GROUP BY 1) USING (seed) WHERE found = needed",
 )
 
 
-@query(sql("members", "SELECT seed, domain FROM in_all", **IN_ALL))
+@query(sql("carriers", "SELECT seed, domain FROM in_all", **IN_ALL))
 def p2_domains_in_all(spark, d):
-    return P.domains_in_all(_seeds(spark, d), A.members(spark, d))
+    return P.domains_in_all(_seeds(spark, d), A.carriers(spark, d))
 
 
-WITH_ALL = dict(IN_ALL, have="SELECT DISTINCT genome_id, domain FROM members WHERE score > 80000", matches="SELECT seed, genome_id FROM (SELECT i.seed, h.genome_id, count(*) AS found FROM in_all i JOIN have h ON h.domain = i.domain GROUP BY ALL) JOIN (SELECT seed, count(*) AS needed FROM in_all GROUP BY 1) USING (seed) WHERE found = needed")
+WITH_ALL = dict(IN_ALL, have="SELECT DISTINCT genome_id, domain FROM carriers ", matches="SELECT seed, genome_id FROM (SELECT i.seed, h.genome_id, count(*) AS found FROM in_all i JOIN have h ON h.domain = i.domain GROUP BY ALL) JOIN (SELECT seed, count(*) AS needed FROM in_all GROUP BY 1) USING (seed) WHERE found = needed")
 
 
-@query(sql("members", "SELECT seed, genome_id FROM matches", **WITH_ALL))
+@query(sql("carriers", "SELECT seed, genome_id FROM matches", **WITH_ALL))
 def p3_genomes_with_all(spark, d):
-    members = A.members(spark, d)
-    return P.genomes_with_all(P.domains_in_all(_seeds(spark, d), members), members.filter("score > 80000"))
+    members = A.carriers(spark, d)
+    return P.genomes_with_all(P.domains_in_all(_seeds(spark, d), members), members)
 
 
 @query(
     sql(
-        "members",
-        "SELECT x.seed, min(m.score) AS lower, max(m.score) AS upper, array_to_string(list(DISTINCT m.protein_id ORDER BY m.protein_id), ',') AS proteins FROM matches x JOIN members m ON m.genome_id = x.genome_id AND m.domain = x.seed WHERE m.score > 80000 GROUP BY 1",
+        "carriers",
+        "SELECT x.seed, min(m.score) AS lower, max(m.score) AS upper, array_to_string(list(DISTINCT m.protein_id ORDER BY m.protein_id), ',') AS proteins FROM matches x JOIN carriers m ON m.genome_id = x.genome_id AND m.domain = x.seed GROUP BY 1",
         **WITH_ALL,
     )
 )
 def p4_seed_references(spark, d):
     from locusflow.plans import context_free_references
 
-    members = A.members(spark, d)
-    found = context_free_references(_seeds(spark, d), members, members.filter("score > 80000"))
+    members = A.carriers(spark, d)
+    found = context_free_references(_seeds(spark, d), members, members)
     return found.select("seed", "lower", "upper", _text("proteins").alias("proteins"))
 
 
 SAMPLE = dict(PAM, sample="SELECT t.domain AS target, c.genome_id, c.domain FROM carried t JOIN carried c USING (genome_id)")
 
 
-@query(sql("members", "SELECT target, domain, count(*) AS n FROM sample GROUP BY ALL", **SAMPLE))
+@query(sql("carriers", "SELECT target, domain, count(*) AS n FROM sample GROUP BY ALL", **SAMPLE))
 def p5_positive_sample(spark, d):
     return P.positive_sample(*_refs(spark, d), limit=None).groupBy("target", "domain").agg(F.count("*").alias("n"))
 
@@ -798,62 +845,62 @@ def _model(spark, d):
     return P.support_model(P.positive_sample(*_refs(spark, d), limit=None))
 
 
-@query(sql("members", "SELECT target, feature, n, n_train, round(p, 6) AS p, round(strength, 6) AS strength, round(weight, 6) AS weight FROM model", **MODEL))
+@query(sql("carriers", "SELECT target, feature, n, n_train, round(p, 6) AS p, round(strength, 6) AS strength, round(weight, 6) AS weight FROM model", **MODEL))
 def p6_support_model(spark, d):
     return _model(spark, d).select("target", "feature", "n", "n_train", r6("p").alias("p"), r6("strength").alias("strength"), r6("weight").alias("weight"))
 
 
 BALANCE = dict(
     MODEL,
-    balance="SELECT t.target, g.genome_id, 2 * coalesce(sum(CASE WHEN c.domain IS NOT NULL THEN m.weight END), 0) - 1 AS balance FROM (SELECT DISTINCT target FROM model) t CROSS JOIN (SELECT DISTINCT genome_id FROM members) g JOIN model m ON m.target = t.target LEFT JOIN carried c ON c.genome_id = g.genome_id AND c.domain = m.feature GROUP BY ALL",
+    balance="SELECT t.target, g.genome_id, 2 * coalesce(sum(CASE WHEN c.domain IS NOT NULL THEN m.weight END), 0) - 1 AS balance FROM (SELECT DISTINCT target FROM model) t CROSS JOIN (SELECT DISTINCT genome_id FROM carriers) g JOIN model m ON m.target = t.target LEFT JOIN carried c ON c.genome_id = g.genome_id AND c.domain = m.feature GROUP BY ALL",
 )
 
 
-@query(sql("members", "SELECT target, genome_id, round(balance, 6) AS balance FROM balance", **BALANCE))
+@query(sql("carriers", "SELECT target, genome_id, round(balance, 6) AS balance FROM balance", **BALANCE))
 def p7_balance(spark, d):
-    found = P.balance(_model(spark, d), _pam(spark, d), A.members(spark, d))
+    found = P.balance(_model(spark, d), _pam(spark, d), A.carriers(spark, d))
     return found.select("target", "genome_id", r6("balance").alias("balance"))
 
 
-BEST = "SELECT genome_id, domain, protein_id, score FROM members WHERE score / 100000 >= 0.3 QUALIFY row_number() OVER (PARTITION BY genome_id, domain ORDER BY score DESC, protein_id) = 1"
+BEST = "SELECT genome_id, domain, protein_id, score FROM carriers WHERE score / 100000 >= 0.3 QUALIFY row_number() OVER (PARTITION BY genome_id, domain ORDER BY score DESC, protein_id) = 1"
 
 
 def _with_ratio(spark, d):
-    return A.members(spark, d).withColumn("bsr", F.col("score") / 100000)
+    return A.carriers(spark, d).withColumn("bsr", F.col("score") / 100000)
 
 
-@query(sql("members", BEST))
+@query(sql("carriers", BEST))
 def w2_best_hits(spark, d):
     return P.best_hits(_with_ratio(spark, d)).select("genome_id", "domain", "protein_id", "score")
 
 
-@query(sql("members", "SELECT b.genome_id, b.domain, b.protein_id, b.score, round(a.balance, 6) AS balance FROM best b JOIN balance a ON a.genome_id = b.genome_id AND a.target = b.domain WHERE a.balance >= 0.8", **BALANCE, best=BEST))
+@query(sql("carriers", "SELECT b.genome_id, b.domain, b.protein_id, b.score, round(a.balance, 6) AS balance FROM best b JOIN balance a ON a.genome_id = b.genome_id AND a.target = b.domain WHERE a.balance >= -0.7", **BALANCE, best=BEST))
 def p8_plausible_hits(spark, d):
-    found = P.plausible_hits(_with_ratio(spark, d), _model(spark, d), _pam(spark, d))
+    found = P.plausible_hits(_with_ratio(spark, d), _model(spark, d), _pam(spark, d), -0.7)
     return found.withColumn("balance", r6("balance"))
 
 
 @query()
 def p9_logistic_models(spark, d):
-    return P.logistic_models(_pam(spark, d), A.members(spark, d), ["Brand#1", "Brand#2", "Brand#3"])
+    return P.logistic_models(_pam(spark, d), A.carriers(spark, d), ["Brand#1", "Brand#2", "Brand#3"])
 
 
 @query(
     sql(
-        "members",
-        "SELECT genome_id, max(CASE WHEN domain = 'Brand#1' THEN 1 ELSE 0 END) AS \"Brand#1_present\", coalesce(max(score) FILTER (domain = 'Brand#1'), 0) AS \"Brand#1_score\" FROM (SELECT p.genome_id, p.domain, m.score FROM (SELECT genome_id, domain, unnest(proteins) AS protein_id FROM pam) p JOIN members m USING (protein_id)) GROUP BY 1",
+        "carriers",
+        "SELECT genome_id, max(CASE WHEN domain = 'Brand#1' THEN 1 ELSE 0 END) AS \"Brand#1_present\", coalesce(max(score) FILTER (domain = 'Brand#1'), 0) AS \"Brand#1_score\" FROM (SELECT p.genome_id, p.domain, m.score FROM (SELECT genome_id, domain, unnest(proteins) AS protein_id FROM pam) p JOIN carriers m USING (protein_id)) GROUP BY 1",
         **PAM,
     )
 )
 def p10_score_matrix(spark, d):
-    return P.score_matrix(_pam(spark, d), A.members(spark, d), ["Brand#1"])
+    return P.score_matrix(_pam(spark, d), A.carriers(spark, d), ["Brand#1"])
 
 
 @query(
     sql(
         "",
         "SELECT domain, keyword, round(common::DOUBLE / (nd + nk - common), 6) AS similarity FROM (SELECT w.domain, i.keyword, (SELECT count(*) FROM whole x WHERE x.domain = w.domain) AS nd, (SELECT count(*) FROM items x WHERE x.keyword = i.keyword) AS nk, count(*) AS common FROM whole w JOIN items i USING (item) GROUP BY ALL) WHERE common::DOUBLE / (nd + nk - common) >= 0.7",
-        patterns=PATTERNS,
+        **PATTERN_TABLES,
         items="SELECT keyword, unnest(pattern) AS item FROM patterns",
         whole="SELECT DISTINCT a.item AS domain, b.item FROM items a JOIN items b USING (keyword)",
     )
@@ -974,9 +1021,13 @@ def v3_label_hits(spark, d):
     return V.label_hits(swept, V.cutoffs(swept)).select("model", "hit_id", "at_optimized", "at_trusted", "at_noise", "above_noise")
 
 
-@query(sql("scores", "SELECT model, count(*) AS n FROM labelled WHERE NOT normal GROUP BY 1", **SWEEP))
+TOXIC_SCORES = A.CTE["scores"].replace("quality = 1", "toxic = 1")
+
+
+@query(sql("", "SELECT model, count(*) AS n FROM labelled WHERE NOT normal GROUP BY 1", scores=TOXIC_SCORES, **SWEEP))
 def v2_extra_true_negatives(spark, d):
-    swept = _sweep(spark, d)
+    marks = A.table(spark, d, "labels").select(F.col("doc_id").alias("hit_id"), F.col("toxic"))
+    swept = V.sweep(A.scores(spark, d).join(marks, "hit_id").withColumn("is_tp", F.col("toxic") == 1).drop("toxic"))
     return V.label_hits(swept, V.cutoffs(swept)).filter("not above_noise").groupBy("model").agg(F.count("*").alias("n"))
 
 
@@ -1173,22 +1224,21 @@ def r9_tree_annotation(spark, d):
 
 @query(
     sql(
-        "members",
-        "SELECT 'grp0' AS level, genome_id, domain, len(proteins) AS n FROM pam UNION ALL SELECT 'grp1', genome_id, domain, count(DISTINCT protein_id) FROM members WHERE score > 40000 GROUP BY genome_id, domain",
-        **PAM,
+        "members best_members",
+        "SELECT 'grp0' AS level, genome_id, domain, count(DISTINCT protein_id) AS n FROM best_members GROUP BY genome_id, domain UNION ALL SELECT 'grp1', genome_id, domain, count(DISTINCT protein_id) FROM members GROUP BY genome_id, domain",
     )
 )
 def r10_presence_by_level(spark, d):
-    refs, members = _refs(spark, d)
-    wider = members.filter("score > 40000").select("domain", "protein_id").distinct()
+    members = A.members(spark, d)
+    refs, wider = A.best_members(spark, d).select("domain", "protein_id"), members.select("domain", "protein_id").distinct()
     level = lambda name, r: P.presence(r, members).select(F.lit(name).alias("level"), "genome_id", "domain", F.size("proteins").cast("long").alias("n"))
     return level("grp0", refs).unionByName(level("grp1", wider))
 
 
-@query(sql("members", "SELECT DISTINCT protein_id, genome_id, domain FROM members WHERE protein_id IN (SELECT protein_id FROM members WHERE score > 95000)"))
+@query(sql("members best_members", "SELECT DISTINCT protein_id, genome_id, domain FROM members WHERE protein_id IN (SELECT protein_id FROM best_members)"))
 def j6_genomes_and_domains(spark, d):
     members = A.members(spark, d)
-    wanted = members.filter("score > 95000").select("protein_id").distinct()
+    wanted = A.best_members(spark, d).select("protein_id").distinct()
     return members.join(wanted, "protein_id", "left_semi").select("protein_id", "genome_id", "domain").distinct()
 
 
@@ -1221,7 +1271,7 @@ def w8_numbered_queries(spark, d):
 
 # ---- sources and sinks ---------------------------------------------------------------------------------------
 
-PATHS = "SELECT '/in/' || CASE WHEN s_suppkey % 2 = 0 THEN 'a/' ELSE 'b/' END || 'GCF' || (s_suppkey // 3) || '.1.' || CASE s_suppkey % 3 WHEN 0 THEN 'faa' WHEN 1 THEN 'gff' ELSE 'fna' END || CASE WHEN s_nationkey % 2 = 0 THEN '.gz' ELSE '' END AS path, 'GCF' || (s_suppkey // 3) AS genome_id, s_suppkey % 3 AS k FROM supplier WHERE s_nationkey % 5 <> 0"
+PATHS = "SELECT '/in/' || CASE WHEN s_suppkey % 2 = 0 THEN 'a/' ELSE 'b/' END || 'GCF' || (s_suppkey // 3) || '.1.' || CASE s_suppkey % 3 WHEN 0 THEN 'faa' WHEN 1 THEN 'gff' ELSE 'fna' END || CASE WHEN s_nationkey % 2 = 0 THEN '.gz' ELSE '' END AS path, 'GCF' || (s_suppkey // 3) AS genome_id, s_suppkey % 3 AS k FROM supplier"
 
 
 @query(sql("", "SELECT genome_id, f.path AS faa, g.path AS gff FROM (SELECT * FROM p WHERE k = 0) f JOIN (SELECT * FROM p WHERE k = 1) g USING (genome_id)", p=PATHS))
@@ -1231,7 +1281,7 @@ def io5_input_pairs(spark, d):
     folder = F.when(F.col("s_suppkey") % 2 == 0, "a/").otherwise("b/")
     gz = F.when(F.col("s_nationkey") % 2 == 0, ".gz").otherwise("")
     path = F.concat(F.lit("/in/"), folder, F.lit("GCF"), F.floor(F.col("s_suppkey") / 3).cast("string"), F.lit(".1."), kind, gz)
-    files = A.table(spark, d, "supplier").filter("s_nationkey % 5 <> 0").select(path.alias("path"))
+    files = A.table(spark, d, "supplier").select(path.alias("path"))
     return sources.input_pairs(sources.with_kind(files))[0]
 
 
@@ -1241,7 +1291,7 @@ def io6_global_ids(spark, d):
     return sources.global_ids(docs).select("seq_id", F.md5("sequence").alias("digest"))
 
 
-@query(sql("", "SELECT keyword, array_to_string(pattern, ',') AS items FROM patterns", patterns=PATTERNS))
+@query(sql("", "SELECT keyword, array_to_string(pattern, ',') AS items FROM patterns", **PATTERN_TABLES))
 def io8_pattern_items(spark, d):
     return sources.pattern_items(_patterns(spark, d)).select("keyword", _text("items").alias("items"))
 
@@ -1269,10 +1319,10 @@ def io11_drop_keywords(spark, d):
     return sinks.drop_keywords(A.keywords(spark, d), "csb-", "LOW")
 
 
-@query(sql("members", "SELECT CASE WHEN score > 90000 THEN 'renamed' ELSE domain END AS domain, count(*) AS n FROM (SELECT DISTINCT protein_id, domain, score FROM members) GROUP BY 1"))
+@query(sql("members best_members", "SELECT CASE WHEN protein_id IN (SELECT protein_id FROM best_members) THEN 'renamed' ELSE domain END AS domain, count(*) AS n FROM (SELECT DISTINCT protein_id, domain, score FROM members) GROUP BY 1"))
 def io12_rename_domain(spark, d):
     rows = A.members(spark, d).select("protein_id", "domain", "score").distinct()
-    return sinks.rename_domain(rows, rows.filter("score > 90000"), "renamed").groupBy("domain").agg(F.count("*").alias("n"))
+    return sinks.rename_domain(rows, A.best_members(spark, d), "renamed").groupBy("domain").agg(F.count("*").alias("n"))
 
 
 @query(sql("refs", "SELECT family AS domain, protein_id, md5(text) AS digest FROM refs JOIN documents ON doc_id = protein_id WHERE family IN (SELECT family FROM refs GROUP BY 1 HAVING count(*) >= 40)"))
@@ -1289,6 +1339,128 @@ def io14_domain_sequences(spark, d):
     return sinks.domain_sequences(members, docs.select("genome_id", "protein_id", "sequence"), None, "en").select("genome_id", "protein_id", F.md5("sequence").alias("digest"))
 
 
+def _written(spark, lines, name):
+    """Lines as text files below the shared folder."""
+    path = M.scratch(spark, name)
+    lines.select("value").write.text(path)
+    return path
+
+
+def _line(*columns):
+    return F.concat_ws("\t", *(F.col(c).cast("string") for c in columns)).alias("value")
+
+
+@query(sql("hits", "SELECT hit_id, query_id, evalue, bitscore, sstart, send, pident, 1.0::DOUBLE AS bsr, count(*) AS n FROM hits GROUP BY ALL"))
+def io1_read_hits(spark, d):
+    """Hits are written as a table of seven columns, between comments and broken lines, and read back."""
+    lines = A.hits(spark, d).select(_line("hit_id", "query_id", "evalue", "bitscore", "sstart", "send", "pident"))
+    noise = A.table(spark, d, "nation").select(F.explode(F.array(F.concat(F.lit("# "), "n_name"), F.col("n_name"), F.concat_ws("\t", *([F.col("n_name")] * 7)))).alias("value"))
+    read = sources.read_hits(spark, _written(spark, lines.unionByName(noise), "hits"))
+    names = ["hit_id", "query_id", "evalue", "bitscore", F.col("sstart").cast("long").alias("sstart"), F.col("send").cast("long").alias("send"), "pident", "bsr"]
+    return read.groupBy(*names).agg(F.count("*").alias("n"))
+
+
+@query("SELECT CAST(doc_id AS VARCHAR) AS protein_id, md5(regexp_replace(coalesce(text, ''), '[^A-Za-z]', '', 'g')) AS digest FROM documents WHERE regexp_matches(text, '[A-Za-z]')")
+def io2_read_fasta(spark, d):
+    """The letters of texts are written as FASTA in lines of 60 and read back."""
+    letters = F.regexp_replace("text", "[^A-Za-z]", "")
+    wrapped = F.regexp_replace(letters, "(.{60})", "$1\n")
+    records = A.table(spark, d, "documents").filter(F.col("text").rlike("[A-Za-z]")).select(F.concat(F.lit(">"), "doc_id", F.lit(" of "), "lang", F.lit("\n"), wrapped).alias("value"))
+    return sources.read_fasta(spark, _written(spark, records, "fasta")).select("protein_id", F.md5("sequence").alias("digest"))
+
+
+@query(sql("genes", "SELECT protein_id::VARCHAR AS protein_id, 'c' || contig AS contig, (start_pos % 1000000)::INTEGER AS start_pos, (start_pos % 1000000 + 60)::INTEGER AS end_pos, CASE WHEN score >= 50 THEN '+' ELSE '-' END AS strand, 'L' || protein_id AS locus_tag FROM genes"))
+def io3_read_gff(spark, d):
+    """Genes are written as GFF, with comments and features without an id, and read back."""
+    genes = A.genes(spark, d)
+    start = F.col("start_pos") % 1_000_000
+    notes = F.concat(F.lit("ID=cds-"), "protein_id", F.lit(";note=x;locus_tag=L"), "protein_id")
+    strand = F.when(F.col("score") >= 50, "+").otherwise("-")
+    whole = F.concat_ws("\t", F.concat(F.lit("c"), "contig"), F.lit("src"), F.lit("CDS"), start, start + 60, F.lit("."), strand, F.lit("0"), notes)
+    nameless = F.concat_ws("\t", F.concat(F.lit("c"), "contig"), F.lit("src"), F.lit("gene"), start, start + 60, F.lit("."), strand, F.lit("0"), F.lit("note=y"))
+    lines = genes.select(F.explode(F.array(whole, nameless, F.lit("##gff-version 3"))).alias("value"))
+    return sources.read_gff(spark, _written(spark, lines, "gff")).drop("genome_id")
+
+
+@query(sql("genes", "SELECT 'c' || contig || '_' || protein_id AS protein_id, 'c' || contig AS contig, (start_pos % 1000000)::INTEGER AS start_pos, (start_pos % 1000000 + 60)::INTEGER AS end_pos, CASE WHEN score >= 50 THEN '+' ELSE '-' END AS strand, 'c' || contig || '_' || protein_id AS locus_tag FROM genes"))
+def io4_header_features(spark, d):
+    """Genes are written as a gene caller's FASTA, and their places are read from the headers."""
+    start = F.col("start_pos") % 1_000_000
+    head = F.concat_ws(" # ", F.concat(F.lit(">c"), "contig", F.lit("_"), "protein_id"), start, start + 60, F.when(F.col("score") >= 50, "1").otherwise("-1"), F.lit("ID=1"))
+    records = A.genes(spark, d).select(F.concat(head, F.lit("\nMKV")).alias("value"))
+    return sources.features_from_headers(sources.read_fasta(spark, _written(spark, records, "called"))).drop("genome_id")
+
+
+@query(sql("gene_lists", "SELECT types[1] AS keyword, array_to_string(list_sort(list_distinct(types)), ',') AS pattern FROM gene_lists QUALIFY row_number() OVER (PARTITION BY types[1] ORDER BY cluster_id) = 1"))
+def io7_read_patterns(spark, d):
+    """Gene lists are written in order, named after their first gene, and read back: of one name the first line stays."""
+    lines = A.gene_lists(spark, d).orderBy("cluster_id").select(F.concat_ws("\t", F.get("types", F.lit(0)), F.array_join("types", "\t")).alias("value"))
+    return sources.read_patterns(spark, _written(spark, lines, "patterns")).select("keyword", _text("pattern").alias("pattern"))
+
+
+@query(sql("genes", "SELECT count(*) AS count, len(list_sort(neighbourhood)) AS size, array_to_string(list_sort(neighbourhood), ' ') AS composition FROM hoods GROUP BY list_sort(neighbourhood)", **HOODS))
+def io15_composition_report(spark, d):
+    """The report of compositions is written as a table and read back."""
+    path = M.scratch(spark, "compositions")
+    sinks.write_table(sinks.composition_report(_hoods(spark, d)), path)
+    return spark.read.option("sep", "\t").option("header", True).schema("count long, size long, composition string").csv(path)
+
+
+@query(sql("", "SELECT pattern[1] AS group_id, array_to_string(list(keyword ORDER BY keyword), ' ') AS keywords, array_to_string(list_sort(list_distinct(flatten(list(pattern)))), ' ') AS items FROM patterns GROUP BY pattern[1]", **PATTERN_TABLES))
+def io15_grouped_patterns(spark, d):
+    """The report of grouped patterns, here by their first item, is written as a table and read back."""
+    patterns = _patterns(spark, d)
+    path = M.scratch(spark, "grouped")
+    sinks.write_table(sinks.grouped_pattern_report(patterns, patterns.select("keyword", F.get("pattern", F.lit(0)).alias("group_id"))), path)
+    return spark.read.option("sep", "\t").option("header", True).schema("group_id string, keywords string, items string").csv(path)
+
+
+# ---- streams ----------------------------------------------------------------------------------------------------
+
+
+def _stream(spark, d):
+    """The events as a stream of files."""
+    rows = A.table(spark, d, "events")
+    found = spark.readStream.schema(rows.schema).option("recursiveFileLookup", "true").option("maxFilesPerTrigger", 64).parquet(f"{d}/events.parquet*")
+    return found.withColumn("ts", F.col("ts").cast("timestamp"))
+
+
+@query("SELECT event_id AS hit_id, event_type AS query_id, value * 4 AS bitscore, value / 50 AS bsr FROM events WHERE value * 4 >= 100")
+def t1_ingest(spark, d):
+    """A stream of hits, filtered and scored, against a static table of queries."""
+    hits = _stream(spark, d).select(
+        F.col("event_id").alias("hit_id"), F.col("event_type").alias("query_id"), F.lit(1e-9).alias("evalue"), (F.col("value") * 4).alias("bitscore"),
+        F.lit(1).alias("sstart"), F.lit(80).alias("send"), F.lit(10.0).alias("pident"), F.lit(None).cast("double").alias("bsr"),
+    )
+    known = A.table(spark, d, "events").select(F.col("event_type").alias("query_id")).distinct().select("query_id", F.lit(100).alias("length"), F.lit(200.0).alias("self_score"))
+    found = streaming.ingest_hits(hits, known).select("hit_id", "query_id", "bitscore", "bsr")
+    return streaming.drained(found, M.scratch(spark, "ingested"))
+
+
+@query("SELECT DISTINCT user_id, event_type FROM events")
+def t2_first_of_key(spark, d):
+    return streaming.drained(streaming.first_of_key(_stream(spark, d).select("user_id", "event_type", "ts"), ["user_id", "event_type"]), M.scratch(spark, "firsts")).select("user_id", "event_type")
+
+
+@query(
+    "WITH marked AS (SELECT user_id, ts, CASE WHEN ts - lag(ts) OVER w < INTERVAL 3 HOUR THEN 0 ELSE 1 END AS fresh FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), "
+    "runs AS (SELECT user_id, ts, sum(fresh) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS run FROM marked), "
+    "sessions AS (SELECT user_id, min(ts) AS first, max(ts) AS final, count(*) AS n FROM runs GROUP BY user_id, run) "
+    "SELECT user_id, epoch_us(first) AS first_us, n FROM sessions WHERE n >= 2 AND epoch_ms(final) + 3 * 3600000 <= (SELECT epoch_ms(max(ts)) FROM events) - 3600000"
+)
+def t3_gap_sessions(spark, d):
+    """Sessions that the watermark, an hour behind the last event, has closed."""
+    found = streaming.gap_sessions(_stream(spark, d), "user_id", "ts", "3 hours")
+    return streaming.drained(found, M.scratch(spark, "sessions")).select("user_id", F.unix_micros("begin").alias("first_us"), "n")
+
+
+@query("SELECT event_type, count(*) AS n, min(value) AS lower, max(value) AS upper FROM events GROUP BY 1")
+def t4_running_limits(spark, d):
+    """The last update of each key."""
+    rows = streaming.drained(streaming.running_limits(_stream(spark, d), "event_type", "value"), M.scratch(spark, "limits"), "update")
+    return rows.groupBy("event_type").agg(F.max(F.struct("batch", "n", "lower", "upper")).alias("m")).select("event_type", "m.n", "m.lower", "m.upper")
+
+
 # ---- plans ------------------------------------------------------------------------------------------------------
 
 
@@ -1299,7 +1471,16 @@ def c3_group_keywords(spark, d):
     return group_keywords(_stats(spark, d))
 
 
-@query()
+SEED_GROUPS = dict(
+    QUERYS,
+    good="SELECT * FROM stats WHERE keyword IN (SELECT keyword FROM stats LEFT JOIN query USING (domain) GROUP BY keyword HAVING max(n) >= 10 AND (bool_or(coalesce(median_score >= query_score * 0.7, false)) OR NOT starts_with(keyword, 'csb-')))",
+    passing="SELECT keyword, domain FROM good JOIN query USING (domain) WHERE max_score >= query_score * 0.7",
+    combined="SELECT DISTINCT m.domain, m.protein_id FROM keywords k JOIN members m USING (cluster_id) JOIN passing p ON p.keyword = k.keyword AND p.domain = m.domain",
+    kept="SELECT * FROM combined WHERE domain IN (SELECT c.domain FROM combined c JOIN members m USING (protein_id) WHERE m.genome_id <> 7)",
+)
+
+
+@query(sql("members keywords", "SELECT domain, count(*) AS n FROM (SELECT domain, protein_id FROM kept UNION SELECT domain, protein_id FROM members WHERE genome_id = 7 AND domain IN (SELECT domain FROM kept)) GROUP BY 1", **SEED_GROUPS))
 def c4_seed_groups(spark, d):
     from locusflow.plans import seed_groups
 
@@ -1307,7 +1488,7 @@ def c4_seed_groups(spark, d):
     return seed_groups(A.keywords(spark, d), members, 7).groupBy("domain").agg(F.count("*").alias("n"))
 
 
-@query()
+@query(sql("", "SELECT cluster_id, min(start_pos) AS lo, max(end_pos) AS hi, array_to_string(list(domain ORDER BY start_pos, protein_id), ',') AS types FROM island_members GROUP BY cluster_id", genes=A.CTE["genes"] + " WHERE value * 4 >= 100", **ISLANDS))
 def c7_hits_to_islands(spark, d):
     from locusflow.plans import hits_to_islands
 
@@ -1317,8 +1498,8 @@ def c7_hits_to_islands(spark, d):
         "protein_id",
         F.concat_ws("___", "domain", F.col("protein_id") % 7).alias("query_id"),
         F.lit(1e-9).alias("evalue"),
-        (F.col("score") + 100).alias("bitscore"),
-        F.lit(90.0).alias("pident"),
+        (F.col("score") * 4).alias("bitscore"),
+        F.lit(20.0).alias("pident"),
         F.lit(1).alias("sstart"),
         F.lit(100).alias("send"),
         F.lit(None).cast("double").alias("bsr"),
@@ -1328,7 +1509,16 @@ def c7_hits_to_islands(spark, d):
     return found.select("cluster_id", "lo", "hi", _text("types").alias("types"))
 
 
-@query()
+CLOSED = dict(
+    GAPPED,
+    merged="SELECT DISTINCT CASE WHEN pattern <= list_reverse(pattern) THEN pattern ELSE list_reverse(pattern) END AS pattern, cluster_id FROM support",
+    sets="SELECT pattern, list(cluster_id ORDER BY cluster_id) AS clusters FROM merged GROUP BY pattern",
+    closed="SELECT pattern, clusters FROM sets QUALIFY row_number() OVER (PARTITION BY clusters ORDER BY len(pattern) DESC, pattern DESC) = 1",
+    named="SELECT 'csb-' || row_number() OVER (ORDER BY len(pattern), pattern) || '_' AS keyword, clusters FROM closed",
+)
+
+
+@query(recursive(sql("gene_lists", "SELECT keyword, count(DISTINCT cluster) AS n FROM (SELECT keyword, unnest(replicates) AS cluster FROM (SELECT keyword, unnest(clusters) AS cluster_id FROM named) JOIN derep USING (cluster_id)) GROUP BY keyword", **CLOSED)))
 def c8_islands_to_keywords(spark, d):
     from locusflow.plans import islands_to_keywords
 
@@ -1341,3 +1531,56 @@ def c9_scores_to_reports(spark, d):
     from locusflow.plans import scores_to_reports
 
     return scores_to_reports(A.scores(spark, d))["cutoffs"].select("model", "optimized", "trusted", "noise", r6("mcc").alias("mcc"))
+
+
+SYNTENY = dict(
+    PATTERN_TABLES,
+    members=A.CTE["carriers"],
+    refset="SELECT DISTINCT domain, protein_id FROM members QUALIFY score >= quantile_cont(score, 0.5) OVER (PARTITION BY domain)",
+    items="SELECT keyword, unnest(pattern) AS item FROM patterns",
+    whole="SELECT DISTINCT a.item AS domain, b.item FROM items a JOIN items b USING (keyword)",
+    like_domain="SELECT domain, keyword FROM (SELECT w.domain, i.keyword, (SELECT count(*) FROM whole x WHERE x.domain = w.domain) AS nd, (SELECT count(*) FROM items x WHERE x.keyword = i.keyword) AS nk, count(*) AS common FROM whole w JOIN items i USING (item) GROUP BY ALL) WHERE common::DOUBLE / (nd + nk - common) >= 0.1",
+    keywords="SELECT f.cluster_id, p.keyword FROM (SELECT DISTINCT cluster_id, array_to_string(types[i:i + 2], '-') AS keyword FROM (SELECT cluster_id, types, unnest(range(1, len(types) - 1)) AS i FROM filtered)) f JOIN patterns p USING (keyword)",
+    wider="SELECT DISTINCT m.domain, m.protein_id FROM members m JOIN keywords k USING (cluster_id) JOIN like_domain l ON l.keyword = k.keyword AND l.domain = m.domain",
+    pam="SELECT DISTINCT m.genome_id, r.domain FROM refset r JOIN members m USING (protein_id)",
+    sample="SELECT t.domain AS target, c.genome_id, c.domain FROM pam t JOIN pam c USING (genome_id)",
+    totals="SELECT target, count(DISTINCT genome_id) AS n_train FROM sample GROUP BY 1",
+    counts="SELECT target, domain AS feature, count(*) AS n FROM sample WHERE domain <> target GROUP BY ALL HAVING count(*) >= 2",
+    strong="SELECT target, feature, -ln(1 - greatest(1e-12, least(1 - 1e-12, (n + 1.0::DOUBLE) / (n_train + 2.0::DOUBLE)))) AS strength FROM counts JOIN totals USING (target)",
+    model="SELECT target, feature, strength / sum(strength) OVER (PARTITION BY target) AS weight FROM strong",
+    present="SELECT m.target, p.genome_id, 2 * sum(m.weight) - 1 AS balance FROM model m JOIN pam p ON p.domain = m.feature GROUP BY ALL",
+    best="SELECT genome_id, domain, protein_id FROM members WHERE score / 100000 >= 0.3 QUALIFY row_number() OVER (PARTITION BY genome_id, domain ORDER BY score DESC, protein_id) = 1",
+    plausible="SELECT b.domain, b.protein_id FROM best b JOIN present a ON a.genome_id = b.genome_id AND a.target = b.domain WHERE a.balance >= -0.7",
+)
+
+
+def _extension(spark, d):
+    """Patterns, the lists that hold them, proteins of orders, and the better half of each domain as reference set."""
+    members = A.carriers(spark, d).withColumn("bsr", F.col("score") / 100000)
+    half = members.groupBy("domain").agg(F.median("score").alias("half"))
+    refs = members.join(half, "domain").filter("score >= half").select("domain", "protein_id").distinct()
+    at = F.sequence(F.lit(1), F.size("types") - 2)
+    named = _lists(spark, d).filter(F.size("types") > 2).select("cluster_id", F.explode(F.array_distinct(F.transform(at, lambda i: F.array_join(F.slice("types", i, 3), "-")))).alias("keyword"))
+    patterns = _patterns(spark, d)
+    return refs, patterns, named.join(patterns.select("keyword"), "keyword", "left_semi"), members
+
+
+@query(sql("", "SELECT domain, count(*) AS n FROM (SELECT * FROM refset UNION SELECT * FROM wider UNION SELECT * FROM plausible) GROUP BY 1", **SYNTENY))
+def c5_extend_by_synteny(spark, d):
+    from locusflow.plans import extend_by_synteny
+
+    refs, patterns, keywords, members = _extension(spark, d)
+    return extend_by_synteny(refs, patterns, keywords, members, similarity=0.1, cutoff=-0.7, limit=None).groupBy("domain").agg(F.count("*").alias("n"))
+
+
+@query()
+def c6_extend_by_clusters(spark, d):
+    """Documents as proteins: the domain is the source, the genome the language, the neighbourhood the source and language."""
+    from locusflow.plans import extend_by_clusters
+
+    docs = A.table(spark, d, "documents")
+    members = docs.select(F.col("lang").alias("genome_id"), F.col("doc_id").alias("protein_id"), F.col("source").alias("domain"), F.col("n_chars").cast("double").alias("score"), F.lit(1.0).alias("bsr"))
+    good = A.references(spark, d).select("protein_id")
+    refs = members.join(good, "protein_id", "left_semi").select("domain", "protein_id").distinct()
+    hoods = docs.select(F.col("doc_id").alias("protein_id"), F.array("source", "lang").alias("neighbourhood"))
+    return extend_by_clusters(refs, _texts(spark, d), hoods, members, cutoff=0.0)

@@ -66,10 +66,9 @@ def resolve_overlaps(hits: DataFrame, keys: list[str], order: list[str], best_fi
         loses = F.exists(kept, lambda k: overlaps(k) & (k["score"] >= new["score"])) if not force else F.lit(False)
         return F.when(loses, kept).otherwise(F.concat(F.filter(kept, lambda k: ~overlaps(k)), F.array(new)))
 
-    by_start = F.transform(
-        F.array_sort(F.transform(F.aggregate("plain", F.array().cast(kind), add), lambda d: F.struct(d["start"].alias("s"), d.alias("d")))),
-        lambda x: x["d"],
-    )
+    # a protein with one hit needs no fold
+    folded_hits = F.when(F.size("plain") == 1, F.col("plain")).otherwise(F.aggregate("plain", F.array().cast(kind), add))
+    by_start = F.transform(F.array_sort(F.transform(folded_hits, lambda d: F.struct(d["start"].alias("s"), d.alias("d")))), lambda x: x["d"])
     return folded.withColumn("plain", plain).select(*keys, by_start.alias("domains"))
 
 

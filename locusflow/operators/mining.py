@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import re
+import tempfile
 import uuid
+from functools import lru_cache
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from locusflow.functions import canonical, jaccard
@@ -14,20 +16,28 @@ from locusflow.functions import canonical, jaccard
 def saved(df: DataFrame, name: str) -> DataFrame:
     """A table in the session's shared folder: cuts the lineage and survives lost executors."""
     spark = df.sparkSession
-    root = shared_folder(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex}"
+    path = scratch(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that ``spark.checkpoint.dir`` names; a temporary one where none is set, in local mode."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root or (root == "/tmp/checkpoints" and spark.sparkContext.master.startswith("local[")):
-        import tempfile
+@lru_cache(maxsize=1)
+def _local_folder() -> str:
+    return tempfile.mkdtemp(prefix="spark-")
+
 
-        root = tempfile.mkdtemp(prefix="spark-")
-    return root.rstrip("/")
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new path below the folder that ``spark.checkpoint.dir`` names.
+
+    Where none is set (or Spark's own default), one temporary folder of the
+    process serves in local mode; elsewhere that is an error.
+    """
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root or root == "/tmp/checkpoints":
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = _local_folder()
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
 def filter_lists(lists: DataFrame, min_types: int = 3, max_length: int = 40, max_repeats: int = 2) -> DataFrame:
@@ -64,10 +74,12 @@ def bigrams(lists: DataFrame, genes: DataFrame) -> DataFrame:
 
 def next_match(lists: DataFrame, pairs: DataFrame) -> DataFrame:
     """(cluster_id, pos, b, next): for each position of ``a`` the first later position of ``b``, for observed pairs (a, b)."""
-    own = positions(lists)
-    later = own.select("cluster_id", F.col("gene").alias("b"), F.col("pos").alias("at"))
-    joined = own.withColumnRenamed("gene", "a").join(later, "cluster_id").filter("at > pos").join(pairs, ["a", "b"])
-    return joined.groupBy("cluster_id", "pos", "b").agg(F.min("at").alias("next"))
+    # each list is looked through on its own: the genes after a position, and where each of them comes first
+    rest = F.transform("types", lambda x, i: F.struct(i.alias("pos"), x.alias("a"), F.slice("types", i + 2, F.greatest(F.size("types") - i - 1, F.lit(0))).alias("rest")))
+    own = lists.filter(F.size("types") > 0).select("cluster_id", F.explode(rest).alias("p")).select("cluster_id", "p.*")
+    later = own.select("cluster_id", "pos", "a", "rest", F.explode(F.array_distinct("rest")).alias("b"))
+    found = later.select("cluster_id", "pos", "a", "b", (F.col("pos") + F.array_position("rest", F.col("b"))).cast("int").alias("next"))
+    return found.join(pairs, ["a", "b"], "left_semi").select("cluster_id", "pos", "b", "next")
 
 
 def sublists(lists: DataFrame, genes: DataFrame, min_length: int = 2, max_length: int = 40) -> DataFrame:
@@ -135,62 +147,60 @@ def closed_patterns(support: DataFrame) -> DataFrame:
 
 
 def similar_patterns(patterns: DataFrame, min_similarity: float = 0.0) -> DataFrame:
-    """Pairs of patterns (keyword a < b) that share an item, with their Jaccard similarity as sets."""
-    items = patterns.select("keyword", F.explode(F.array_distinct("pattern")).alias("item"))
-    sizes = patterns.select("keyword", F.size(F.array_distinct("pattern")).alias("n"))
-    a = items.select(F.col("keyword").alias("a"), "item")
-    b = items.select(F.col("keyword").alias("b"), "item")
-    common = a.join(b, "item").filter("a < b").groupBy("a", "b").agg(F.count("*").alias("common"))
-    joined = common.join(sizes.select(F.col("keyword").alias("a"), F.col("n").alias("na")), "a").join(sizes.select(F.col("keyword").alias("b"), F.col("n").alias("nb")), "b")
-    similarity = F.col("common") / (F.col("na") + F.col("nb") - F.col("common"))
-    return joined.select("a", "b", similarity.alias("similarity")).filter(F.col("similarity") >= min_similarity)
+    """Pairs of patterns (keyword a < b) that share an item, with their Jaccard similarity as sets.
+
+    Sets that are similar enough share one of their rarest items (so many that
+    the rest alone could not make the similarity), and their sizes are near:
+    only such pairs meet. Without a least similarity all items count.
+    """
+    sets = patterns.select("keyword", F.array_sort(F.array_distinct("pattern")).alias("items"))
+    items = sets.select("keyword", F.size("items").alias("n"), F.explode("items").alias("item"))
+    rare = items.groupBy("item").agg(F.count("*").alias("f"))
+    ranked = items.join(rare, "item").groupBy("keyword", "n").agg(F.array_sort(F.collect_list(F.struct("f", "item"))).alias("by"))
+    head = ranked.select("keyword", "n", F.explode(F.slice("by", 1, F.col("n") - F.ceil(F.col("n") * min_similarity - 1e-9).cast("int") + 1)).alias("h"))
+    head = head.select("keyword", "n", F.col("h.item").alias("item"))
+    left = head.select(F.col("keyword").alias("a"), F.col("n").alias("na"), "item")
+    right = head.select(F.col("keyword").alias("b"), F.col("n").alias("nb"), "item")
+    near = F.least("na", "nb") >= F.greatest("na", "nb") * min_similarity - 1e-9
+    pairs = left.join(right, "item").filter((F.col("a") < F.col("b")) & near).select("a", "b").distinct()
+    both = pairs.join(sets.select(F.col("keyword").alias("a"), F.col("items").alias("x")), "a").join(sets.select(F.col("keyword").alias("b"), F.col("items").alias("y")), "b")
+    return both.select("a", "b", jaccard("x", "y").alias("similarity")).filter((F.col("similarity") >= min_similarity) & (F.col("similarity") > 0))
 
 
 def number_patterns(patterns: DataFrame, prefix: str = "csb-", suffix: str = "_") -> DataFrame:
     """``keyword``: numbers in order of (length, pattern); equal patterns share one."""
-    n = F.dense_rank().over(Window.partitionBy(F.lit(0)).orderBy(F.size("pattern"), "pattern"))
-    return patterns.withColumn("keyword", F.concat(F.lit(prefix), n.cast("string"), F.lit(suffix)))
+    from locusflow.operators.ranges import numbered
+
+    different = patterns.select("pattern").distinct().withColumn("_n", F.size("pattern"))
+    named = numbered(different, [F.col("_n").asc(), F.col("pattern").asc()]).select("pattern", F.concat(F.lit(prefix), F.col("rank").cast("string"), F.lit(suffix)).alias("keyword"))
+    return patterns.join(named, "pattern")
 
 
 def group_patterns(patterns: DataFrame, distance: float) -> DataFrame:
-    """Groups of patterns (keyword, group_id) by average linkage at a Jaccard distance.
+    """Groups of patterns (keyword, group_id) by average linkage at a Jaccard distance, named after their smallest keyword.
 
-    Linkage only joins patterns of one block of the graph of pairs nearer than
-    the distance, so blocks are found first and each is grouped alone.
+    A round merges every pair of groups that are each other's nearest one (ties:
+    the smaller names), if their mean distance is within the limit. With average
+    linkage such merges don't disturb each other, so rounds end where single
+    merges would. Pairs without a common item have distance 1; they add nothing
+    to the sum of similarities, which is what the pair table holds.
     """
-    pairs = similar_patterns(patterns, 1 - distance).select("a", "b")
-    blocks = _blocks(patterns.select("keyword"), pairs)
-    sized = patterns.join(blocks, "keyword")
-
-    def link(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("keyword", ignore_index=True)
-        sets = [frozenset(p) for p in rows["pattern"]]
-        groups: list[list[int]] = [[i] for i in range(len(sets))]
-        far = lambda a, b: 1 - len(sets[a] & sets[b]) / max(1, len(sets[a] | sets[b]))
-        while len(groups) > 1:
-            best = min(
-                ((sum(far(i, j) for i in a for j in b) / (len(a) * len(b)), x, y) for x, a in enumerate(groups) for y, b in enumerate(groups) if x < y),
-            )
-            if best[0] > distance:
-                break
-            groups[best[1]] += groups.pop(best[2])
-        name = {i: rows["keyword"][min(g)] for g in groups for i in g}
-        return pd.DataFrame({"keyword": rows["keyword"], "group_id": [name[i] for i in range(len(sets))]})
-
-    return sized.groupBy("block").applyInPandas(link, "keyword string, group_id string")
-
-
-def _blocks(nodes: DataFrame, pairs: DataFrame) -> DataFrame:
-    """(keyword, block): connected blocks, named after their smallest member."""
-    both = saved(pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"))), "pairs")
-    label = nodes.withColumn("block", F.col("keyword"))
+    sized = saved(patterns.select(F.col("keyword").alias("group_id")).groupBy("group_id").agg(F.count("*").alias("n")), "groups")
+    label = saved(patterns.select("keyword", F.col("keyword").alias("group_id")), "labels")
+    sums = saved(similar_patterns(patterns).select("a", "b", F.col("similarity").alias("s")), "sums")
     while True:
-        near = both.join(label.withColumnRenamed("keyword", "b"), "b").groupBy("a").agg(F.min("block").alias("near"))
-        new = label.join(near.withColumnRenamed("a", "keyword"), "keyword", "left")
-        new = saved(new.select("keyword", "block", F.least("block", F.coalesce("near", "block")).alias("new")), "blocks")
-        label = new.select("keyword", F.col("new").alias("block"))
-        if new.filter("new <> block").isEmpty():
+        own = lambda side: sized.select(F.col("group_id").alias(side), F.col("n").alias("n" + side))
+        mean = sums.join(own("a"), "a").join(own("b"), "b").withColumn("mean", F.col("s") / (F.col("na") * F.col("nb"))).filter(F.col("mean") >= 1 - distance - 1e-9)
+        sides = mean.select("a", "b", "mean", F.explode(F.array("a", "b")).alias("group_id"))
+        first = sides.groupBy("group_id").agg(F.min(F.struct((-F.col("mean")).alias("d"), "a", "b")).alias("m")).select("group_id", "m.a", "m.b")
+        merged = saved(first.groupBy("a", "b").agg(F.count("*").alias("n")).filter("n = 2").select("a", "b"), "merges")
+        if merged.isEmpty():
             return label
+        rename = lambda rows, c: rows.join(merged.select(F.col("b").alias(c), F.col("a").alias("_to")), c, "left").withColumn(c, F.coalesce("_to", c)).drop("_to")
+        label = saved(rename(label, "group_id"), "labels")
+        sized = saved(rename(sized, "group_id").groupBy("group_id").agg(F.sum("n").alias("n")), "groups")
+        moved = rename(rename(sums, "a"), "b").filter("a <> b")
+        sums = saved(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("s").alias("s")), "sums")
 
 
 def clusters_of(keywords: DataFrame, support: DataFrame, derep: DataFrame) -> DataFrame:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from locusflow.operators.ranges import numbered
+
 
 def name_islands(found: DataFrame, patterns: DataFrame, min_completeness: float = 0.5, min_types: int = 1, exact: bool = False) -> DataFrame:
     """(cluster_id, keyword, completeness, missing, additional) for islands ``(cluster_id, types)`` and patterns ``(keyword, pattern)``.
@@ -29,12 +31,12 @@ def item_frequency(patterns: DataFrame) -> DataFrame:
 
 def item_rank(patterns: DataFrame) -> DataFrame:
     """Rank of items, the rarest first, then by name."""
-    return item_frequency(patterns).withColumn("rank", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("n", "item")))
+    return numbered(item_frequency(patterns), [F.col("n").asc(), F.col("item").asc()])
 
 
 def rarest_item_candidates(found: DataFrame, patterns: DataFrame) -> DataFrame:
     """(cluster_id, keyword): islands that hold a pattern's rarest item."""
-    ranked = patterns.select("keyword", F.explode("pattern").alias("item")).distinct().join(F.broadcast(item_rank(patterns)), "item")
-    head = ranked.groupBy("keyword").agg(F.min_by("item", "rank").alias("item"))
+    counted = patterns.select("keyword", F.explode("pattern").alias("item")).distinct().join(item_frequency(patterns), "item")
+    head = counted.groupBy("keyword").agg(F.min(F.struct("n", "item")).alias("m")).select("keyword", "m.item")
     have = found.select("cluster_id", F.explode(F.array_distinct("types")).alias("item"))
     return have.join(head, "item").select("cluster_id", "keyword")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusflow.operators.mining import saved
+
 
 def presence(refset: DataFrame, proteins: DataFrame) -> DataFrame:
     """(genome_id, domain, proteins): which proteins of a reference set each genome has."""
@@ -49,11 +51,13 @@ def positive_sample(refset: DataFrame, proteins: DataFrame, limit: int | None =
     genome and seed (sampling is the feature; None takes all).
     """
     carried = proteins.select("protein_id", "genome_id").distinct().join(refset.select("domain", "protein_id").distinct(), "protein_id").select("genome_id", "domain").distinct()
-    targets = carried.withColumnRenamed("domain", "target")
+    # a genome's domains are one short list, so its pairs are made without a join
+    lists = carried.groupBy("genome_id").agg(F.collect_list("domain").alias("domains"))
+    targets = lists.select("genome_id", F.explode("domains").alias("target"), "domains")
     if limit is not None:
         order = Window.partitionBy("target").orderBy(F.xxhash64("genome_id", F.lit(seed)), "genome_id")
         targets = targets.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= limit).drop("_n")
-    return targets.join(carried, "genome_id").select("target", "genome_id", "domain")
+    return targets.select("target", "genome_id", F.explode("domains").alias("domain"))
 
 
 def support_model(sample: DataFrame, alpha: float = 1.0, min_genomes: int = 2) -> DataFrame:
@@ -69,18 +73,24 @@ def support_model(sample: DataFrame, alpha: float = 1.0, min_genomes: int = 2) -
     return strong.withColumn("weight", F.col("strength") / F.sum("strength").over(Window.partitionBy("target")))
 
 
+def present_balance(model: DataFrame, presence_rows: DataFrame) -> DataFrame:
+    """(target, genome_id, balance) where a genome has any feature of the target; elsewhere the balance is -1."""
+    present = presence_rows.select("genome_id", F.col("domain").alias("feature")).distinct()
+    found = model.join(present, "feature").groupBy("target", "genome_id").agg(F.sum("weight").alias("w"))
+    return found.select("target", "genome_id", (2 * F.col("w") - 1).alias("balance"))
+
+
 def balance(model: DataFrame, presence_rows: DataFrame, genomes: DataFrame) -> DataFrame:
     """(target, genome_id, balance): weight of the features present less that of those absent, in -1..1.
 
-    A target without features has balance 0 in every genome.
+    This is the dense report, a row for each target and genome. The model's
+    targets are handed to each genome as one list, and the list taken apart.
     """
-    present = presence_rows.select("genome_id", F.col("domain").alias("feature")).distinct()
-    found = model.join(present, "feature").groupBy("target", "genome_id").agg(F.sum("weight").alias("w"))
-    targets = model.select("target").distinct()
-    # targets are domains: few, and counted by the model's own rows
-    pairs = genomes.select("genome_id").distinct().join(targets, F.lit(True))
-    joined = pairs.join(found, ["target", "genome_id"], "left")
-    return joined.select("target", "genome_id", (2 * F.coalesce("w", F.lit(0.0)) - 1).alias("balance"))
+    targets = model.select("target").distinct().agg(F.collect_list("target").alias("targets"))
+    one = genomes.select("genome_id").distinct().withColumn("_k", F.lit(0))
+    pairs = one.join(F.broadcast(targets.withColumn("_k", F.lit(0))), "_k").select("genome_id", F.explode("targets").alias("target"))
+    joined = pairs.join(present_balance(model, presence_rows), ["target", "genome_id"], "left")
+    return joined.select("target", "genome_id", F.coalesce("balance", F.lit(-1.0)).alias("balance"))
 
 
 def best_hits(hits: DataFrame, min_bsr: float = 0.3) -> DataFrame:
@@ -90,9 +100,9 @@ def best_hits(hits: DataFrame, min_bsr: float = 0.3) -> DataFrame:
 
 
 def plausible_hits(hits: DataFrame, model: DataFrame, presence_rows: DataFrame, cutoff: float = 0.8, min_bsr: float = 0.3) -> DataFrame:
-    """Best hits whose genome supports the domain."""
+    """Best hits whose genome supports the domain; the cutoff is above -1, so only genomes with a feature count."""
     best = best_hits(hits, min_bsr)
-    scored = balance(model, presence_rows, best).filter(F.col("balance") >= cutoff).withColumnRenamed("target", "domain")
+    scored = present_balance(model, presence_rows).filter(F.col("balance") >= cutoff).withColumnRenamed("target", "domain")
     return best.join(scored, ["genome_id", "domain"]).select("genome_id", "domain", "protein_id", "score", "balance")
 
 
@@ -112,7 +122,7 @@ def logistic_models(pam: DataFrame, scores: DataFrame, domains: list[str]) -> Da
     from pyspark.ml.classification import LogisticRegression
     from pyspark.ml.feature import VectorAssembler
 
-    wide = score_matrix(pam, scores, domains, "avg").persist()
+    wide = saved(score_matrix(pam, scores, domains, "avg"), "score-matrix")
     rows = []
     counts = wide.agg(F.count("*").alias("n"), *(F.sum(f"`{d}_present`").alias(d) for d in domains)).first()
     for d in domains:
@@ -122,7 +132,6 @@ def logistic_models(pam: DataFrame, scores: DataFrame, domains: list[str]) -> Da
         data = VectorAssembler(inputCols=features, outputCol="features").transform(wide).select("features", F.col(f"`{d}_present`").cast("double").alias("label"))
         fitted = LogisticRegression(maxIter=50, regParam=0.01).fit(data)
         rows += [(d, f, float(c)) for f, c in zip(features, fitted.coefficients.toArray(), strict=True)] + [(d, "intercept", float(fitted.intercept))]
-    wide.unpersist()
     return pam.sparkSession.createDataFrame(rows, "target string, feature string, coefficient double")
 
 

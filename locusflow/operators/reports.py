@@ -17,8 +17,9 @@ def roc_points(swept: DataFrame, cuts: DataFrame) -> DataFrame:
     points = swept.groupBy("model", "bitscore").agg(F.avg(fpr).alias("fpr"), F.avg(tpr).alias("tpr"))
     names = ("optimized", "trusted", "noise")
     joined = points.join(cuts.select("model", *names), "model")
-    own = Window.partitionBy("model")
-    marks = [F.when(F.col("bitscore") == F.min(F.when(F.col("bitscore") >= F.col(n), F.col("bitscore"))).over(own), F.lit(n)) for n in names]
+    nearest = joined.groupBy("model").agg(*(F.min(F.when(F.col("bitscore") >= F.col(n), F.col("bitscore"))).alias(f"at_{n}") for n in names))
+    joined = joined.join(nearest, "model")
+    marks = [F.when(F.col("bitscore") == F.col(f"at_{n}"), F.lit(n)) for n in names]
     return joined.select("model", "bitscore", "fpr", "tpr", F.concat_ws(",", *marks).alias("marks"))
 
 

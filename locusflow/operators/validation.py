@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusflow.functions import balanced_accuracy, f1, mcc
+from locusflow.operators.ranges import running
 
 EXTRA_TN = 0.6
 
@@ -71,15 +72,14 @@ def sweep(scores: DataFrame, true_negatives: DataFrame | None = None) -> DataFra
 
     Of a hit that is there twice the better row stays; ties go by hit. TN starts
     at ``true_negatives(model, n)``, else at the hits that are no true positive.
+    The counts run over ranges of scores, so a model's hits need not fit a task.
     """
     by_hit = Window.partitionBy("model", "hit_id").orderBy(F.desc("bitscore"))
     once = scores.withColumn("_n", F.row_number().over(by_hit)).filter("_n = 1").drop("_n")
     totals = once.groupBy("model").agg(F.count_if("is_tp").alias("all_tp"), F.count_if(~F.col("is_tp")).alias("all_tn"))
     if true_negatives is not None:
         totals = totals.drop("all_tn").join(true_negatives.withColumnRenamed("n", "all_tn"), "model")
-    order = Window.partitionBy("model").orderBy(F.desc("bitscore"), "hit_id").rowsBetween(Window.unboundedPreceding, 0)
-    rank = F.row_number().over(Window.partitionBy("model").orderBy(F.desc("bitscore"), "hit_id"))
-    run = once.withColumn("rank", rank).withColumn("tp", F.sum(F.col("is_tp").cast("long")).over(order)).withColumn("fp", F.col("rank") - F.col("tp"))
+    run = running(once, ["model"], [F.desc("bitscore"), F.col("hit_id").asc()], {"tp": F.col("is_tp")}).withColumn("fp", F.col("rank") - F.col("tp"))
     run = run.join(totals, "model").withColumn("fn", F.col("all_tp") - F.col("tp")).withColumn("tn", F.col("all_tn") - F.col("fp"))
     return run.withColumn("mcc", mcc(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")))
 
@@ -120,10 +120,11 @@ def label_hits(swept: DataFrame, cuts: DataFrame, extra: float = EXTRA_TN) -> Da
 
 def folds(refs: DataFrame, k: int = 5) -> DataFrame:
     """(family, protein_id, fold): contiguous folds of n div k in order of id; the rest has fold k and is never held out."""
-    order = Window.partitionBy("family").orderBy("protein_id")
-    numbered = refs.distinct().withColumn("_n", F.row_number().over(order)).withColumn("_size", F.floor(F.count("*").over(Window.partitionBy("family")) / k))
-    fold = F.when(F.col("_size") == 0, F.lit(k)).otherwise(F.least(F.floor((F.col("_n") - 1) / F.greatest(F.col("_size"), F.lit(1))), F.lit(k)))
-    return numbered.select("family", "protein_id", fold.cast("int").alias("fold"))
+    rows = refs.select("family", "protein_id").distinct()
+    sizes = rows.groupBy("family").agg(F.floor(F.count("*") / k).alias("_size"))
+    ordered = running(rows, ["family"], [F.col("protein_id").asc()]).join(sizes, "family")
+    fold = F.when(F.col("_size") == 0, F.lit(k)).otherwise(F.least(F.floor((F.col("rank") - 1) / F.greatest(F.col("_size"), F.lit(1))), F.lit(k)))
+    return ordered.select("family", "protein_id", fold.cast("int").alias("fold"))
 
 
 def fold_summary(fold_cutoffs: DataFrame, floor: float = 10.0) -> DataFrame:

@@ -49,12 +49,12 @@ def seed_groups(keywords: DataFrame, members: DataFrame, query_genome, singleton
     return whole if singletons is None else U.overwrite(whole, singletons)
 
 
-def extend_by_synteny(refset: DataFrame, patterns: DataFrame, keywords: DataFrame, members: DataFrame, sequences: DataFrame | None = None, similarity: float = 0.7, cutoff: float = 0.8) -> DataFrame:
+def extend_by_synteny(refset: DataFrame, patterns: DataFrame, keywords: DataFrame, members: DataFrame, sequences: DataFrame | None = None, similarity: float = 0.7, cutoff: float = 0.8, limit: int | None = 1000) -> DataFrame:
     """The second sets: members of patterns like a domain's own, plausible hits by co-occurrence, and clusters that hold a reference."""
     wanted = P.similar_to_domain(patterns, similarity).select("domain", "keyword")
     wider = S.extend_by_keywords(refset, wanted, keywords, members)
     pam = P.presence(refset, members)
-    model = P.support_model(P.positive_sample(refset, members))
+    model = P.support_model(P.positive_sample(refset, members, limit))
     plausible = P.plausible_hits(members, model, pam, cutoff)
     joined = U.union(wider, plausible)
     if sequences is None:
@@ -65,9 +65,13 @@ def extend_by_synteny(refset: DataFrame, patterns: DataFrame, keywords: DataFram
     return U.union(joined, found)
 
 
-def extend_by_clusters(refset: DataFrame, sequences: DataFrame, neighbourhoods: DataFrame, members: DataFrame, density: float = 0.1, fraction: float = 0.01) -> DataFrame:
-    """The third sets: clusters at 40 % with enough references, and new members whose neighbourhood is part of a reference's."""
-    clusters = K.cluster(sequences, identity=0.4)
+def extend_by_clusters(
+    refset: DataFrame, sequences: DataFrame, neighbourhoods: DataFrame, members: DataFrame, density: float = 0.1, fraction: float = 0.01, least: float = 0.0001, cutoff: float | None = 0.8, identity: float = 0.4
+) -> DataFrame:
+    """The third sets: clusters with enough references; all clusters with at least ``least`` of a domain's references;
+    new members of a reference's cluster whose neighbourhood is part of a reference's; and, with a ``cutoff``, best
+    hits in clusters with a reference whose genome supports the domain by co-occurrence."""
+    clusters = K.cluster(sequences, identity=identity)
     owners = members.select(F.col("protein_id").alias("member_id"), F.col("domain").alias("family")).distinct()
     by_family = clusters.join(owners, "member_id").select("family", "rep_id", "member_id")
     refs = refset.select(F.col("domain").alias("family"), "protein_id")
@@ -75,7 +79,13 @@ def extend_by_clusters(refset: DataFrame, sequences: DataFrame, neighbourhoods:
     candidates = V.with_reference(by_family, refs).select(F.col("family").alias("domain"), F.col("member_id").alias("protein_id"))
     around = lambda rows: rows.join(neighbourhoods.select("protein_id", "neighbourhood"), "protein_id")
     vicinity = J.subset_neighbourhoods(around(U.difference(candidates, refset)), around(refset.select("domain", "protein_id")))
-    return U.union(chosen, vicinity)
+    wide = V.select_clusters(by_family, refs, 0.0, least).withColumnRenamed("family", "domain")
+    whole = U.union(U.union(chosen, vicinity), wide)
+    if cutoff is None:
+        return whole
+    model = P.support_model(P.positive_sample(refset, members))
+    plausible = P.plausible_hits(members, model, P.presence(refset, members), cutoff)
+    return U.union(whole, plausible.join(candidates, ["domain", "protein_id"], "left_semi"))
 
 
 def scores_to_reports(scores: DataFrame) -> dict[str, DataFrame]:

@@ -106,11 +106,16 @@ def global_ids(sequences: DataFrame) -> DataFrame:
 
 
 def read_patterns(spark: SparkSession, path: str) -> DataFrame:
-    """(keyword, pattern) of lines ``name TAB item TAB ...``; empty ones go, of equal names the first in text order stays."""
-    parts = spark.read.text(path).select(F.filter(F.transform(F.split("value", "\t"), lambda x: F.trim(x)), lambda x: x != "").alias("p")).filter(F.size("p") > 1)
-    rows = parts.select(F.get("p", F.lit(0)).alias("keyword"), F.array_sort(F.array_distinct(F.slice("p", 2, 100_000))).alias("pattern"))
-    order = Window.partitionBy("keyword").orderBy("pattern")
-    return rows.withColumn("_n", F.row_number().over(order)).filter("_n = 1").drop("_n")
+    """(keyword, pattern) of lines ``name TAB item TAB ...``; empty ones go, of equal names the first in the files stays.
+
+    Files go by their names. A line's place is its split's offset and its number
+    within the split, so no line waits for another and names are only compared.
+    """
+    items = F.filter(F.transform(F.split("value", "\t"), lambda x: F.trim(x)), lambda x: x != "")
+    lines = spark.read.text(path).select("_metadata.file_path", "_metadata.file_block_start", F.monotonically_increasing_id().alias("line"), items.alias("p"))
+    parts = lines.filter(F.size("p") > 1)
+    rows = parts.select(F.get("p", F.lit(0)).alias("keyword"), F.struct("file_path", "file_block_start", "line").alias("place"), F.array_sort(F.array_distinct(F.slice("p", F.lit(2), F.size("p")))).alias("pattern"))
+    return rows.groupBy("keyword").agg(F.min_by("pattern", "place").alias("pattern"))
 
 
 def pattern_items(patterns: DataFrame) -> DataFrame:

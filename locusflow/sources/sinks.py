@@ -39,11 +39,14 @@ def training_sequences(refset: DataFrame, sequences: DataFrame, min_seqs: int =
     A group above ``max_seqs + hard_cap`` is a sample of ``max_seqs``, in order
     of a hash of protein and seed (sampling is the feature).
     """
-    joined = refset.select("domain", "protein_id").distinct().join(sequences.select("protein_id", "sequence"), "protein_id")
-    sizes = joined.groupBy("domain").agg(F.count("*").alias("_size")).filter(F.col("_size") >= min_seqs)
+    there = refset.select("domain", "protein_id").distinct().join(sequences.select("protein_id"), "protein_id")
+    sizes = there.groupBy("domain").agg(F.count("*").alias("_size")).filter(F.col("_size") >= min_seqs)
+    sized = there.join(sizes, "domain")
+    # only ids are ranked, and only in groups that are sampled; each task ranks its own rows first
     order = Window.partitionBy("domain").orderBy(F.xxhash64("protein_id", F.lit(seed)), "protein_id")
-    ranked = joined.join(sizes, "domain").withColumn("_n", F.row_number().over(order))
-    return ranked.filter((F.col("_size") <= max_seqs + hard_cap) | (F.col("_n") <= max_seqs)).select("domain", "protein_id", "sequence")
+    large = sized.filter(F.col("_size") > max_seqs + hard_cap).withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= max_seqs)
+    chosen = sized.filter(F.col("_size") <= max_seqs + hard_cap).select("domain", "protein_id").unionByName(large.select("domain", "protein_id"))
+    return chosen.join(sequences.select("protein_id", "sequence"), "protein_id").select("domain", "protein_id", "sequence")
 
 
 def domain_sequences(members: DataFrame, sequences: DataFrame, domain: str | None = None, query_genome="QUERY") -> DataFrame:
@@ -58,6 +61,21 @@ def write_fasta(rows: DataFrame, path: str, group: str = "domain") -> None:
     rows.select(F.col(group).alias("group"), record.alias("value")).write.partitionBy("group").text(path)
 
 
+def composition_report(neighbourhoods: DataFrame, as_set: bool = False) -> DataFrame:
+    """(count, size, composition): neighbourhoods as texts with their counts, for ``write_table``."""
+    from locusflow.operators.neighbours import compositions
+
+    found = compositions(neighbourhoods, as_set)
+    return found.select(F.col("n").alias("count"), F.size("composition").alias("size"), "composition")
+
+
+def grouped_pattern_report(patterns: DataFrame, groups: DataFrame) -> DataFrame:
+    """(group_id, keywords, patterns): one line for each group of patterns, its members and all their items."""
+    joined = patterns.join(groups, "keyword")
+    items = F.array_sort(F.array_distinct(F.flatten(F.collect_list("pattern"))))
+    return joined.groupBy("group_id").agg(F.array_sort(F.collect_set("keyword")).alias("keywords"), items.alias("items"))
+
+
 def write_table(rows: DataFrame, path: str) -> None:
     """Tab-separated text with a header; arrays are joined by blanks."""
     flat = [F.array_join(c, " ").alias(c) if kind.startswith("array") else F.col(c) for c, kind in rows.dtypes]
