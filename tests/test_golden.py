@@ -188,7 +188,7 @@ def test_readers(spark, tmp_path):
     (tmp_path / "G1.faa").write_text(">p1 # 3 # 90 # 1 # ID=1_1\nMKV\nLLA\n>p2_7 # 100 # 190 # -1 # x\nMM\n")
     (tmp_path / "G1.gff").write_text("##gff\nc1\tx\tCDS\t3\t90\t.\t+\t0\tID=cds-p1;locus_tag=L1\nc1\tx\tCDS\tbad\t90\t.\t+\t0\tID=p9\nshort\n")
     (tmp_path / "G1.tab").write_text("# c\np1\tq___1\t1e-9\t120.5\t1\t90\t88.1\np2\tq___2\t1e-9\tbad\t1\t90\t88.1\np3\tq\t1e-3\t50\t1\t9\t30\t0.5\n\nx\ty\n")
-    (tmp_path / "patterns.txt").write_text("K1\ta\tb\ta\nK2\n\nK1\tz\n")
+    (tmp_path / "patterns.txt").write_text("K1\tz\tb\tz\nK2\n\nK1\ta\n")
     (tmp_path / "tax.tsv").write_text("G1\td__B;p__P;c__C;o__O;f__F;g__G;s__G s\nG2\tp__P2\n")
     seqs = sources.read_fasta(spark, str(tmp_path / "G1.faa"))
     assert [(r.genome_id, r.protein_id, r.sequence) for r in seqs.orderBy("protein_id").collect()] == [("G1", "p1", "MKVLLA"), ("G1", "p2_7", "MM")]
@@ -196,7 +196,7 @@ def test_readers(spark, tmp_path):
     assert made == {"p1": ("p1", 3, 90, "+"), "p2_7": ("p2", 100, 190, "-")}
     assert [tuple(r) for r in sources.read_gff(spark, str(tmp_path / "G1.gff")).collect()] == [("G1", "p1", "c1", 3, 90, "+", "L1")]
     assert sorted((r.hit_id, r.bsr) for r in sources.read_hits(spark, str(tmp_path / "G1.tab")).collect()) == [("p1", 1.0), ("p3", 0.5)]
-    assert [(r.keyword, r.pattern) for r in sources.read_patterns(spark, str(tmp_path / "patterns.txt")).collect()] == [("K1", ["a", "b"])]
+    assert [(r.keyword, r.pattern) for r in sources.read_patterns(spark, str(tmp_path / "patterns.txt")).collect()] == [("K1", ["b", "z"])]
     tax = {r.genome_id: (r.phylum, r.species) for r in sources.read_taxonomy(spark, str(tmp_path / "tax.tsv")).collect()}
     assert tax == {"G1": ("P", "G_s"), "G2": ("P2", "NA")}
     files = sources.list_files(spark, str(tmp_path))

@@ -27,6 +27,19 @@ def test_running_limits(spark, tmp_path):
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, streaming.running_limits(rows, "event_type", "value").collect()))
 
 
+def test_limits_in_update_mode(spark, tmp_path):
+    rows, stream = source(spark, tmp_path)
+    out = streaming.drained(streaming.running_limits(stream, "event_type", "value"), str(tmp_path / "out"), "update")
+    last = out.groupBy("event_type").agg(F.max(F.struct("batch", "n", "lower", "upper")).alias("m")).select("event_type", "m.n", "m.lower", "m.upper")
+    assert sorted(map(tuple, last.collect())) == sorted(map(tuple, streaming.running_limits(rows, "event_type", "value").collect()))
+
+
+def test_first_of_key_within_the_watermark(spark, tmp_path):
+    rows, stream = source(spark, tmp_path)
+    got = streaming.drained(streaming.first_of_key(stream, ["user_id", "event_type"], "ts", "3650 days"), str(tmp_path / "out"))
+    assert got.count() == rows.select("user_id", "event_type").distinct().count() and got.columns == rows.columns
+
+
 def test_first_of_key(spark, tmp_path):
     rows, stream = source(spark, tmp_path)
     got = drained(streaming.first_of_key(stream, ["user_id", "event_type"]), "firsts", "append")
