@@ -2,7 +2,11 @@
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame; its result is
 written as Parquet and read again as the next stage's documents. All stages but
-the last return the columns of documents.
+the last return the columns of documents, whatever these are called.
+
+Defined cases, for every stage: texts of any length count whole; a null id is an
+id like others; an empty table stays empty; nulls in columns that a stage does
+not read change nothing. Null and empty texts go in the language stage.
 """
 
 from __future__ import annotations
@@ -18,27 +22,38 @@ from locusflow.llm.suffix_dedup import remove_repeats
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a known main language stay."""
+    """Documents with a known main language stay.
+
+    Null and empty texts, and texts without a letter, have none. Repeated rows stay or go together.
+    """
     return keep_identified(docs)
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents within the compression bands stay."""
+    """Documents within the compression bands stay; each row is judged by its own text, null counts as empty and goes."""
     return keep_good(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates stays."""
+    """One document of each group of near-duplicates stays, the one with the smallest id.
+
+    Rows that repeat id and text are one document; of texts with one id the first by hash stays; null and empty texts
+    are one group.
+    """
     return keep_first(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages of 200 bytes and more that occur again anywhere are taken out."""
+    """Passages of 200 bytes and more that occur again anywhere are taken out; all rows stay.
+
+    Null texts stay null; of repeated rows each loses its text from 200 bytes on.
+    """
     return remove_repeats(docs)
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents packed into sequences of the permitted lengths."""
+    """Documents packed into sequences of the permitted lengths; null and empty texts are one end mark, repeated rows are
+    packed each, equal lengths go in order of id."""
     return pack(docs)
 
 
