@@ -57,8 +57,9 @@ SIMILARITY = 0.8
 SAMPLE = 16
 COMMON = 8
 COMMON_ROWS = 200_000
+SKETCH_BITS = 2048
 #: Rounds of step 2 of ``similar_classes``.
-STARS = 2
+STARS = 1
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 
 
@@ -332,11 +333,17 @@ def heads(sets: list[np.ndarray], similarity: float, tokens: np.ndarray, counts:
     return out
 
 
-PRINTS = "doc_id long, tk long, fp long, sk long, n long, head array<long>"
+def parity(values: np.ndarray) -> np.ndarray:
+    """The parity sketch of different hashes: each turns one of ``SKETCH_BITS`` bits."""
+    odd = np.bincount(values & (SKETCH_BITS - 1), minlength=SKETCH_BITS).astype(np.uint8) & 1
+    return np.packbits(odd, bitorder="little").view("<i8")
+
+
+PRINTS = "doc_id long, tk long, fp long, sk long, n long, head array<long>, sketch array<long>"
 
 
 def sketches(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
-    """PRINTS of ``source(doc_id, tk, text)``: fingerprint, hash and size of the shingle set, and its head, of every row."""
+    """PRINTS of ``source(doc_id, tk, text)``: fingerprint, and hash, size, head and parity sketch of the shingle set, of every row."""
     common = source.sparkSession.sparkContext.broadcast(common_shingles(source, shingle))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -347,14 +354,15 @@ def sketches(source: DataFrame, shingle: int, similarity: float) -> DataFrame:
             sk = np.array([xxhash.xxh64_intdigest(x.tobytes(), SEED) for x in sets], np.uint64).view(np.int64)
             n = pa.array([len(x) for x in sets], pa.int64())
             first = lists_of(heads(sets, similarity, *common.value))
-            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(fps), pa.array(sk), n, first], names=["doc_id", "tk", "fp", "sk", "n", "head"])
+            sketch = lists_of([parity(x) for x in sets])
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(fps), pa.array(sk), n, first, sketch], names=["doc_id", "tk", "fp", "sk", "n", "head", "sketch"])
 
     return source.select("doc_id", "tk", "text").mapInArrow(run, PRINTS)
 
 
 @dataclass(frozen=True)
 class Classes:
-    """Texts by their shingle sets: ``table(sk, doc_id, tk, fp, n, head)`` has one row for each different set."""
+    """Texts by their shingle sets: ``table(sk, doc_id, tk, fp, n, head, sketch)`` has one row for each different set."""
 
     table: DataFrame
     #: (doc_id, tk, text) of all rows
@@ -362,77 +370,94 @@ class Classes:
     shingle: int
     similarity: float
 
-    def wanted(self, common):
+    def wanted(self, common: Column) -> Column:
         """Whether so many common shingles are enough for sets of ``na`` and ``nb``."""
         return common >= (F.col("na") + F.col("nb") - common) * self.similarity - 1e-9
 
+    def near(self, pairs: DataFrame) -> DataFrame:
+        """Of the pairs (a, b, na, nb) those whose parity sketches differ in no more bits than similar sets differ in shingles.
+
+        A shingle turns one bit of its set's sketch, so every bit that differs stands for a shingle that only one has.
+        """
+        for x in "ab":
+            pairs = pairs.join(self.table.select(F.col("sk").alias(x), F.col("sketch").alias("s" + x)), x)
+        apart = F.aggregate(F.zip_with("sa", "sb", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda t, x: t + x)
+        return pairs.filter(apart <= (F.col("na") + F.col("nb")) * ((1 - self.similarity) / (1 + self.similarity)) + 1e-9).select("a", "b")
+
+    def useful(self) -> Column:
+        """Whether a shared shingle at ``pa`` and ``pb`` in the heads can be the first that two similar sets share."""
+        return self.wanted(F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")))
+
     def verified(self, pairs: DataFrame) -> DataFrame:
         """The pairs (a, b) whose whole shingle sets have at least the similarity (Jaccard)."""
-        sized = pairs.distinct()
-        for side in "ab":
-            sized = sized.join(self.table.select(F.col("sk").alias(side), F.col("n").alias("n" + side), F.col("head").alias("h" + side)), side)
-        # beyond the shingles that the heads share, at most the rest of the set whose head ends first is common
-        rest = F.greatest(F.ceil(F.col("na") * self.similarity - 1e-9), F.ceil(F.col("nb") * self.similarity - 1e-9)) - 1
-        likely = sized.filter((F.col("na") > 0) & (F.col("nb") > 0) & self.wanted(F.least(F.col("na"), F.col("nb")))).filter(self.wanted(F.size(F.array_intersect("ha", "hb")) + rest))
-        likely = saved(likely.select("a", "b", "na", "nb"), "likely")
-        nodes = likely.select(F.col("a").alias("sk")).unionByName(likely.select(F.col("b").alias("sk"))).distinct()
-        rows = saved(nodes.join(self.table.select("sk", "doc_id", "tk"), "sk"), "nodes")
+        pairs = saved(pairs.select("a", "b").distinct(), "candidates")
+        nodes = pairs.select(F.col("a").alias("sk")).unionByName(pairs.select(F.col("b").alias("sk"))).distinct()
+        rows = saved(nodes.join(self.table.select("sk", "doc_id", "tk", "n"), "sk").filter("n > 0").select("sk", "doc_id", "tk"), "nodes")
         # keys only; shuffled, with the texts, beyond the counted bound
         rows = F.broadcast(rows) if rows.count() <= BROADCAST_ROWS else rows
         sets = saved(sets_of(self.source.join(rows, ["doc_id", "tk"]).dropDuplicates(["sk"]), self.shingle), "sets")
-        both = likely.join(sets.select(F.col("sk").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("sk").alias("b"), F.col("set").alias("sb")), "b")
-        return both.filter(self.wanted(F.size(F.array_intersect("sa", "sb")))).select("a", "b")
-
-    def useful(self) -> Column:
-        """Whether a shared shingle at ``pa`` and ``pb`` in the heads can be the first that two similar sets share."""
-        left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-        return self.wanted(left)
+        both = pairs.join(sets.select(F.col("sk").alias("a"), F.col("set").alias("sa")), "a").join(sets.select(F.col("sk").alias("b"), F.col("set").alias("sb")), "b")
+        sized = both.withColumn("na", F.size("sa")).withColumn("nb", F.size("sb"))
+        return sized.filter(self.wanted(F.size(F.array_intersect("sa", "sb")))).select("a", "b")
 
 
-def rooted(rows: DataFrame, found: DataFrame, name: str) -> DataFrame:
+def rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
     """``rows(token, sk, n, pos)`` of shingles that lie in several components, with each class's ``root``."""
-    named = saved(rows.join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")), name)
+    # keys only; shuffled beyond the counted bound
+    found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
+    # dealt out once, for the extremes and for the join
+    named = rows.join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")).repartition("token")
     parted = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token")
-    return saved(named.join(saved(parted, name), "token"), name)
+    return saved(named.join(parted, "token"), "heads")
+
+
+def star(rows: DataFrame, classes: Classes, turn: int) -> DataFrame:
+    """Candidates (a, b, na, nb), one for each class at most: of the first component's classes with a shingle one is the centre,
+    and a class goes with the centre that it shares the most shingles with."""
+    pick = F.xxhash64("sk", F.lit(turn))
+    centre = saved(rows.groupBy("token").agg(F.min(F.struct("root", pick.alias("h"), "sk", "n")).alias("c")).select("token", "c.root", F.col("c.sk").alias("a"), F.col("c.n").alias("na")), "centres")
+    met = rows.select("token", F.col("root").alias("own"), F.col("sk").alias("b"), F.col("n").alias("nb")).join(centre, "token").filter("own <> root")
+    # heads of similar sets have most shingles in common; a quarter is asked for, because a class is not the centre of all it has
+    enough = F.col("common") >= (F.least("na", "nb") * (1 - classes.similarity) + 1) / 4
+    counted = met.groupBy("b", "nb", "a", "na").agg(F.count("*").alias("common")).filter(enough & classes.wanted(F.least("na", "nb")))
+    return counted.groupBy("b", "nb").agg(F.max(F.struct("common", "a", "na")).alias("m")).select("m.a", "b", "m.na", "nb")
 
 
 def similar_classes(classes: Classes, radius: int) -> DataFrame:
     """(node, root): components of the classes whose shingle sets are similar enough.
 
     1. Fingerprints within the radius, by BK-trees, are the first candidates.
-    2. Similar sets share a shingle of their heads. For each shingle, every
-       component's first class is held against that of the first component.
-    3. What is still apart is compared with every class that it shares a
-       shingle of the heads with, as far as their sizes and places allow it.
+    2. Similar sets share a shingle of their heads. In star rounds every class
+       is held against one class of another component that shares many, as far
+       as their parity sketches allow the similarity.
+    3. All pairs of classes of different components that share a shingle of
+       their heads are candidates, if their sizes, the places of a common
+       shingle and their parity sketches allow the similarity.
 
     Every candidate is verified by the whole sets. Steps 1 and 2 link nearly all
     there is to link with one candidate a row, so that large groups of near
-    copies never meet pair by pair in step 3; step 3 makes the result exact.
+    copies are one component, and not paired, in step 3; step 3 makes the result
+    exact.
     """
     table = classes.table
     first = saved(table.groupBy("fp").agg(F.min("sk").alias("first_sk")), "fingerprints")
     linked = fingerprint_links(first.select("fp"), radius)
     ends = linked.join(first.select(F.col("fp").alias("a"), F.col("first_sk").alias("sa")), "a").join(first.select(F.col("fp").alias("b"), F.col("first_sk").alias("sb")), "b")
     same = table.select("sk", "fp").join(first, "fp").filter("sk <> first_sk").select(F.col("first_sk").alias("a"), F.col("sk").alias("b"))
-    near = saved(ends.select(F.col("sa").alias("a"), F.col("sb").alias("b")).unionByName(same), "near")
-    found = saved(connected_components(classes.verified(near)), "found")
+    edges = classes.verified(ends.select(F.col("sa").alias("a"), F.col("sb").alias("b")).unionByName(same))
+    found = saved(connected_components(edges), "found")
+    joined = lambda more: connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
     # dealt out once, for the counts and for the join
     head = table.select("sk", F.explode("head").alias("token")).repartition("token")
     several = head.groupBy("token").agg(F.min("sk").alias("low"), F.max("sk").alias("high")).filter("low <> high").select("token")
     shared = head.join(several, "token").join(table.select("sk", "n", "head"), "sk")
-    rows = rooted(shared.select("token", "sk", "n", (F.array_position("head", F.col("token")) - 1).alias("pos")), found, "heads")
-    for _ in range(STARS):
-        centre = saved(rows.groupBy("token").agg(F.min(F.struct("root", "sk", "n", "pos")).alias("c")), "centres")
-        own = rows.groupBy("token", "root").agg(F.min(F.struct("sk", "n", "pos")).alias("o"))
-        met = own.join(centre, "token").filter(F.col("root") != F.col("c.root"))
-        met = met.select(F.col("c.sk").alias("a"), F.col("o.sk").alias("b"), F.col("c.n").alias("na"), F.col("o.n").alias("nb"), F.col("c.pos").alias("pa"), F.col("o.pos").alias("pb"))
-        more = classes.verified(met.filter(classes.useful()).select("a", "b"))
-        found = saved(connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more)), "found")
-        rows = rooted(rows.select("token", "sk", "n", "pos"), found, "heads")
-    left, right = (rows.select("token", *(F.col(c).alias(x + side) for c, x in (("sk", ""), ("n", "n"), ("pos", "p"), ("root", "r"))) ) for side in "ab")
-    met = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & classes.useful())
-    more = classes.verified(met.select("a", "b"))
-    return connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
+    rows = rooted(shared.select("token", "sk", F.col("n").cast("int").alias("n"), (F.array_position("head", F.col("token")) - 1).cast("int").alias("pos")), found)
+    for turn in range(STARS):
+        found = saved(joined(classes.verified(classes.near(star(rows, classes, turn)))), "found")
+        rows = rooted(rows.select("token", "sk", "n", "pos"), found)
+    left, right = (rows.select("token", F.col("sk").alias(x), *(F.col(c).alias(k + x) for c, k in (("n", "n"), ("pos", "p"), ("root", "r")))) for x in "ab")
+    met = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & classes.wanted(F.least("na", "nb")) & classes.useful())
+    return joined(classes.verified(classes.near(met.select("a", "b", "na", "nb").distinct())))
 
 
 def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
@@ -450,7 +475,7 @@ def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str =
     source = small_batches(docs).select(keys[i].alias("doc_id"), keys[k].alias("tk"), column(text_col).cast("string").alias("text"))
     prints = saved(sketches(source, shingle, similarity), "prints")
     # classes of equal sets, each with its first row
-    least = F.min(F.struct("doc_id", "tk", "fp", "n", "head")).alias("m")
+    least = F.min(F.struct("doc_id", "tk", "fp", "n", "head", "sketch")).alias("m")
     classes = Classes(saved(prints.groupBy("sk").agg(least).select("sk", "m.*"), "classes"), source, shingle, similarity)
     linked = similar_classes(classes, radius)
     member = saved(classes.table.select("sk", "doc_id", "tk").join(linked.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")), "members")
