@@ -73,11 +73,33 @@ def op10_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return removal_digests(documents(spark, sf_dir))
 
 
+def op11_prefix_targets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.chat_prefixes import HOSTILE, HOSTILE_SCHEMA, round_trip
+
+    given = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
+    return round_trip(given.unionByName(spark.createDataFrame(HOSTILE, HOSTILE_SCHEMA)))
+
+
+def op12_filter_interactions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.filter_audit import interactions
+
+    return interactions(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from locusflow.llm.hard_negatives import hard_negatives
+
+    return hard_negatives(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and name[2].isdigit()}
 
 
 def oracle_sql() -> dict[str, str]:
+    from locusflow.llm.chat_prefixes import round_trip_sql
+    from locusflow.llm.filter_audit import interactions_sql
+    from locusflow.llm.hard_negatives import hard_negatives_sql
     from locusflow.llm.licenses import scan_sql
 
-    return {"op8_license_dice": scan_sql()}
+    return {"op8_license_dice": scan_sql(), "op11_prefix_targets": round_trip_sql(), "op12_filter_interactions": interactions_sql(), "op13_hard_negatives": hard_negatives_sql()}
