@@ -11,6 +11,7 @@ from locusflow.operators import naming as N
 from locusflow.operators import presence as P
 from locusflow.operators import ranges
 from locusflow.operators import similarity as K
+from locusflow.operators import skew
 from locusflow.sources import sinks
 
 
@@ -76,9 +77,11 @@ def grams(text, k):
     return {text[i : i + k] for i in range(len(text) - k + 1)}
 
 
-@pytest.mark.parametrize("bound", [2_000_000, 0])
-def test_search_equals_brute_force(spark, monkeypatch, bound):
-    monkeypatch.setattr(K, "BROADCAST_KMERS", bound)
+@pytest.mark.parametrize("bound, letters, least", [(2_000_000, 1 << 18, 10_000), (0, 1 << 18, 10_000), (2_000_000, 50, 3), (0, 7, 1)])
+def test_search_equals_brute_force(spark, monkeypatch, bound, letters, least):
+    monkeypatch.setattr(K, "BROADCAST_SEEDS", bound)
+    monkeypatch.setattr(K, "LETTERS", letters)
+    monkeypatch.setattr(skew, "LEAST_ROWS", least)
     rng = random.Random(5)
     words = ["".join(rng.choice("acgtnöß") for _ in range(9)) for _ in range(12)]
     text = lambda n: "".join(rng.choice(words) for _ in range(n))
@@ -94,6 +97,38 @@ def test_search_equals_brute_force(spark, monkeypatch, bound):
     assert got == want
 
 
+def test_seeds_are_the_same_wherever_a_kmer_is(spark):
+    rng = random.Random(15)
+    texts = [(i, "".join(rng.choice("acg") for _ in range(n))) for i, n in enumerate([0, 1, 5, 6, 7, 40, 40, 300])] + [(50, None)]
+    found = K.super_kmers(spark.createDataFrame(texts, "seq_id int, sequence string").coalesce(1), 6).collect()
+    for i, text in texts:
+        own = [r.piece[j : j + 6] for r in found if r.seq_id == i for j in range(len(r.piece) - 5)]
+        assert sorted(own) == sorted((text or "")[j : j + 6] for j in range(len(text or "") - 5))
+    of = {}
+    for r in found:
+        for j in range(len(r.piece) - 5):
+            assert of.setdefault(r.piece[j : j + 6], r.seed) == r.seed
+    assert len({r.seed for r in found}) < len(of)
+
+
+def test_hot_kmer_is_dealt_to_many_tasks(spark, monkeypatch):
+    """One k-mer in every target: its rows go to parts of about the size of the other keys' tasks, and none is lost."""
+    monkeypatch.setattr(skew, "LEAST_ROWS", 10)
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        rows = M.saved(spark.range(8000).select(F.col("id").alias("target_id"), F.when(F.col("id") % 2 == 0, "hot").otherwise(F.concat(F.lit("k"), F.col("id") % 997)).alias("kmer")), "hot")
+        hot = skew.hot_keys(rows, "kmer")
+        sizes = [r["count"] for r in skew.dealt(rows, hot, "kmer").repartition("kmer", "_salt").groupBy(F.spark_partition_id()).count().collect()]
+        assert max(sizes) <= 4 * sorted(sizes)[len(sizes) // 2]
+        other = spark.createDataFrame([("q", "hot"), ("r", "hot"), ("q", "k3")], "query_id string, kmer string")
+        assert skew.salted_join(rows, other, "kmer").count() == 2 * 4000 + rows.filter("kmer = 'k3'").count()
+        assert skew.salted_join(rows, other.select("kmer").distinct(), "kmer", "left_semi").count() == 4000 + rows.filter("kmer = 'k3'").count()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 def test_clusters_are_verified_on_all_kmers(spark):
     rng = random.Random(6)
     rows = []
