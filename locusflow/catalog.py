@@ -970,14 +970,14 @@ def v0_select_clusters(spark, d):
 @query(
     sql(
         "seq_clusters refs",
-        "SELECT family, max(f1) AS f1 FROM (SELECT family, x, y, round(2.0::DOUBLE * sum(n_ref) / (sum(n_ref) + sum(size) - sum(n_ref) + any_value(all_ref)), 9) AS f1 FROM metrics, x, y WHERE n_ref > 0 AND n_ref::DOUBLE / all_ref >= x - 1e-9 AND n_ref::DOUBLE / size >= y - 1e-9 GROUP BY family, x, y) GROUP BY family",
+        "SELECT family, arg_max(x, (f1, x, y)) AS fraction, arg_max(y, (f1, x, y)) AS density, round(max(f1), 9) AS f1 FROM (SELECT family, x, y, 2 * sum(n_ref)::DOUBLE / (sum(n_ref) + sum(size) - sum(n_ref) + any_value(all_ref)) AS f1 FROM metrics, x, y WHERE n_ref > 0 AND n_ref::DOUBLE / all_ref >= x AND n_ref::DOUBLE / size >= y GROUP BY family, x, y) GROUP BY family",
         **METRICS,
-        x="SELECT round(0.001 + 0.005 * i, 3) AS x FROM range(202) t(i)",
-        y="SELECT round(0.01 + 0.005 * i, 3) AS y FROM range(200) t(i)",
+        x="SELECT (1 + 5 * i) / 1000::DOUBLE AS x FROM range(202) t(i)",
+        y="SELECT (10 + 5 * i) / 1000::DOUBLE AS y FROM range(200) t(i)",
     )
 )
 def v0b_threshold_grid(spark, d):
-    return V.threshold_grid(A.seq_clusters(spark, d), A.references(spark, d)).select("family", F.round("f1", 9).alias("f1"))
+    return V.threshold_grid(A.seq_clusters(spark, d), A.references(spark, d)).select("family", "fraction", "density", F.round("f1", 9).alias("f1"))
 
 
 @query(sql("seq_clusters refs", "SELECT family, rep_id, member_id FROM seq_clusters WHERE (family, rep_id) IN (SELECT (family, rep_id) FROM metrics WHERE n_ref > 0)", **METRICS))
@@ -991,9 +991,10 @@ SWEEP = dict(
     matrix="SELECT model, hit_id, bitscore, is_tp, rank, tp::BIGINT AS tp, fp::BIGINT AS fp, (all_tp - tp)::BIGINT AS fn, (all_tn - fp)::BIGINT AS tn FROM counted",
     roots="SELECT *, sqrt((tp + fp)::DOUBLE * (tp + fn)::DOUBLE * (tn + fp)::DOUBLE * (tn + fn)::DOUBLE) AS root FROM matrix",
     swept="SELECT *, CASE WHEN root = 0 THEN 0.0 ELSE (tp::DOUBLE * tn::DOUBLE - fp::DOUBLE * fn::DOUBLE) / root END AS mcc FROM roots",
-    before_last="SELECT * FROM swept WHERE fn > 0 OR is_tp",
+    before_last="SELECT * FROM swept WHERE fn > 0 OR is_tp OR rank = 1",
     cuts="SELECT model, arg_max(bitscore, (mcc, -rank)) AS optimized, min(bitscore) FILTER (is_tp AND fp = 0) AS trusted, min(bitscore) AS noise, max(mcc) AS mcc, arg_max(tp, (mcc, -rank)) AS tp, arg_max(fp, (mcc, -rank)) AS fp, arg_max(fn, (mcc, -rank)) AS fn, arg_max(tn, (mcc, -rank)) AS tn FROM before_last GROUP BY model",
-    labelled="SELECT s.model, s.hit_id, s.bitscore, s.is_tp, s.rank, s.fn > 0 OR s.is_tp AS normal, c.optimized, c.trusted, c.noise FROM swept s JOIN cuts c USING (model) WHERE s.fn > 0 OR s.is_tp OR s.bitscore >= c.noise * 0.6",
+    last="SELECT model, arg_max((tp, fp, fn, tn), rank) AS m FROM before_last GROUP BY model",
+    labelled="SELECT s.model, s.hit_id, s.bitscore, s.is_tp, s.rank, b.rank IS NOT NULL AS normal, c.optimized, c.trusted, c.noise, coalesce(b.tp, m[1]) AS tp, coalesce(b.fp, m[2]) AS fp, coalesce(b.fn, m[3]) AS fn, coalesce(b.tn, m[4]) AS tn, coalesce(b.mcc, c.mcc) AS mcc FROM swept s JOIN cuts c USING (model) JOIN last USING (model) LEFT JOIN before_last b ON b.model = s.model AND b.rank = s.rank WHERE b.rank IS NOT NULL OR s.bitscore >= c.noise * 0.6",
 )
 
 
@@ -1011,14 +1012,20 @@ def v1_cutoffs(spark, d):
     return V.cutoffs(_sweep(spark, d)).withColumn("mcc", r6("mcc"))
 
 
+def _hit_report(spark, d):
+    swept = M.saved(_sweep(spark, d), "swept")
+    cuts = V.cutoffs(swept)
+    return V.label_hits(swept, cuts), cuts
+
+
 def _at(cut):
-    return f"CASE WHEN NOT normal THEN 'TN' WHEN coalesce(bitscore >= {cut}, false) THEN CASE WHEN is_tp THEN 'TP' ELSE 'FP' END WHEN is_tp THEN 'FN' ELSE 'TN' END"
+    return f"CASE WHEN NOT normal THEN 'TN' WHEN coalesce(bitscore >= {cut}, true) THEN CASE WHEN is_tp THEN 'TP' ELSE 'FP' END WHEN is_tp THEN 'FN' ELSE 'TN' END"
 
 
-@query(sql("scores", f"SELECT model, hit_id, {_at('optimized')} AS at_optimized, {_at('trusted')} AS at_trusted, {_at('noise')} AS at_noise, normal AS above_noise FROM labelled", **SWEEP))
+@query(sql("scores", f"SELECT model, hit_id, {_at('optimized')} AS at_optimized, {_at('trusted')} AS at_trusted, {_at('noise')} AS at_noise, normal AS above_noise, tp, fp, fn, tn, round(mcc, 6) AS mcc FROM labelled", **SWEEP))
 def v3_label_hits(spark, d):
-    swept = _sweep(spark, d)
-    return V.label_hits(swept, V.cutoffs(swept)).select("model", "hit_id", "at_optimized", "at_trusted", "at_noise", "above_noise")
+    found, _ = _hit_report(spark, d)
+    return found.select("model", "hit_id", "at_optimized", "at_trusted", "at_noise", "above_noise", "tp", "fp", "fn", "tn", r6("mcc").alias("mcc"))
 
 
 TOXIC_SCORES = A.CTE["scores"].replace("quality = 1", "toxic = 1")
@@ -1083,19 +1090,18 @@ def g9_sum_matrices(spark, d):
 @query(
     sql(
         "scores",
-        "SELECT model, bitscore, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr, concat_ws(',', CASE WHEN bitscore = min(bitscore) FILTER (bitscore >= optimized) OVER w THEN 'optimized' END, CASE WHEN bitscore = min(bitscore) FILTER (bitscore >= trusted) OVER w THEN 'trusted' END, CASE WHEN bitscore = min(bitscore) FILTER (bitscore >= noise) OVER w THEN 'noise' END) AS marks FROM (SELECT p.*, c.optimized, c.trusted, c.noise FROM points p JOIN cuts c USING (model)) WINDOW w AS (PARTITION BY model)",
+        "SELECT model, bitscore, round(fpr, 6) AS fpr, round(tpr, 6) AS tpr, concat_ws(',', CASE WHEN bitscore = min(bitscore) FILTER (bitscore >= optimized) OVER w THEN 'optimized' END, CASE WHEN bitscore = min(bitscore) FILTER (coalesce(bitscore >= trusted, true)) OVER w THEN 'trusted' END, CASE WHEN bitscore = min(bitscore) FILTER (bitscore >= noise) OVER w THEN 'noise' END) AS marks FROM (SELECT p.*, c.optimized, c.trusted, c.noise FROM points p JOIN cuts c USING (model)) WINDOW w AS (PARTITION BY model)",
         **SWEEP,
-        points="SELECT model, bitscore, avg(coalesce(fp::DOUBLE / nullif(fp + tn, 0), 0)) AS fpr, avg(coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0)) AS tpr FROM swept GROUP BY ALL",
+        points="SELECT model, bitscore, avg(coalesce(fp::DOUBLE / nullif(fp + tn, 0), 0)) AS fpr, avg(coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0)) AS tpr FROM labelled GROUP BY ALL",
     )
 )
 def r1_roc_points(spark, d):
-    swept = _sweep(spark, d)
-    return R.roc_points(swept, V.cutoffs(swept)).select("model", "bitscore", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"), "marks")
+    return R.roc_points(*_hit_report(spark, d)).select("model", "bitscore", r6("fpr").alias("fpr"), r6("tpr").alias("tpr"), "marks")
 
 
-@query(sql("scores", "SELECT model, bitscore, round(mcc, 6) AS mcc FROM swept QUALIFY row_number() OVER (PARTITION BY model, bitscore ORDER BY rank) = 1", **SWEEP))
+@query(sql("scores", "SELECT model, bitscore, round(mcc, 6) AS mcc FROM labelled QUALIFY row_number() OVER (PARTITION BY model, bitscore ORDER BY rank) = 1", **SWEEP))
 def r2_mcc_curve(spark, d):
-    return R.mcc_curve(_sweep(spark, d)).withColumn("mcc", r6("mcc"))
+    return R.mcc_curve(_hit_report(spark, d)[0]).withColumn("mcc", r6("mcc"))
 
 
 LABELLED_GENES = "SELECT protein_id, CASE WHEN score >= 50 THEN CASE WHEN domain IN ('click', 'view') THEN 'TP' ELSE 'FP' END WHEN domain IN ('click', 'view') THEN 'FN' ELSE 'TN' END AS label FROM genes"
@@ -1526,11 +1532,62 @@ def c8_islands_to_keywords(spark, d):
     return found.groupBy("keyword").agg(F.count("*").alias("n"))
 
 
+def _all_reports(spark, d):
+    """Documents as hits: models are languages, a hit's fold is that of its id, its neighbourhood the sources around it, its genome a supplier."""
+    from locusflow.plans import scores_to_reports
+
+    docs = A.table(spark, d, "documents")
+    hoods = docs.select(F.col("doc_id").alias("protein_id"), F.array(F.concat(F.lit("s"), F.col("doc_id") % 3), "source").alias("neighbourhood")).filter("protein_id % 11 <> 0")
+    genomes = docs.select(F.col("doc_id").alias("protein_id"), (F.col("doc_id") % 50 + 1).alias("genome_id"))
+    return scores_to_reports(A.scores(spark, d), A.scores(spark, d).withColumn("fold", F.col("hit_id") % 5), hoods, genomes, A.taxonomy(spark, d))
+
+
+AROUND = "SELECT doc_id AS hit_id, ['s' || (doc_id % 3), source] AS neighbourhood FROM documents WHERE doc_id % 11 <> 0"
+ASSIGNED = ", ".join(f"{_at(c)} AS at_{c}" for c in ("optimized", "trusted", "noise"))
+
+
 @query(sql("scores", "SELECT model, optimized, trusted, noise, round(mcc, 6) AS mcc FROM cuts", **SWEEP))
 def c9_scores_to_reports(spark, d):
-    from locusflow.plans import scores_to_reports
+    return _all_reports(spark, d)["cutoffs"].select("model", "optimized", "trusted", "noise", r6("mcc").alias("mcc"))
+
+
+@query(
+    sql(
+        "scores",
+        "SELECT model, cutoff, coalesce(array_to_string(CASE WHEN neighbourhood <= list_reverse(neighbourhood) THEN neighbourhood ELSE list_reverse(neighbourhood) END, '/'), 'singleton') AS neighbourhood, count(*) FILTER (l = 'TP') AS tp, count(*) FILTER (l = 'FP') AS fp, count(*) FILTER (l = 'FN') AS fn, count(*) FILTER (l = 'TN') AS tn, count(*) AS total FROM marked LEFT JOIN around USING (hit_id) GROUP BY ALL",
+        **SWEEP,
+        around=AROUND,
+        assigned=f"SELECT model, hit_id, {ASSIGNED} FROM labelled",
+        marked=" UNION ALL ".join(f"SELECT model, hit_id, '{c}' AS cutoff, at_{c} AS l FROM assigned" for c in ("optimized", "trusted", "noise")),
+    )
+)
+def c9_confusions(spark, d):
+    return _all_reports(spark, d)["confusions"]
+
+
+@query(
+    sql(
+        "scores taxonomy",
+        "SELECT model, hit_id AS protein_id, above_noise, at_trusted, array_to_string(neighbourhood, '/') AS neighbourhood, hit_id % 50 + 1 AS genome_id, phylum, class FROM (SELECT *, normal AS above_noise FROM labelled) JOIN (SELECT model, hit_id, "
+        + f"{_at('trusted')} AS at_trusted FROM labelled) USING (model, hit_id) LEFT JOIN around USING (hit_id) LEFT JOIN taxonomy t ON t.genome_id = hit_id % 50 + 1",
+        **SWEEP,
+        around=AROUND,
+    )
+)
+def c9_detailed(spark, d):
+    found = _all_reports(spark, d)["detailed"]
+    return found.select("model", "protein_id", "above_noise", "at_trusted", F.array_join("neighbourhood", "/").alias("neighbourhood"), "genome_id", "phylum", "class")
+
 
-    return scores_to_reports(A.scores(spark, d))["cutoffs"].select("model", "optimized", "trusted", "noise", r6("mcc").alias("mcc"))
+@query(
+    f"WITH scores AS ({FOLD_SCORES}), "
+    + ", ".join(f"{n} AS ({q})" for n, q in FOLD_SWEEP.items())
+    + ", s AS (SELECT base AS model, sum(tp) AS tp, sum(fp) AS fp, sum(fn) AS fn, avg((coalesce(tp::DOUBLE / nullif(tp + fn, 0), 0) + coalesce(tn::DOUBLE / nullif(tn + fp, 0), 0)) / 2) AS ba, greatest(arg_max(optimized, (mcc, -optimized)), 10.0) AS optimized, greatest(max(trusted), 10.0) AS trusted, greatest(min(noise), 10.0) AS noise FROM fold_cuts GROUP BY base)"
+    " SELECT model, round(ba, 6) AS balanced_accuracy, round(coalesce(2.0::DOUBLE * tp / nullif(2 * tp + fp + fn, 0), 0), 6) AS f1, optimized, trusted, noise FROM s"
+)
+def c9_fold_reports(spark, d):
+    found = _all_reports(spark, d)
+    return found["performance"].join(found["fold_summary"], "model").select("model", r6("balanced_accuracy").alias("balanced_accuracy"), r6("f1").alias("f1"), "optimized", "trusted", "noise")
 
 
 SYNTENY = dict(

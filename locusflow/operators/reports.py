@@ -8,25 +8,29 @@ from pyspark.sql import functions as F
 from locusflow.functions import canonical
 
 LABELS = ("TP", "FP", "FN", "TN")
+CUTOFFS = ("optimized", "trusted", "noise")
 
 
-def roc_points(swept: DataFrame, cuts: DataFrame) -> DataFrame:
-    """Mean rates of each different score, and which cutoffs it is the closest one at or above."""
+def roc_points(report: DataFrame, cuts: DataFrame) -> DataFrame:
+    """Mean rates of each different score of the hit report, and which cutoffs it is the closest one at or above.
+
+    A missing trusted cutoff is below all scores, so the least one is marked.
+    """
     tpr = F.coalesce(F.try_divide(F.col("tp").cast("double"), (F.col("tp") + F.col("fn")).cast("double")), F.lit(0.0))
     fpr = F.coalesce(F.try_divide(F.col("fp").cast("double"), (F.col("fp") + F.col("tn")).cast("double")), F.lit(0.0))
-    points = swept.groupBy("model", "bitscore").agg(F.avg(fpr).alias("fpr"), F.avg(tpr).alias("tpr"))
+    points = report.groupBy("model", "bitscore").agg(F.avg(fpr).alias("fpr"), F.avg(tpr).alias("tpr"))
     names = ("optimized", "trusted", "noise")
     joined = points.join(cuts.select("model", *names), "model")
-    nearest = joined.groupBy("model").agg(*(F.min(F.when(F.col("bitscore") >= F.col(n), F.col("bitscore"))).alias(f"at_{n}") for n in names))
+    nearest = joined.groupBy("model").agg(*(F.min(F.when(F.coalesce(F.col("bitscore") >= F.col(n), F.lit(True)), F.col("bitscore"))).alias(f"at_{n}") for n in names))
     joined = joined.join(nearest, "model")
     marks = [F.when(F.col("bitscore") == F.col(f"at_{n}"), F.lit(n)) for n in names]
     return joined.select("model", "bitscore", "fpr", "tpr", F.concat_ws(",", *marks).alias("marks"))
 
 
-def mcc_curve(swept: DataFrame) -> DataFrame:
-    """The first row of each different score: (model, bitscore, mcc)."""
-    order = Window.partitionBy("model", "bitscore").orderBy("rank")
-    return swept.withColumn("_n", F.row_number().over(order)).filter("_n = 1").select("model", "bitscore", "mcc")
+def mcc_curve(report: DataFrame) -> DataFrame:
+    """The first row of each different score of the hit report: (model, bitscore, mcc)."""
+    first = report.groupBy("model", "bitscore").agg(F.min(F.struct("rank", "mcc")).alias("m"))
+    return first.select("model", "bitscore", F.col("m.mcc").alias("mcc"))
 
 
 def confusion_by_neighbourhood(labelled: DataFrame, neighbourhoods: DataFrame, label: str = "label") -> DataFrame:
@@ -36,6 +40,18 @@ def confusion_by_neighbourhood(labelled: DataFrame, neighbourhoods: DataFrame, l
     return joined.groupBy(F.array_join("canonical", "/").alias("neighbourhood")).agg(*counts, F.count("*").alias("total"))
 
 
+def confusions(report: DataFrame, neighbourhoods: DataFrame) -> DataFrame:
+    """(model, cutoff, neighbourhood, tp, fp, fn, tn, total): the hit report's assignments at each cutoff by neighbourhood.
+
+    A neighbourhood and its reverse are one; hits without one are singletons.
+    """
+    around = neighbourhoods.select(F.col("protein_id").alias("hit_id"), "neighbourhood")
+    placed = report.join(around, "hit_id", "left").withColumn("neighbourhood", F.array_join(canonical(F.coalesce("neighbourhood", F.array(F.lit("singleton")))), "/"))
+    each = F.explode(F.array(*(F.struct(F.lit(c).alias("cutoff"), F.col(f"at_{c}").alias("label")) for c in CUTOFFS))).alias("e")
+    counts = [F.count_if(F.col("e.label") == x).alias(x.lower()) for x in LABELS]
+    return placed.select("model", "neighbourhood", each).groupBy("model", F.col("e.cutoff").alias("cutoff"), "neighbourhood").agg(*counts, F.count("*").alias("total"))
+
+
 def confusion_by_label(rows: DataFrame, cutoff: float) -> DataFrame:
     """Counts by neighbourhood text; rows ``(neighbourhood, bitscore, is_tp, above_noise)`` below the noise are true negatives."""
     kind = F.when(~F.col("above_noise"), F.lit("TN")).otherwise(

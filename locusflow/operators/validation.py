@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusflow.functions import balanced_accuracy, f1, mcc
 from locusflow.operators.ranges import running
 
 EXTRA_TN = 0.6
+#: The grid of thresholds, in thousandths: its first points, five apart, and how many there are.
+FIRST_FRACTION, FRACTIONS = 1, 202
+FIRST_DENSITY, DENSITIES = 10, 200
 
 
 # ---- cluster selection --------------------------------------------------------
@@ -43,25 +46,30 @@ def with_reference(clusters: DataFrame, refs: DataFrame) -> DataFrame:
 def threshold_grid(clusters: DataFrame, refs: DataFrame) -> DataFrame:
     """Best thresholds of each family by F1: fraction 0.001 to 1.006 and density 0.01 to 1.005 in steps of 0.005.
 
-    Of equal F1 the last grid point in (fraction, density) order stays. Cluster
-    metrics are first counted on the grid's cells, so the grid meets a bounded
-    number of rows of each family.
+    Of equal F1 the last grid point in (fraction, density) order stays. Clusters
+    are counted in the cell of the last grid point that they reach. A summed-area
+    table follows from running sums along one axis and then the other, over rows
+    for the columns of cells that have clusters: between two of these the counts
+    stay, and the last grid point with them is such a column. So a family has
+    ``FRACTIONS x DENSITIES`` rows at most, however many clusters there are.
     """
-    spark = clusters.sparkSession
-    x = spark.range(202).select(F.round(F.col("id") * 0.005 + 0.001, 3).alias("x"))
-    y = spark.range(200).select(F.round(F.col("id") * 0.005 + 0.01, 3).alias("y"))
-    cell = lambda c, low: F.floor((F.col(c) - low) / 0.005 + 1e-6)
+
+    def last_reached(c: str, first: int, steps: int) -> Column:
+        # grid points are whole thousandths; the nearest one is reached or the one before it
+        near = F.round((F.col(c) * 1000 - first) / 5)
+        return F.least(near - F.when((near * 5 + first) / 1000 > F.col(c), 1).otherwise(0), F.lit(steps - 1)).cast("int")
+
     metrics = cluster_metrics(clusters, refs).filter("n_ref > 0")
-    # a cell is open to the grid points at or below it, which makes the counts cumulative
-    cells = metrics.groupBy("family", "all_ref", cell("fraction", 0.001).alias("cx"), cell("density", 0.01).alias("cy")).agg(
-        F.sum("n_ref").alias("tp"), F.sum(F.col("size") - F.col("n_ref")).alias("fp")
-    )
-    grid = x.crossJoin(y).withColumn("gx", F.round((F.col("x") - 0.001) / 0.005)).withColumn("gy", F.round((F.col("y") - 0.01) / 0.005))
-    reached = cells.join(F.broadcast(grid), (F.col("cx") >= F.col("gx")) & (F.col("cy") >= F.col("gy")))
-    summed = reached.groupBy("family", "all_ref", "x", "y").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    placed = metrics.withColumns({"cx": last_reached("fraction", FIRST_FRACTION, FRACTIONS), "cy": last_reached("density", FIRST_DENSITY, DENSITIES)}).filter("cx >= 0 and cy >= 0")
+    cells = placed.groupBy("family", "all_ref", "cx", "cy").agg(F.sum("n_ref").alias("tp"), F.sum(F.col("size") - F.col("n_ref")).alias("fp"))
+    empty = cells.select("family", "all_ref", "cx").distinct().select("*", F.explode(F.sequence(F.lit(0), F.lit(DENSITIES - 1))).alias("cy"), F.lit(0).alias("tp"), F.lit(0).alias("fp"))
+    dense = cells.unionByName(empty).groupBy("family", "all_ref", "cx", "cy").agg(F.sum("tp").alias("tp"), F.sum("fp").alias("fp"))
+    along = Window.partitionBy("family", "cx").orderBy(F.desc("cy"))
+    across = Window.partitionBy("family", "cy").orderBy(F.desc("cx"))
+    summed = dense.withColumns({c: F.sum(c).over(along) for c in ("tp", "fp")}).withColumns({c: F.sum(c).over(across) for c in ("tp", "fp")}).filter("tp > 0")
     scored = summed.withColumn("f1", f1(F.col("tp"), F.col("fp"), F.col("all_ref") - F.col("tp")))
-    best = F.max(F.struct("f1", "x", "y")).alias("m")
-    return scored.groupBy("family").agg(best).select("family", F.col("m.x").alias("fraction"), F.col("m.y").alias("density"), F.col("m.f1").alias("f1"))
+    best = scored.groupBy("family").agg(F.max(F.struct("f1", "cx", "cy")).alias("m"))
+    return best.select("family", ((F.col("m.cx") * 5 + FIRST_FRACTION) / 1000).alias("fraction"), ((F.col("m.cy") * 5 + FIRST_DENSITY) / 1000).alias("density"), F.col("m.f1").alias("f1"))
 
 
 # ---- cutoffs --------------------------------------------------------------------
@@ -84,37 +92,47 @@ def sweep(scores: DataFrame, true_negatives: DataFrame | None = None) -> DataFra
     return run.withColumn("mcc", mcc(F.col("tp"), F.col("fp"), F.col("fn"), F.col("tn")))
 
 
+def _counted() -> Column:
+    """Rows down to the last true positive; of a model without one the first row."""
+    return (F.col("fn") > 0) | F.col("is_tp") | (F.col("rank") == 1)
+
+
 def cutoffs(swept: DataFrame) -> DataFrame:
     """(model, optimized, trusted, noise, mcc, tp, fp, fn, tn) of each model.
 
     optimized: the score of the first greatest MCC; trusted: the last true
     positive's before the first false one (null if there is none); noise: the
-    score at which the last true positive is found, else the least score. Rows
-    after the last true positive don't count.
+    score at which the last true positive is found. Rows after the last true
+    positive don't count.
     """
-    before = swept.filter((F.col("fn") > 0) | (F.col("is_tp") & (F.col("fn") == 0)))
     best = F.max(F.struct("mcc", (-F.col("rank")).alias("r"), "bitscore", "tp", "fp", "fn", "tn")).alias("m")
-    found = before.groupBy("model").agg(best, F.min(F.when(F.col("is_tp") & (F.col("fp") == 0), F.col("bitscore"))).alias("trusted"), F.min("bitscore").alias("noise"))
+    found = swept.filter(_counted()).groupBy("model").agg(best, F.min(F.when(F.col("is_tp") & (F.col("fp") == 0), F.col("bitscore"))).alias("trusted"), F.min("bitscore").alias("noise"))
     return found.select("model", F.col("m.bitscore").alias("optimized"), "trusted", "noise", *(F.col(f"m.{c}").alias(c) for c in ("mcc", "tp", "fp", "fn", "tn")))
 
 
 def label_hits(swept: DataFrame, cuts: DataFrame, extra: float = EXTRA_TN) -> DataFrame:
-    """Every hit with its assignment at the three cutoffs.
+    """The hit report: every hit with its counts, its MCC and its assignment at the three cutoffs.
 
-    After the last true positive hits down to ``extra`` times the noise cutoff
-    stay as true negatives; further ones go.
+    Hits after the last true positive stay down to ``extra`` times the noise
+    cutoff, as true negatives with the counts of that positive and the best MCC;
+    further ones go. Without a trusted cutoff every hit is above it.
     """
-    joined = swept.select("model", "hit_id", "bitscore", "rank", "is_tp", "tp", "fp", "fn", "tn", "mcc").join(cuts.select("model", "optimized", "trusted", "noise"), "model")
-    normal = (F.col("fn") > 0) | F.col("is_tp")
-    kept = joined.filter(normal | (F.col("bitscore") >= F.col("noise") * extra))
+    marked = swept.select("model", "hit_id", "bitscore", "rank", "is_tp", "tp", "fp", "fn", "tn", "mcc", _counted().alias("above_noise"))
+    # the counts run one way, so those of the last counted row are the extreme ones
+    ends = {"tp": F.max, "fp": F.max, "fn": F.min, "tn": F.min}
+    last = marked.filter("above_noise").groupBy("model").agg(*(f(c).alias(f"last_{c}") for c, f in ends.items()))
+    joined = marked.join(cuts.select("model", "optimized", "trusted", "noise", F.col("mcc").alias("best_mcc")), "model").join(last, "model")
+    kept = joined.filter(F.col("above_noise") | (F.col("bitscore") >= F.col("noise") * extra))
 
     def at(cut):
-        above = F.coalesce(F.col("bitscore") >= F.col(cut), F.lit(False))
+        above = F.coalesce(F.col("bitscore") >= F.col(cut), F.lit(True))
         own = F.when(above, F.when(F.col("is_tp"), "TP").otherwise("FP")).otherwise(F.when(F.col("is_tp"), "FN").otherwise("TN"))
-        return F.when(normal, own).otherwise("TN")
+        return F.when(F.col("above_noise"), own).otherwise("TN")
 
+    frozen = lambda c, end: F.when(F.col("above_noise"), F.col(c)).otherwise(F.col(end)).alias(c)
+    counts = [frozen(c, f"last_{c}") for c in ends]
     return kept.select(
-        "model", "hit_id", "bitscore", "rank", "mcc", at("optimized").alias("at_optimized"), at("trusted").alias("at_trusted"), at("noise").alias("at_noise"), normal.alias("above_noise")
+        "model", "hit_id", "bitscore", "rank", "is_tp", *counts, frozen("mcc", "best_mcc"), at("optimized").alias("at_optimized"), at("trusted").alias("at_trusted"), at("noise").alias("at_noise"), "above_noise"
     )
 
 

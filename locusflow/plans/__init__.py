@@ -88,17 +88,36 @@ def extend_by_clusters(
     return U.union(whole, plausible.join(candidates, ["domain", "protein_id"], "left_semi"))
 
 
-def scores_to_reports(scores: DataFrame) -> dict[str, DataFrame]:
-    """Cutoffs, labelled hits, ROC points, MCC curve and performance of each model."""
+def scores_to_reports(
+    scores: DataFrame, folds: DataFrame | None = None, neighbourhoods: DataFrame | None = None, genomes: DataFrame | None = None, taxonomy: DataFrame | None = None
+) -> dict[str, DataFrame]:
+    """All reports of models over ranked scores ``(model, hit_id, bitscore, is_tp)``.
+
+    ``cutoffs``, ``labelled`` (the hit report), ``roc``, ``mcc`` and ``performance``
+    always; with ``folds``, scores with a column ``fold``, ``fold_cutoffs``,
+    ``fold_summary`` and ``fold_matrices``, and the performance is that of the
+    folds; with neighbourhoods ``(protein_id, neighbourhood)`` the confusion
+    counts of each ``(model, cutoff, neighbourhood)``; with genomes
+    ``(protein_id, genome_id)`` and taxonomy also ``detailed``, the hit report
+    with neighbourhood, genome and taxa.
+    """
     swept = M.saved(V.sweep(scores), "swept")
-    cuts = V.cutoffs(swept)
-    return {
-        "cutoffs": R.cutoff_table(cuts),
-        "labelled": V.label_hits(swept, cuts),
-        "roc": R.roc_points(swept, cuts),
-        "mcc": R.mcc_curve(swept),
-        "performance": V.performance(cuts),
-    }
+    cuts = M.saved(V.cutoffs(swept), "cutoffs")
+    report = M.saved(V.label_hits(swept, cuts), "hit-report")
+    out = {"cutoffs": R.cutoff_table(cuts), "labelled": report, "roc": R.roc_points(report, cuts), "mcc": R.mcc_curve(report)}
+    matrices = cuts
+    if folds is not None:
+        # a fold's model is named by both, so every fold has its own sweep
+        pairs = folds.select(F.struct("model", "fold").alias("model"), "hit_id", "bitscore", "is_tp")
+        found = M.saved(V.cutoffs(V.sweep(pairs)), "fold-cutoffs")
+        matrices = found.withColumns({"fold": F.col("model.fold"), "model": F.col("model.model")})
+        out |= {"fold_cutoffs": matrices, "fold_summary": V.fold_summary(matrices), "fold_matrices": V.sum_matrices(matrices)}
+    out["performance"] = V.performance(matrices)
+    if neighbourhoods is not None:
+        out["confusions"] = R.confusions(report, neighbourhoods)
+        if genomes is not None and taxonomy is not None:
+            out["detailed"] = R.enriched(report.withColumnRenamed("hit_id", "protein_id"), neighbourhoods.select("protein_id", "neighbourhood"), genomes, taxonomy)
+    return out
 
 
 def group_keywords(statistics: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:

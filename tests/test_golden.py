@@ -15,6 +15,7 @@ from locusflow.operators import presence as P
 from locusflow.operators import selection as S
 from locusflow.operators import sets as U
 from locusflow.operators import similarity as K
+from locusflow.operators import reports as R
 from locusflow.operators import validation as V
 from locusflow.sources import sinks
 
@@ -156,6 +157,32 @@ def test_cutoffs(spark):
     assert labels == {"a": ("TP", "TP", True), "b": ("TP", "TP", True), "c": ("TN", "FP", True), "d": ("FN", "TP", True), "e": ("TN", "TN", False)}
 
 
+def test_hit_report_after_the_last_positive(spark):
+    """Hits down to 0.6 of the noise cutoff keep the counts of the last positive and the best MCC; further ones are no points."""
+    tail = [("m", f"h{i}", s, t) for i, (s, t) in enumerate([(100.0, True), (90.0, True), (80.0, False), (70.0, True), (60.0, False), (50.0, False), (30.0, False), (10.0, False)])]
+    # the first hit is false, so there is no trusted cutoff; and a model without a true positive
+    rows = tail + [("n", "a", 9.0, False), ("n", "b", 8.0, True), ("n", "c", 7.0, False), ("o", "a", 5.0, False), ("o", "b", 4.0, False)]
+    swept = V.sweep(spark.createDataFrame(rows, "model string, hit_id string, bitscore double, is_tp boolean"))
+    cuts = V.cutoffs(swept)
+    report = V.label_hits(swept, cuts)
+    points = {(r.model, r.bitscore): (round(r.fpr, 6), round(r.tpr, 6), r.marks) for r in R.roc_points(report, cuts).collect()}
+    curve = {(r.model, r.bitscore): round(r.mcc, 3) for r in R.mcc_curve(report).collect()}
+    assert {s for m, s in points if m == "m"} == {s for m, s in curve if m == "m"} == {100.0, 90.0, 80.0, 70.0, 60.0, 50.0}
+    assert points["m", 60.0][:2] == points["m", 50.0][:2] == points["m", 70.0][:2] == (0.2, 1.0)
+    assert curve["m", 60.0] == curve["m", 50.0] == max(v for (m, _), v in curve.items() if m == "m") == 0.775
+    got = {(r.model, r.hit_id): (r.at_trusted, r.at_noise, r.above_noise) for r in report.collect()}
+    assert got["n", "a"] == ("FP", "FP", True) and got["n", "b"] == ("TP", "TP", True) and got["n", "c"] == ("TN", "TN", False)
+    assert points["n", 7.0][2] == "trusted" and cuts.filter("model = 'n'").first().trusted is None
+    assert got["o", "a"] == ("FP", "FP", True) and got["o", "b"] == ("TN", "TN", False)
+
+
+def test_grid_has_no_nested_loop(spark):
+    clusters = spark.createDataFrame([("f", i % 5, i) for i in range(40)], "family string, rep_id int, member_id int")
+    refs = spark.createDataFrame([("f", i) for i in range(0, 40, 3)], "family string, protein_id int")
+    plan = V.threshold_grid(clusters, refs)._jdf.queryExecution().toString()
+    assert "NestedLoop" not in plan and "Cartesian" not in plan
+
+
 def test_threshold_grid_equals_brute_force(spark):
     rng = random.Random(3)
     clusters = [("f", rng.randint(1, 6), i) for i in range(40)]
