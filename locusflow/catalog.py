@@ -258,9 +258,15 @@ def m1_sorted_clusters(spark, d):
     return numbered(lists, [F.col("length").asc(), F.col("cluster_id").asc()]).select(F.col("rank").alias("n"), "cluster_id")
 
 
-@query(sql("gene_lists", "SELECT array_to_string(types, ',') AS types, cluster_id, weight, array_to_string(replicates, ',') AS replicates FROM derep", filtered=FILTERED, derep=DEREP))
+@query(sql("gene_lists", "SELECT array_to_string(types, ',') AS types, cluster_id, weight FROM derep", filtered=FILTERED, derep=DEREP))
 def m2_dereplicate(spark, d):
-    return M.dereplicate(_lists(spark, d)).select(_text("types").alias("types"), "cluster_id", "weight", _text("replicates").alias("replicates"))
+    return M.dereplicate(_lists(spark, d)).select(_text("types").alias("types"), "cluster_id", "weight")
+
+
+@query(sql("gene_lists", "SELECT cluster_id, unnest(replicates) AS replicate FROM derep", filtered=FILTERED, derep=DEREP))
+def m2_replicates(spark, d):
+    lists = M.saved(_lists(spark, d), "filtered")
+    return M.replicates(lists, M.dereplicate(lists))
 
 
 @query(sql("gene_lists", "SELECT gene, sum(weight)::BIGINT AS support FROM (SELECT unnest(types) AS gene, weight FROM derep) GROUP BY gene HAVING sum(weight) >= 100", filtered=FILTERED, derep=DEREP))
@@ -353,7 +359,7 @@ def m9_merge_reversed(spark, d):
     )
 )
 def m10_closed_patterns(spark, d):
-    return M.closed_patterns(_pair_support(spark, d)).select(_text("pattern").alias("pattern"), F.size("clusters").cast("long").alias("n"))
+    return M.closed_patterns(_pair_support(spark, d)).select(_text("pattern").alias("pattern"), "n")
 
 
 @query(
@@ -427,10 +433,11 @@ def m13_group_patterns(spark, d):
     )
 )
 def m14_clusters_of_keywords(spark, d):
-    derep = M.dereplicate(_lists(spark, d))
+    lists = M.saved(_lists(spark, d), "filtered")
+    derep = M.dereplicate(lists)
     support = derep.select(F.slice("types", 1, 2).alias("pattern"), "cluster_id")
     named = support.select("pattern").distinct().withColumn("keyword", F.array_join("pattern", "-"))
-    return M.clusters_of(named, support, derep)
+    return M.clusters_of(named, support, M.replicates(lists, derep))
 
 
 @query(sql("gene_lists", "SELECT cluster_id, len(types) AS n FROM gene_lists WHERE len(types) >= 6"))
@@ -1474,7 +1481,7 @@ def t4_running_limits(spark, d):
 def c3_group_keywords(spark, d):
     from locusflow.plans import group_keywords
 
-    return group_keywords(_stats(spark, d))
+    return group_keywords(_stats(spark, d), threshold=1500.0)
 
 
 SEED_GROUPS = dict(

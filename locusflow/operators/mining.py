@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +40,10 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Bits of a cluster's hash that signatures keep.
+SIGNATURE_MASK = -1
+
+
 def filter_lists(lists: DataFrame, min_types: int = 3, max_length: int = 40, max_repeats: int = 2) -> DataFrame:
     """Lists with enough different types, not too long, and no type more often than ``max_repeats``."""
     ordered = F.array_sort("types")
@@ -49,8 +53,16 @@ def filter_lists(lists: DataFrame, min_types: int = 3, max_length: int = 40, max
 
 
 def dereplicate(lists: DataFrame) -> DataFrame:
-    """Different type lists: the first cluster as representative, the number of replicates, and who they are."""
-    return lists.groupBy("types").agg(F.min("cluster_id").alias("cluster_id"), F.count("*").alias("weight"), F.array_sort(F.collect_list("cluster_id")).alias("replicates"))
+    """Different type lists: (types, cluster_id, weight) with the first cluster as representative and the number of replicates."""
+    return lists.groupBy("types").agg(F.min("cluster_id").alias("cluster_id"), F.count("*").alias("weight"))
+
+
+def replicates(lists: DataFrame, derep: DataFrame) -> DataFrame:
+    """(cluster_id, replicate): every list's cluster beside its representative, itself included; a list that very many clusters have is met in parts."""
+    from locusflow.operators.skew import salted_join
+
+    own = saved(lists.select("types", F.col("cluster_id").alias("replicate")), "lists")
+    return salted_join(own, derep.select("types", "cluster_id"), "types").select("cluster_id", "replicate")
 
 
 def positions(lists: DataFrame) -> DataFrame:
@@ -97,7 +109,7 @@ def sublists(lists: DataFrame, genes: DataFrame, min_length: int = 2, max_length
     return found.join(outside, "pattern", "left_anti")
 
 
-def gapped_support(lists: DataFrame, derep: DataFrame, k: int = 2, q: int = 1, max_length: int = 40, levels_per_cut: int = 1) -> DataFrame:
+def gapped_support(lists: DataFrame, derep: DataFrame, k: int = 2, q: int = 1, max_length: int = 40) -> DataFrame:
     """(pattern, cluster_id): lists with an instance of each candidate pattern with at most ``k`` insertions.
 
     Candidates are the contiguous sublists of the lists. An instance starts at a
@@ -140,10 +152,34 @@ def merge_reversed(support: DataFrame) -> DataFrame:
 
 
 def closed_patterns(support: DataFrame) -> DataFrame:
-    """Of the patterns with one support set the longest, the greatest of those: (pattern, clusters)."""
-    sets = support.groupBy("pattern").agg(F.array_sort(F.collect_set("cluster_id")).alias("clusters"))
-    best = F.max(F.struct(F.size("pattern").alias("n"), F.col("pattern").alias("pattern"))).alias("m")
-    return sets.groupBy("clusters").agg(best).select(F.col("m.pattern").alias("pattern"), "clusters")
+    """(pattern, n): of the patterns with one support set the longest, the greatest of those, and the size of the set.
+
+    A support set is known by a signature that needs no order and no array: its
+    size and three sums over hashes of its clusters. Of the patterns with one
+    signature each is then held against the best one cluster by cluster; those
+    that differ after all go through another round among themselves.
+    """
+    pairs = saved(support.select("pattern", "cluster_id").distinct(), "support")
+    first, second = (F.xxhash64(F.lit(seed), "cluster_id").bitwiseAND(SIGNATURE_MASK) for seed in (1, 2))
+    left = saved(
+        pairs.groupBy("pattern").agg(F.count("*").alias("n"), F.bit_xor(first).alias("h1"), F.bit_xor(second).alias("h2"), F.sum(first.bitwiseAND(0xFFFFFFFF)).alias("h3")),
+        "signatures",
+    )
+    signature = ["n", "h1", "h2", "h3"]
+    closed = []
+    while True:
+        best = left.groupBy(*signature).agg(F.max(F.struct(F.size("pattern").alias("length"), F.col("pattern").alias("pattern"))).alias("m"), F.count("*").alias("patterns"))
+        chosen = saved(best.select(*signature, F.col("m.pattern").alias("best"), "patterns"), "closed")
+        closed.append(chosen.select(F.col("best").alias("pattern"), "n"))
+        others = saved(left.join(chosen.filter("patterns > 1"), signature).filter("pattern <> best").select("pattern", "best", *signature), "same-signature")
+        if others.isEmpty():
+            break
+        # clusters that a pattern has and its signature's best one hasn't
+        missing = pairs.join(others.select("pattern", "best"), "pattern").join(pairs.select(F.col("pattern").alias("best"), "cluster_id"), ["best", "cluster_id"], "left_anti")
+        left = saved(others.join(missing.select("pattern").distinct(), "pattern", "left_semi").select("pattern", *signature), "signatures")
+        if left.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, closed)
 
 
 def similar_patterns(patterns: DataFrame, min_similarity: float = 0.0) -> DataFrame:
@@ -203,13 +239,9 @@ def group_patterns(patterns: DataFrame, distance: float) -> DataFrame:
         sums = saved(moved.groupBy(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).agg(F.sum("s").alias("s")), "sums")
 
 
-def clusters_of(keywords: DataFrame, support: DataFrame, derep: DataFrame) -> DataFrame:
-    """(keyword, cluster_id): clusters that support a keyword's pattern, replicates included."""
-    replicas = derep.select(F.col("cluster_id").alias("rep"), F.explode("replicates").alias("cluster_id"))
-    found = keywords.select("keyword", "pattern").join(support.withColumnRenamed("cluster_id", "rep"), "pattern")
-    return found.join(replicas, "rep").select("keyword", "cluster_id").distinct()
-
+def clusters_of(keywords: DataFrame, support: DataFrame, copies: DataFrame) -> DataFrame:
+    """(keyword, cluster_id): clusters that support a keyword's pattern, replicates ``(cluster_id, replicate)`` included."""
+    from locusflow.operators.skew import salted_join
 
-def set_similarity(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Jaccard similarity of the patterns of two tables joined on their keyword."""
-    return a.select("keyword", F.col("pattern").alias("pa")).join(b.select("keyword", F.col("pattern").alias("pb")), "keyword").select("keyword", jaccard("pa", "pb").alias("similarity"))
+    found = keywords.select("keyword", "pattern").join(support, "pattern").select("keyword", "cluster_id").distinct()
+    return salted_join(saved(copies, "replicates"), found, "cluster_id").select("keyword", F.col("replicate").alias("cluster_id")).distinct()

@@ -15,6 +15,7 @@ from locusflow.operators import selection as S
 from locusflow.operators import sets as U
 from locusflow.operators import similarity as K
 from locusflow.operators import validation as V
+from locusflow.operators.linkage import ward_groups
 
 
 def hits_to_islands(hits: DataFrame, queries: DataFrame, features: DataFrame, distance: int = 3500, min_genes: int = 2) -> DataFrame:
@@ -27,10 +28,11 @@ def hits_to_islands(hits: DataFrame, queries: DataFrame, features: DataFrame, di
 
 def islands_to_keywords(lists: DataFrame, k: int = 2, q: int = 1) -> DataFrame:
     """(keyword, cluster_id): lists filtered and made unique, patterns with gaps, closed ones numbered, replicates back."""
-    derep = M.saved(M.dereplicate(M.filter_lists(lists)), "derep")
+    kept = M.saved(M.filter_lists(lists), "lists")
+    derep = M.saved(M.dereplicate(kept), "derep")
     support = M.saved(M.merge_reversed(M.gapped_support(derep.select("cluster_id", "types"), derep, k, q)), "support")
     numbered = M.saved(M.number_patterns(M.closed_patterns(support).select("pattern")), "numbered")
-    return M.clusters_of(numbered, support, derep)
+    return M.clusters_of(numbered, support, M.replicates(kept, derep))
 
 
 def context_free_references(seeds: DataFrame, members: DataFrame, hits: DataFrame, identity: float = 70.0) -> DataFrame:
@@ -120,11 +122,8 @@ def scores_to_reports(
     return out
 
 
-def group_keywords(statistics: DataFrame, k: int = 4, seed: int = 42) -> DataFrame:
-    """Keywords and domains in groups of like statistics (median, mean, deviation), by bisecting k-means."""
-    from pyspark.ml.clustering import BisectingKMeans
-    from pyspark.ml.feature import VectorAssembler
-
-    data = VectorAssembler(inputCols=["median_score", "mean_score", "std_score"], outputCol="features").transform(statistics)
-    model = BisectingKMeans(k=k, seed=seed, maxIter=20).fit(data)
-    return model.transform(data).select("keyword", "domain", F.col("prediction").alias("group_id"))
+def group_keywords(statistics: DataFrame, threshold: float = 0.2) -> DataFrame:
+    """(keyword, domain, group_id): keywords and domains with like statistics (median, mean, deviation), by Ward linkage."""
+    named = statistics.withColumn("_pair", F.struct("keyword", "domain"))
+    found = ward_groups(named, "_pair", ["median_score", "mean_score", "std_score"], threshold)
+    return found.select("_pair.keyword", "_pair.domain", F.concat_ws("/", "group_id.keyword", "group_id.domain").alias("group_id"))

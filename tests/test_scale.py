@@ -1,11 +1,13 @@
 """Operators that deal large groups out, against plain Python."""
 
+import math
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
 from locusflow.operators import hits as H
+from locusflow.operators import linkage
 from locusflow.operators import mining as M
 from locusflow.operators import naming as N
 from locusflow.operators import presence as P
@@ -167,6 +169,63 @@ def test_every_member_is_near_its_centre(spark, identity, changes):
     assert len(near) > 50 and together >= 0.9
 
 
+def plain_ward(points, threshold):
+    """One merge at a time, always the nearest two groups."""
+    groups = {i: [i] for i in points}
+    mean = lambda own: [sum(points[i][x] for i in own) / len(own) for x in range(3)]
+    while True:
+        best = (threshold, None, None)
+        middle = {g: mean(own) for g, own in groups.items()}
+        for a in groups:
+            for b in groups:
+                if a < b:
+                    na, nb = len(groups[a]), len(groups[b])
+                    best = min(best, (math.sqrt(2 * na * nb / (na + nb) * sum((x - y) ** 2 for x, y in zip(middle[a], middle[b], strict=True))), a, b), key=lambda m: m[0])
+        if best[1] is None:
+            return {i: min(own) for own in groups.values() for i in own}
+        groups[best[1]] += groups.pop(best[2])
+
+
+@pytest.mark.parametrize("cell, threshold", [(500, 2.5), (8, 0.6)])
+def test_ward_equals_one_by_one(spark, monkeypatch, cell, threshold):
+    monkeypatch.setattr(linkage, "CELL_GROUPS", cell)
+    rng = random.Random(12)
+    centres = [[rng.uniform(-4, 4) for _ in range(3)] for _ in range(8)]
+    points = {f"k{i:03}": [x + rng.gauss(0, 0.25) for x in rng.choice(centres)] for i in range(190)}
+    points |= {f"s{i}": [1.0, 1.0, 1.0] for i in range(10)}
+    frame = spark.createDataFrame([(k, *x) for k, x in points.items()] + [("z", None, 1.0, 1.0), (None, 1.0, 1.0, 1.0)], "k string, a double, b double, c double")
+    got = {r.k: r.group_id for r in linkage.ward_groups(frame, "k", ["a", "b", "c"], threshold).collect()}
+    want = plain_ward(points, threshold)
+    assert got == want and 5 < len(set(want.values())) < 150
+    assert linkage.ward_groups(frame.limit(0), "k", ["a", "b", "c"], 1.0).count() == 0
+
+
+@pytest.mark.parametrize("mask", [-1, 1, 0])
+def test_closed_patterns_settle_equal_signatures(spark, monkeypatch, mask):
+    """Support sets that share a signature are told apart cluster by cluster."""
+    monkeypatch.setattr(M, "SIGNATURE_MASK", mask)
+    rng = random.Random(21)
+    sets = [frozenset(rng.sample(range(9), 3)) for _ in range(5)] + [frozenset({1}), frozenset({2})]
+    patterns = {tuple(rng.choice("abc") for _ in range(rng.randint(1, 4))): rng.choice(sets) for _ in range(40)}
+    rows = [(list(p), c) for p, own in patterns.items() for c in own] * 2
+    got = {(tuple(r.pattern), r.n) for r in M.closed_patterns(spark.createDataFrame(rows, "pattern array<string>, cluster_id int")).collect()}
+    best = {}
+    for p, own in patterns.items():
+        best[own] = max(best.get(own, (0, ())), (len(p), p))
+    assert got == {(p, len(own)) for own, (_, p) in best.items()}
+
+
+def test_replicates_of_a_list_that_most_clusters_have(spark, monkeypatch):
+    monkeypatch.setattr(skew, "LEAST_ROWS", 5)
+    rows = [(i, ["a", "b"] if i % 3 else ["c", str(i % 4)]) for i in range(200)]
+    lists = M.saved(spark.createDataFrame(rows, "cluster_id int, types array<string>"), "lists")
+    first = {}
+    for i, types in rows:
+        first.setdefault(tuple(types), i)
+    got = [tuple(r) for r in M.replicates(lists, M.dereplicate(lists)).select("cluster_id", "replicate").collect()]
+    assert sorted(got) == sorted((first[tuple(t)], i) for i, t in rows)
+
+
 def test_logistic_models_tell_what_goes_together(spark):
     rows = [(g, d) for g in range(60) for d in ("x", "y", "z") if (d == "x" and g % 2) or (d == "y" and (g % 2 or g % 10 == 0)) or (d == "z" and g % 3 == 0)]
     pam = spark.createDataFrame([(g, d, [f"{g}{d}"]) for g, d in rows], "genome_id int, domain string, proteins array<string>")
