@@ -376,35 +376,51 @@ def m11_jaccard(spark, d):
     return lists.join(other, "cluster_id").select("cluster_id", "other", r6(fn.jaccard("types", "theirs")).alias("similarity"))
 
 
-TOP = 40
-TRIPLES = "SELECT pattern, sum(weight) AS w FROM (SELECT DISTINCT types[i:i + 2] AS pattern, types, weight FROM (SELECT types, weight, unnest(range(1, len(types) - 1)) AS i FROM derep)) GROUP BY pattern ORDER BY w DESC, pattern LIMIT 40"
 PATTERN_TABLES = dict(
     gene_lists=A.CTE["gene_lists"],
     filtered=FILTERED,
-    derep=DEREP,
-    triples=TRIPLES,
+    triples="SELECT DISTINCT types[i:i + 2] AS pattern FROM (SELECT types, unnest(range(1, len(types) - 1)) AS i FROM filtered)",
     patterns="SELECT array_to_string(pattern, '-') AS keyword, list_sort(list_distinct(pattern)) AS pattern FROM triples",
 )
+ISLAND_PATTERNS = dict(
+    genes=A.CTE["genes"],
+    **ISLANDS,
+    island_lists="SELECT cluster_id, list(domain ORDER BY start_pos, protein_id) AS types FROM island_members GROUP BY cluster_id",
+    triples=PATTERN_TABLES["triples"].replace("filtered", "island_lists"),
+    patterns=PATTERN_TABLES["patterns"],
+)
 
 
-def _patterns(spark, d):
-    """The report of the 40 neighbourhoods of three genes with the most lists, over all lists."""
-    derep = M.dereplicate(_lists(spark, d)).select("types", "weight")
+def _triples(lists):
+    """Every neighbourhood of three genes in the lists, as a pattern."""
     at = F.sequence(F.lit(1), F.size("types") - 2)
-    triples = derep.filter(F.size("types") > 2).select("weight", F.explode(F.array_distinct(F.transform(at, lambda i: F.slice("types", i, 3)))).alias("pattern"))
-    top = triples.groupBy("pattern").agg(F.sum("weight").alias("w")).orderBy(F.desc("w"), "pattern").limit(TOP)
-    return top.select(F.array_join("pattern", "-").alias("keyword"), F.array_sort(F.array_distinct("pattern")).alias("pattern"))
+    found = lists.filter(F.size("types") > 2).select(F.explode(F.array_distinct(F.transform(at, lambda i: F.slice("types", i, 3)))).alias("pattern")).distinct()
+    return found.select(F.array_join("pattern", "-").alias("keyword"), F.array_sort(F.array_distinct("pattern")).alias("pattern"))
+
+
+def _patterns(spark, d):
+    """Patterns of all gene lists of orders."""
+    return _triples(_lists(spark, d))
+
+
+def _island_lists(spark, d):
+    return I.islands(_island_members(spark, d)).select("cluster_id", "types")
+
+
+def _island_patterns(spark, d):
+    """Patterns of all islands."""
+    return _triples(_island_lists(spark, d))
 
 
 @query(
     sql(
         "",
         "SELECT a.keyword AS a, b.keyword AS b, round(len(list_intersect(a.pattern, b.pattern))::DOUBLE / len(list_distinct(list_concat(a.pattern, b.pattern))), 6) AS similarity FROM patterns a JOIN patterns b ON a.keyword < b.keyword WHERE len(list_intersect(a.pattern, b.pattern)) > 0",
-        **PATTERN_TABLES,
+        **ISLAND_PATTERNS,
     )
 )
 def m12_similar_patterns(spark, d):
-    return M.similar_patterns(_patterns(spark, d)).select("a", "b", r6("similarity").alias("similarity"))
+    return M.similar_patterns(_island_patterns(spark, d)).select("a", "b", r6("similarity").alias("similarity"))
 
 
 @query(
@@ -421,7 +437,7 @@ def m13_number_patterns(spark, d):
 
 @query()
 def m13_group_patterns(spark, d):
-    return M.group_patterns(_patterns(spark, d), 0.6)
+    return M.group_patterns(_island_patterns(spark, d), 0.6)
 
 
 @query(
@@ -448,8 +464,8 @@ def f8_pattern_length(spark, d):
 # ---- naming ----------------------------------------------------------------------------
 
 NAMED = dict(
-    PATTERN_TABLES,
-    have="SELECT cluster_id, list_distinct(types) AS types FROM gene_lists",
+    ISLAND_PATTERNS,
+    have="SELECT cluster_id, list_distinct(types) AS types FROM island_lists",
     pairs="SELECT cluster_id, keyword, types, pattern, len(list_intersect(types, pattern)) AS common FROM have, patterns WHERE len(list_intersect(types, pattern)) > 0",
 )
 
@@ -462,26 +478,26 @@ NAMED = dict(
     )
 )
 def n1_name_islands(spark, d):
-    found = N.name_islands(A.gene_lists(spark, d), _patterns(spark, d))
+    found = N.name_islands(_island_lists(spark, d), _island_patterns(spark, d))
     return found.select("cluster_id", "keyword", r6("completeness").alias("completeness"), _text("missing").alias("missing"), _text("additional").alias("additional"))
 
 
 @query(sql("", "SELECT cluster_id, keyword FROM pairs WHERE common = len(pattern) AND len(types) > 1", **NAMED))
 def n2_name_islands_exact(spark, d):
-    return N.name_islands(A.gene_lists(spark, d), _patterns(spark, d), min_types=2, exact=True).select("cluster_id", "keyword")
+    return N.name_islands(_island_lists(spark, d), _island_patterns(spark, d), min_types=2, exact=True).select("cluster_id", "keyword")
 
 
 @query(
     sql(
         "",
         "SELECT DISTINCT h.cluster_id, r.keyword FROM have h, (SELECT keyword, arg_min(item, (n, item)) AS item FROM (SELECT keyword, item, count(*) OVER (PARTITION BY item) AS n FROM items) GROUP BY keyword) r WHERE list_contains(h.types, r.item)",
-        **PATTERN_TABLES,
+        **ISLAND_PATTERNS,
         have=NAMED["have"],
         items="SELECT keyword, unnest(pattern) AS item FROM patterns",
     )
 )
 def n3_rarest_item_candidates(spark, d):
-    return N.rarest_item_candidates(A.gene_lists(spark, d), _patterns(spark, d))
+    return N.rarest_item_candidates(_island_lists(spark, d), _island_patterns(spark, d))
 
 
 @query(sql("", "SELECT item, count(*) AS n FROM (SELECT keyword, unnest(pattern) AS item FROM patterns) GROUP BY item", **PATTERN_TABLES))
@@ -865,7 +881,7 @@ BALANCE = dict(
 
 @query(sql("carriers", "SELECT target, genome_id, round(balance, 6) AS balance FROM balance", **BALANCE))
 def p7_balance(spark, d):
-    found = P.balance(_model(spark, d), _pam(spark, d), A.carriers(spark, d))
+    found = P.balance(_model(spark, d), _pam(spark, d), A.carriers(spark, d), [f"Brand#{i}" for i in range(1, 26)])
     return found.select("target", "genome_id", r6("balance").alias("balance"))
 
 
@@ -906,14 +922,14 @@ def p10_score_matrix(spark, d):
 @query(
     sql(
         "",
-        "SELECT domain, keyword, round(common::DOUBLE / (nd + nk - common), 6) AS similarity FROM (SELECT w.domain, i.keyword, (SELECT count(*) FROM whole x WHERE x.domain = w.domain) AS nd, (SELECT count(*) FROM items x WHERE x.keyword = i.keyword) AS nk, count(*) AS common FROM whole w JOIN items i USING (item) GROUP BY ALL) WHERE common::DOUBLE / (nd + nk - common) >= 0.7",
+        "SELECT domain, keyword, round(common::DOUBLE / (nd + nk - common), 6) AS similarity FROM (SELECT w.domain, i.keyword, (SELECT count(*) FROM whole x WHERE x.domain = w.domain) AS nd, (SELECT count(*) FROM items x WHERE x.keyword = i.keyword) AS nk, count(*) AS common FROM whole w JOIN items i USING (item) GROUP BY ALL) WHERE common::DOUBLE / (nd + nk - common) >= 0.1",
         **PATTERN_TABLES,
         items="SELECT keyword, unnest(pattern) AS item FROM patterns",
         whole="SELECT DISTINCT a.item AS domain, b.item FROM items a JOIN items b USING (keyword)",
     )
 )
 def p12_similar_to_domain(spark, d):
-    return P.similar_to_domain(_patterns(spark, d)).select("domain", "keyword", r6("similarity").alias("similarity"))
+    return P.similar_to_domain(_patterns(spark, d), 0.1).select("domain", "keyword", r6("similarity").alias("similarity"))
 
 
 # ---- sequence similarity -----------------------------------------------------------------------------
@@ -1419,10 +1435,10 @@ def io15_composition_report(spark, d):
     return spark.read.option("sep", "\t").option("header", True).schema("count long, size long, composition string").csv(path)
 
 
-@query(sql("", "SELECT pattern[1] AS group_id, array_to_string(list(keyword ORDER BY keyword), ' ') AS keywords, array_to_string(list_sort(list_distinct(flatten(list(pattern)))), ' ') AS items FROM patterns GROUP BY pattern[1]", **PATTERN_TABLES))
+@query(sql("", "SELECT pattern[1] AS group_id, array_to_string(list(keyword ORDER BY keyword), ' ') AS keywords, array_to_string(list_sort(list_distinct(flatten(list(pattern)))), ' ') AS items FROM patterns GROUP BY pattern[1]", **ISLAND_PATTERNS))
 def io15_grouped_patterns(spark, d):
     """The report of grouped patterns, here by their first item, is written as a table and read back."""
-    patterns = _patterns(spark, d)
+    patterns = _island_patterns(spark, d)
     path = M.scratch(spark, "grouped")
     sinks.write_table(sinks.grouped_pattern_report(patterns, patterns.select("keyword", F.get("pattern", F.lit(0)).alias("group_id"))), path)
     return spark.read.option("sep", "\t").option("header", True).schema("group_id string, keywords string, items string").csv(path)

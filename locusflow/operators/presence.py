@@ -2,11 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusflow.operators.mining import saved
 
+#: Sums of Hessians that one round of the logistic models sends to the driver.
+HESSIAN_CELLS = 4_000_000
+
 
 def presence(refset: DataFrame, proteins: DataFrame) -> DataFrame:
     """(genome_id, domain, proteins): which proteins of a reference set each genome has."""
@@ -80,16 +87,14 @@ def present_balance(model: DataFrame, presence_rows: DataFrame) -> DataFrame:
     return found.select("target", "genome_id", (2 * F.col("w") - 1).alias("balance"))
 
 
-def balance(model: DataFrame, presence_rows: DataFrame, genomes: DataFrame) -> DataFrame:
-    """(target, genome_id, balance): weight of the features present less that of those absent, in -1..1.
+def balance(model: DataFrame, presence_rows: DataFrame, genomes: DataFrame, targets: list[str]) -> DataFrame:
+    """(target, genome_id, balance) of the named targets in every genome: weight of the features present less that of those absent, in -1..1.
 
-    This is the dense report, a row for each target and genome. The model's
-    targets are handed to each genome as one list, and the list taken apart.
+    This is the dense report; ``present_balance`` has the genomes with a feature only.
     """
-    targets = model.select("target").distinct().agg(F.collect_list("target").alias("targets"))
-    one = genomes.select("genome_id").distinct().withColumn("_k", F.lit(0))
-    pairs = one.join(F.broadcast(targets.withColumn("_k", F.lit(0))), "_k").select("genome_id", F.explode("targets").alias("target"))
-    joined = pairs.join(present_balance(model, presence_rows), ["target", "genome_id"], "left")
+    every = genomes.select("genome_id").distinct().select("genome_id", F.explode(F.array(*map(F.lit, targets))).alias("target"))
+    wanted = model.filter(F.col("target").isin(targets))
+    joined = every.join(present_balance(wanted, presence_rows), ["target", "genome_id"], "left").join(F.broadcast(wanted.select("target").distinct()), "target", "left_semi")
     return joined.select("target", "genome_id", F.coalesce("balance", F.lit(-1.0)).alias("balance"))
 
 
@@ -114,25 +119,93 @@ def score_matrix(pam: DataFrame, scores: DataFrame, domains: list[str], how: str
     return wide.na.fill(0)
 
 
-def logistic_models(pam: DataFrame, scores: DataFrame, domains: list[str]) -> DataFrame:
-    """Coefficients of a logistic model of each domain on the presence and mean score of the others.
+def logistic_models(pam: DataFrame, scores: DataFrame, domains: list[str], penalty: float = 1.0, tolerance: float = 1e-10, rounds: int = 100) -> DataFrame:
+    """(target, feature, coefficient): a logistic model of each domain on the presence and mean score of the others.
 
-    A domain that all or no genomes have gives no rows.
+    The sum of the log losses and ``penalty / 2`` times the squared coefficients
+    without the intercept is least. All targets are fitted together: a Newton
+    round is one job that sums loss, gradient and Hessian of every target over
+    the genomes, in tasks first, and the driver solves one small system for each
+    target. What it gets depends on the named domains alone; where their
+    Hessians are many, targets go in blocks of at most ``HESSIAN_CELLS`` sums. A
+    step that does not lower the loss is halved. A domain that all or no genomes
+    have gives no rows.
     """
-    from pyspark.ml.classification import LogisticRegression
-    from pyspark.ml.feature import VectorAssembler
-
+    spark = pam.sparkSession
     wide = saved(score_matrix(pam, scores, domains, "avg"), "score-matrix")
+    counts = wide.agg(F.count("*").alias("n"), *(F.sum(f"`{d}_present`").alias(f"n{i}") for i, d in enumerate(domains))).first()
+    targets = [i for i in range(len(domains)) if 0 < (counts[f"n{i}"] or 0) < counts["n"]]
+    names = [f"{d}_{kind}" for d in domains for kind in ("present", "score")]
+    given = wide.select(F.array(*(F.col(f"`{c}`").cast("double") for c in names)).alias("x"))
+    block = max(1, HESSIAN_CELLS // (2 * len(domains) + 1) ** 2)
     rows = []
-    counts = wide.agg(F.count("*").alias("n"), *(F.sum(f"`{d}_present`").alias(d) for d in domains)).first()
-    for d in domains:
-        if not 0 < (counts[d] or 0) < counts["n"]:
-            continue
-        features = [f"{x}_{k}" for x in domains if x != d for k in ("present", "score")]
-        data = VectorAssembler(inputCols=features, outputCol="features").transform(wide).select("features", F.col(f"`{d}_present`").cast("double").alias("label"))
-        fitted = LogisticRegression(maxIter=50, regParam=0.01).fit(data)
-        rows += [(d, f, float(c)) for f, c in zip(features, fitted.coefficients.toArray(), strict=True)] + [(d, "intercept", float(fitted.intercept))]
-    return pam.sparkSession.createDataFrame(rows, "target string, feature string, coefficient double")
+    for at in range(0, len(targets), block):
+        fitted = _newton(given, targets[at : at + block], len(names), penalty, tolerance, rounds)
+        for t, w in fitted.items():
+            own = [i for i in range(len(names)) if i // 2 != t]
+            rows += [(domains[t], names[i], float(w[i])) for i in own] + [(domains[t], "intercept", float(w[-1]))]
+    return spark.createDataFrame(rows, "target string, feature string, coefficient double")
+
+
+def _newton(given: DataFrame, targets: list[int], width: int, penalty: float, tolerance: float, rounds: int) -> dict[int, np.ndarray]:
+    """Coefficients of each target over rows ``x``; a target's own two columns are left out and stay 0."""
+    weights = np.full(width + 1, penalty)
+    weights[-1] = 0.0
+    own = {t: np.array([i for i in range(width) if i // 2 != t] + [width]) for t in targets}
+    place = {t: np.zeros(width + 1) for t in targets}
+    tried, step, least, done = dict(place), {}, dict.fromkeys(targets, np.inf), {}
+    for _ in range(rounds):
+        left = [t for t in targets if t not in done]
+        if not left:
+            break
+        sums = _loss_sums(given, {t: tried[t] for t in left}, own)
+        for t in left:
+            k = len(own[t])
+            loss, gradient, hessian = sums[t][0], sums[t][1 : k + 1], sums[t][k + 1 :].reshape(k, k)
+            w = tried[t][own[t]]
+            loss += (weights[own[t]] * w * w).sum() / 2
+            if loss > least[t] + 1e-12 * abs(least[t]):
+                step[t] = step[t] / 2
+            else:
+                slope = gradient - weights[own[t]] * w
+                least[t], place[t] = loss, tried[t]
+                step[t] = np.linalg.solve(hessian + np.diag(weights[own[t]]), slope)
+                if step[t] @ slope <= tolerance * (1 + least[t]) * tolerance:
+                    done[t] = place[t]
+            moved = np.zeros(width + 1)
+            moved[own[t]] = step[t]
+            tried[t] = place[t] + moved
+            if np.abs(step[t]).max() <= tolerance * np.abs(place[t]).max():
+                done[t] = place[t]
+    return {t: done.get(t, place[t]) for t in targets}
+
+
+def _loss_sums(given: DataFrame, place: dict[int, np.ndarray], own: dict[int, np.ndarray]) -> dict[int, np.ndarray]:
+    """Loss, gradient and Hessian of each target at its coefficients, one after another, summed over all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums = {t: 0.0 for t in place}
+        for batch in batches:
+            x = batch.column(0).flatten().to_numpy().reshape(batch.num_rows, -1)
+            x = np.hstack([x, np.ones((len(x), 1))])
+            for t, w in place.items():
+                y, mine = x[:, 2 * t], x[:, own[t]]
+                z = mine @ w[own[t]]
+                p = 1 / (1 + np.exp(-np.clip(z, -700, 700)))
+                loss = (np.logaddexp(0, z) - y * z).sum()
+                hessian = mine.T @ (mine * (p * (1 - p))[:, None])
+                sums[t] = sums[t] + np.concatenate([[loss], mine.T @ (y - p), hessian.ravel()])
+        found = [t for t in sums if np.ndim(sums[t])]
+        yield pa.RecordBatch.from_arrays([pa.array(found, pa.int32()), pa.array([sums[t] for t in found], pa.list_(pa.float64()))], ["target", "sums"])
+
+    each = given.mapInArrow(run, "target int, sums array<double>").select("target", F.posexplode("sums").alias("at", "value"))
+    table = each.groupBy("target", "at").agg(F.sum("value").alias("value")).toArrow()
+    target, at, value = (table.column(c).to_numpy() for c in ("target", "at", "value"))
+    out = {}
+    for t in place:
+        rows = target == t
+        out[t] = value[rows][np.argsort(at[rows])]
+    return out
 
 
 def similar_to_domain(patterns: DataFrame, min_similarity: float = 0.7) -> DataFrame:

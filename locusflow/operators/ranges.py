@@ -39,3 +39,20 @@ def running(rows: DataFrame, group: list[str], order: list[Column], sums: dict[s
 def numbered(rows: DataFrame, order: list[Column]) -> DataFrame:
     """``rows`` with ``rank``: their number, from 1, in a total order over the whole table."""
     return running(rows.withColumn("_all", F.lit(0)), ["_all"], order).drop("_all")
+
+
+def quantiles(rows: DataFrame, group: list[str], value: str, at: list[float]) -> DataFrame:
+    """(group, q0, q1, ...): exact quantiles of a group's values, between two values in proportion.
+
+    Equal values are counted first; the counts run over ranges of the values, and
+    a quantile's two places are the first values whose running count passes them.
+    No group's values meet in one task or buffer. Null values don't count.
+    """
+    counts = saved(rows.filter(F.col(value).isNotNull()).groupBy(*group, F.col(value).alias("_v")).agg(F.count("*").alias("_w")), "value-counts")
+    run = running(counts, group, [F.col("_v").asc()], {"_upto": F.col("_w")})
+    totals = counts.groupBy(*(F.col(g).alias(f"_g_{g}") for g in group)).agg(F.sum("_w").alias("_total"))
+    placed = run.join(totals, [F.col(g).eqNullSafe(F.col(f"_g_{g}")) for g in group])
+    place = [(F.col("_total") - 1) * p for p in at]
+    first = lambda i: F.min(F.when(F.col("_upto") > i, F.col("_v")))
+    found = placed.groupBy(*group).agg(*(f(p).alias(f"_{name}{i}") for i, p in enumerate(place) for name, f in (("low", lambda p: first(F.floor(p))), ("high", lambda p: first(F.ceil(p))), ("part", lambda p: F.max(p - F.floor(p))))))
+    return found.select(*group, *((F.col(f"_low{i}") + (F.col(f"_high{i}") - F.col(f"_low{i}")) * F.col(f"_part{i}")).alias(f"q{i}") for i in range(len(at))))

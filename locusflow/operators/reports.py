@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from locusflow.functions import canonical
+from locusflow.operators.mining import saved
+from locusflow.operators.ranges import quantiles
 
 LABELS = ("TP", "FP", "FN", "TN")
 CUTOFFS = ("optimized", "trusted", "noise")
@@ -77,11 +79,11 @@ def enriched(labelled: DataFrame, neighbourhoods: DataFrame, genomes: DataFrame,
 
 
 def taxon_distribution(scored: DataFrame, rank: str) -> DataFrame:
-    """Box figures of the scores of each taxon of a rank."""
-    quart = lambda p: F.percentile("score", F.lit(p))
-    return scored.groupBy(F.coalesce(rank, F.lit("NA")).alias("taxon")).agg(
-        F.count("*").alias("n"), F.min("score").alias("low"), quart(0.25).alias("q1"), quart(0.5).alias("q2"), quart(0.75).alias("q3"), F.max("score").alias("high")
-    )
+    """Box figures of the scores of each taxon of a rank; a taxon may hold nearly all rows."""
+    rows = saved(scored.select(F.coalesce(rank, F.lit("NA")).alias("taxon"), "score"), "taxa")
+    ends = rows.groupBy("taxon").agg(F.count("*").alias("n"), F.min("score").alias("low"), F.max("score").alias("high"))
+    quarters = quantiles(rows, ["taxon"], "score", [0.25, 0.5, 0.75])
+    return ends.join(quarters, "taxon", "left").select("taxon", "n", "low", F.col("q0").alias("q1"), F.col("q1").alias("q2"), F.col("q2").alias("q3"), "high")
 
 
 def deepest_rank(taxonomy: DataFrame, ranks: list[str], max_groups: int) -> DataFrame:

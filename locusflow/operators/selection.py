@@ -5,16 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from locusflow.operators.mining import saved
+from locusflow.operators.ranges import quantiles
+
 PREFIX = "csb-"
 
 
 def keyword_statistics(keywords: DataFrame, members: DataFrame) -> DataFrame:
     """Number, extremes, mean, median and deviation of the scores of each (keyword, domain)."""
-    joined = keywords.select("cluster_id", "keyword").distinct().join(members.select("cluster_id", "domain", "score"), "cluster_id")
+    joined = saved(keywords.select("cluster_id", "keyword").distinct().join(members.select("cluster_id", "domain", "score"), "cluster_id").select("keyword", "domain", "score"), "scored")
     deviation = F.coalesce(F.nanvl(F.stddev_samp("score"), F.lit(None)), F.lit(0.0))
-    return joined.groupBy("keyword", "domain").agg(
-        F.count("*").alias("n"), F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.avg("score").alias("mean_score"), F.median("score").alias("median_score"), deviation.alias("std_score")
-    )
+    figures = joined.groupBy("keyword", "domain").agg(F.count("*").alias("n"), F.min("score").alias("min_score"), F.max("score").alias("max_score"), F.avg("score").alias("mean_score"), deviation.alias("std_score"))
+    middle = quantiles(joined, ["keyword", "domain"], "score", [0.5]).withColumnRenamed("q0", "median_score")
+    return figures.join(middle, ["keyword", "domain"], "left").select("keyword", "domain", "n", "min_score", "max_score", "mean_score", "median_score", "std_score")
 
 
 def query_scores(members: DataFrame, genome, how: str = "min") -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from locusflow.operators.mining import saved
@@ -30,12 +30,15 @@ def dealt(rows: DataFrame, hot: DataFrame, key: str) -> DataFrame:
     return rows.join(F.broadcast(hot), key, "left").withColumn("_salt", salt).drop("_parts")
 
 
-def salted_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner") -> DataFrame:
+def salted_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner", where: Column | None = None) -> DataFrame:
     """``rows`` joined with ``other`` on ``key``, hot keys of ``rows`` in parts, each of which meets the key's rows of ``other``.
 
-    ``rows`` is read twice: pass a stored table. ``how``: ``inner`` or ``left_semi``.
+    ``rows`` is read twice: pass a stored table. ``how``: ``inner`` or
+    ``left_semi``; ``where`` further restricts the pairs, by columns that only
+    one side has.
     """
     hot = hot_keys(rows, key)
-    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_salt")
-    spread = other.join(F.broadcast(hot), key, "left").select(*other.columns, copies)
-    return dealt(rows, hot, key).join(spread, [key, "_salt"], how).drop("_salt")
+    copies = F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)).alias("_to")
+    spread = other.join(F.broadcast(hot), key, "left").select(F.col(key).alias("_other"), *(c for c in other.columns if c != key), copies)
+    met = (F.col(key) == F.col("_other")) & (F.col("_salt") == F.col("_to"))
+    return dealt(rows, hot, key).join(spread, met if where is None else met & where, how).drop("_salt", "_other", "_to")

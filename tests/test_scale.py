@@ -3,6 +3,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -10,6 +11,7 @@ from locusflow.operators import hits as H
 from locusflow.operators import linkage
 from locusflow.operators import mining as M
 from locusflow.operators import naming as N
+from locusflow.operators import neighbours as J
 from locusflow.operators import presence as P
 from locusflow.operators import ranges
 from locusflow.operators import similarity as K
@@ -226,12 +228,69 @@ def test_replicates_of_a_list_that_most_clusters_have(spark, monkeypatch):
     assert sorted(got) == sorted((first[tuple(t)], i) for i, t in rows)
 
 
-def test_logistic_models_tell_what_goes_together(spark):
-    rows = [(g, d) for g in range(60) for d in ("x", "y", "z") if (d == "x" and g % 2) or (d == "y" and (g % 2 or g % 10 == 0)) or (d == "z" and g % 3 == 0)]
-    pam = spark.createDataFrame([(g, d, [f"{g}{d}"]) for g, d in rows], "genome_id int, domain string, proteins array<string>")
-    scores = spark.createDataFrame([(f"{g}{d}", 1.0) for g, d in rows], "protein_id string, score double")
-    got = {(r.target, r.feature): r.coefficient for r in P.logistic_models(pam, scores, ["x", "y", "z"]).collect()}
-    assert len(got) == 15 and got["x", "y_present"] > 0.5 > abs(got["x", "z_present"])
+@pytest.mark.parametrize("cells", [4_000_000, 1])
+def test_logistic_models_equal_numpy_newton(spark, monkeypatch, cells):
+    monkeypatch.setattr(P, "HESSIAN_CELLS", cells)
+    rng = np.random.default_rng(31)
+    domains = ["x", "y", "z", "all", "a.b`c"[:3]]
+    rows = [(g, d, [f"{g}{d}"]) for g in range(150) for d in domains if d == "all" or rng.random() < (0.8 if d == "y" and g % 2 else 0.4)]
+    scores = [(p, float(rng.normal(40, 15))) for _, _, own in rows for p in own]
+    frame = spark.createDataFrame(rows, "genome_id int, domain string, proteins array<string>")
+    got = {(r.target, r.feature): r.coefficient for r in P.logistic_models(frame.repartition(6), spark.createDataFrame(scores, "protein_id string, score double"), domains).collect()}
+    value = dict(scores)
+    has = {(g, d): value[own[0]] for g, d, own in rows}
+    columns = [(d, k) for d in domains for k in ("present", "score")]
+    x = np.array([[(((g, d) in has) if k == "present" else has.get((g, d), 0.0)) for d, k in columns] + [1.0] for g in range(150)], float)
+    assert {t for t, _ in got} == {"x", "y", "z", "a.b"}
+    for t in ("x", "y", "z", "a.b"):
+        own = [i for i, (d, _) in enumerate(columns) if d != t] + [len(columns)]
+        m, y, w = x[:, own], x[:, columns.index((t, "present"))], np.zeros(len(own))
+        ridge = np.diag([1.0] * (len(own) - 1) + [0.0])
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-m @ w))
+            w = w + np.linalg.solve(m.T @ (m * (p * (1 - p))[:, None]) + ridge, m.T @ (y - p) - ridge @ w)
+        want = {"_".join(columns[i]) if i < len(columns) else "intercept": c for i, c in zip(own, w, strict=True)}
+        assert {f: c for (u, f), c in got.items() if u == t} == pytest.approx(want, abs=1e-6)
+
+
+def test_quantiles_of_a_group_with_most_rows(spark):
+    rng = random.Random(41)
+    rows = [("big", float(rng.randint(0, 400))) for _ in range(900)] + [("few", float(rng.random())) for _ in range(7)] + [(None, 3.0), (None, 4.0), ("one", 5.0), ("none", None), ("big", None)]
+    got = {r.g: (r.q0, r.q1, r.q2, r.q3) for r in ranges.quantiles(spark.createDataFrame(rows, "g string, v double").repartition(7), ["g"], "v", [0.0, 0.25, 0.5, 0.99]).collect()}
+    want = {}
+    for g in ("big", "few", None, "one"):
+        own = [v for h, v in rows if h == g and v is not None]
+        want[g] = tuple(float(np.quantile(own, p)) for p in (0.0, 0.25, 0.5, 0.99))
+    assert set(got) == set(want) and all(got[g] == pytest.approx(want[g]) for g in want)
+
+
+@pytest.mark.parametrize("least", [10_000, 4])
+def test_subsets_with_a_hot_item_in_every_set(spark, monkeypatch, least):
+    monkeypatch.setattr(skew, "LEAST_ROWS", least)
+    rng = random.Random(51)
+    pick = lambda most: ["hot"] + [f"i{rng.randrange(14)}" for _ in range(rng.randint(0, most))]
+    rows = lambda n, most: [(rng.choice("de"), i, rng.choice([pick(most), pick(most) + pick(1)])) for i in range(n)]
+    candidates, references = rows(120, 3) + [("d", 900, []), ("d", 901, ["unknown", "hot"]), ("x", 902, ["hot"]), ("x", 903, [])], rows(60, 6)
+    schema = "domain string, protein_id int, neighbourhood array<string>"
+    got = {(r.domain, r.protein_id) for r in J.subset_neighbourhoods(*(spark.createDataFrame(r, schema) for r in (candidates, references))).collect()}
+    want = {(d, i) for d, i, s in candidates if any(e == d and set(s) <= set(r) for e, _, r in references)}
+    assert got == want and 10 < len(want) < 124
+
+
+@pytest.mark.parametrize("least, completeness, exact, min_types", [(10_000, 0.5, False, 1), (5, 0.5, False, 1), (5, 0.75, False, 3), (5, 0.5, True, 2), (10_000, 0.1, False, 1)])
+def test_names_equal_all_pairs(spark, monkeypatch, least, completeness, exact, min_types):
+    monkeypatch.setattr(skew, "LEAST_ROWS", least)
+    rng = random.Random(61)
+    found = [(i, ["hot"] * (i % 5 > 0) + [rng.choice("abcdefgh") for _ in range(rng.randint(0, 6))]) for i in range(80)]
+    patterns = [(f"p{i}", [rng.choice(["hot", "z", *"abcdefgh"]) for _ in range(rng.randint(1, 6))]) for i in range(40)]
+    got = {(r.cluster_id, r.keyword): (r.completeness, sorted(r.missing), sorted(r.additional)) for r in N.name_islands(spark.createDataFrame(found, "cluster_id int, types array<string>"), spark.createDataFrame(patterns, "keyword string, pattern array<string>"), completeness, min_types, exact).collect()}
+    want = {}
+    for c, types in found:
+        for k, p in patterns:
+            t, q = set(types), set(p)
+            if len(t) >= min_types and t & q and len(t & q) / len(q) >= (1 if exact else completeness):
+                want[c, k] = (len(t & q) / len(q), sorted(q - t), sorted(t - q))
+    assert got == want and want
 
 
 def test_rarest_items_and_ranks(spark):
