@@ -22,8 +22,8 @@ from locusflow.operators import selection as S
 from locusflow.operators import sets as U
 from locusflow.operators import similarity as K
 from locusflow.operators import validation as V
-from locusflow.operators.ranges import numbered
-from locusflow.sources import sinks
+from locusflow.operators.ranges import numbered, running
+from locusflow.sources import sinks, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -1292,10 +1292,8 @@ def w5_first_occurrence(spark, d):
 
 @query("SELECT c_mktsegment, c_custkey, row_number() OVER (PARTITION BY c_mktsegment ORDER BY c_custkey) AS n FROM customer")
 def w8_numbered_queries(spark, d):
-    from pyspark.sql import Window
-
-    order = Window.partitionBy("c_mktsegment").orderBy("c_custkey")
-    return A.table(spark, d, "customer").select("c_mktsegment", "c_custkey", F.row_number().over(order).cast("long").alias("n"))
+    rows = A.table(spark, d, "customer").select("c_mktsegment", "c_custkey")
+    return running(rows, ["c_mktsegment"], [F.col("c_custkey").asc()]).withColumnRenamed("rank", "n")
 
 
 # ---- sources and sinks ---------------------------------------------------------------------------------------
@@ -1338,6 +1336,34 @@ def io10_first_wins(spark, d):
     return sinks.first_wins(members, stored, ["genome_id", "domain"], ["protein_id"]).select("genome_id", "domain", "protein_id", "score")
 
 
+@query(
+    sql(
+        "genes",
+        "SELECT protein_id, genome_id, contig, start_pos, score + CASE WHEN domain = 'click' THEN 0 WHEN score >= 50 THEN 1000 ELSE 2000 END AS score FROM genes",
+    )
+)
+def io10_store(spark, d):
+    """Clicks are stored first, then better hits of all domains, then all hits, twice; each batch has other scores, and stored proteins keep theirs."""
+    genes = A.genes(spark, d).select("protein_id", "genome_id", "contig", "start_pos", "score", "domain")
+    batches = [genes.filter("domain = 'click'"), genes.filter("score >= 50").withColumn("score", F.col("score") + 1000), genes.withColumn("score", F.col("score") + 2000)]
+    path = M.scratch(spark, "proteins")
+    layout = (["protein_id"], ["contig", "start_pos"], 16)
+    name = store.open_table(spark, path, genes.drop("domain").schema, *layout)
+    for batch in [*batches, batches[-1]]:
+        store.append_new(spark, name, batch, ["protein_id"], ["start_pos"], *layout[1:])
+    return spark.table(store.open_table(spark, path, genes.drop("domain").schema, *layout))
+
+
+@query(sql("genes", "SELECT cluster_id, array_to_string(list(domain ORDER BY start_pos, protein_id), ',') AS types FROM island_members GROUP BY cluster_id", **ISLANDS))
+def w11_stored_clusters(spark, d):
+    """Island members are stored by cluster and start; the lists are read without moving a row."""
+    members = _island_members(spark, d).select("cluster_id", "start_pos", "protein_id", "domain")
+    layout = (["cluster_id"], ["cluster_id", "start_pos"], 16)
+    name = store.open_table(spark, M.scratch(spark, "members"), members.schema, *layout)
+    store.append_all(spark, name, members, layout[0], layout[1], layout[2])
+    return store.cluster_lists(spark, name).select("cluster_id", _text("types").alias("types"))
+
+
 @query(sql("genes", "SELECT protein_id, cluster_id FROM placed", **PLACED))
 def io10_with_clusters(spark, d):
     return sinks.with_clusters(A.genes(spark, d), _island_members(spark, d)).select("protein_id", "cluster_id")

@@ -16,7 +16,7 @@ from locusflow.operators import presence as P
 from locusflow.operators import ranges
 from locusflow.operators import similarity as K
 from locusflow.operators import skew
-from locusflow.sources import sinks
+from locusflow.sources import sinks, store
 
 
 def test_running_totals_cross_ranges(spark):
@@ -293,6 +293,34 @@ def test_names_equal_all_pairs(spark, monkeypatch, least, completeness, exact, m
     assert got == want and want
 
 
+def test_store_keeps_first_rows_and_moves_no_stored_row(spark, tmp_path):
+    schema = spark.createDataFrame([], "cluster_id string, protein_id int, start_pos int, domain string").schema
+    layout = (["protein_id"], ["start_pos"], 8)
+    path = str(tmp_path / "proteins")
+    name = store.open_table(spark, path, schema, *layout)
+    batch = lambda mark, ids: spark.createDataFrame([(f"c{i % 3}", i, 100 - i, mark) for i in ids] + [("c", None, 1, mark)], schema)
+    store.append_new(spark, name, batch("one", range(0, 20)), ["protein_id"], ["domain"], *layout[1:])
+    store.append_new(spark, name, batch("two", range(10, 30)).unionByName(batch("three", range(25, 35))), ["protein_id"], ["domain"], *layout[1:])
+    # another session's entry for the same files
+    again = store.open_table(spark, path, schema, *layout)
+    store.append_new(spark, again, batch("four", range(0, 40)), ["protein_id"], ["domain"], *layout[1:])
+    got = {r.protein_id: r.domain for r in spark.table(again).collect()}
+    assert spark.table(again).count() == 40 and got == {i: "one" if i < 20 else "three" if 25 <= i < 35 else "two" if i < 30 else "four" for i in range(40)}
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        # the stored side of the anti join has no exchange, only the new rows have
+        plan = batch("x", range(5)).join(spark.table(again).select("protein_id"), "protein_id", "left_anti")._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1 and "Bucketed: true" in plan
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    by_cluster = store.open_table(spark, str(tmp_path / "members"), schema, ["cluster_id"], ["cluster_id", "start_pos"], 8)
+    store.append_all(spark, by_cluster, spark.table(again), ["cluster_id"], ["cluster_id", "start_pos"], 8)
+    lists = store.cluster_lists(spark, by_cluster)
+    assert "Exchange" not in lists._jdf.queryExecution().executedPlan().toString()
+    assert {r.cluster_id: r.types for r in lists.collect()} == {f"c{c}": [got[i] for i in range(39, -1, -1) if i % 3 == c] for c in range(3)}
+
+
 def test_rarest_items_and_ranks(spark):
     patterns = spark.createDataFrame([("p", ["a", "b"]), ("q", ["b", "c"]), ("r", ["b"])], "keyword string, pattern array<string>")
     assert {r.item: r["rank"] for r in N.item_rank(patterns).collect()} == {"a": 1, "c": 2, "b": 3}
