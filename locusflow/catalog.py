@@ -563,6 +563,21 @@ def _query_scores(spark, d, how="min"):
     return S.query_scores(A.members(spark, d), 7, how)
 
 
+#: Keywords of fewer orders, some without the prefix, and query scores high enough that some of them fail.
+STRICT = dict(
+    keywords="SELECT o_orderkey AS cluster_id, CASE WHEN o_custkey % 3 = 0 THEN 'set-' ELSE 'csb-' END || o_custkey % 400 AS keyword FROM orders",
+    **STATS,
+    query="SELECT domain, 45 * min(score) AS query_score FROM members WHERE genome_id = 7 AND domain < 'Brand#2' GROUP BY 1",
+)
+
+
+def _strict(spark, d):
+    prefix = F.when(F.col("o_custkey") % 3 == 0, "set-").otherwise("csb-")
+    keywords = A.table(spark, d, "orders").select(F.col("o_orderkey").alias("cluster_id"), F.concat(prefix, (F.col("o_custkey") % 400).cast("string")).alias("keyword"))
+    query = _query_scores(spark, d).filter("domain < 'Brand#2'").withColumn("query_score", F.col("query_score") * 45)
+    return S.keyword_statistics(keywords, A.members(spark, d)), query
+
+
 @query(sql("members keywords", "SELECT keyword, domain, n, min_score, max_score, round(mean_score, 4) AS mean_score, round(median_score, 4) AS median_score, round(std_score, 4) AS std_score FROM stats", **STATS))
 def g1_keyword_statistics(spark, d):
     r4 = lambda c: F.round(c, 4).alias(c)
@@ -584,23 +599,23 @@ def f9_exclude_types(spark, d):
 
 @query(
     sql(
-        "members keywords",
+        "members",
         "SELECT keyword, domain, n FROM stats WHERE keyword IN (SELECT keyword FROM stats LEFT JOIN query USING (domain) GROUP BY keyword HAVING max(n) >= 10 AND (bool_or(coalesce(median_score >= query_score * 0.7, false)) OR NOT starts_with(keyword, 'csb-')))",
-        **QUERYS,
+        **STRICT,
     )
 )
 def f10_drop_low_quality(spark, d):
-    return S.drop_low_quality(_stats(spark, d), _query_scores(spark, d)).select("keyword", "domain", "n")
+    return S.drop_low_quality(*_strict(spark, d)).select("keyword", "domain", "n")
 
 
-@query(sql("members keywords", "SELECT keyword, domain FROM stats JOIN query USING (domain) WHERE max_score >= query_score * 0.7", **QUERYS))
+@query(sql("members", "SELECT keyword, domain FROM stats JOIN query USING (domain) WHERE max_score >= query_score * 0.7", **STRICT))
 def c1_passing_domains(spark, d):
-    return S.passing_domains(_stats(spark, d), _query_scores(spark, d))
+    return S.passing_domains(*_strict(spark, d))
 
 
-@query(sql("members keywords", "SELECT keyword, domain FROM stats WHERE keyword IN (SELECT keyword FROM stats JOIN query USING (domain) WHERE max_score >= query_score * (1 - 0.3))", **QUERYS))
+@query(sql("members", "SELECT keyword, domain FROM stats WHERE keyword IN (SELECT keyword FROM stats JOIN query USING (domain) WHERE max_score >= query_score * (1 - 0.3))", **STRICT))
 def c2_passing_keywords(spark, d):
-    return S.passing_keywords(_stats(spark, d), _query_scores(spark, d))
+    return S.passing_keywords(*_strict(spark, d))
 
 
 @query(sql("members keywords", "SELECT s.domain, min(min_score) AS lower, max(max_score) AS upper FROM stats s JOIN query USING (domain) WHERE max_score >= query_score * 0.7 GROUP BY 1", **QUERYS))
@@ -832,19 +847,24 @@ def p3_genomes_with_all(spark, d):
     return P.genomes_with_all(P.domains_in_all(_seeds(spark, d), members), members)
 
 
-@query(
-    sql(
-        "carriers",
-        "SELECT x.seed, min(m.score) AS lower, max(m.score) AS upper, array_to_string(list(DISTINCT m.protein_id ORDER BY m.protein_id), ',') AS proteins FROM matches x JOIN carriers m ON m.genome_id = x.genome_id AND m.domain = x.seed GROUP BY 1",
-        **WITH_ALL,
-    )
-)
-def p4_seed_references(spark, d):
+SEED_REFS = dict(WITH_ALL, seed_refs="SELECT DISTINCT m.domain, m.protein_id, m.score FROM matches x JOIN carriers m ON m.genome_id = x.genome_id AND m.domain = x.seed")
+
+
+def _seed_references(spark, d):
     from locusflow.plans import context_free_references
 
     members = A.carriers(spark, d)
-    found = context_free_references(_seeds(spark, d), members, members)
-    return found.select("seed", "lower", "upper", _text("proteins").alias("proteins"))
+    return context_free_references(_seeds(spark, d), members, members)
+
+
+@query(sql("carriers", "SELECT domain, protein_id, score FROM seed_refs", **SEED_REFS))
+def p4_seed_references(spark, d):
+    return _seed_references(spark, d)
+
+
+@query(sql("carriers", "SELECT domain, min(score) AS lower, max(score) AS upper FROM seed_refs GROUP BY 1", **SEED_REFS))
+def p4_seed_limits(spark, d):
+    return P.seed_limits(_seed_references(spark, d))
 
 
 SAMPLE = dict(PAM, sample="SELECT t.domain AS target, c.genome_id, c.domain FROM carried t JOIN carried c USING (genome_id)")
@@ -855,6 +875,12 @@ def p5_positive_sample(spark, d):
     return P.positive_sample(*_refs(spark, d), limit=None).groupBy("target", "domain").agg(F.count("*").alias("n"))
 
 
+@query(sql("carriers", "SELECT target, least(count(DISTINCT genome_id), 100) AS n FROM sample GROUP BY 1", **SAMPLE))
+def p5_sample_sizes(spark, d):
+    """A sample of 100 genomes for each target: which ones goes by a hash, how many is known."""
+    return P.positive_sample(*_refs(spark, d), limit=100).groupBy("target").agg(F.count_distinct("genome_id").alias("n"))
+
+
 MODEL = dict(
     SAMPLE,
     totals="SELECT target, count(DISTINCT genome_id) AS n_train FROM sample GROUP BY 1",
@@ -1387,6 +1413,14 @@ def io13_training_sequences(spark, d):
     return sinks.training_sequences(refs, texts, 40, 1_000_000_000).select("domain", "protein_id", F.md5("sequence").alias("digest"))
 
 
+@query(sql("refs", "SELECT family AS domain, CASE WHEN count(*) > 60 THEN 50 ELSE count(*) END AS n FROM (SELECT DISTINCT * FROM refs) GROUP BY 1 HAVING count(*) >= 5"))
+def io13_sample_sizes(spark, d):
+    """Groups of more than 60 sequences are samples of 50: which ones goes by a hash, how many is known."""
+    texts = _texts(spark, d).withColumnRenamed("seq_id", "protein_id")
+    refs = A.references(spark, d).withColumnRenamed("family", "domain")
+    return sinks.training_sequences(refs, texts, 5, 50, 10).groupBy("domain").agg(F.count("*").alias("n"))
+
+
 @query("SELECT lang AS genome_id, doc_id AS protein_id, md5(text) AS digest FROM documents WHERE lang <> 'en'")
 def io14_domain_sequences(spark, d):
     docs = A.table(spark, d, "documents").select(F.col("lang").alias("genome_id"), F.col("doc_id").alias("protein_id"), "source", F.col("text").alias("sequence"))
@@ -1543,6 +1577,25 @@ def c4_seed_groups(spark, d):
     return seed_groups(A.keywords(spark, d), members, 7).groupBy("domain").agg(F.count("*").alias("n"))
 
 
+SINGLES = dict(
+    SEED_GROUPS,
+    groups="SELECT domain, protein_id FROM kept UNION SELECT domain, protein_id FROM members WHERE genome_id = 7 AND domain IN (SELECT domain FROM kept)",
+    carriers="SELECT * EXCLUDE (genome_id), cluster_id AS genome_id, count(*) OVER (PARTITION BY cluster_id) AS size FROM members",
+    **dict(SEED_REFS, seeds="SELECT DISTINCT domain AS seed, genome_id FROM carriers WHERE size = 1 AND identity >= 98"),
+)
+
+
+@query(sql("members keywords", "SELECT domain, count(*) AS n FROM (SELECT domain, protein_id FROM groups WHERE domain NOT IN (SELECT domain FROM seed_refs) UNION SELECT domain, protein_id FROM seed_refs) GROUP BY 1", **SINGLES))
+def c4_singletons_over_groups(spark, d):
+    """The seed groups, with the references from items that are alone in their order in place of those of their domains."""
+    from locusflow.plans import seed_groups, singleton_references
+
+    members = A.members(spark, d)
+    alone = members.groupBy("cluster_id").agg(F.count("*").alias("size"))
+    placed = A.carriers(spark, d).join(alone, "cluster_id").withColumn("cluster_id", F.when(F.col("size") > 1, F.col("cluster_id")))
+    return seed_groups(A.keywords(spark, d), members, 7, singleton_references(placed, 98.0)).groupBy("domain").agg(F.count("*").alias("n"))
+
+
 @query(sql("", "SELECT cluster_id, min(start_pos) AS lo, max(end_pos) AS hi, array_to_string(list(domain ORDER BY start_pos, protein_id), ',') AS types FROM island_members GROUP BY cluster_id", genes=A.CTE["genes"] + " WHERE value * 4 >= 100", **ISLANDS))
 def c7_hits_to_islands(spark, d):
     from locusflow.plans import hits_to_islands

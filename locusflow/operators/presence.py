@@ -46,9 +46,14 @@ def genomes_with_all(patterns: DataFrame, hits: DataFrame) -> DataFrame:
 
 
 def seed_references(matches: DataFrame, hits: DataFrame) -> DataFrame:
-    """Scores and proteins of each seed domain in its genomes: (seed, lower, upper, proteins)."""
-    joined = hits.join(matches.withColumnRenamed("seed", "domain"), ["genome_id", "domain"]).withColumnRenamed("domain", "seed")
-    return joined.groupBy("seed").agg(F.min("score").alias("lower"), F.max("score").alias("upper"), F.array_sort(F.collect_set("protein_id")).alias("proteins"))
+    """(domain, protein_id, score): the proteins of each seed domain in its genomes."""
+    joined = hits.join(matches.withColumnRenamed("seed", "domain"), ["genome_id", "domain"])
+    return joined.select("domain", "protein_id", "score").distinct()
+
+
+def seed_limits(references: DataFrame) -> DataFrame:
+    """(domain, lower, upper): least and greatest score of each domain's references."""
+    return references.groupBy("domain").agg(F.min("score").alias("lower"), F.max("score").alias("upper"))
 
 
 def positive_sample(refset: DataFrame, proteins: DataFrame, limit: int | None = 1000, seed: int = 42) -> DataFrame:

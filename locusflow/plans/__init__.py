@@ -36,10 +36,16 @@ def islands_to_keywords(lists: DataFrame, k: int = 2, q: int = 1) -> DataFrame:
 
 
 def context_free_references(seeds: DataFrame, members: DataFrame, hits: DataFrame, identity: float = 70.0) -> DataFrame:
-    """For each seed: the domains in all its genomes, the genomes with all of those, its scores and proteins there."""
+    """(domain, protein_id, score): for each seed the domains in all its genomes, the genomes with all of those, and its proteins there."""
     return P.seed_references(P.genomes_with_all(P.domains_in_all(seeds, members, identity), hits), hits)
 
 
+def singleton_references(members: DataFrame, seed_identity: float = 70.0, identity: float = 70.0) -> DataFrame:
+    """(domain, protein_id, score): references from proteins of high identity in no cluster, over the genomes like theirs."""
+    seeds = S.context_free(members, seed_identity).select(F.col("domain").alias("seed"), "genome_id").distinct()
+    return context_free_references(seeds, members, members, identity)
+
+
 def seed_groups(keywords: DataFrame, members: DataFrame, query_genome, singletons: DataFrame | None = None, min_seqs: int = 1) -> DataFrame:
     """The first reference sets: proteins of the passing keywords, without query-only groups, query proteins back, singletons over them."""
     stats = S.keyword_statistics(keywords, members)
