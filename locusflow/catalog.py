@@ -155,12 +155,12 @@ def a5_comment_tokens(spark, d):
 @query(
     sql(
         "genes",
-        "SELECT p.protein_id, coalesce(g.contig, -1) AS contig, coalesce(g.start_pos, -1) AS start_pos FROM (SELECT genome_id, protein_id FROM genes) p LEFT JOIN (SELECT * FROM genes WHERE protein_id % 3 <> 0) g ON p.genome_id = g.genome_id AND p.protein_id = g.protein_id",
+        "SELECT p.protein_id, coalesce(g.contig, -1) AS contig, coalesce(g.start_pos, -1) AS start_pos FROM (SELECT genome_id, protein_id FROM genes) p LEFT JOIN (SELECT * FROM genes WHERE domain <> 'error') g ON p.genome_id = g.genome_id AND p.protein_id = g.protein_id",
     )
 )
 def a6_attach_features(spark, d):
     genes = A.genes(spark, d)
-    known = genes.filter(F.col("domain") != "").filter(F.col("protein_id") % 3 != 0)
+    known = genes.filter(F.col("domain") != "error")
     return H.attach_features(genes.select("genome_id", "protein_id"), known).select("protein_id", *(F.coalesce(c, F.lit(-1)).alias(c) for c in ("contig", "start_pos")))
 
 

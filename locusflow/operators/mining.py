@@ -212,18 +212,40 @@ def number_patterns(patterns: DataFrame, prefix: str = "csb-", suffix: str = "_"
     return patterns.join(named, "pattern")
 
 
+def components(edges: DataFrame) -> DataFrame:
+    """(node, component): the smallest node that each node of the edges ``(a, b)`` is connected with.
+
+    In a round a node takes the least name among its neighbours' names and the
+    name of its own name, so names travel ever larger steps.
+    """
+    both = saved(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct(), "edges")
+    label = saved(both.groupBy("a").agg(F.min("b").alias("m")).select(F.col("a").alias("node"), F.least("a", "m").alias("component")), "components")
+    while True:
+        near = both.join(label.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near")).withColumnRenamed("a", "node")
+        up = label.select(F.col("node").alias("component"), F.col("component").alias("up"))
+        new = saved(label.join(near, "node").join(up, "component").select("node", "component", F.least("component", "near", "up").alias("new")), "components")
+        if new.filter("new <> component").isEmpty():
+            return label
+        label = new.select("node", F.col("new").alias("component"))
+
+
 def group_patterns(patterns: DataFrame, distance: float) -> DataFrame:
     """Groups of patterns (keyword, group_id) by average linkage at a Jaccard distance, named after their smallest keyword.
 
-    A round merges every pair of groups that are each other's nearest one (ties:
-    the smaller names), if their mean distance is within the limit. With average
-    linkage such merges don't disturb each other, so rounds end where single
-    merges would. Pairs without a common item have distance 1; they add nothing
-    to the sum of similarities, which is what the pair table holds.
+    Two groups within the limit have a pair of patterns within it, so groups stay
+    inside the components of such pairs; other pairs of a component are made
+    there only, and pairs of different components never. A round merges every
+    pair of groups that are each other's nearest one (ties: the smaller names),
+    if their mean distance is within the limit. With average linkage such merges
+    don't disturb each other, so rounds end where single merges would. Pairs
+    without a common item have distance 1; they add nothing to the sum of
+    similarities, which is what the pair table holds.
     """
     sized = saved(patterns.select(F.col("keyword").alias("group_id")).groupBy("group_id").agg(F.count("*").alias("n")), "groups")
     label = saved(patterns.select("keyword", F.col("keyword").alias("group_id")), "labels")
-    sums = saved(similar_patterns(patterns).select("a", "b", F.col("similarity").alias("s")), "sums")
+    within = components(saved(similar_patterns(patterns, max(0.0, 1 - distance)), "near-patterns")).withColumnRenamed("node", "keyword")
+    inside = patterns.join(within, "keyword").select("keyword", F.transform("pattern", lambda item: F.struct("component", item.alias("item"))).alias("pattern"))
+    sums = saved(similar_patterns(inside).select("a", "b", F.col("similarity").alias("s")), "sums")
     while True:
         own = lambda side: sized.select(F.col("group_id").alias(side), F.col("n").alias("n" + side))
         mean = sums.join(own("a"), "a").join(own("b"), "b").withColumn("mean", F.col("s") / (F.col("na") * F.col("nb"))).filter(F.col("mean") >= 1 - distance - 1e-9)

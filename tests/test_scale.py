@@ -67,6 +67,32 @@ def test_similar_patterns_equal_all_pairs(spark, least):
     assert got == want
 
 
+def test_linkage_of_many_patterns_stays_in_components(spark):
+    rng = random.Random(17)
+    families = [rng.sample(range(i * 60, i * 60 + 90), 60) for i in range(8)]
+    sets = {f"k{i:03d}": frozenset(rng.sample(rng.choice(families), rng.randint(30, 55)) + rng.sample(range(600), 3)) for i in range(160)}
+    names = sorted(sets)
+    like = np.array([[len(sets[a] & sets[b]) / len(sets[a] | sets[b]) for b in names] for a in names])
+    groups = {k: [i] for i, k in enumerate(names)}
+    sums, size, live = like.copy(), np.ones(len(names)), np.ones(len(names), bool)
+    while True:
+        mean = np.where(np.outer(live, live) & ~np.eye(len(names), dtype=bool), sums / np.outer(size, size), -1)
+        x, y = np.unravel_index(mean.argmax(), mean.shape)
+        if mean[x, y] < 0.5 - 1e-9:
+            break
+        x, y = min(x, y), max(x, y)
+        groups[names[x]] += groups.pop(names[y])
+        sums[x] += sums[y]
+        sums[:, x] += sums[:, y]
+        size[x] += size[y]
+        live[y] = False
+    want = {names[i]: k for k, own in groups.items() for i in own}
+    df = spark.createDataFrame([(k, [str(x) for x in s]) for k, s in sets.items()], "keyword string, pattern array<string>")
+    assert {r.keyword: r.group_id for r in M.group_patterns(df, 0.5).collect()} == want and 8 < len(groups) < 120
+    edges = spark.createDataFrame([(i, i + 1) for i in range(40) if i % 10 != 9] + [(100, 103), (101, 103), (102, 101)], "a int, b int")
+    assert {r.node: r.component for r in M.components(edges).collect()} == {i: i - i % 10 for i in range(40)} | {i: 100 for i in range(100, 104)}
+
+
 def test_next_match_equals_brute_force(spark):
     rng = random.Random(4)
     rows = [(i, [rng.choice("ABCD") for _ in range(rng.randint(0, 8))]) for i in range(20)]
