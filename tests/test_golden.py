@@ -130,7 +130,7 @@ def test_balance_extremes_and_weights(spark):
     assert model.groupBy("target").agg(F.round(F.sum("weight"), 9)).first()[1] == 1
     have = spark.createDataFrame([(1, "x"), (1, "y"), (2, "x")], "genome_id int, domain string")
     genomes = spark.createDataFrame([(1,), (2,), (3,)], "genome_id int")
-    got = {r.genome_id: round(r.balance, 9) for r in P.balance(model, have, genomes).collect()}
+    got = {r.genome_id: round(r.balance, 9) for r in P.balance(model, have, genomes, ["t", "unknown"]).collect()}
     assert got == {1: 1, 2: 0, 3: -1}
 
 
