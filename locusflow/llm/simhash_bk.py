@@ -59,7 +59,9 @@ COMMON = 8
 COMMON_ROWS = 200_000
 SKETCH_BITS = 2048
 #: Rounds of step 2 of ``similar_classes``.
-STARS = 1
+STARS = 2
+#: Classes that meet in one task of step 2, roughly.
+BLOCK = 1024
 _LOWER = bytes(b + 32 if 65 <= b < 91 else b for b in range(256))
 
 
@@ -402,42 +404,110 @@ class Classes:
 
 
 def rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows(token, sk, n, pos)`` of shingles that lie in several components, with each class's ``root``."""
+    """``rows(token, sk, n, pos)`` of shingles that lie in several components, with each class's ``root`` and the shingle's ``members``."""
     # keys only; shuffled beyond the counted bound
     found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
     # dealt out once, for the extremes and for the join
     named = rows.join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")).repartition("token")
-    parted = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high").select("token")
+    parted = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).filter("low <> high").select("token", "members")
     return saved(named.join(parted, "token"), "heads")
 
 
-def star(rows: DataFrame, classes: Classes, turn: int) -> DataFrame:
-    """Candidates (a, b, na, nb), one for each class at most: of the first component's classes with a shingle one is the centre,
-    and a class goes with the centre that it shares the most shingles with."""
-    pick = F.xxhash64("sk", F.lit(turn))
-    centre = saved(rows.groupBy("token").agg(F.min(F.struct("root", pick.alias("h"), "sk", "n")).alias("c")).select("token", "c.root", F.col("c.sk").alias("a"), F.col("c.n").alias("na")), "centres")
-    met = rows.select("token", F.col("root").alias("own"), F.col("sk").alias("b"), F.col("n").alias("nb")).join(centre, "token").filter("own <> root")
-    # heads of similar sets have most shingles in common; a quarter is asked for, because a class is not the centre of all it has
-    enough = F.col("common") >= (F.least("na", "nb") * (1 - classes.similarity) + 1) / 4
-    counted = met.groupBy("b", "nb", "a", "na").agg(F.count("*").alias("common")).filter(enough & classes.wanted(F.least("na", "nb")))
-    return counted.groupBy("b", "nb").agg(F.max(F.struct("common", "a", "na")).alias("m")).select("m.a", "b", "m.na", "nb")
+def lots(rows: DataFrame, rounds: int) -> DataFrame:
+    """(sk, lot0, lot1, ...): for each round one (token, members) of every class.
+
+    Of a class's shingles the one with the least draw is taken; a shingle draws
+    the same for all classes, and lower the more classes have it, so that similar
+    classes mostly take the same one.
+    """
+    drawn = lambda turn: -F.log((F.pmod(F.xxhash64("token", F.lit(turn)), F.lit(1 << 31)) + 0.5) / (1 << 31)) / F.col("members")
+    return saved(rows.groupBy("sk").agg(*(F.min_by(F.struct("token", "members"), drawn(turn)).alias(f"lot{turn}") for turn in range(rounds))), "lots")
+
+
+def forest(n: np.ndarray, label: np.ndarray, sketch: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that join the components (``label``) of one block over pairs whose parity sketches allow the similarity, the nearest first.
+
+    Fewer edges than rows: each round takes the nearest pair of every component.
+    """
+    found = []
+    for begin in range(0, len(n), 64):
+        rows = slice(begin, begin + 64)
+        apart = np.bitwise_count(sketch[rows, None] ^ sketch[None, begin:]).sum(2, dtype=np.int64)
+        sizes = n[rows, None] + n[None, begin:]
+        wanted = (apart <= sizes * ((1 - similarity) / (1 + similarity)) + 1e-9) & (label[rows, None] != label[None, begin:])
+        i, j = np.nonzero(np.triu(wanted))
+        found.append((i + begin, j + begin, apart[i, j] / sizes[i, j]))
+    i, j, far = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(far, kind="stable")
+    i, j = i[order], j[order]
+    label = np.unique(label, return_inverse=True)[1]
+    taken_i, taken_j = [], []
+    while len(i):
+        nearest = np.full(len(n), len(i))
+        for ends in (label[i], label[j]):
+            np.minimum.at(nearest, ends, np.arange(len(i)))
+        pick = np.unique(nearest[nearest < len(i)])
+        taken_i.append(i[pick])
+        taken_j.append(j[pick])
+        label = join_labels(np.arange(len(n)), label[i[pick]], label[j[pick]])[label]
+        apart = label[i] != label[j]
+        i, j = i[apart], j[apart]
+    none = np.zeros(0, np.int64)
+    return np.concatenate([none, *taken_i]), np.concatenate([none, *taken_j])
+
+
+def near_in_blocks(own: DataFrame, found: DataFrame, classes: Classes, turn: int) -> DataFrame:
+    """Candidates (a, b), fewer than classes: those with one lot meet in blocks of about ``BLOCK``, each a forest of near pairs."""
+    lot = F.col(f"lot{turn}")
+    block = F.pmod(F.xxhash64("sk", F.lit(turn)), F.ceil(lot["members"] / BLOCK))
+    dealt = own.select("sk", F.xxhash64(lot["token"], block).alias("task")).join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk"))
+    tasks = dealt.join(classes.table.select("sk", "n", "sketch"), "sk").select("task", "sk", "root", "n", "sketch")
+    similarity = classes.similarity
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(held: list[pa.RecordBatch]) -> pa.RecordBatch:
+            task, sk, root, n, sketch = (pa.concat_arrays([x.column(k) for x in held]) for k in range(5))
+            task, sk, root, n = (x.to_numpy() for x in (task, sk, root, n))
+            sketch = sketch.flatten().to_numpy().view(np.uint64).reshape(len(sk), -1)
+            cuts = np.flatnonzero(np.diff(task, prepend=~task[0], append=~task[-1]))
+            a, b = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+            for begin, end in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+                if end - begin > 1:
+                    i, j = forest(n[begin:end], root[begin:end], sketch[begin:end], similarity)
+                    a.append(sk[begin + i])
+                    b.append(sk[begin + j])
+            return pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+        held: list[pa.RecordBatch] = []
+        for batch in filter(len, batches):
+            last = int(np.searchsorted(batch.column(0).to_numpy(), batch.column(0)[len(batch) - 1].as_py()))
+            if last or held and held[-1].column(0)[0] != batch.column(0)[0]:
+                # whole tasks; the one that the batch ends with goes on
+                yield links([*held, batch.slice(0, last)] if last else held)
+                held = []
+            held.append(batch.slice(last))
+        if held:
+            yield links(held)
+
+    return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 
 
 def similar_classes(classes: Classes, radius: int) -> DataFrame:
     """(node, root): components of the classes whose shingle sets are similar enough.
 
     1. Fingerprints within the radius, by BK-trees, are the first candidates.
-    2. Similar sets share a shingle of their heads. In star rounds every class
-       is held against one class of another component that shares many, as far
-       as their parity sketches allow the similarity.
+    2. Similar sets share a shingle of their heads. In a few rounds every class
+       takes one shingle, and classes of one shingle meet in blocks of bounded
+       size, where the nearest pairs by parity sketches that join components
+       are candidates.
     3. All pairs of classes of different components that share a shingle of
        their heads are candidates, if their sizes, the places of a common
        shingle and their parity sketches allow the similarity.
 
     Every candidate is verified by the whole sets. Steps 1 and 2 link nearly all
-    there is to link with one candidate a row, so that large groups of near
-    copies are one component, and not paired, in step 3; step 3 makes the result
-    exact.
+    there is to link with fewer candidates than classes, so that large groups of
+    near copies are one component, and not paired, in step 3; step 3 makes the
+    result exact.
     """
     table = classes.table
     first = saved(table.groupBy("fp").agg(F.min("sk").alias("first_sk")), "fingerprints")
@@ -452,8 +522,10 @@ def similar_classes(classes: Classes, radius: int) -> DataFrame:
     several = head.groupBy("token").agg(F.min("sk").alias("low"), F.max("sk").alias("high")).filter("low <> high").select("token")
     shared = head.join(several, "token").join(table.select("sk", "n", "head"), "sk")
     rows = rooted(shared.select("token", "sk", F.col("n").cast("int").alias("n"), (F.array_position("head", F.col("token")) - 1).cast("int").alias("pos")), found)
-    for turn in range(STARS):
-        found = saved(joined(classes.verified(classes.near(star(rows, classes, turn)))), "found")
+    if STARS:
+        own = lots(rows, STARS)
+        for turn in range(STARS):
+            found = saved(joined(classes.verified(near_in_blocks(own, found, classes, turn))), "found")
         rows = rooted(rows.select("token", "sk", "n", "pos"), found)
     left, right = (rows.select("token", F.col("sk").alias(x), *(F.col(c).alias(k + x) for c, k in (("n", "n"), ("pos", "p"), ("root", "r")))) for x in "ab")
     met = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & classes.wanted(F.least("na", "nb")) & classes.useful())
