@@ -91,3 +91,31 @@ def test_near_duplicates_equal_all_pairs(spark, monkeypatch, common, broadcast,
                 label = [min(a, b) if x in (a, b) else x for x in label]
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r.doc_id for r in simhash_bk.keep_first(docs).collect()) == sorted(set(label))
+
+
+def test_forest_joins_what_near_pairs_join():
+    """Fewer edges than rows, each a near pair of two components, and the same components as all near pairs give."""
+    import numpy as np
+
+    from locusflow.llm import simhash_bk as S
+
+    rng = np.random.default_rng(3)
+    sets = []
+    for _ in range(6):
+        base = rng.integers(0, 1 << 62, 60)
+        sets += [np.unique(np.concatenate([base[: 60 - k], rng.integers(0, 1 << 62, k)])) for k in rng.integers(0, 14, 25)]
+    n = np.array([len(x) for x in sets])
+    sketch = np.array([S.parity(x).view(np.uint64) for x in sets])
+    label = np.where(np.arange(len(n)) % 5 == 0, np.arange(len(n)) // 25 * 1000, np.arange(len(n)))
+    near = [(i, j) for i in range(len(n)) for j in range(i + 1, len(n)) if label[i] != label[j] and np.bitwise_count(sketch[i] ^ sketch[j]).sum() <= (n[i] + n[j]) / 9 + 1e-9]
+
+    def joined(pairs):
+        own = label.copy()
+        for i, j in pairs:
+            own[own == max(own[i], own[j])] = min(own[i], own[j])
+        return own.tolist()
+
+    i, j = S.forest(n, label, sketch, 0.8)
+    edges = list(zip(i.tolist(), j.tolist(), strict=True))
+    assert len(edges) == len(set(label.tolist())) - len(set(joined(near)))
+    assert set(edges) <= set(near) and joined(edges) == joined(near)
