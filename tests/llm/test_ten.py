@@ -355,6 +355,21 @@ def test_bands_reject_noise_and_repetition(spark):
     assert compression_quality.keep_good(empty_docs(spark)).count() == 0
 
 
+def test_short_texts_have_bands(spark):
+    rng = random.Random(5)
+    words = "the river runs past an old stone house where quiet people walk their dogs every morning before work and talk about weather".split()
+    rows = []
+    for k, size in enumerate((50, 90, 130, 170, 199)):
+        prose = " ".join(words)[:size] if size < 122 else (" ".join(words) + " while children play under tall green trees beside that bridge near our market square")[:size]
+        noise = "".join(rng.choice("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789+/") for _ in range(size))
+        rows += [(10 * k, prose), (10 * k + 1, "a" * size), (10 * k + 2, "ab " * (size // 3)), (10 * k + 3, noise)]
+    got = {r.doc_id: r for r in compression_quality.compression_bands(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for k, size in enumerate((50, 90, 130, 170, 199)):
+        assert got[10 * k].n_bad_chunks == 0 and got[10 * k + 1].n_bad_chunks == got[10 * k + 2].n_bad_chunks == 1
+        # noise is stored as it is, and so is prose below 120 bytes
+        assert got[10 * k + 3].n_bad_chunks == int(size >= 120)
+
+
 # ---- 6
 
 
