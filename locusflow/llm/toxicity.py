@@ -1,7 +1,8 @@
 """Toxicity by a weighted lexicon.
 
-Text is folded first: lower case, look-alike letters of other scripts to Latin,
-digits and signs that stand for letters inside a word to those letters. An
+Text is folded first: compatibility forms to plain letters, marks that are
+no part of a letter and invisible characters out, then lower case, look-alike letters of other scripts
+to Latin, digits and signs that stand for letters inside a word to those letters. An
 Aho-Corasick automaton then finds every lexicon pattern that starts at a word
 start (patterns ending in a space are whole words, others are stems). A hit
 inside an exception phrase does not count, and of hits at the same word only
@@ -10,8 +11,12 @@ logistic curve.
 
 The lexicon is learned from labelled rows: stems and words by their document
 frequency among toxic and other rows, kept where the lower bound of their
-log-odds is high. Counting and the test run on Spark over all labelled rows; the
-driver receives only the patterns that pass.
+log-odds is high and where their share of toxic rows would be unlikely by chance
+for any of as many patterns as are tested. Near copies are no evidence of their
+own: a pattern must be in several toxic texts that differ in their smallest
+shingle hash, of which an or of bits keeps count. Counting and the test run on Spark
+over all labelled rows; the driver receives only the patterns that pass, at most
+``MAX_PATTERNS`` of them, those that tell most.
 
 Exception phrases are learned as well: pairs of neighbouring words, one of them
 hit, that clean rows hold at least as often as toxic ones.
@@ -19,7 +24,8 @@ hit, that clean rows hold at least as often as toxic ones.
 Defined cases: null and empty texts have no hits and get the score of no hits;
 texts of any length are read whole; ids without a label, and null ids, are
 scored but not learned from (a null id is not held out); contradicting labels of
-one id count as toxic; with no toxic row to learn from every score is 0.
+one id count as toxic; without a toxic row, or without another one, to learn
+from every score is 0.
 Repeated rows give repeated results; an empty table gives no rows; other columns
 are ignored.
 """
@@ -29,6 +35,7 @@ from __future__ import annotations
 import math
 import re
 import unicodedata
+import zlib
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -36,6 +43,7 @@ from dataclasses import dataclass
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -49,10 +57,17 @@ LOOK_ALIKES = {
 }
 #: Digits and signs that stand for letters inside a word.
 SUBSTITUTES = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "@": "a", "$": "s", "!": "i"}
-#: Phrases in which a lexicon word is harmless, besides those that are learned.
-EXCEPTIONS = ("trash can", "trash bin", "clown fish", "idiot proof", "sore loser", "pond scum")
-#: A pattern must be in so many toxic rows; an exception phrase in so many clean ones.
+#: Diacritics of all blocks, variation selectors, and characters that show nothing.
+_UNSEEN = regex.compile(r"[\u0300-\u036f\u1ab0-\u1aff\u1dc0-\u1dff\u20d0-\u20ff\ufe00-\ufe0f\ufe20-\ufe2f\p{Cf}]+")
+#: A pattern must be in so many toxic rows to be tested; an exception phrase in so many clean ones.
 MIN_ROWS = 4
+#: A pattern must be in so many different toxic texts, near copies taken for one; told by shingles of so many words.
+MIN_TEXTS = 4
+SHINGLE = 3
+#: Chance that any pattern at all gets into the lexicon without telling.
+ALPHA = 0.05
+#: Size of the lexicon, and of the learned exception phrases, at most.
+MAX_PATTERNS = 100_000
 STEMS = (4, 5, 6, 7)
 #: Least lower bound (two standard errors) of a pattern's log-odds.
 MIN_LOG_ODDS = 1.5
@@ -78,11 +93,10 @@ def _letters(match: re.Match) -> str:
 
 
 def fold(text: str) -> str:
-    """Lower case, look-alikes and digit substitutions undone, words joined by single spaces."""
-    text = text.lower()
+    """Plain lower-case letters, look-alikes and digit substitutions undone, words joined by single spaces."""
     if text.isascii():
-        return " " + " ".join(_SIGNS.sub(_letters, text).translate(_ASCII_WORDS).split()) + " "
-    text = unicodedata.normalize("NFKC", text)
+        return " " + " ".join(_SIGNS.sub(_letters, text.lower()).translate(_ASCII_WORDS).split()) + " "
+    text = unicodedata.normalize("NFKC", _UNSEEN.sub("", unicodedata.normalize("NFKC", text)).casefold())
     if _LOOKS.search(text):
         text = text.translate(_LOOK)
     return " " + " ".join(_WORD.findall(_SIGNS.sub(_letters, text))) + " "
@@ -166,7 +180,14 @@ def features(hits: list[float], folded: str) -> tuple[float, float]:
     return math.log1p(total), total / math.sqrt(max(1, folded.count(" ") - 1))
 
 
-COUNTS = "pattern string, toxic int, n long"
+def text_bit(folded: str) -> int:
+    """One of 63 bits by the smallest hash of the text's shingles of words, mostly the same for near copies."""
+    words = folded.split()
+    starts = range(max(1, len(words) - SHINGLE + 1))
+    return 1 << min(zlib.crc32(" ".join(words[k : k + SHINGLE]).encode("utf-8", "replace")) for k in starts) % 63
+
+
+COUNTS = "pattern string, toxic int, n long, bits long"
 
 
 def _counted(found_in):
@@ -174,20 +195,33 @@ def _counted(found_in):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[str, int]] = Counter()
+        bits: dict[str, int] = {}
         find = found_in()
 
         def flush() -> pa.RecordBatch:
             keys = list(counts)
             out = pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in keys], pa.string()), pa.array([k[1] for k in keys], pa.int32()), pa.array([counts[k] for k in keys], pa.int64())],
-                names=["pattern", "toxic", "n"],
+                [
+                    pa.array([k[0] for k in keys], pa.string()),
+                    pa.array([k[1] for k in keys], pa.int32()),
+                    pa.array([counts[k] for k in keys], pa.int64()),
+                    pa.array([bits[k[0]] if k[1] else 0 for k in keys], pa.int64()),
+                ],
+                names=["pattern", "toxic", "n", "bits"],
             )
             counts.clear()
+            bits.clear()
             return out
 
         for rows, texts in text_slices(batches):
             for text, toxic in zip(texts, rows.column(2).to_pylist(), strict=True):
-                counts.update((p, toxic) for p in find(fold(text or "")))
+                folded = fold(text or "")
+                found = find(folded)
+                counts.update((p, toxic) for p in found)
+                if toxic:
+                    bit = text_bit(folded)
+                    for p in found:
+                        bits[p] = bits.get(p, 0) | bit
                 if len(counts) > 200_000:
                     yield flush()
         yield flush()
@@ -199,7 +233,7 @@ def _all_patterns():
     known: dict[str, list[str]] = {}
 
     def find(folded: str) -> set[str]:
-        found: set[str] = set()
+        found: set[str] = {""}
         for word in set(folded.split()):
             if (own := known.get(word)) is None:
                 known[word] = own = patterns_of(word)
@@ -257,37 +291,58 @@ def log_odds(n: Column, m: Column, toxic_rows: int, other_rows: int) -> tuple[Co
     return odds, F.sqrt(1 / (n + 0.5) + 1 / (m + 0.5))
 
 
+def unlikely(n: Column, m: Column, share: float, tests: int) -> Column:
+    """Whether n toxic of n + m rows, at ``share`` toxic rows in all, stay unlikely (``ALPHA``) in so many tests.
+
+    The chance of n or more is at most exp(-(n + m) * divergence) by Chernoff's bound.
+    """
+    q = n / (n + m)
+    part = F.when(m > 0, (1 - q) * F.log((1 - q) / (1 - share))).otherwise(0.0)
+    return (q > share) & ((n + m) * (q * F.log(q / share) + part) >= math.log(tests / ALPHA))
+
+
 def by_label(labelled: DataFrame, found_in) -> DataFrame:
-    """(pattern, n, m): the toxic and the other rows that hold it."""
+    """(pattern, n, m, bits): the toxic and the other rows that hold it, and the bits of the toxic ones."""
     counted = labelled.mapInArrow(_counted(found_in), COUNTS)
-    return counted.groupBy("pattern").agg(F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n"), F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("m"))
+    return counted.groupBy("pattern").agg(
+        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("n"),
+        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("m"),
+        F.bit_or("bits").alias("bits"),
+    )
 
 
-def learn(labelled: DataFrame, exceptions: tuple[str, ...] = EXCEPTIONS) -> ToxicityModel:
-    """Learn from ``labelled(doc_id, text, toxic)``, all of its rows.
+def learn(labelled: DataFrame, exceptions: tuple[str, ...] = ()) -> ToxicityModel:
+    """Learn from ``labelled(doc_id, text, toxic)``, all of its rows, besides the given ``exceptions``.
 
     Patterns and exception phrases are counted and judged on Spark; only those
-    that tell come to the driver, so their number follows the lexicon and not
-    the rows.
+    that tell come to the driver, at most ``MAX_PATTERNS`` of either kind. Where all rows are toxic no pattern
+    tells.
     """
     labelled = labelled.select("doc_id", "text", "toxic")
     rows = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
     toxic_rows, other_rows = rows.get(1, 0), rows.get(0, 0)
-    if not toxic_rows:
+    if not toxic_rows or not other_rows:
         return ToxicityModel({}, exceptions, 0.0, 0.0, 0.0)
     n, m = F.col("n"), F.col("m")
     odds, error = log_odds(n, m, toxic_rows, other_rows)
     telling = (odds - F.least(2 * error, odds) >= MIN_LOG_ODDS) | ((m == 0) & (odds - error >= MIN_LOG_ODDS))
-    found = by_label(labelled, _all_patterns).filter((n >= min(MIN_ROWS, toxic_rows)) & telling)
-    weights = {r["pattern"]: min(MAX_WEIGHT, r["odds"]) for r in found.select("pattern", odds.alias("odds")).collect()}
+    # the empty pattern is in every row, so its bits are those of all toxic texts
+    tested = saved(by_label(labelled, _all_patterns).filter((n + m >= MIN_ROWS) | (F.col("pattern") == "")), "toxicity-patterns")
+    texts = F.bit_count("bits")
+    all_texts = tested.filter(F.col("pattern") == "").select(texts.alias("k")).first()["k"]
+    tested = tested.filter((n + m >= MIN_ROWS) & (F.col("pattern") != ""))
+    share = toxic_rows / (toxic_rows + other_rows)
+    found = tested.filter((n >= min(MIN_ROWS, toxic_rows)) & (texts >= min(MIN_TEXTS, all_texts)) & telling & unlikely(n, m, share, tested.count()))
+    found = found.select("pattern", odds.alias("odds"), error.alias("error")).orderBy(F.desc(F.col("odds") - F.col("error")), "pattern")
+    weights = {r["pattern"]: min(MAX_WEIGHT, r["odds"]) for r in found.limit(MAX_PATTERNS).collect()}
     # a longer pattern adds nothing where a stem of it is as telling
     for pattern in sorted(weights, key=len, reverse=True):
         stems = [pattern[: k + 1] for k in STEMS if k + 1 < len(pattern)]
         if any(weights.get(s, -1) >= weights[pattern] - 0.5 for s in stems):
             del weights[pattern]
     hits = ToxicityModel(weights, (), 0.0, 0.0, 0.0)
-    harmless = by_label(labelled, lambda: Matcher(hits).hit_pairs).filter((m >= MIN_ROWS) & (odds + error <= 0))
-    exceptions = (*exceptions, *sorted(r["pattern"].strip() for r in harmless.select("pattern").collect()))
+    harmless = by_label(labelled, lambda: Matcher(hits).hit_pairs).filter((m >= MIN_ROWS) & (odds + error <= 0)).orderBy(odds + error, "pattern")
+    exceptions = (*exceptions, *sorted(r["pattern"].strip() for r in harmless.select("pattern").limit(MAX_PATTERNS).collect()))
     model = ToxicityModel(weights, exceptions, 0.0, 0.0, 0.0)
     grid = labelled.mapInArrow(_figures(model), "a int, b int, toxic int, n long").groupBy("a", "b", "toxic").agg(F.sum("n").alias("n")).toPandas()
     x = np.stack([np.ones(len(grid)), grid["a"].to_numpy() / 10, grid["b"].to_numpy() / 10], 1)

@@ -373,6 +373,66 @@ def test_short_texts_have_bands(spark):
 # ---- 6
 
 
+def test_folding_sees_through_disguise():
+    fold = toxicity.fold
+    bold = "".join(chr(0x1D400 + ord(c) - 65) for c in "BADWORD")
+    struck = "".join(c + "\u0336" for c in "badword")
+    hidden = "\u200b".join("badword")
+    for text in (bold, bold.lower(), struck, hidden, "ＢＡＤＷＯＲＤ", "ВАDWОRD", "b\u00aday".replace("y", "dword"), "B4DW0RD", "Ⓑⓐⓓⓦⓞⓡⓓ"):
+        assert fold(f"a {text} b") == " a badword b "
+    assert fold("É e\u0301 ß 한국") == " é é ss 한국 " and fold("") == "  "
+
+
+def plain_lexicon(rows):
+    """pattern: weight by the stated rules, one step at a time."""
+    import math
+
+    bits = Counter()
+    for t, y in rows:
+        for p in {p for w in toxicity.fold(t).split() for p in toxicity.patterns_of(w)} if y else ():
+            bits[p] |= toxicity.text_bit(toxicity.fold(t))
+    held = [({p for w in toxicity.fold(t or "").split() for p in toxicity.patterns_of(w)}, y) for t, y in rows]
+    toxic_rows, other_rows = sum(y for _, y in held), sum(1 - y for _, y in held)
+    n, m = Counter(), Counter()
+    for found, y in held:
+        (n if y else m).update(found)
+    tested = [p for p in {*n, *m} if n[p] + m[p] >= 4]
+    share, weights = toxic_rows / len(rows), {}
+    for p in tested:
+        a, b = n[p], m[p]
+        odds = math.log((a + 0.5) / (toxic_rows - a + 0.5)) - math.log((b + 0.5) / (other_rows - b + 0.5))
+        error = math.sqrt(1 / (a + 0.5) + 1 / (b + 0.5))
+        q = a / (a + b)
+        spread = sum(x * math.log(x / y) for x, y in ((q, share), (1 - q, 1 - share)) if x)
+        bound = odds - 2 * error >= 1.5 or (b == 0 and odds - error >= 1.5)
+        if a >= 4 and bin(bits[p]).count("1") >= 4 and bound and q > share and (a + b) * spread >= math.log(len(tested) / 0.05):
+            weights[p] = min(6.0, odds)
+    for p in sorted(weights, key=len, reverse=True):
+        if any(weights.get(p[: k + 1], -1) >= weights[p] - 0.5 for k in (4, 5, 6, 7) if k + 1 < len(p)):
+            del weights[p]
+    return weights
+
+
+def test_lexicon_equals_plain_learner(spark):
+    """Words planted in toxic rows are learned; strings that near copies share are not, however many rows or groups they are."""
+    rng = random.Random(12)
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    word = lambda: "".join(rng.choice(letters) for _ in range(9))
+    common = [word() for _ in range(60)]
+    rows = []
+    for _ in range(400):
+        shared = " ".join([*rng.sample(common, 8), word(), word(), "badword" if rng.random() < 0.5 else "nastyish"])
+        rows += [(f"{shared} {rng.choice(common)}", 1) for _ in range(4)]
+    for _ in range(5):
+        shared = " ".join([*rng.sample(common, 8), *(word() for _ in range(150))])
+        rows += [(f"{shared} {rng.choice(common)}", 1) for _ in range(40)]
+    rows += [(" ".join(rng.sample(common, 12)), 0) for _ in range(1600)]
+    data = [(i, t, y) for i, (t, y) in enumerate(rows)]
+    model = toxicity.learn(spark.createDataFrame(data, "doc_id long, text string, toxic int"))
+    assert model.weights == pytest.approx(plain_lexicon(rows))
+    assert {p.strip()[:4] for p in model.weights} == {"badw", "nast"}
+
+
 def test_toxicity_learns_stems_and_folds(spark):
     rng = random.Random(2)
     clean = ["house", "river", "green", "walk", "table", "paper", "stone"]
