@@ -1,8 +1,9 @@
 """Toxicity by a weighted lexicon.
 
-Text is folded first: compatibility forms to plain letters, marks that are
-no part of a letter and invisible characters out, then lower case, look-alike letters of other scripts
-to Latin, digits and signs that stand for letters inside a word to those letters. An
+Text is folded first: compatibility forms to plain letters, marks that are no
+part of a letter and invisible characters out, then lower case, look-alike
+letters of other scripts to Latin, digits and signs that stand for letters
+inside a word to those letters. An
 Aho-Corasick automaton then finds every lexicon pattern that starts at a word
 start (patterns ending in a space are whole words, others are stems). A hit
 inside an exception phrase does not count, and of hits at the same word only
@@ -14,8 +15,8 @@ frequency among toxic and other rows, kept where the lower bound of their
 log-odds is high and where their share of toxic rows would be unlikely by chance
 for any of as many patterns as are tested. Near copies are no evidence of their
 own: a pattern must be in several toxic texts that differ in their smallest
-shingle hash, of which an or of bits keeps count. Counting and the test run on Spark
-over all labelled rows; the driver receives only the patterns that pass, at most
+shingle hash, of which an or of bits keeps count. Counting and the test run on
+Spark over all labelled rows; the driver receives only the patterns that pass, at most
 ``MAX_PATTERNS`` of them, those that tell most.
 
 Exception phrases are learned as well: pairs of neighbouring words, one of them
