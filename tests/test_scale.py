@@ -364,3 +364,13 @@ def test_one_hit_needs_no_fold(spark):
     hits = spark.createDataFrame(rows, "hit_id string, domain string, sstart int, send int, bitscore double, bsr double")
     got = {r.hit_id: r.architecture for r in H.architecture(H.resolve_overlaps(hits, ["hit_id"], ["sstart"])).collect()}
     assert got == {"p": "A", "q": "A-B"}
+
+
+def test_gapped_support_writes_no_table_for_each_length(spark, monkeypatch):
+    lists = M.saved(spark.createDataFrame([(i, list("ABCDEFGH")) for i in range(4)] + [(9, ["A", None, "B", "C"])], "cluster_id int, types array<string>"), "lists")
+    written = []
+    monkeypatch.setattr(M, "saved", lambda df, name, put=M.saved: written.append(name) or put(df, name))
+    got = {("".join(r.pattern), r.cluster_id) for r in M.gapped_support(lists, M.dereplicate(lists), k=1, q=1).collect()}
+    assert len(written) <= 2
+    assert {p for p, c in got if c == 9} == {"AB", "ABC", "BC"}
+    assert {p for p, c in got if c == 0} == {"ABCDEFGH"[i:j] for i in range(8) for j in range(i + 2, 9)}
