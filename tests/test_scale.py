@@ -374,3 +374,13 @@ def test_gapped_support_writes_no_table_for_each_length(spark, monkeypatch):
     assert len(written) <= 2
     assert {p for p, c in got if c == 9} == {"AB", "ABC", "BC"}
     assert {p for p, c in got if c == 0} == {"ABCDEFGH"[i:j] for i in range(8) for j in range(i + 2, 9)}
+
+
+def test_replicates_come_last_in_clusters_of_keywords(spark):
+    keywords = spark.createDataFrame([("k1", ["a", "b"]), ("k2", ["b", "c"])], "keyword string, pattern array<string>")
+    support = spark.createDataFrame([(["a", "b"], 1), (["b", "c"], 1), (["b", "c"], 5)], "pattern array<string>, cluster_id int")
+    copies = spark.createDataFrame([(1, 1), (1, 2), (5, 5)], "cluster_id int, replicate int")
+    found = M.clusters_of(keywords, support, copies)
+    assert sorted(map(tuple, found.collect())) == [("k1", 1), ("k1", 2), ("k2", 1), ("k2", 2), ("k2", 5)]
+    # nothing regroups the rows once the replicates are there
+    assert found._jdf.queryExecution().optimizedPlan().toString().startswith("Project")
