@@ -258,9 +258,9 @@ def m1_sorted_clusters(spark, d):
     return numbered(lists, [F.col("length").asc(), F.col("cluster_id").asc()]).select(F.col("rank").alias("n"), "cluster_id")
 
 
-@query(sql("gene_lists", "SELECT array_to_string(types, ',') AS types, cluster_id, weight FROM derep", filtered=FILTERED, derep=DEREP))
+@query(sql("gene_lists", "SELECT array_to_string(types, ',') AS types, cluster_id, weight, array_to_string(replicates, ',') AS replicates FROM derep", filtered=FILTERED, derep=DEREP))
 def m2_dereplicate(spark, d):
-    return M.dereplicate(_lists(spark, d)).select(_text("types").alias("types"), "cluster_id", "weight")
+    return M.dereplicate(_lists(spark, d), replicates=True).select(_text("types").alias("types"), "cluster_id", "weight", _text("replicates").alias("replicates"))
 
 
 @query(sql("gene_lists", "SELECT cluster_id, unnest(replicates) AS replicate FROM derep", filtered=FILTERED, derep=DEREP))

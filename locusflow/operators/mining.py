@@ -56,9 +56,14 @@ def filter_lists(lists: DataFrame, min_types: int = 3, max_length: int = 40, max
     return lists.filter((F.size(F.array_distinct("types")) >= min_types) & (F.size("types") <= max_length) & ~F.coalesce(often, F.lit(False)))
 
 
-def dereplicate(lists: DataFrame) -> DataFrame:
-    """Different type lists: (types, cluster_id, weight) with the first cluster as representative and the number of replicates."""
-    return lists.groupBy("types").agg(F.min("cluster_id").alias("cluster_id"), F.count("*").alias("weight"))
+def dereplicate(lists: DataFrame, replicates: bool = False) -> DataFrame:
+    """Different type lists: (types, cluster_id, weight) with the first cluster as representative and the number of replicates.
+
+    With ``replicates`` also all their clusters in order, as one array; see
+    ``replicates()`` for them as rows.
+    """
+    named = [F.array_sort(F.collect_list("cluster_id")).alias("replicates")] if replicates else []
+    return lists.groupBy("types").agg(F.min("cluster_id").alias("cluster_id"), F.count("*").alias("weight"), *named)
 
 
 def replicates(lists: DataFrame, derep: DataFrame, stored: bool = False) -> DataFrame:

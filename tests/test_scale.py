@@ -384,3 +384,9 @@ def test_replicates_come_last_in_clusters_of_keywords(spark):
     assert sorted(map(tuple, found.collect())) == [("k1", 1), ("k1", 2), ("k2", 1), ("k2", 2), ("k2", 5)]
     # nothing regroups the rows once the replicates are there
     assert found._jdf.queryExecution().optimizedPlan().toString().startswith("Project")
+
+
+def test_dereplicated_lists_name_their_replicates(spark):
+    lists = spark.createDataFrame([(3, ["a", "b"]), (1, ["a", "b"]), (2, ["c"])], "cluster_id int, types array<string>")
+    got = {(r.cluster_id, r.weight, tuple(r.replicates)) for r in M.dereplicate(lists, replicates=True).collect()}
+    assert got == {(1, 2, (1, 3)), (2, 1, (2,))}
