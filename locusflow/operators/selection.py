@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from locusflow.operators.mining import saved
 from locusflow.operators.ranges import quantiles
+from locusflow.operators.skew import stored_small
 
 PREFIX = "csb-"
 
@@ -78,8 +79,12 @@ def refset_limits(refset: DataFrame, scores: DataFrame, lower: float = 100.0, up
 
 def proteins_of(tasks: DataFrame, keywords: DataFrame, members: DataFrame, min_seqs: int = 1) -> DataFrame:
     """(keyword, domain, protein_id) of the wanted (keyword, domain), only of those with enough proteins."""
-    joined = tasks.select("keyword", "domain").distinct().join(keywords.select("keyword", "cluster_id").distinct(), "keyword")
-    found = joined.join(members.select("cluster_id", "domain", "protein_id"), ["cluster_id", "domain"]).select("keyword", "domain", "protein_id").distinct()
+    # a cluster's members meet its own keywords; keywords first would give each cluster all domains of its keywords
+    placed = members.select("cluster_id", "domain", "protein_id").join(keywords.select("keyword", "cluster_id").distinct(), "cluster_id")
+    wanted = stored_small(tasks.select("keyword", "domain").distinct(), "tasks")
+    found = placed.join(wanted, ["keyword", "domain"], "left_semi").select("keyword", "domain", "protein_id").distinct()
+    if min_seqs <= 1:
+        return found
     enough = found.groupBy("keyword", "domain").agg(F.count("*").alias("n")).filter(F.col("n") >= min_seqs).select("keyword", "domain")
     return found.join(enough, ["keyword", "domain"], "left_semi")
 
@@ -98,8 +103,9 @@ def keywords_of(proteins: DataFrame, members: DataFrame, keywords: DataFrame) ->
 
 def extend_by_keywords(refset: DataFrame, wanted: DataFrame, keywords: DataFrame, members: DataFrame) -> DataFrame:
     """The reference set with all proteins of a domain in clusters of the domain's wanted keywords ``(domain, keyword)``."""
-    clusters = wanted.select("domain", "keyword").distinct().join(keywords.select("cluster_id", "keyword"), "keyword").select("domain", "cluster_id").distinct()
-    found = members.join(clusters, ["cluster_id", "domain"]).select("domain", "protein_id")
+    # a cluster's members meet its own keywords, so a keyword that many domains want adds no row
+    placed = members.select("cluster_id", "domain", "protein_id").join(keywords.select("cluster_id", "keyword").distinct(), "cluster_id")
+    found = placed.join(stored_small(wanted.select("domain", "keyword").distinct(), "wanted"), ["domain", "keyword"], "left_semi").select("domain", "protein_id")
     return found.unionByName(refset.select("domain", "protein_id")).distinct()
 
 

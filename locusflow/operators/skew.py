@@ -9,6 +9,14 @@ from locusflow.operators.mining import saved
 
 #: Rows of one key that are never dealt out.
 LEAST_ROWS = 10_000
+#: Rows of a table that joins broadcast at most.
+SMALL_ROWS = 500_000
+
+
+def stored_small(rows: DataFrame, name: str) -> DataFrame:
+    """``rows`` as a stored table, to be broadcast in joins as long as it has few rows; a larger one is shuffled."""
+    table = saved(rows, name)
+    return F.broadcast(table) if table.count() <= SMALL_ROWS else table
 
 
 def hot_keys(rows: DataFrame, key: str) -> DataFrame:
