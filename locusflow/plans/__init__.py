@@ -130,6 +130,6 @@ def scores_to_reports(
 
 def group_keywords(statistics: DataFrame, threshold: float = 0.2) -> DataFrame:
     """(keyword, domain, group_id): keywords and domains with like statistics (median, mean, deviation), by Ward linkage."""
-    named = statistics.withColumn("_pair", F.struct("keyword", "domain"))
+    named = M.saved(statistics.withColumn("_pair", F.struct("keyword", "domain")), "statistics")
     found = ward_groups(named, "_pair", ["median_score", "mean_score", "std_score"], threshold)
     return found.select("_pair.keyword", "_pair.domain", F.concat_ws("/", "group_id.keyword", "group_id.domain").alias("group_id"))

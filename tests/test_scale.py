@@ -14,6 +14,7 @@ from locusflow.operators import naming as N
 from locusflow.operators import neighbours as J
 from locusflow.operators import presence as P
 from locusflow.operators import ranges
+from locusflow.operators import selection as S
 from locusflow.operators import similarity as K
 from locusflow.operators import skew
 from locusflow.sources import sinks, store
@@ -390,3 +391,59 @@ def test_dereplicated_lists_name_their_replicates(spark):
     lists = spark.createDataFrame([(3, ["a", "b"]), (1, ["a", "b"]), (2, ["c"])], "cluster_id int, types array<string>")
     got = {(r.cluster_id, r.weight, tuple(r.replicates)) for r in M.dereplicate(lists, replicates=True).collect()}
     assert got == {(1, 2, (1, 3)), (2, 1, (2,))}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().optimizedPlan().toString()
+
+
+def innermost_join(df):
+    return [line for line in plan_of(df).splitlines() if "Join" in line][-1]
+
+
+def test_members_meet_the_keywords_of_their_own_cluster_first(spark):
+    keywords = spark.createDataFrame([(c, "k") for c in range(4)], "cluster_id int, keyword string")
+    members = spark.createDataFrame([(c, f"d{c}", f"p{c}") for c in range(4)], "cluster_id int, domain string, protein_id string")
+    wanted = spark.createDataFrame([("k", f"d{i}") for i in range(1, 300)], "keyword string, domain string")
+    found = S.proteins_of(wanted, keywords, members)
+    assert sorted(map(tuple, found.collect())) == [("k", f"d{i}", f"p{i}") for i in (1, 2, 3)]
+    assert "cluster_id" in innermost_join(found)
+    wider = S.extend_by_keywords(spark.createDataFrame([("x", "q")], "domain string, protein_id string"), wanted, keywords, members)
+    assert sorted(map(tuple, wider.collect())) == [("d1", "p1"), ("d2", "p2"), ("d3", "p3"), ("x", "q")]
+    assert "cluster_id" in innermost_join(wider)
+
+
+def test_support_model_counts_pairs_without_regrouping_the_sample(spark):
+    sample = spark.createDataFrame([("t", g, d) for g in (1, 2, 3) for d in ("t", "x")] + [("t", 1, "y")], "target string, genome_id int, domain string")
+    model = P.support_model(sample)
+    assert [(r.target, r.feature, r.n, r.n_train) for r in model.collect()] == [("t", "x", 3, 3)]
+    assert "genome_id" not in plan_of(model)
+
+
+def test_balance_of_named_targets_joins_once(spark):
+    model = spark.createDataFrame([("t", "x", 0.75), ("t", "y", 0.25), ("u", "x", 1.0), ("v", "x", 1.0)], "target string, feature string, weight double")
+    have = spark.createDataFrame([(1, "x"), (1, "y"), (2, "y"), (2, "z")], "genome_id int, domain string")
+    genomes = spark.createDataFrame([(1,), (1,), (2,), (3,)], "genome_id int")
+    found = P.balance(model, have, genomes, ["t", "u", "none"])
+    assert sorted(map(tuple, found.collect())) == [("t", 1, 1.0), ("t", 2, -0.5), ("t", 3, -1.0), ("u", 1, 1.0), ("u", 2, -1.0), ("u", 3, -1.0)]
+    assert plan_of(found).count("Join ") == 1
+
+
+def test_plausible_hits_ask_for_own_domains_only(spark):
+    model = spark.createDataFrame([("t", "x", 0.75), ("t", "y", 0.25), ("u", "x", 1.0)], "target string, feature string, weight double")
+    have = spark.createDataFrame([(1, "x"), (2, "y"), (3, "x")], "genome_id int, domain string")
+    hits = spark.createDataFrame([(1, "t", "a", 9.0, 1.0), (1, "t", "b", 8.0, 1.0), (2, "t", "c", 5.0, 1.0), (3, "u", "d", 5.0, 0.1)], "genome_id int, domain string, protein_id string, score double, bsr double")
+    found = P.plausible_hits(hits, model, have, 0.0)
+    assert list(map(tuple, found.collect())) == [(1, "t", "a", 9.0, 0.5)]
+    # the best hits meet their genome's features first
+    assert "genome_id" in innermost_join(found)
+
+
+def test_statistics_are_stored_before_their_linkage(spark, monkeypatch):
+    from locusflow import plans
+
+    written = []
+    monkeypatch.setattr(plans.M, "saved", lambda df, name, put=M.saved: written.append(name) or put(df, name))
+    rows = spark.createDataFrame([("k", "a", 1.0, 1.0, 0.0), ("k", "b", 1.1, 1.0, 0.0), ("l", "a", 9.0, 9.0, 0.0)], "keyword string, domain string, median_score double, mean_score double, std_score double")
+    got = {(r.keyword, r.domain): r.group_id for r in plans.group_keywords(rows, 0.5).collect()}
+    assert got == {("k", "a"): "k/a", ("k", "b"): "k/a", ("l", "a"): "l/a"} and "statistics" in written
