@@ -447,3 +447,17 @@ def test_statistics_are_stored_before_their_linkage(spark, monkeypatch):
     rows = spark.createDataFrame([("k", "a", 1.0, 1.0, 0.0), ("k", "b", 1.1, 1.0, 0.0), ("l", "a", 9.0, 9.0, 0.0)], "keyword string, domain string, median_score double, mean_score double, std_score double")
     got = {(r.keyword, r.domain): r.group_id for r in plans.group_keywords(rows, 0.5).collect()}
     assert got == {("k", "a"): "k/a", ("k", "b"): "k/a", ("l", "a"): "l/a"} and "statistics" in written
+
+
+def test_pairs_of_earlier_rounds_are_not_verified_again(spark, monkeypatch):
+    rng = random.Random(3)
+    word = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(n))
+    head = word(60)
+    # all share the head; only 1 and 2, and 3 and 4, are near
+    near, other = word(200), word(150)
+    rows = [(0, head + word(400)), (1, head + near + "xyz"), (2, head + near), (3, head + other + "pq"), (4, head + other)]
+    seen = []
+    monkeypatch.setattr(K, "_similar", lambda pairs, *more, put=K._similar: seen.extend((r.seq_id, r.rep_id) for r in pairs.select("seq_id", "rep_id").collect()) or put(pairs, *more))
+    got = {r.member_id: r.rep_id for r in K.cluster(spark.createDataFrame(rows, "seq_id int, sequence string"), k=8, identity=0.7).collect()}
+    assert got == {0: 0, 1: 1, 2: 1, 3: 3, 4: 3}
+    assert (1, 0) in seen and len(seen) == len(set(seen))
