@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import re
 import tempfile
+import threading
 import uuid
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,6 +26,8 @@ from pyspark.sql import functions as F
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
 SLICE_CHARS = 2 << 20
 BATCH_BYTES = "8388608b"
+#: Paths of the scratch tables that this thread wrote.
+_WRITTEN = threading.local()
 
 
 @lru_cache(maxsize=1)
@@ -52,9 +55,39 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = scratch(spark, name)
     df.write.parquet(path)
+    _paths().append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _paths() -> list[str]:
+    if not hasattr(_WRITTEN, "paths"):
+        _WRITTEN.paths = []
+    return _WRITTEN.paths
+
+
+def written() -> int:
+    """How many scratch tables this thread has written and not removed."""
+    return len(_paths())
+
+
+def remove_scratch(spark: SparkSession, since: int, but: DataFrame) -> None:
+    """Remove the scratch tables that this thread wrote after ``since``, apart from the table ``but``.
+
+    For an operator that made them for a last small table, the only one its
+    result reads: the others would take disk until the end of the run.
+    """
+    files, kept = but.inputFiles(), []
+    if not files:
+        return
+    for path in _paths()[since:]:
+        if any(f"/{path.rsplit('/', 1)[1]}/" in f for f in files):
+            kept.append(path)
+            continue
+        place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
+    _paths()[since:] = kept
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 

@@ -39,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import column, free_names, saved, small_batches, text_slices, texts_of
+from locusflow.llm.common import column, free_names, remove_scratch, saved, small_batches, text_slices, texts_of, written
 from locusflow.llm.components import connected_components
 
 SHARD = 4096
@@ -545,6 +545,7 @@ def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str =
     i, k = free_names(docs, "id", "key")
     keys = {i: F.coalesce(column(id_col).cast("long"), F.lit(NULL_ID)), k: F.xxhash64(F.coalesce(column(text_col).cast("string"), F.lit("")))}
     source = small_batches(docs).select(keys[i].alias("doc_id"), keys[k].alias("tk"), column(text_col).cast("string").alias("text"))
+    before = written()
     prints = saved(sketches(source, shingle, similarity), "prints")
     # classes of equal sets, each with its first row
     least = F.min(F.struct("doc_id", "tk", "fp", "n", "head", "sketch")).alias("m")
@@ -557,10 +558,11 @@ def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str =
     own = prints.select("doc_id", "tk", "sk").join(named, "sk")
     gone = own.filter((F.col("doc_id") != F.col("first_id")) | (F.col("tk") != F.col("first_tk"))).select(F.col("doc_id").alias(i), F.col("tk").alias(k)).distinct()
     gone = saved(gone, "gone")
+    again = not prints.groupBy("doc_id", "tk").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    remove_scratch(docs.sparkSession, before, gone)
     # ids and text hashes only; shuffled beyond the counted bound
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone
     kept = docs.withColumns(keys).join(gone, [i, k], "left_anti")
-    again = prints.groupBy("doc_id", "tk").agg(F.count("*").alias("n")).filter("n > 1")
-    if not again.isEmpty():
+    if again:
         kept = kept.dropDuplicates([i, k])
     return kept.select(*map(column, docs.columns))

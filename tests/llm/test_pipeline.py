@@ -119,3 +119,22 @@ def test_forest_joins_what_near_pairs_join():
     edges = list(zip(i.tolist(), j.tolist(), strict=True))
     assert len(edges) == len(set(label.tolist())) - len(set(joined(near)))
     assert set(edges) <= set(near) and joined(edges) == joined(near)
+
+
+def test_stages_leave_only_the_tables_that_their_results_read(spark, tmp_path, monkeypatch):
+    import itertools
+
+    from locusflow.llm import common
+    from locusflow.llm.simhash_bk import keep_first
+    from locusflow.llm.suffix_dedup import remove_repeats
+
+    number = itertools.count()
+    monkeypatch.setattr(common, "scratch", lambda session, name: f"{tmp_path}/{name}-{next(number)}")
+    words = " ".join(f"w{i}" for i in range(120))
+    docs = spark.createDataFrame([(1, words), (2, words), (3, "another " + words[::-1] + words), (4, "alone")], "doc_id long, text string")
+    kept = keep_first(docs)
+    assert [p.name.split("-")[0] for p in tmp_path.iterdir()] == ["gone"]
+    cut = remove_repeats(docs)
+    assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["gone", "removal"]
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
+    assert {r.doc_id: r.text for r in cut.collect()} == {1: "", 2: "", 3: "another " + words[::-1], 4: "alone"}
