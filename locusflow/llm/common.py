@@ -70,15 +70,16 @@ def written() -> int:
     return len(_paths())
 
 
-def remove_scratch(spark: SparkSession, since: int, but: DataFrame) -> None:
-    """Remove the scratch tables that this thread wrote after ``since``, apart from the table ``but``.
+def remove_scratch(spark: SparkSession, since: int, *but: DataFrame) -> None:
+    """Remove the scratch tables that this thread wrote after ``since``, apart from the tables ``but``.
 
-    For an operator that made them for a last small table, the only one its
-    result reads: the others would take disk until the end of the run.
+    For an operator that made them for these tables, the only ones that what
+    follows reads: the others would take disk until the end of the run.
     """
-    files, kept = but.inputFiles(), []
-    if not files:
+    files, kept = [df.inputFiles() for df in but], []
+    if not all(files):
         return
+    files = [f for own in files for f in own]
     for path in _paths()[since:]:
         if any(f"/{path.rsplit('/', 1)[1]}/" in f for f in files):
             kept.append(path)

@@ -403,14 +403,19 @@ class Classes:
         return sized.filter(self.wanted(F.size(F.array_intersect("sa", "sb")))).select("a", "b")
 
 
-def rooted(rows: DataFrame, found: DataFrame) -> DataFrame:
-    """``rows(token, sk, n, pos)`` of shingles that lie in several components, with each class's ``root`` and the shingle's ``members``."""
+def with_roots(rows: DataFrame, found: DataFrame) -> DataFrame:
+    """``rows(sk, ...)`` with the ``root`` of each class's component."""
     # keys only; shuffled beyond the counted bound
     found = F.broadcast(found) if found.count() <= BROADCAST_ROWS else found
-    # dealt out once, for the extremes and for the join
-    named = rows.join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")).repartition("token")
-    parted = named.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.count("*").alias("members")).filter("low <> high").select("token", "members")
-    return saved(named.join(parted, "token"), "heads")
+    return rows.join(found.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk"))
+
+
+def parted(rows: DataFrame) -> DataFrame:
+    """``rows(token, sk, n, pos, root)`` of shingles that lie in several components, with the shingle's ``members``."""
+    # dealt out once, for the extremes and for the join: Spark shares an exchange only if both sides want the same columns of it
+    rows = rows.select("token", "sk", "n", "pos", "root").repartition("token")
+    several = rows.groupBy("token").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.expr("count(sk, n, pos)").alias("members")).filter("low <> high").select("token", "members")
+    return saved(rows.join(several, "token"), "heads")
 
 
 def lots(rows: DataFrame, rounds: int) -> DataFrame:
@@ -509,24 +514,25 @@ def similar_classes(classes: Classes, radius: int) -> DataFrame:
     near copies are one component, and not paired, in step 3; step 3 makes the
     result exact.
     """
-    table = classes.table
+    table, spark, begun = classes.table, classes.table.sparkSession, written()
     first = saved(table.groupBy("fp").agg(F.min("sk").alias("first_sk")), "fingerprints")
     linked = fingerprint_links(first.select("fp"), radius)
     ends = linked.join(first.select(F.col("fp").alias("a"), F.col("first_sk").alias("sa")), "a").join(first.select(F.col("fp").alias("b"), F.col("first_sk").alias("sb")), "b")
     same = table.select("sk", "fp").join(first, "fp").filter("sk <> first_sk").select(F.col("first_sk").alias("a"), F.col("sk").alias("b"))
     edges = classes.verified(ends.select(F.col("sa").alias("a"), F.col("sb").alias("b")).unionByName(same))
     found = saved(connected_components(edges), "found")
+    remove_scratch(spark, begun, found)
     joined = lambda more: connected_components(found.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(more))
-    # dealt out once, for the counts and for the join
-    head = table.select("sk", F.explode("head").alias("token")).repartition("token")
-    several = head.groupBy("token").agg(F.min("sk").alias("low"), F.max("sk").alias("high")).filter("low <> high").select("token")
-    shared = head.join(several, "token").join(table.select("sk", "n", "head"), "sk")
-    rows = rooted(shared.select("token", "sk", F.col("n").cast("int").alias("n"), (F.array_position("head", F.col("token")) - 1).cast("int").alias("pos")), found)
+    # sizes and places go along, so that the heads are dealt out once
+    rows = parted(with_roots(table.select("sk", F.col("n").cast("int").alias("n"), "head"), found).select("sk", "n", "root", F.posexplode("head").alias("pos", "token")))
     if STARS:
         own = lots(rows, STARS)
         for turn in range(STARS):
+            turned = written()
             found = saved(joined(classes.verified(near_in_blocks(own, found, classes, turn))), "found")
-        rows = rooted(rows.select("token", "sk", "n", "pos"), found)
+            remove_scratch(spark, turned, found)
+        rows = parted(with_roots(rows.select("token", "sk", "n", "pos"), found))
+        remove_scratch(spark, begun, rows, found)
     left, right = (rows.select("token", F.col("sk").alias(x), *(F.col(c).alias(k + x) for c, k in (("n", "n"), ("pos", "p"), ("root", "r")))) for x in "ab")
     met = left.join(right, "token").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & classes.wanted(F.least("na", "nb")) & classes.useful())
     return joined(classes.verified(classes.near(met.select("a", "b", "na", "nb").distinct())))
@@ -550,15 +556,18 @@ def keep_first(docs: DataFrame, shingle: int = 5, radius: int = 4, id_col: str =
     # classes of equal sets, each with its first row
     least = F.min(F.struct("doc_id", "tk", "fp", "n", "head", "sketch")).alias("m")
     classes = Classes(saved(prints.groupBy("sk").agg(least).select("sk", "m.*"), "classes"), source, shingle, similarity)
+    # heads and sketches are in the classes; of the rows only the keys are wanted again
+    keyed = saved(prints.select("doc_id", "tk", "sk"), "keyed")
+    remove_scratch(docs.sparkSession, before, keyed, classes.table)
     linked = similar_classes(classes, radius)
     member = saved(classes.table.select("sk", "doc_id", "tk").join(linked.withColumnRenamed("node", "sk"), "sk", "left").withColumn("root", F.coalesce("root", "sk")), "members")
     # the row that stays: the smallest id of the component, of the texts with this id the first
     least = saved(member.groupBy("root").agg(F.min(F.struct("doc_id", "tk")).alias("m")).select("root", F.col("m.doc_id").alias("first_id"), F.col("m.tk").alias("first_tk")), "firsts")
     named = saved(member.join(least, "root").select("sk", "first_id", "first_tk"), "named")
-    own = prints.select("doc_id", "tk", "sk").join(named, "sk")
+    own = keyed.join(named, "sk")
     gone = own.filter((F.col("doc_id") != F.col("first_id")) | (F.col("tk") != F.col("first_tk"))).select(F.col("doc_id").alias(i), F.col("tk").alias(k)).distinct()
     gone = saved(gone, "gone")
-    again = not prints.groupBy("doc_id", "tk").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
+    again = not keyed.groupBy("doc_id", "tk").agg(F.count("*").alias("n")).filter("n > 1").isEmpty()
     remove_scratch(docs.sparkSession, before, gone)
     # ids and text hashes only; shuffled beyond the counted bound
     gone = F.broadcast(gone) if gone.count() <= BROADCAST_ROWS else gone

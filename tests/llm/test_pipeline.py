@@ -138,3 +138,25 @@ def test_stages_leave_only_the_tables_that_their_results_read(spark, tmp_path, m
     assert sorted(p.name.split("-")[0] for p in tmp_path.iterdir()) == ["gone", "removal"]
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
     assert {r.doc_id: r.text for r in cut.collect()} == {1: "", 2: "", 3: "another " + words[::-1], 4: "alone"}
+
+
+def test_near_duplicates_remove_tables_as_soon_as_they_are_read(spark, tmp_path, monkeypatch):
+    """No two rounds' shingle sets lie on disk at once, nor the rows' heads and sketches beside those of the classes."""
+    import itertools
+
+    from locusflow.llm import common
+    from locusflow.llm.simhash_bk import keep_first
+
+    number, seen = itertools.count(), []
+
+    def scratch(session, name):
+        seen.append((name, [p.name.split("-")[0] for p in tmp_path.iterdir()]))
+        return f"{tmp_path}/{name}-{next(number)}"
+
+    monkeypatch.setattr(common, "scratch", scratch)
+    words = " ".join(f"w{i}" for i in range(60))
+    docs = spark.createDataFrame([(1, words), (2, words + " more"), (3, words[::-1]), (4, "alone")], "doc_id long, text string")
+    assert sorted(r.doc_id for r in keep_first(docs).collect()) == [1, 3, 4]
+    assert sum(name == "sets" for name, _ in seen) > 1
+    assert all("sets" not in there for name, there in seen if name == "sets")
+    assert all("prints" not in there for name, there in seen if name in ("fingerprints", "sets", "heads"))
