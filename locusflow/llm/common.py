@@ -24,8 +24,8 @@ from pyspark.sql import functions as F
 
 #: Words are maximal runs of anything but ASCII white space.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
-SLICE_CHARS = 2 << 20
-BATCH_BYTES = "8388608b"
+SLICE_CHARS = 512 << 10
+BATCH_BYTES = "1048576b"
 #: Paths of the scratch tables that this thread wrote.
 _WRITTEN = threading.local()
 
@@ -94,10 +94,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def small_batches(df: DataFrame) -> DataFrame:
-    """``df``, whose session hands texts to Python in batches of at most 8 MB, unless it names a size of its own.
+    """``df``, whose session hands texts to Python in batches of at most 1 MB, unless it names a size of its own.
 
     Executors hold a batch several times over (in the JVM's buffers, in Python
-    and as numpy arrays), so its size bounds what a task needs besides the heap.
+    and as numpy arrays), so its size bounds what a task needs besides the heap,
+    and what a worker goes on to hold while the JVM works on the next stage.
     """
     key, conf = "spark.sql.execution.arrow.maxBytesPerBatch", df.sparkSession.conf
     if conf.get(key, None) in (None, "64MB", "67108864b", "67108864"):
@@ -132,6 +133,11 @@ def crc_bucket(col, buckets: int):
     return F.pmod(F.crc32(col.cast("string").cast("binary")), F.lit(buckets)).cast("int")
 
 
+def give_back() -> None:
+    """At the end of a task: what Arrow's pool holds unused, since Spark keeps the worker for other tasks."""
+    pa.default_memory_pool().release_unused()
+
+
 def text_slices(
     batches: Iterator[pa.RecordBatch], max_chars: int = SLICE_CHARS, column: str = "text"
 ) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
@@ -149,3 +155,6 @@ def text_slices(
         if start < len(sizes):
             part = batch.slice(start)
             yield part, part.column(at).to_pylist()
+        del batch
+        part = None
+    give_back()

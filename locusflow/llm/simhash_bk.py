@@ -39,14 +39,14 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from locusflow.llm.common import column, free_names, remove_scratch, saved, small_batches, text_slices, texts_of, written
+from locusflow.llm.common import column, free_names, give_back, remove_scratch, saved, small_batches, text_slices, texts_of, written
 from locusflow.llm.components import connected_components
 
 SHARD = 4096
 #: Rows of a task that are worked on at once.
 BATCH_ROWS = 40_000
 #: Pairs of (search, tree node) that are looked at in one step at most, roughly.
-FRONTIER = 2_000_000
+FRONTIER = 500_000
 SEED = 42
 NULL_ID = -(1 << 63)
 #: Rows of (id, text hash) that are broadcast at most.
@@ -256,6 +256,8 @@ def fingerprint_links(distinct: DataFrame, radius: int) -> DataFrame:
                 held.append((task, fps, is_node))
         if held:
             yield links(held)
+        held = []
+        give_back()
 
     return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long").distinct()
 
@@ -493,6 +495,8 @@ def near_in_blocks(own: DataFrame, found: DataFrame, classes: Classes, turn: int
             held.append(batch.slice(last))
         if held:
             yield links(held)
+        held = []
+        give_back()
 
     return tasks.repartition("task").sortWithinPartitions("task").mapInArrow(run, "a long, b long")
 

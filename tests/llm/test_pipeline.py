@@ -160,3 +160,28 @@ def test_near_duplicates_remove_tables_as_soon_as_they_are_read(spark, tmp_path,
     assert sum(name == "sets" for name, _ in seen) > 1
     assert all("sets" not in there for name, there in seen if name == "sets")
     assert all("prints" not in there for name, there in seen if name in ("fingerprints", "sets", "heads"))
+
+
+def test_executors_hand_texts_to_python_in_small_batches(spark):
+    """A worker gets at most 1 MB and one row at once, and works on half of that, so that two of them fit beside a full heap."""
+    from locusflow.llm.common import small_batches, text_slices
+
+    docs = spark.range(0, 64, 1, 1).select(F.col("id").alias("doc_id"), F.expr("repeat('many words ', 6000)").alias("text"))
+
+    def run(batches):
+        import pyarrow as pa
+
+        sizes, whole = [], []
+
+        def noted():
+            for batch in batches:
+                whole.append(sum(map(len, batch.column(1).to_pylist())))
+                yield batch
+
+        for _, texts in text_slices(noted()):
+            sizes.append(sum(map(len, texts)))
+        yield pa.RecordBatch.from_arrays([pa.array([max(whole)]), pa.array([max(sizes)]), pa.array([sum(sizes)])], names=["batch", "slice", "total"])
+
+    got = small_batches(docs).mapInArrow(run, "batch long, slice long, total long").first()
+    assert got["total"] == 64 * 66_000
+    assert got["batch"] <= (1 << 20) + 66_000 and got["slice"] <= 512 << 10
