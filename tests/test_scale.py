@@ -2,6 +2,8 @@
 
 import math
 import random
+import time
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -461,3 +463,41 @@ def test_pairs_of_earlier_rounds_are_not_verified_again(spark, monkeypatch):
     got = {r.member_id: r.rep_id for r in K.cluster(spark.createDataFrame(rows, "seq_id int, sequence string"), k=8, identity=0.7).collect()}
     assert got == {0: 0, 1: 1, 2: 1, 3: 3, 4: 3}
     assert (1, 0) in seen and len(seen) == len(set(seen))
+
+
+def shuffle_files(spark):
+    folders = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {f.name for d in folders for f in Path(d.getPath()).rglob("shuffle_*.data")}
+
+
+def tables_of(spark):
+    return {p.name for p in Path(spark.conf.get("spark.checkpoint.dir")).iterdir()}
+
+
+def test_stored_table_leaves_no_shuffle_files(spark):
+    before = shuffle_files(spark)
+    table = M.saved(spark.range(5000).groupBy((F.col("id") % 97).alias("k")).agg(F.count("*").alias("n")), "counts")
+    for _ in range(100):  # executors remove them in their own time
+        if not shuffle_files(spark) - before:
+            break
+        time.sleep(0.1)
+    assert not shuffle_files(spark) - before and table.count() == 97
+    assert spark.conf.get(M.CLEANUP) == "false"
+
+
+def test_pairs_of_clusters_are_verified_in_slices(spark, monkeypatch):
+    """The texts of all pairs never meet at once, and nothing but the result stays."""
+    rng = random.Random(11)
+    texts = ["".join(rng.choice("abcdefgh") for _ in range(150)) for _ in range(12)]
+    rows = [(i, t) for i, t in enumerate(x[: 150 - j] + "z" * (j % 3) for x in texts for j in range(8))] + [(200, None), (201, texts[0])]
+    sequences = spark.createDataFrame(rows, "seq_id int, sequence string")
+    want = {(r.rep_id, r.member_id) for r in K.cluster(sequences, k=8, identity=0.7).collect()}
+    monkeypatch.setattr(K, "SLICE_PAIRS", 9)
+    monkeypatch.setattr(K, "SLICE_LETTERS", 1000)
+    seen = []
+    monkeypatch.setattr(K, "_compared", lambda near, *more, put=K._compared: seen.append(near.count()) or put(near, *more))
+    before = tables_of(spark)
+    got = K.cluster(sequences, k=8, identity=0.7)
+    assert len(tables_of(spark) - before) == 1
+    assert {(r.rep_id, r.member_id) for r in got.collect()} == want and len(want) == len(rows)
+    assert len(seen) > 3 and max(seen) <= 9
