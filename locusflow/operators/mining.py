@@ -9,9 +9,11 @@ import uuid
 from collections.abc import Iterator
 from functools import lru_cache, reduce
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import BinaryType
 
 from locusflow.functions import canonical, jaccard
 
@@ -92,6 +94,10 @@ def scratch(spark: SparkSession, name: str) -> str:
 SIGNATURE_MASK = -1
 #: Patterns of a batch of lists that a task hands on at once.
 HELD_PATTERNS = 1 << 16
+#: Pairs of patterns and clusters whose signatures are summed at once, and in how many steps at most.
+SIGNED_PAIRS, SIGNED_STEPS = 2_000_000, 16
+#: Steps in which patterns are held against the best ones of their signatures, at most.
+HELD_STEPS = 64
 
 
 def filter_lists(lists: DataFrame, min_types: int = 3, max_length: int = 40, max_repeats: int = 2) -> DataFrame:
@@ -168,6 +174,80 @@ def sublists(lists: DataFrame, genes: DataFrame, min_length: int = 2, max_length
     return found.join(outside, "pattern", "left_anti")
 
 
+def coded(lists: DataFrame) -> tuple[DataFrame, int]:
+    """(cluster_id, types) of stored lists with the genes as numbers in their order, so many bytes each, in one string of bytes.
+
+    Such strings compare as the lists of names do. A gene without a name is 0.
+    """
+    from locusflow.operators.ranges import numbered
+    from locusflow.operators.skew import stored_small
+
+    begun = written()
+    names = lists.select(F.explode("types").alias("gene")).filter(F.col("gene").isNotNull()).distinct()
+    genes = stored_small(numbered(names, [F.col("gene").asc()]).select("gene", F.col("rank").cast("int").alias("code")), "genes")
+    width = max(1, -(-genes.count().bit_length() // 8))
+    rows = lists.withColumn("_row", F.monotonically_increasing_id())
+    places = rows.select("_row", "cluster_id", F.posexplode("types").alias("pos", "gene")).join(genes, "gene", "left")
+    order = F.array_sort(F.collect_list(F.struct("pos", F.coalesce("code", F.lit(0)).alias("code"))))
+    own = places.groupBy("_row", "cluster_id").agg(F.transform(order, lambda x: x["code"]).alias("types"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            codes = batch.column(1).flatten().to_numpy(zero_copy_only=False).astype(">u4")
+            ends = np.cumsum([0, *batch.column(1).value_lengths().to_pylist()]) * width
+            text = codes.view(np.uint8).reshape(-1, 4)[:, 4 - width :].tobytes()
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer(ends.astype(np.int32)), pa.py_buffer(text)])], ["cluster_id", "types"])
+
+    kind = lists.schema["cluster_id"].dataType.simpleString()
+    out = saved(own.select("cluster_id", "types").mapInArrow(run, f"cluster_id {kind}, types binary"), "coded")
+    remove_scratch(lists.sparkSession, begun, out)
+    return out, width
+
+
+def merged_support(derep: DataFrame, width: int, k: int = 2, q: int = 1, max_length: int = 40) -> DataFrame:
+    """(pattern, cluster_id, many), stored: the support of ``gapped_support`` with patterns and their reverses as one, over coded lists.
+
+    A list names each pattern once, the smaller of it and its reverse, with the
+    ways in which it has it, so no pairs need to be made different. Only counts
+    of patterns are shuffled, and pairs of those patterns that are too rare to be
+    broadcast. ``many``: the list has replicates.
+    """
+    from locusflow.operators.skew import frequent_join
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def packed(batch: pa.RecordBatch, rows: list[int], patterns: list, ways: list[int]) -> pa.RecordBatch:
+            own = batch.take(pa.array(rows, pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(patterns, pa.binary()), own.column(1), own.column(2), pa.array(ways, pa.int32())], ["pattern", "cluster_id", "weight", "ways"])
+
+        unnamed = bytes(width)
+        for batch in batches:
+            rows, patterns, ways = [], [], []
+            for row, text in enumerate(batch.column(0).to_pylist()):
+                genes = [text[i : i + width] for i in range(0, len(text), width)]
+                own = {}
+                for pattern, whole in _instances([None if g == unnamed else g for g in genes], k, max_length).items():
+                    back = pattern[::-1]
+                    name, way = (pattern, 1) if pattern <= back else (back, 2)
+                    own[name] = own.get(name, 0) | way | (way << 2 if whole else 0)
+                rows += [row] * len(own)
+                patterns += map(b"".join, own)
+                ways += own.values()
+                if len(rows) >= HELD_PATTERNS:
+                    yield packed(batch, rows, patterns, ways)
+                    rows, patterns, ways = [], [], []
+            yield packed(batch, rows, patterns, ways)
+
+    kind = derep.schema["cluster_id"].dataType.simpleString()
+    own = derep.select("types", "cluster_id", "weight").mapInArrow(run, f"pattern binary, cluster_id {kind}, weight bigint, ways int")
+    has = lambda bit: F.col("ways").bitwiseAND(bit) != 0
+    weight = lambda way: F.sum(F.when(has(way), F.col("weight")).otherwise(0))
+    counts = own.groupBy("pattern").agg(weight(1).alias("w1"), weight(2).alias("w2"), F.bit_or("ways").alias("ways"))
+    # each way has to reach the weight by itself, and with a list without insertions
+    good = F.when((F.col("w1") >= q) & has(4), 1).otherwise(0) + F.when((F.col("w2") >= q) & has(8), 2).otherwise(0)
+    kept = saved(counts.select("pattern", good.alias("good"), (F.col("w1") + F.col("w2")).alias("_n")).filter("good > 0"), "kept")
+    return saved(frequent_join(own, kept, "pattern", "_n").filter(F.col("ways").bitwiseAND(F.col("good")) != 0).select("pattern", "cluster_id", (F.col("weight") > 1).alias("many")), "support")
+
+
 def _instances(types: list, k: int, max_length: int) -> dict[tuple, bool]:
     """The patterns of one list, and whether it has them without insertions.
 
@@ -252,30 +332,45 @@ def closed_patterns(support: DataFrame, stored: bool = False) -> DataFrame:
     that differ after all go through another round among themselves. A
     ``stored`` support is a table of different pairs and not written again.
     """
+    from locusflow.operators.skew import SMALL_ROWS
+
     pairs = support.select("pattern", "cluster_id")
     pairs = pairs if stored else saved(pairs.distinct(), "support")
     first, second = (F.xxhash64(F.lit(seed), "cluster_id").bitwiseAND(SIGNATURE_MASK) for seed in (1, 2))
-    left = saved(
-        pairs.groupBy("pattern").agg(F.count("*").alias("n"), F.bit_xor(first).alias("h1"), F.bit_xor(second).alias("h2"), F.sum(first.bitwiseAND(0xFFFFFFFF)).alias("h3")),
-        "signatures",
-    )
+    sums = [F.count("*").alias("n"), F.bit_xor(first).alias("h1"), F.bit_xor(second).alias("h2"), F.sum(first.bitwiseAND(0xFFFFFFFF)).alias("h3")]
+    steps = min(SIGNED_STEPS, -(-pairs.count() // SIGNED_PAIRS)) or 1
+    left = reduce(DataFrame.unionByName, [saved(pairs.filter(F.pmod(F.xxhash64("pattern"), F.lit(steps)) == i).groupBy("pattern").agg(*sums), "signatures") for i in range(steps)])
     signature = ["n", "h1", "h2", "h3"]
     closed = []
     while True:
-        best = left.groupBy(*signature).agg(F.max(F.struct(F.size("pattern").alias("length"), F.col("pattern").alias("pattern"))).alias("m"), F.count("*").alias("patterns"))
+        best = left.groupBy(*signature).agg(F.max(F.struct(pattern_length(left).alias("length"), F.col("pattern").alias("pattern"))).alias("m"), F.count("*").alias("patterns"))
         chosen = saved(best.select(*signature, F.col("m.pattern").alias("best"), "patterns"), "closed")
         closed.append(chosen.select(F.col("best").alias("pattern"), "n"))
         others = saved(left.join(chosen.filter("patterns > 1"), signature).filter("pattern <> best").select("pattern", "best", *signature), "same-signature")
-        if others.isEmpty():
+        count = others.count()
+        if not count:
             break
-        # clusters that a pattern has and its signature's best one hasn't
-        missing = pairs.join(others.select("pattern", "best"), "pattern").join(pairs.select(F.col("pattern").alias("best"), "cluster_id"), ["best", "cluster_id"], "left_anti")
-        left = saved(others.join(missing.select("pattern").distinct(), "pattern", "left_semi").select("pattern", *signature), "signatures")
+        # clusters that a pattern has and its signature's best one hasn't: only pairs of such patterns meet
+        steps, differ = min(HELD_STEPS, -(-2 * count // SMALL_ROWS)), []
+        for i in range(steps):
+            begun = written()
+            asked = saved(others.filter(F.pmod(F.xxhash64("best"), F.lit(steps)) == i).select("pattern", "best"), "asked")
+            names = saved(asked.select("pattern").unionByName(asked.select(F.col("best").alias("pattern")).distinct()), "names")
+            own = saved(pairs.join(F.broadcast(names) if names.count() <= SMALL_ROWS else names, "pattern", "left_semi"), "own")
+            missing = own.join(asked, "pattern").join(own.select(F.col("pattern").alias("best"), "cluster_id"), ["best", "cluster_id"], "left_anti")
+            differ.append(saved(missing.select("pattern").distinct(), "differ"))
+            remove_scratch(support.sparkSession, begun, differ[-1])
+        left = saved(others.join(reduce(DataFrame.unionByName, differ), "pattern", "left_semi").select("pattern", *signature), "signatures")
         if left.isEmpty():
             break
     return reduce(DataFrame.unionByName, closed)
 
 
+def pattern_length(patterns: DataFrame) -> Column:
+    """The length of a column ``pattern``; of coded patterns in bytes."""
+    return (F.octet_length if isinstance(patterns.schema["pattern"].dataType, BinaryType) else F.size)("pattern")
+
+
 def similar_patterns(patterns: DataFrame, min_similarity: float = 0.0) -> DataFrame:
     """Pairs of patterns (keyword a < b) that share an item, with their Jaccard similarity as sets.
 

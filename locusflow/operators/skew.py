@@ -50,3 +50,27 @@ def salted_join(rows: DataFrame, other: DataFrame, key: str, how: str = "inner",
     spread = other.join(F.broadcast(hot), key, "left").select(F.col(key).alias("_other"), *(c for c in other.columns if c != key), copies)
     met = (F.col(key) == F.col("_other")) & (F.col("_salt") == F.col("_to"))
     return dealt(rows, hot, key).join(spread, met if where is None else met & where, how).drop("_salt", "_other", "_to")
+
+
+def frequent_join(rows: DataFrame, table: DataFrame, key: str, n: str) -> DataFrame:
+    """``rows`` joined with a stored ``table`` that has each key once and, as ``n``, how many rows about have it.
+
+    Keys of most rows are broadcast, down to the power of two at which they are
+    ``SMALL_ROWS`` at most, so that only rows of the rarer keys are shuffled.
+    ``rows`` is made twice if there are more keys than that.
+    """
+    if table.count() <= SMALL_ROWS:
+        return rows.join(F.broadcast(table), key)
+    level = F.floor(F.log2(F.greatest(F.col(n), F.lit(1))))
+    counts = sorted(((r[0], r[1]) for r in table.groupBy(level).count().collect()), reverse=True)
+    least, total = None, 0
+    for at, count in counts:
+        total += count
+        if total > SMALL_ROWS:
+            break
+        least = at
+    if least is None:
+        return rows.join(table, key)
+    often = table.filter(level >= least)
+    rest = rows.join(F.broadcast(often.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(often), key).unionByName(rest.join(table.filter(level < least), key))

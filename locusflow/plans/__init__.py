@@ -16,6 +16,8 @@ from locusflow.operators import sets as U
 from locusflow.operators import similarity as K
 from locusflow.operators import validation as V
 from locusflow.operators.linkage import ward_groups
+from locusflow.operators.ranges import numbered
+from locusflow.operators.skew import frequent_join, salted_join
 
 
 def hits_to_islands(hits: DataFrame, queries: DataFrame, features: DataFrame, distance: int = 3500, min_genes: int = 2) -> DataFrame:
@@ -27,12 +29,28 @@ def hits_to_islands(hits: DataFrame, queries: DataFrame, features: DataFrame, di
 
 
 def islands_to_keywords(lists: DataFrame, k: int = 2, q: int = 1) -> DataFrame:
-    """(keyword, cluster_id): lists filtered and made unique, patterns with gaps, closed ones numbered, replicates back."""
-    kept = M.saved(M.filter_lists(lists), "lists")
+    """(keyword, cluster_id): lists filtered and made unique, patterns with gaps, closed ones numbered, replicates back.
+
+    Genes are numbered first, so that lists and patterns are short. A list
+    supports its pattern without a join; only those of lists with replicates
+    meet them. Tables go as soon as they are read.
+    """
+    spark, begun = lists.sparkSession, M.written()
+    kept, width = M.coded(M.saved(M.filter_lists(lists), "lists"))
     derep = M.saved(M.dereplicate(kept), "derep")
-    support = M.saved(M.merge_reversed(M.gapped_support(derep.select("cluster_id", "types"), derep, k, q)), "support")
-    numbered = M.saved(M.number_patterns(M.closed_patterns(support, stored=True).select("pattern")), "numbered")
-    return M.clusters_of(numbered, support, M.replicates(kept, derep, stored=True))
+    # the representative is its own replicate
+    copies = M.saved(M.replicates(kept, derep, stored=True).filter("replicate <> cluster_id"), "replicates")
+    M.remove_scratch(spark, begun, derep, copies)
+    support = M.merged_support(derep, width, k, q)
+    M.remove_scratch(spark, begun, copies, support)
+    closed = M.saved(M.closed_patterns(support, stored=True), "closed")
+    number = numbered(closed.withColumn("_length", M.pattern_length(closed)), [F.col("_length").asc(), F.col("pattern").asc()])
+    named = M.saved(number.select("pattern", "n", "rank"), "numbered")
+    M.remove_scratch(spark, begun, copies, support, named)
+    found = M.saved(frequent_join(support, named, "pattern", "n").select("rank", "cluster_id", "many"), "found")
+    M.remove_scratch(spark, begun, copies, found)
+    more = salted_join(copies, found.filter("many").select("cluster_id", "rank"), "cluster_id").select("rank", F.col("replicate").alias("cluster_id"))
+    return found.select("rank", "cluster_id").unionByName(more).select(F.concat(F.lit("csb-"), F.col("rank").cast("string"), F.lit("_")).alias("keyword"), "cluster_id")
 
 
 def context_free_references(seeds: DataFrame, members: DataFrame, hits: DataFrame, identity: float = 70.0) -> DataFrame:

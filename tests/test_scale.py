@@ -501,3 +501,25 @@ def test_pairs_of_clusters_are_verified_in_slices(spark, monkeypatch):
     assert len(tables_of(spark) - before) == 1
     assert {(r.rep_id, r.member_id) for r in got.collect()} == want and len(want) == len(rows)
     assert len(seen) > 3 and max(seen) <= 9
+
+
+@pytest.mark.parametrize("small", [3, 40, 500_000])
+def test_keywords_of_coded_lists_equal_their_steps(spark, monkeypatch, small):
+    """C8: numbered genes, patterns too many to be broadcast, signatures in steps; of its tables only what the rows are read from stays."""
+    from locusflow import plans
+
+    rng = random.Random(8)
+    genes = [None, "A", "Aa", "B", "b", *(f"g{i}" for i in range(300))]
+    rows = [(i, [genes[rng.randrange(9)] for _ in range(rng.randint(2, 7))]) for i in range(60)]
+    rows += [(100 + i, rows[i % 5][1]) for i in range(12)] + [(300 + i, genes[5 + 3 * i : 8 + 3 * i][:: 1 - 2 * (i % 2)]) for i in range(98)] + [(500, ["b", "A", "b"]), (501, ["A", "b", "g9"])]
+    lists = spark.createDataFrame(rows, "cluster_id int, types array<string>")
+    kept = M.saved(M.filter_lists(lists), "lists")
+    derep = M.dereplicate(kept)
+    support = M.merge_reversed(M.gapped_support(derep.select("cluster_id", "types"), derep, 2, 2))
+    want = sorted(map(tuple, M.clusters_of(M.number_patterns(M.closed_patterns(support).select("pattern")), support, M.replicates(kept, derep)).collect()))
+    monkeypatch.setattr(skew, "SMALL_ROWS", small)
+    monkeypatch.setattr(M, "SIGNED_PAIRS", 50)
+    before = tables_of(spark)
+    found = plans.islands_to_keywords(lists, 2, 2)
+    assert len(tables_of(spark) - before) <= 3
+    assert sorted(map(tuple, found.collect())) == want and len(want) > 100
