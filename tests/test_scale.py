@@ -523,3 +523,38 @@ def test_keywords_of_coded_lists_equal_their_steps(spark, monkeypatch, small):
     found = plans.islands_to_keywords(lists, 2, 2)
     assert len(tables_of(spark) - before) <= 3
     assert sorted(map(tuple, found.collect())) == want and len(want) > 100
+
+
+def test_stored_steps_in_slices_equal_the_plain_ones(spark, monkeypatch):
+    from locusflow.operators import sets as U
+
+    rng = random.Random(5)
+    refset = M.saved(spark.createDataFrame([(f"d{rng.randrange(4)}", f"p{rng.randrange(40)}") for _ in range(60)], "domain string, protein_id string"), "refset")
+    proteins = M.saved(spark.createDataFrame([(f"p{i}", i % 7) for i in range(40)] + [(None, 1)], "protein_id string, genome_id int"), "proteins")
+    monkeypatch.setattr(M, "SLICE_ROWS", 10)
+    carried = P.carried(refset, proteins)
+    assert sorted(map(tuple, carried.collect())) == sorted((r.genome_id, r.domain) for r in P.presence(refset, proteins).collect())
+    more = M.saved(spark.createDataFrame([("d1", "p1"), (None, "p1"), (None, "p1"), ("d9", None)], "domain string, protein_id string"), "more")
+    key = lambda rows: sorted(map(str, map(tuple, rows)))
+    assert key(U.stored_union(refset, more).collect()) == key(U.union(refset, more).collect())
+
+
+def test_extension_by_synteny_stores_only_its_result(spark, monkeypatch):
+    """C5 in slices: the rows of its steps joined, and of its tables only the result and the numbers of keywords stay."""
+    from locusflow import plans
+    from locusflow.operators import sets as U
+
+    rng = random.Random(6)
+    rows = [(c, c % 9, f"p{c}-{i}", rng.choice("abcd"), rng.random(), rng.random()) for c in range(40) for i in range(3)]
+    members = spark.createDataFrame(rows, "cluster_id int, genome_id int, protein_id string, domain string, score double, bsr double")
+    refset = members.filter("score > 0.6").select("domain", "protein_id")
+    patterns = spark.createDataFrame([("k1", ["a", "b"]), ("k2", ["c", "d"]), ("k3", ["e"])], "keyword string, pattern array<string>")
+    keywords = spark.createDataFrame([(c, f"k{c % 4}") for c in range(0, 40, 3)] + [(0, "k1")], "cluster_id int, keyword string")
+    wanted = P.similar_to_domain(patterns, 0.5).select("domain", "keyword")
+    plausible = P.plausible_hits(members, P.support_model(P.positive_sample(refset, members, None)), P.presence(refset, members), -0.5)
+    want = sorted(map(tuple, U.union(S.extend_by_keywords(refset, wanted, keywords, members), plausible).collect()))
+    monkeypatch.setattr(M, "SLICE_ROWS", 30)
+    before = tables_of(spark)
+    found = plans.extend_by_synteny(refset, patterns, keywords, members, None, 0.5, -0.5, None)
+    assert {name.rsplit("-", 1)[0] for name in tables_of(spark) - before} == {"union"}
+    assert sorted(map(tuple, found.collect())) == want and refset.count() < len(want) < len(rows)
