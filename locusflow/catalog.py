@@ -853,7 +853,7 @@ SEED_REFS = dict(WITH_ALL, seed_refs="SELECT DISTINCT m.domain, m.protein_id, m.
 def _seed_references(spark, d):
     from locusflow.plans import context_free_references
 
-    members = A.carriers(spark, d)
+    members = M.saved(A.carriers(spark, d).select("genome_id", "protein_id", "domain", "score", "identity"), "members")
     return context_free_references(_seeds(spark, d), members, members)
 
 

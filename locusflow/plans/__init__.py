@@ -54,25 +54,65 @@ def islands_to_keywords(lists: DataFrame, k: int = 2, q: int = 1) -> DataFrame:
 
 
 def context_free_references(seeds: DataFrame, members: DataFrame, hits: DataFrame, identity: float = 70.0) -> DataFrame:
-    """(domain, protein_id, score): for each seed the domains in all its genomes, the genomes with all of those, and its proteins there."""
-    return P.seed_references(P.genomes_with_all(P.domains_in_all(seeds, members, identity), hits), hits)
+    """(domain, protein_id, score), stored: for each seed the domains in all its genomes, the genomes with all of those, and its proteins there.
+
+    Hits are a stored table, which is read in slices of the genomes.
+    """
+    spark, begun = hits.sparkSession, M.written()
+    common = M.saved(P.domains_in_all(M.saved(seeds.distinct(), "seeds"), members, identity), "common")
+    genomes = M.saved(P.genomes_with_all(common, hits), "genomes")
+    rows = M.in_slices(hits.count(), "references", lambda part: P.seed_references(genomes.filter(part("genome_id")), hits.filter(part("genome_id"))))
+    M.remove_scratch(spark, begun, rows)
+    # a protein of two genomes came twice
+    found = M.in_slices(rows.count(), "references", lambda part: rows.filter(part("protein_id")).distinct())
+    M.remove_scratch(spark, begun, found)
+    return found
 
 
 def singleton_references(members: DataFrame, seed_identity: float = 70.0, identity: float = 70.0) -> DataFrame:
-    """(domain, protein_id, score): references from proteins of high identity in no cluster, over the genomes like theirs."""
-    seeds = S.context_free(members, seed_identity).select(F.col("domain").alias("seed"), "genome_id").distinct()
-    return context_free_references(seeds, members, members, identity)
+    """(domain, protein_id, score), stored: references from proteins of high identity in no cluster, over the genomes like theirs."""
+    begun = M.written()
+    own = M.saved(members.select("cluster_id", "genome_id", "protein_id", "domain", "score", "identity"), "members")
+    seeds = S.context_free(own, seed_identity).select(F.col("domain").alias("seed"), "genome_id")
+    found = context_free_references(seeds, own, own, identity)
+    M.remove_scratch(members.sparkSession, begun, found)
+    return found
 
 
 def seed_groups(keywords: DataFrame, members: DataFrame, query_genome, singletons: DataFrame | None = None, min_seqs: int = 1) -> DataFrame:
-    """The first reference sets: proteins of the passing keywords, without query-only groups, query proteins back, singletons over them."""
-    stats = S.keyword_statistics(keywords, members)
-    query = S.query_scores(members, query_genome)
-    good = S.drop_low_quality(stats, query)
-    found = S.proteins_of(S.passing_domains(good, query), keywords, members, min_seqs)
-    kept = S.drop_query_only(U.combine(found), members, query_genome)
-    whole = S.add_queries(kept, members.filter(F.col("genome_id") == F.lit(query_genome)))
-    return whole if singletons is None else U.overwrite(whole, singletons)
+    """The first reference sets, stored: proteins of the passing keywords, without query-only groups, query proteins back, singletons over them.
+
+    Singletons are a stored table; what they replace is not made. Large tables are shuffled in slices,
+    and go as soon as they are read.
+    """
+    spark, begun = members.sparkSession, M.written()
+    members = M.saved(members.select("cluster_id", "genome_id", "protein_id", "domain", "score"), "members")
+    keywords = M.saved(keywords.select("cluster_id", "keyword").distinct(), "keywords")
+    query = M.saved(S.query_scores(members, query_genome), "query")
+    stats = M.saved(S.keyword_statistics(keywords, members), "statistics")
+    passing = S.passing_domains(S.drop_low_quality(stats, query), query)
+    if singletons is not None:
+        passing = passing.join(M.saved(singletons.select("domain").distinct(), "replaced"), "domain", "left_anti")
+    tasks = M.saved(passing.select("keyword", "domain"), "tasks")
+    M.remove_scratch(spark, begun, members, keywords, tasks)
+    rows = members.count()
+    if min_seqs <= 1:
+        pairs, keyed = S.numbered_keywords(tasks, keywords)
+        part_of = lambda part: S.members_by_keywords(pairs, keyed.filter(part("cluster_id")), members.filter(part("cluster_id")))
+        found = U.stored_union(M.in_slices(rows, "proteins", part_of))
+    else:
+        found = M.saved(U.combine(S.proteins_of(tasks, keywords, members, min_seqs)), "proteins")
+    M.remove_scratch(spark, begun, members, found)
+    # domains with a protein outside the query genome
+    other = members.filter(F.col("genome_id") != F.lit(query_genome)).select("protein_id")
+    outside = M.in_slices(rows, "outside", lambda part: found.filter(part("protein_id")).join(other.filter(part("protein_id")), "protein_id", "left_semi").select("domain").distinct())
+    domains = M.saved(outside.distinct(), "domains")
+    query_own = members.filter(F.col("genome_id") == F.lit(query_genome)).select("domain", "protein_id")
+    query_own = M.saved(query_own.join(domains, "domain", "left_semi"), "query-own")
+    M.remove_scratch(spark, begun, found, domains, query_own)
+    whole = U.stored_union(found.join(domains, "domain", "left_semi"), query_own, *([] if singletons is None else [singletons]))
+    M.remove_scratch(spark, begun, whole)
+    return whole
 
 
 def extend_by_synteny(refset: DataFrame, patterns: DataFrame, keywords: DataFrame, members: DataFrame, sequences: DataFrame | None = None, similarity: float = 0.7, cutoff: float = 0.8, limit: int | None = 1000) -> DataFrame:

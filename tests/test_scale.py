@@ -558,3 +558,31 @@ def test_extension_by_synteny_stores_only_its_result(spark, monkeypatch):
     found = plans.extend_by_synteny(refset, patterns, keywords, members, None, 0.5, -0.5, None)
     assert {name.rsplit("-", 1)[0] for name in tables_of(spark) - before} == {"union"}
     assert sorted(map(tuple, found.collect())) == want and refset.count() < len(want) < len(rows)
+
+
+@pytest.mark.parametrize("min_seqs", [1, 2])
+def test_seed_groups_make_nothing_that_singletons_replace(spark, monkeypatch, min_seqs):
+    """C4 in slices: groups as the plain steps give them, singletons over them, and only the result stays."""
+    from locusflow import plans
+    from locusflow.operators import sets as U
+
+    rng = random.Random(9)
+    rows = [(c, (c + i) % 6 if i % 5 else 7, f"p{c}-{i}", f"d{i % 5}", 50.0 + rng.randrange(50)) for c in range(60) for i in range(5)] + [(999, 7, "q", "d1", 10.0), (998, 7, "r", "d2", 20.0), (5, 7, "only", "d8", 80.0)]
+    members = spark.createDataFrame(rows, "cluster_id int, genome_id int, protein_id string, domain string, score double")
+    keywords = spark.createDataFrame([(c, f"csb-{c % 3}") for c in range(60)] + [(1, "csb-1"), (1, "x")], "cluster_id int, keyword string")
+    stats, query = S.keyword_statistics(keywords, members), S.query_scores(members, 7)
+    passing = S.passing_domains(S.drop_low_quality(stats, query), query)
+    plain = S.add_queries(S.drop_query_only(U.combine(S.proteins_of(passing, keywords, members, min_seqs)), members, 7), members.filter("genome_id = 7"))
+    single = M.saved(spark.createDataFrame([("d1", "s1", 1.0), ("d1", "s1", 2.0), ("new", "s2", 1.0)], "domain string, protein_id string, score double"), "single")
+    monkeypatch.setattr(M, "SLICE_ROWS", 50)
+    asked = []
+    monkeypatch.setattr(S, "members_by_keywords", lambda pairs, *more, put=S.members_by_keywords: asked.extend(r.domain for r in pairs.collect()) or put(pairs, *more))
+    before = tables_of(spark)
+    groups = plans.seed_groups(keywords, members, 7, None, min_seqs)
+    whole = plans.seed_groups(keywords, members, 7, single, min_seqs)
+    assert {name.rsplit("-", 1)[0] for name in tables_of(spark) - before} == {"union"}
+    assert sorted(map(tuple, groups.collect())) == sorted(map(tuple, plain.collect())) and groups.count() > 100
+    assert sorted(map(tuple, whole.collect())) == sorted(map(tuple, U.overwrite(plain, single).collect()))
+    asked.clear()
+    plans.seed_groups(keywords, members, 7, single, 1)
+    assert asked and "d1" not in asked
